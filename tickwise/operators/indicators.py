@@ -1,8 +1,9 @@
 """Technical indicators per ticker: E1-E5, E7, E8, E10 and the K7 feature table.
 
-All indicators run on one ``halo_blocks`` layout (halo 199 rows covers the
-longest trailing frame, SMA-200), so a single shuffle on (ticker, block)
-feeds every window; exponential means add two small summary joins.
+All indicators run on one ``halo_blocks`` layout whose halo covers the
+longest look-back (SMA-200 frame; the 1e-20 memory of the RSI and of the
+MACD signal chained on the 26-span mean), so a single shuffle on
+(ticker, block) feeds every window and the plan has no join.
 
 Semantics (fixed by the reference):
 * returns: ``close / close[t-k] - 1``, null for the first k rows;
@@ -21,7 +22,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.operators.recurrence import Ewm, ewm_pass, span_alpha
+from tickwise.operators.recurrence import Ewm, chain_halo, ewm_pass, memory_rows, span_alpha
+from tickwise.session import materialize
 from tickwise.operators.series import (BLOCK_ROWS, N, RN, block_window, gated, halo_blocks,
                                        home_only, number_rows, trailing)
 
@@ -31,7 +33,10 @@ INDICATOR_COLUMNS = ["rsi_14", "macd", "macd_signal", "bollinger_upper", "bollin
 FEATURE_COLUMNS = INDICATOR_COLUMNS + ["return_1d", "return_3d", "return_5d", "volatility_20d"]
 DEFAULT_LAGS = [1, 3, 5, 10]
 SQRT_252 = math.sqrt(252.0)
-MAX_HALO = 199
+# halo rows: SMA-200 frame, RSI memory, MACD signal chained on the slow mean
+RSI_HALO = memory_rows(1.0 / 14)
+MACD_HALO = chain_halo(span_alpha(26), span_alpha(9))
+MAX_HALO = max(199, RSI_HALO, MACD_HALO)
 
 
 def layout(bars: DataFrame, key: str = "ticker", ts: str = "timestamp", price: str = "close",
@@ -75,21 +80,23 @@ def add_volatility(d: DataFrame, rows: int = 20, key: str = "ticker") -> DataFra
     return d.withColumn(f"volatility_{rows}d", vol * SQRT_252).drop("_logret")
 
 
-def add_ewm(d: DataFrame, specs: list[Ewm], key: str = "ticker",
+def add_ewm(d: DataFrame, specs: list[Ewm], halo: int, key: str = "ticker",
             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """E6 on the layout (home rows)."""
-    return ewm_pass(d, specs, key, block_rows)
+    """E6 on a layout built with ``halo`` rows."""
+    return ewm_pass(d, specs, key, halo, block_rows)
 
 
-def add_rsi(d: DataFrame, period: int = 14, key: str = "ticker",
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Wilder RSI with the reference's warm-up and zero-loss rules."""
-    w = block_window(key)
-    delta = F.col("close") - F.lag("close", 1).over(w)
-    d = (d.withColumn("_gain", F.when(delta > 0, delta).otherwise(F.lit(0.0)))
-         .withColumn("_loss", F.when(delta < 0, -delta).otherwise(F.lit(0.0))))
-    a = 1.0 / period
-    d = ewm_pass(d, [Ewm("_avg_gain", "_gain", a), Ewm("_avg_loss", "_loss", a)], key, block_rows)
+def _rsi_inputs(d: DataFrame, key: str) -> DataFrame:
+    delta = F.col("close") - F.lag("close", 1).over(block_window(key))
+    return (d.withColumn("_gain", F.when(delta > 0, delta).otherwise(F.lit(0.0)))
+            .withColumn("_loss", F.when(delta < 0, -delta).otherwise(F.lit(0.0))))
+
+
+def _rsi_specs(period: int) -> list[Ewm]:
+    return [Ewm("_avg_gain", "_gain", 1.0 / period), Ewm("_avg_loss", "_loss", 1.0 / period)]
+
+
+def _rsi_finish(d: DataFrame, period: int) -> DataFrame:
     rsi = (F.when(F.col(N) < period + 1, F.lit(None).cast("double"))
            .when(F.col(RN) < period - 1, F.lit(100.0))
            .when(F.col("_avg_loss") == 0, F.lit(100.0))
@@ -97,25 +104,42 @@ def add_rsi(d: DataFrame, period: int = 14, key: str = "ticker",
     return d.withColumn(f"rsi_{period}", rsi).drop("_gain", "_loss", "_avg_gain", "_avg_loss")
 
 
-def add_macd(d: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
-             key: str = "ticker", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """MACD line and signal (two chained exponential-mean passes)."""
-    d = ewm_pass(d, [Ewm("_ema_fast", "close", span_alpha(fast)),
-                     Ewm("_ema_slow", "close", span_alpha(slow))], key, block_rows)
+def _macd_specs(fast: int, slow: int) -> list[Ewm]:
+    return [Ewm("_ema_fast", "close", span_alpha(fast)), Ewm("_ema_slow", "close", span_alpha(slow))]
+
+
+def _macd_finish(d: DataFrame, slow: int, signal: int, key: str, halo: int,
+                 block_rows: int) -> DataFrame:
     d = d.withColumn("_macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    d = ewm_pass(d, [Ewm("_macd_sig", "_macd", span_alpha(signal))], key, block_rows)
+    d = ewm_pass(d, [Ewm("_macd_sig", "_macd", span_alpha(signal))], key, halo, block_rows)
     enough = F.col(N) >= slow
     return (d.withColumn("macd", F.when(enough, F.col("_macd")))
             .withColumn("macd_signal", F.when(enough, F.col("_macd_sig")))
             .drop("_ema_fast", "_ema_slow", "_macd", "_macd_sig"))
 
 
+def add_rsi(d: DataFrame, period: int = 14, key: str = "ticker", halo: int = RSI_HALO,
+            block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Wilder RSI with the reference's warm-up and zero-loss rules."""
+    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(period), key, halo, block_rows)
+    return _rsi_finish(d, period)
+
+
+def add_macd(d: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
+             key: str = "ticker", halo: int = MACD_HALO, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """MACD line and signal (two chained exponential-mean passes)."""
+    d = ewm_pass(d, _macd_specs(fast, slow), key, halo, block_rows)
+    return _macd_finish(d, slow, signal, key, halo, block_rows)
+
+
 def technical_features(bars: DataFrame, key: str = "ticker", ts: str = "timestamp",
                        lags=None, block_rows: int = BLOCK_ROWS, bucket: str = "year",
-                       keep_warmup: bool = True) -> DataFrame:
+                       keep_warmup: bool = True, checkpoint: bool = True) -> DataFrame:
     """All indicators + lag returns + volatility in one layout (``features_full``).
 
-    ``keep_warmup=False`` applies B8 (drop rows until SMA-200 exists).
+    ``keep_warmup=False`` applies B8 (drop rows until SMA-200 exists). The
+    result is checkpointed (it is the persisted feature table of the
+    reference, and downstream plans reference it several times).
     """
     d = layout(bars, key, ts, block_rows=block_rows, bucket=bucket)
     d = add_lag_returns(d, lags, key)
@@ -123,9 +147,11 @@ def technical_features(bars: DataFrame, key: str = "ticker", ts: str = "timestam
     d = add_sma(d, 200, "sma_200", key)
     d = add_bollinger(d, key=key)
     d = add_volatility(d, key=key)
-    d = add_rsi(d, key=key, block_rows=block_rows)
-    d = add_macd(d, key=key, block_rows=block_rows)
+    # RSI and MACD share the first exponential-mean pass (four means, one scan)
+    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(14) + _macd_specs(12, 26), key, MAX_HALO,
+                 block_rows)
+    d = _macd_finish(_rsi_finish(d, 14), 26, 9, key, MAX_HALO, block_rows)
     out = home_only(d)
     if not keep_warmup:
         out = out.filter(F.col("sma_200").isNotNull())
-    return out
+    return materialize(out) if checkpoint else out

@@ -1,23 +1,23 @@
-"""Exponential mean with ``adjust=False`` as a distributed block scan.
+"""Exponential mean with ``adjust=False`` as one window pass per block.
 
     y_0 = x_0,   y_t = a * y_{t-1} + alpha * x_t,   a = 1 - alpha
 
 Spark has no ordered linear recurrence, and folding an array per key would
-put a whole key in one task. The scan runs on the ``halo_blocks`` layout
-(rows of one key cut into blocks of ``B`` positions):
-
-1. inside each block, the zero-carry scan is a running sum
-   ``local_i = alpha * a^i * sum_{s<=i} a^-s x_s`` (one window pass, JVM side);
-2. block summaries ``(key, blk, local_end)`` form a table ``n / B`` rows big;
-   the carry into block k is ``sum_m a^{B(m-1)} local_end(k-m) + a^{Bk} x_0``,
-   built by exploding each summary to the next ``M`` blocks and a grouped sum;
-3. the carry joins back on (key, blk): ``y_i = local_i + a^{i+1} carry(k)``.
-
-``M`` is the number of earlier blocks whose weight ``a^{B(m-1)}`` is above
-1e-30; older blocks change the result by less than a double's resolution.
-``B`` keeps ``a^-B`` below 1e150 so the running sum cannot overflow. Every
-group is bounded by ``B`` rows or ``M`` summaries, so a hot key is spread over
-its blocks. Results match the sequential recurrence to ~1e-13 relative.
+put a whole key in one task. Unrolled, ``y_t = sum_s a^(t-s) b_s`` with
+``b_0 = x_0`` (the seed) and ``b_s = alpha x_s`` afterwards. The weight of a
+value ``L`` rows back is ``a^L``; beyond ``L = 20 / -log10(a)`` rows it is below
+1e-20, four orders under a double's resolution. So on the ``halo_blocks``
+layout with a halo of at least ``L`` rows, every (key, block) partition holds
+all the history that can still be seen in the result, and
+
+    y_t = a^q_t * sum_{s <= t in partition} a^-q_s b_s     (q = row index in partition)
+
+is a running sum (JVM side, whole-stage code generation, O(n)). No summary
+table, no join, no whole-key task. In the first block of a key the sum is
+exact (it starts at the seed); elsewhere the omitted prefix is the < 1e-20
+tail. ``a^-q`` stays finite because the partition length is capped by
+``max_partition_rows``. Chained means (MACD signal of MACD) need the sum of
+both look-backs as halo, see ``chain_halo``.
 """
 
 from __future__ import annotations
@@ -25,14 +25,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from tickwise.operators.series import BLK, HOME, POS, RN, block_window
+from tickwise.operators.series import BLK, HOME, RN, block_window
 
-NEGLIGIBLE_LOG10 = 30.0   # contributions below 1e-30 relative are dropped
-SCALE_LOG10 = 150.0       # a^-pos stays below 1e150 inside a block
+TAIL_LOG10 = 20.0      # weights below 1e-20 are dropped
+SCALE_LOG10 = 200.0    # a^-q stays below 1e200 (values keep 1e100 of headroom)
 
 
 @dataclass(frozen=True)
@@ -50,59 +49,51 @@ def span_alpha(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
-def max_block_rows(alpha: float) -> int:
-    """Largest block size for which ``a^-pos`` stays finite with headroom."""
+def memory_rows(alpha: float) -> int:
+    """Rows after which a value's weight falls below 1e-20."""
     a = 1.0 - alpha
     if a <= 0.0:
-        return 1 << 30
-    return max(1, int(SCALE_LOG10 / -math.log10(a)) + 1)
+        return 0
+    return int(math.ceil(TAIL_LOG10 / -math.log10(a)))
+
 
+def chain_halo(*alphas: float) -> int:
+    """Halo for a chain of means (each applied to the previous one's output)."""
+    return sum(memory_rows(x) for x in alphas)
 
-def carry_depth(alpha: float, block_rows: int) -> int:
+
+def max_partition_rows(alpha: float) -> int:
     a = 1.0 - alpha
     if a <= 0.0:
-        return 1
-    per_block = -math.log10(a) * block_rows
-    return 1 + int(math.ceil(NEGLIGIBLE_LOG10 / per_block))
+        return 1 << 30
+    return int(SCALE_LOG10 / -math.log10(a))
 
 
-def ewm_pass(d: DataFrame, specs: list[Ewm], key: str, block_rows: int) -> DataFrame:
-    """Add one column per spec on a ``halo_blocks`` layout (home rows only)."""
+def ewm_pass(d: DataFrame, specs: list[Ewm], key: str, halo: int, block_rows: int) -> DataFrame:
+    """Add one column per spec on a ``halo_blocks`` layout built with ``halo`` rows.
+
+    Values are produced for every row; they are exact up to the 1e-20 tail for
+    home rows (and for halo rows far enough from the partition start, which
+    chained means rely on). ``src`` must be non-null.
+    """
     for s in specs:
         if not 0.0 < s.alpha <= 1.0:
             raise ValueError(f"alpha out of range: {s.alpha}")
-        if block_rows > max_block_rows(s.alpha):
-            raise ValueError(f"block of {block_rows} rows too large for alpha {s.alpha}")
+        if halo < memory_rows(s.alpha):
+            raise ValueError(f"halo {halo} shorter than memory of alpha {s.alpha}")
+        if block_rows + halo > max_partition_rows(s.alpha):
+            raise ValueError(f"partition of {block_rows + halo} rows too long for alpha {s.alpha}")
+    start = F.greatest(F.col(BLK) * block_rows - halo, F.lit(0))
+    q = (F.col(RN) - start).cast("double")
     running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-    pos = F.col(POS).cast("double")
     for s in specs:
         if s.a == 0.0:
-            d = d.withColumn(f"_loc_{s.out}", F.when(F.col(HOME), F.col(s.src)))
+            d = d.withColumn(s.out, F.col(s.src))
             continue
-        scaled = F.when(F.col(HOME), F.col(s.src) * F.pow(F.lit(s.a), -pos)).otherwise(0.0)
-        d = d.withColumn(f"_loc_{s.out}",
-                         F.when(F.col(HOME), F.lit(s.alpha) * F.pow(F.lit(s.a), pos)
-                                * F.sum(scaled).over(running)))
-    # block summaries: one row per (key, block)
-    home = d.filter(F.col(HOME))
-    summ = home.groupBy(key, BLK).agg(
-        *[F.max_by(f"_loc_{s.out}", RN).alias(f"_le_{s.out}") for s in specs],
-        *[F.max(F.when(F.col(RN) == 0, F.col(s.src))).alias(f"_x0_{s.out}") for s in specs])
-    depth = max(carry_depth(s.alpha, block_rows) for s in specs)
-    fan = (summ.select(key, BLK, *[f"_le_{s.out}" for s in specs],
-                       F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("_m"))
-           .withColumn("_tgt", F.col(BLK) + F.col("_m")))
-    contrib = fan.groupBy(key, F.col("_tgt").alias(BLK)).agg(
-        *[F.sum(F.pow(F.lit(s.a), F.lit(float(block_rows)) * (F.col("_m") - 1))
-                * F.col(f"_le_{s.out}")).alias(f"_c_{s.out}") for s in specs])
-    x0 = summ.filter(F.col(BLK) == 0).select(key, *[f"_x0_{s.out}" for s in specs])
-    carry = (summ.select(key, BLK).join(contrib, [key, BLK], "left").join(x0, key, "left")
-             .select(key, BLK, *[
-                 (F.coalesce(F.col(f"_c_{s.out}"), F.lit(0.0))
-                  + F.pow(F.lit(s.a), F.lit(float(block_rows)) * F.col(BLK))
-                  * F.col(f"_x0_{s.out}")).alias(f"_carry_{s.out}") for s in specs]))
-    out = d.join(carry, [key, BLK], "left")
-    for s in specs:
-        y = F.col(f"_loc_{s.out}") + F.pow(F.lit(s.a), pos + 1.0) * F.col(f"_carry_{s.out}")
-        out = out.withColumn(s.out, F.when(F.col(HOME), y))
-    return out.drop(*[c for s in specs for c in (f"_loc_{s.out}", f"_carry_{s.out}")])
+        b = F.when(F.col(RN) == 0, F.col(s.src)).otherwise(F.lit(s.alpha) * F.col(s.src))
+        scaled = b * F.pow(F.lit(s.a), -q)
+        d = d.withColumn(s.out, F.pow(F.lit(s.a), q) * F.sum(scaled).over(running))
+    return d
+
+
+__all__ = ["Ewm", "span_alpha", "memory_rows", "chain_halo", "ewm_pass", "HOME"]

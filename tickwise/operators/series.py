@@ -53,17 +53,27 @@ def number_rows(df: DataFrame, key: str = "ticker", ts: str = "timestamp",
         "_bkt", "_lrn", "_off", "_cnt")
 
 
-def halo_blocks(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def halo_blocks(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS,
+                lead: int = 0) -> DataFrame:
     """Assign rows to (key, ``_blk``) blocks with a trailing halo; flag ``_home``.
 
-    Requires ``rn``. ``_pos`` is the position inside the home block.
+    Requires ``rn``. ``_pos`` is the position inside the home block. Block k
+    receives the ``halo`` rows before it (from as many earlier blocks as
+    needed), so partition k holds positions ``[max(0, kB - halo), (k+1)B)``.
+    ``lead`` also copies the first rows of a block into the previous one,
+    for ``lead()``-style look-ahead.
     """
-    if halo > block_rows:
-        raise ValueError(f"halo {halo} larger than block {block_rows}")
+    if lead > block_rows:
+        raise ValueError(f"lead {lead} larger than block {block_rows}")
     home_blk = F.floor(F.col(RN) / block_rows).cast("long")
     pos = (F.col(RN) - home_blk * block_rows).cast("int")
-    targets = F.when((F.lit(halo) > 0) & (pos >= block_rows - halo),
-                     F.array(home_blk, home_blk + 1)).otherwise(F.array(home_blk))
+    reach = -(-halo // block_rows)  # blocks a row can be copied forward into
+    fwd = (F.transform(F.filter(F.sequence(F.lit(1), F.lit(reach)),
+                                lambda j: pos >= j * block_rows - halo),
+                       lambda j: home_blk + j.cast("long"))
+           if reach > 0 else F.array().cast("array<long>"))
+    prv = F.when((F.lit(lead) > 0) & (pos < lead) & (home_blk > 0), F.array(home_blk - 1))
+    targets = F.concat(F.array(home_blk), fwd, F.coalesce(prv, F.array().cast("array<long>")))
     return (df.withColumn("_hb", home_blk).withColumn(POS, pos)
             .withColumn(BLK, F.explode(targets))
             .withColumn(HOME, F.col(BLK) == F.col("_hb")).drop("_hb"))

@@ -119,8 +119,11 @@ SELECT ticker, timestamp, round(e12, 2) AS ema_12, round(e26, 2) AS ema_26 FROM
 """)
 def e6_ewm(spark, sf_dir):
     from tickwise.operators.recurrence import Ewm, span_alpha
-    d = ind.layout(_bars(spark, sf_dir), halo=0)
-    d = ind.add_ewm(d, [Ewm("ema_12", "close", span_alpha(12)), Ewm("ema_26", "close", span_alpha(26))])
+    from tickwise.operators.recurrence import memory_rows
+    halo = memory_rows(span_alpha(26))
+    d = ind.layout(_bars(spark, sf_dir), halo=halo)
+    d = ind.add_ewm(d, [Ewm("ema_12", "close", span_alpha(12)),
+                        Ewm("ema_26", "close", span_alpha(26))], halo)
     return home_only(d).select("ticker", "timestamp", F.round("ema_12", 2).alias("ema_12"),
                                F.round("ema_26", 2).alias("ema_26"))
 
@@ -133,7 +136,7 @@ SELECT ticker, timestamp,
 FROM r
 """)
 def e7_rsi(spark, sf_dir):
-    d = ind.add_rsi(ind.layout(_bars(spark, sf_dir), halo=1))
+    d = ind.add_rsi(ind.layout(_bars(spark, sf_dir), halo=ind.RSI_HALO))
     return home_only(d).select("ticker", "timestamp", F.round("rsi_14", 4).alias("rsi_14"))
 
 
@@ -145,6 +148,6 @@ SELECT ticker, timestamp,
 FROM r
 """)
 def e8_macd(spark, sf_dir):
-    d = ind.add_macd(ind.layout(_bars(spark, sf_dir), halo=0))
+    d = ind.add_macd(ind.layout(_bars(spark, sf_dir), halo=ind.MACD_HALO))
     return home_only(d).select("ticker", "timestamp", F.round("macd", 2).alias("macd"),
                                F.round("macd_signal", 2).alias("macd_signal"))

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -54,11 +56,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) a scratch folder is created
     and registered, so cluster runs never fall back to a machine-local path.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if configured:
+        sc.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint directory.
+
+    Used at operator boundaries whose plans are referenced many times (the
+    feature table, the training frame), so the optimizer sees a scan instead
+    of a deep tree, and a lost executor re-reads files instead of recomputing.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
