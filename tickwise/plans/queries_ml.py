@@ -1 +1,294 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: risk, metrics, folds, preparation, backtest, models (K4, D8-D14, E9-E15, J)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tickwise.operators import backtest as bt
+from tickwise.operators import folds as fo
+from tickwise.operators import metrics as me
+from tickwise.operators import risk
+from tickwise.operators.training import training_frame
+from tickwise.plans.catalog import BARS_CTE, FEATURES_CTE, SERIES_CTE, register
+from tickwise.sources.tables import bars, table
+
+
+def portfolio_requests(spark, sf_dir):
+    """Stand-in request table: one portfolio per nation, weights = order share per
+    priority rounded to 2 places (so some portfolios miss the sum-to-1 rule)."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cnt = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+           .groupBy(F.col("n_name").alias("portfolio_id"), F.col("o_orderpriority").alias("t"))
+           .agg(F.count(F.lit(1)).alias("c")))
+    w = cnt.withColumn("w", F.round(F.col("c") / F.sum("c").over(Window.partitionBy("portfolio_id")), 2))
+    agg = w.groupBy("portfolio_id").agg(F.sort_array(F.collect_list(F.struct("t", "w"))).alias("l"))
+    return agg.select("portfolio_id", F.array_join(F.col("l.t"), ",").alias("tickers"),
+                      F.array_join(F.transform("l.w", lambda x: x.cast("string")), ",").alias("weights"))
+
+
+REQUESTS_CTE = """p0 AS (SELECT n_name AS portfolio_id, o_orderpriority AS t, count(*) AS c
+       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+p1 AS (SELECT portfolio_id, t, round(c / sum(c) OVER (PARTITION BY portfolio_id), 2) AS w FROM p0),
+req AS (SELECT portfolio_id, string_agg(t, ',' ORDER BY t) AS tickers,
+               string_agg(CAST(w AS VARCHAR), ',' ORDER BY t) AS weights FROM p1 GROUP BY 1),
+pos AS (SELECT portfolio_id, i - 1 AS pos, upper(trim(string_split(tickers, ',')[i])) AS ticker,
+               TRY_CAST(trim(string_split(weights, ',')[i]) AS DOUBLE) AS weight,
+               len(string_split(tickers, ',')) AS nt, len(string_split(weights, ',')) AS nw
+        FROM req, LATERAL generate_series(1, least(len(string_split(tickers, ',')), len(string_split(weights, ',')))) g(i)),
+chk AS (SELECT portfolio_id,
+          CASE WHEN max(nt) <> max(nw) THEN 'Number of tickers must match weights'
+               WHEN abs(sum(weight) - 1.0) > 0.01 THEN 'Weights must sum to 1.0' END AS error
+        FROM pos GROUP BY 1)"""
+
+RETURNS_CTE = SERIES_CTE + """,
+rr AS (SELECT ticker, rn, n, close / lag(close) OVER (PARTITION BY ticker ORDER BY timestamp) - 1 AS r FROM s),
+rets AS (SELECT ticker, CAST(rn - (n - least(n - 1, 252)) AS INTEGER) AS pos, r FROM rr
+         WHERE rn >= n - least(n - 1, 252) AND rn >= 1)"""
+
+
+@register("E15_recent_returns", f"""
+WITH {RETURNS_CTE}
+SELECT ticker, pos, round(r, 10) AS r FROM rets
+""")
+def e15_recent_returns(spark, sf_dir):
+    return risk.recent_returns(bars(spark, sf_dir)).select("ticker", "pos", F.round("r", 10).alias("r"))
+
+
+@register("D8_D9_ticker_risk", f"""
+WITH {RETURNS_CTE}
+SELECT ticker, count(*) AS n_returns, round(stddev_pop(r) * sqrt(252), 6) AS annual_volatility,
+       round(quantile_cont(r, 0.05), 8) AS var_95, round(quantile_cont(r, 0.01), 8) AS var_99,
+       round(avg(r) * 252, 6) AS expected_return
+FROM rets GROUP BY ticker
+""")
+def d8_d9_ticker_risk(spark, sf_dir):
+    r = risk.recent_returns(bars(spark, sf_dir))
+    return r.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_returns"),
+        F.round(F.stddev_pop("r") * risk.SQRT_252, 6).alias("annual_volatility"),
+        F.round(F.percentile("r", 0.05), 8).alias("var_95"),
+        F.round(F.percentile("r", 0.01), 8).alias("var_99"),
+        F.round(F.avg("r") * 252, 6).alias("expected_return"))
+
+
+@register("D10_D11_D23_ticker_performance", f"""
+WITH {RETURNS_CTE},
+c AS (SELECT ticker, pos, r, product(1 + r) OVER w AS equity FROM rets
+      WINDOW w AS (PARTITION BY ticker ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+d AS (SELECT *, (equity - max(equity) OVER w) / max(equity) OVER w AS drawdown FROM c
+      WINDOW w AS (PARTITION BY ticker ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT ticker, round(coalesce(avg(r) / nullif(stddev_pop(r), 0) * sqrt(252), 0), 6) AS sharpe_ratio,
+       round(product(1 + r) - 1, 6) AS total_return, round(min(drawdown), 6) AS max_drawdown
+FROM d GROUP BY ticker
+""")
+def d10_d11_d23(spark, sf_dir):
+    r = risk.recent_returns(bars(spark, sf_dir))
+    c = risk.drawdown_curve(r, ["ticker"], "pos")
+    return c.groupBy("ticker").agg(F.round(risk.sharpe(F.col("r")), 6).alias("sharpe_ratio"),
+                                   F.round(risk.total_return(F.col("r")), 6).alias("total_return"),
+                                   F.round(F.min("drawdown"), 6).alias("max_drawdown"))
+
+
+@register("E9_drawdown_curve", f"""
+WITH {RETURNS_CTE},
+c AS (SELECT ticker, pos, product(1 + r) OVER w AS equity FROM rets
+      WINDOW w AS (PARTITION BY ticker ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT ticker, pos, round(equity, 8) AS equity,
+       round((equity - max(equity) OVER w) / max(equity) OVER w, 8) AS drawdown
+FROM c WINDOW w AS (PARTITION BY ticker ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def e9_drawdown_curve(spark, sf_dir):
+    c = risk.drawdown_curve(risk.recent_returns(bars(spark, sf_dir)), ["ticker"], "pos")
+    return c.select("ticker", "pos", F.round("equity", 8).alias("equity"),
+                    F.round("drawdown", 8).alias("drawdown"))
+
+
+@register("B7_portfolio_positions", f"""
+WITH {REQUESTS_CTE}
+SELECT pos.portfolio_id, CAST(pos AS INTEGER) AS pos, ticker, weight, CAST(nt AS INTEGER) AS n_tickers,
+       CAST(nw AS INTEGER) AS n_weights, sum(weight) OVER (PARTITION BY pos.portfolio_id) AS weight_sum, chk.error
+FROM pos JOIN chk ON pos.portfolio_id = chk.portfolio_id
+""")
+def b7_portfolio_positions(spark, sf_dir):
+    p = risk.parse_portfolios(portfolio_requests(spark, sf_dir))
+    return p.select("portfolio_id", "pos", "ticker", "weight", "n_tickers", "n_weights",
+                    "weight_sum", "error")
+
+
+@register("K4_portfolio_risk", f"""
+WITH {RETURNS_CTE}, {REQUESTS_CTE},
+tk AS (SELECT ticker, count(*) AS n_returns FROM rets GROUP BY 1),
+err AS (SELECT c.portfolio_id,
+          coalesce(c.error, max(CASE WHEN tk.ticker IS NULL THEN 'No price data for ticker ' || pos.ticker END)) AS error
+        FROM chk c JOIN pos ON c.portfolio_id = pos.portfolio_id LEFT JOIN tk ON pos.ticker = tk.ticker
+        GROUP BY c.portfolio_id, c.error),
+ml AS (SELECT pos.portfolio_id, min(tk.n_returns) AS len FROM pos JOIN tk ON pos.ticker = tk.ticker
+       JOIN err ON err.portfolio_id = pos.portfolio_id WHERE err.error IS NULL GROUP BY 1),
+pr AS (SELECT pos.portfolio_id, rets.pos, sum(pos.weight * rets.r) AS r
+       FROM pos JOIN ml ON pos.portfolio_id = ml.portfolio_id JOIN rets ON rets.ticker = pos.ticker
+       WHERE rets.pos < ml.len GROUP BY 1, 2),
+cu AS (SELECT portfolio_id, pos, r, product(1 + r) OVER w AS equity FROM pr
+       WINDOW w AS (PARTITION BY portfolio_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+dd AS (SELECT *, (equity - max(equity) OVER w) / max(equity) OVER w AS drawdown FROM cu
+       WINDOW w AS (PARTITION BY portfolio_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+m AS (SELECT portfolio_id, round(quantile_cont(r, 0.05), 6) AS var_95, round(quantile_cont(r, 0.01), 6) AS var_99,
+             round(avg(r) * 252, 4) AS expected_return, round(min(drawdown), 4) AS max_drawdown,
+             round(stddev_pop(r) * sqrt(252), 4) AS annual_volatility FROM dd GROUP BY 1)
+SELECT err.portfolio_id, err.error, m.var_95, m.var_99, m.expected_return, m.max_drawdown, m.annual_volatility
+FROM err LEFT JOIN m ON err.portfolio_id = m.portfolio_id
+""")
+def k4_portfolio_risk(spark, sf_dir):
+    port, _ = risk.portfolio_risk(bars(spark, sf_dir), portfolio_requests(spark, sf_dir))
+    return port
+
+
+@register("K4_individual_risk", f"""
+WITH {RETURNS_CTE}, {REQUESTS_CTE},
+tk AS (SELECT ticker, stddev_pop(r) * sqrt(252) AS v, quantile_cont(r, 0.05) AS q, avg(r) * 252 AS e FROM rets GROUP BY 1),
+bad AS (SELECT DISTINCT pos.portfolio_id FROM pos LEFT JOIN tk ON pos.ticker = tk.ticker WHERE tk.ticker IS NULL)
+SELECT pos.portfolio_id, CAST(pos.pos AS INTEGER) AS pos, pos.ticker, pos.weight, round(tk.v, 4) AS annual_volatility,
+       round(tk.q, 6) AS var_95, round(tk.e, 4) AS expected_return
+FROM pos JOIN chk ON pos.portfolio_id = chk.portfolio_id JOIN tk ON pos.ticker = tk.ticker
+WHERE chk.error IS NULL AND pos.portfolio_id NOT IN (SELECT portfolio_id FROM bad)
+""")
+def k4_individual_risk(spark, sf_dir):
+    _, ind = risk.portfolio_risk(bars(spark, sf_dir), portfolio_requests(spark, sf_dir))
+    return ind
+
+
+# ---------------------------------------------------------------- folds and backtest
+def _train(spark, sf_dir):
+    return training_frame(bars(spark, sf_dir))
+
+
+TRAIN_NUM = """tn AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY timestamp) - 1 AS rn,
+                     count(*) OVER (PARTITION BY ticker) AS n FROM train)"""
+
+
+@register("E13_walk_forward_folds", f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
+f AS (SELECT ticker, timestamp, rn, n, unnest(generate_series(
+        CAST(greatest(0, ceil((rn - 272) / 21.0)) AS BIGINT), CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
+      FROM tn WHERE n >= 273)
+SELECT ticker, timestamp, CAST(fold AS INTEGER) AS fold, CASE WHEN rn - fold * 21 < 252 THEN 'train' ELSE 'test' END AS split
+FROM f
+""")
+def e13_walk_forward_folds(spark, sf_dir):
+    return fo.assign_folds(_train(spark, sf_dir)).select("ticker", "timestamp", "fold", "split")
+
+
+@register("E14_holdout_tail", f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM}
+SELECT ticker, count(*) AS rows, min(timestamp) AS first_ts, max(timestamp) AS last_ts
+FROM tn WHERE rn >= n - 126 GROUP BY ticker
+""")
+def e14_holdout_tail(spark, sf_dir):
+    t = fo.holdout_tail(_train(spark, sf_dir))
+    return t.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first_ts"),
+                                   F.max("timestamp").alias("last_ts"))
+
+
+_RULE = """, 1.0 / (1.0 + exp(-((macd - macd_signal) / close * 100.0))) AS y_prob,
+         CAST(1.0 / (1.0 + exp(-((macd - macd_signal) / close * 100.0))) > 0.5 AS INTEGER) AS y_pred"""
+
+
+@register("D12_fold_metrics_rule", f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
+f AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((rn - 272) / 21.0)) AS BIGINT),
+                                       CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
+      FROM tn WHERE n >= 273),
+t AS (SELECT ticker, fold, target AS y_true {_RULE} FROM f WHERE rn - fold * 21 >= 252),
+g AS (SELECT ticker, CAST(fold AS INTEGER) AS fold,
+        count(*) FILTER (WHERE y_pred = 1 AND y_true = 1) AS tp, count(*) FILTER (WHERE y_pred = 1 AND y_true = 0) AS fp,
+        count(*) FILTER (WHERE y_pred = 0 AND y_true = 1) AS fn, count(*) FILTER (WHERE y_pred = 0 AND y_true = 0) AS tn,
+        count(*) AS n FROM t GROUP BY 1, 2)
+SELECT ticker, fold, tp, fp, fn, tn, n, round((tp + tn) / n, 6) AS accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+       round(coalesce(2 * coalesce(tp / nullif(tp + fp, 0), 0) * coalesce(tp / nullif(tp + fn, 0), 0)
+             / nullif(coalesce(tp / nullif(tp + fp, 0), 0) + coalesce(tp / nullif(tp + fn, 0), 0), 0), 0), 6) AS f1
+FROM g
+""")
+def d12_fold_metrics_rule(spark, sf_dir):
+    f = fo.assign_folds(_train(spark, sf_dir)).filter(F.col("split") == "test")
+    scored = bt.rule_scorer(f).withColumnRenamed("target", "y_true")
+    m = me.confusion_metrics(scored, ["ticker", "fold"])
+    return m.select("ticker", "fold", "tp", "fp", "fn", "tn", "n",
+                    *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@register("D13_roc_auc_rule", f"""
+WITH RECURSIVE {FEATURES_CTE},
+t AS (SELECT ticker, target AS y_true {_RULE} FROM train),
+rk AS (SELECT ticker, y_true, rank() OVER (PARTITION BY ticker ORDER BY y_prob)
+              + (count(*) OVER (PARTITION BY ticker, y_prob) - 1) / 2.0 AS ar FROM t),
+g AS (SELECT ticker, sum(ar) FILTER (WHERE y_true = 1) AS rs, count(*) FILTER (WHERE y_true = 1) AS n1,
+             count(*) FILTER (WHERE y_true = 0) AS n0 FROM rk GROUP BY 1)
+SELECT ticker, round(CASE WHEN n1 = 0 OR n0 = 0 THEN 0.5 ELSE (rs - n1 * (n1 + 1) / 2.0) / (n1 * n0) END, 8) AS roc_auc
+FROM g
+""")
+def d13_roc_auc_rule(spark, sf_dir):
+    s = bt.rule_scorer(_train(spark, sf_dir)).withColumnRenamed("target", "y_true")
+    return me.roc_auc(s, ["ticker"]).select("ticker", F.round("roc_auc", 8).alias("roc_auc"))
+
+
+@register("D14_mean_fold_metrics_rule", f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
+f AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((rn - 272) / 21.0)) AS BIGINT),
+                                       CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
+      FROM tn WHERE n >= 273),
+t AS (SELECT ticker, fold, target AS y_true {_RULE} FROM f WHERE rn - fold * 21 >= 252),
+g AS (SELECT ticker, fold, avg(CAST(y_pred = y_true AS INTEGER)) AS acc FROM t GROUP BY 1, 2)
+SELECT ticker, count(*) AS n_items, round(avg(acc), 8) AS avg_accuracy FROM g GROUP BY 1
+""")
+def d14_mean_fold_metrics_rule(spark, sf_dir):
+    f = fo.assign_folds(_train(spark, sf_dir)).filter(F.col("split") == "test")
+    m = me.confusion_metrics(bt.rule_scorer(f).withColumnRenamed("target", "y_true"), ["ticker", "fold"])
+    return me.mean_metrics(m, ["ticker"], ["accuracy"]).select(
+        "ticker", "n_items", F.round("avg_accuracy", 8).alias("avg_accuracy"))
+
+
+_BT_SQL = f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
+t AS (SELECT ticker, rn, close, target AS y_true {_RULE} FROM tn WHERE rn >= n - 126 AND n >= 378),
+st AS (SELECT *, lead(close) OVER (PARTITION BY ticker ORDER BY rn) / close - 1 AS r FROM t),
+s2 AS (SELECT *, r * y_pred AS s FROM st WHERE r IS NOT NULL),
+cu AS (SELECT *, product(1 + s) OVER w AS equity FROM s2
+       WINDOW w AS (PARTITION BY ticker ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+dd AS (SELECT *, (equity - max(equity) OVER w) / max(equity) OVER w AS drawdown FROM cu
+       WINDOW w AS (PARTITION BY ticker ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+perf AS (SELECT ticker, coalesce(avg(s) / nullif(stddev_pop(s), 0) * sqrt(252), 0) AS sharpe_ratio,
+                coalesce(min(drawdown), 0) AS max_drawdown, product(1 + s) - 1 AS strategy_total_return,
+                coalesce(avg(r) / nullif(stddev_pop(r), 0) * sqrt(252), 0) AS buyhold_sharpe,
+                product(1 + r) - 1 AS buyhold_total_return FROM dd GROUP BY 1),
+g AS (SELECT ticker, count(*) FILTER (WHERE y_pred = 1 AND y_true = 1) AS tp,
+             count(*) FILTER (WHERE y_pred = 1 AND y_true = 0) AS fp,
+             count(*) FILTER (WHERE y_pred = 0 AND y_true = 1) AS fn,
+             count(*) FILTER (WHERE y_pred = 0 AND y_true = 0) AS tn, count(*) AS n FROM t GROUP BY 1),
+m AS (SELECT ticker, (tp + tn) / n AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS p,
+             coalesce(tp / nullif(tp + fn, 0), 0) AS rc FROM g),
+res AS (SELECT m.ticker, 'success' AS status, 126 AS backtest_days, round(accuracy, 4) AS accuracy,
+          round(p, 4) AS precision, round(rc, 4) AS recall, round(coalesce(2 * p * rc / nullif(p + rc, 0), 0), 4) AS f1,
+          round(accuracy, 4) AS win_rate, round(sharpe_ratio, 4) AS sharpe_ratio, round(max_drawdown, 4) AS max_drawdown,
+          round(strategy_total_return, 4) AS strategy_total_return, round(buyhold_total_return, 4) AS buyhold_total_return,
+          round(buyhold_sharpe, 4) AS buyhold_sharpe,
+          round(strategy_total_return - buyhold_total_return, 4) AS outperformance, CAST(NULL AS BIGINT) AS rows
+        FROM m JOIN perf ON m.ticker = perf.ticker
+        UNION ALL
+        SELECT ticker, 'insufficient_data', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+               max(n) FROM tn GROUP BY ticker HAVING max(n) < 378)"""
+
+
+@register("J18_backtest_rule", _BT_SQL + "\nSELECT * FROM res")
+def j18_backtest_rule(spark, sf_dir):
+    return bt.backtest(_train(spark, sf_dir))
+
+
+@register("J19_backtest_summary_rule", _BT_SQL + """
+SELECT count(*) AS tickers_tested, round(avg(accuracy), 4) AS avg_accuracy, round(avg(f1), 4) AS avg_f1,
+       round(avg(sharpe_ratio), 4) AS avg_sharpe FROM res WHERE status = 'success'
+""")
+def j19_backtest_summary_rule(spark, sf_dir):
+    return bt.backtest_summary(bt.backtest(_train(spark, sf_dir)))
