@@ -292,3 +292,153 @@ SELECT count(*) AS tickers_tested, round(avg(accuracy), 4) AS avg_accuracy, roun
 """)
 def j19_backtest_summary_rule(spark, sf_dir):
     return bt.backtest_summary(bt.backtest(_train(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- J7 preparation
+from tickwise.operators import indicators as _ind  # noqa: E402
+from tickwise.operators import prep as _prep  # noqa: E402
+
+_F11 = _ind.FEATURE_COLUMNS
+
+
+def _prep_sql() -> str:
+    w = "OVER (PARTITION BY ticker, fold)"
+    cap = ", ".join(
+        f"""CASE WHEN split = 'train' THEN least(greatest({c}, q1_{c} - 1.5 * (q3_{c} - q1_{c})), q3_{c} + 1.5 * (q3_{c} - q1_{c})) ELSE {c} END AS {c},
+        CAST(split = 'train' AND ({c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) OR {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c})) AS INTEGER) AS k_{c}"""
+        for c in _F11)
+    qs = ", ".join(f"quantile_cont(CASE WHEN split = 'train' THEN {c} END, 0.25) {w} AS q1_{c}, "
+                   f"quantile_cont(CASE WHEN split = 'train' THEN {c} END, 0.75) {w} AS q3_{c}" for c in _F11)
+    clip = ", ".join(f"CASE WHEN split = 'train' THEN {c} ELSE least(greatest({c}, min(CASE WHEN split = 'train' THEN {c} END) {w}), "
+                     f"max(CASE WHEN split = 'train' THEN {c} END) {w}) END AS {c}" for c in _F11)
+    scale = ", ".join(f"round(({c} - avg(CASE WHEN split = 'train' THEN {c} END) {w}) / "
+                      f"CASE WHEN stddev_pop(CASE WHEN split = 'train' THEN {c} END) {w} = 0 THEN 1 "
+                      f"ELSE stddev_pop(CASE WHEN split = 'train' THEN {c} END) {w} END, 6) AS {c}" for c in _F11)
+    cols = ", ".join(_F11)
+    kcols = " + ".join(f"k_{c}" for c in _F11)
+    return f"""
+WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
+f AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((rn - 272) / 21.0)) AS BIGINT),
+                                       CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
+      FROM tn WHERE n >= 273),
+s1 AS (SELECT ticker, CAST(fold AS INTEGER) AS fold, CASE WHEN rn - fold * 21 < 252 THEN 'train' ELSE 'test' END AS split,
+              rn, timestamp, target, {cols} FROM f),
+s2 AS (SELECT *, {qs} FROM s1),
+s3 AS (SELECT ticker, fold, split, rn, timestamp, target, {cap} FROM s2),
+s4 AS (SELECT ticker, fold, split, rn, timestamp, target, ({kcols}) AS capped, {clip} FROM s3),
+s5 AS (SELECT ticker, fold, split, timestamp, target, capped, {scale} FROM s4)"""
+
+
+@register("J7_prepared_folds", _prep_sql() + f"""
+SELECT ticker, fold, split, timestamp, target, {', '.join(_F11)} FROM s5
+""")
+def j7_prepared_folds(spark, sf_dir):
+    folds = fo.assign_folds(_train(spark, sf_dir))
+    out, _ = _prep.prepare_folds(folds, _F11)
+    return out.select("ticker", "fold", "split", "timestamp", "target",
+                      *[F.round(c, 6).alias(c) for c in _F11])
+
+
+@register("J7_prep_counts", _prep_sql() + """
+SELECT ticker, fold, 0::BIGINT AS imputed_values_train, 0::BIGINT AS imputed_values_test,
+       sum(capped)::BIGINT AS outliers_capped, count(*) FILTER (WHERE split = 'train') AS train_rows,
+       count(*) FILTER (WHERE split = 'test') AS test_rows, 0::BIGINT AS duplicates_removed
+FROM s5 GROUP BY 1, 2
+""")
+def j7_prep_counts(spark, sf_dir):
+    folds = fo.assign_folds(_train(spark, sf_dir))
+    _, counts = _prep.prepare_folds(folds, _F11)
+    return counts.select("ticker", "fold", F.col("imputed_values_train").cast("long"),
+                         F.col("imputed_values_test").cast("long"),
+                         F.col("outliers_capped").cast("long"), "train_rows", "test_rows",
+                         F.col("duplicates_removed").cast("long"))
+
+
+# ---------------------------------------------------------------- J8/J12 models
+from tickwise.operators import models as _models  # noqa: E402
+from tickwise.operators import scoring as _scoring  # noqa: E402
+from tickwise.session import checkpoint_dir, materialize  # noqa: E402
+
+
+def _prepared(spark, sf_dir):
+    folds = fo.assign_folds(_train(spark, sf_dir))
+    out, _ = _prep.prepare_folds(folds, _F11)
+    return materialize(out)
+
+
+@register("J8_logistic_fold_metrics")
+def j8_logistic_fold_metrics(spark, sf_dir):
+    """J8 fitted on every (ticker, fold) in parallel; D12/D13 on each test split."""
+    preds = _models.logistic_fold_predictions(_prepared(spark, sf_dir), _F11)
+    m = _models.fold_metrics(preds)
+    return m.select("ticker", "fold", "model", *[F.round(c, 6).alias(c) for c in
+                                                 ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
+@register("J12_model_selection")
+def j12_model_selection(spark, sf_dir):
+    """Logistic regression (all folds) vs the rule model (all folds); mean
+    metrics per (ticker, model) and the best model by mean F1."""
+    prepared = _prepared(spark, sf_dir)
+    lr = _models.logistic_fold_predictions(prepared, _F11)
+    f = fo.assign_folds(_train(spark, sf_dir)).filter(F.col("split") == "test")
+    rule = bt.rule_scorer(f).select("ticker", "fold", "rn", F.col("target").alias("y_true"),
+                                    "y_pred", "y_prob", F.lit("rule_macd").alias("model"))
+    metrics = _models.fold_metrics(lr.unionByName(rule))
+    best = _models.select_best(metrics, ["ticker"])
+    return best.select("ticker", "model", "folds", "best_model",
+                       *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
+@register("E12_latest_features", f"""
+WITH RECURSIVE {FEATURES_CTE},
+t AS (SELECT ticker, timestamp, close, rn, n FROM s WHERE rn >= n - 30),
+l AS (SELECT *, close / nullif(lag(close, 1) OVER w, 0) - 1 AS r1, close / nullif(lag(close, 3) OVER w, 0) - 1 AS r3,
+             close / nullif(lag(close, 5) OVER w, 0) - 1 AS r5, ln(close / nullif(lag(close, 1) OVER w, 0)) AS lr
+      FROM t WINDOW w AS (PARTITION BY ticker ORDER BY timestamp)),
+v AS (SELECT *, CASE WHEN count(lr) OVER w20 >= 20 THEN stddev_samp(lr) OVER w20 * sqrt(252) END AS vol
+      FROM l WINDOW w20 AS (PARTITION BY ticker ORDER BY timestamp ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+SELECT v.ticker, v.timestamp, round(v.close, 4) AS close, round(i.rsi_14, 4) AS rsi_14, round(i.macd, 4) AS macd,
+       round(i.macd_signal, 4) AS macd_signal, round(i.bollinger_upper, 4) AS bollinger_upper,
+       round(i.bollinger_lower, 4) AS bollinger_lower, round(i.sma_50, 6) AS sma_50, round(i.sma_200, 6) AS sma_200,
+       round(coalesce(r1, 0), 8) AS return_1d, round(coalesce(r3, 0), 8) AS return_3d, round(coalesce(r5, 0), 8) AS return_5d,
+       round(coalesce(vol, 0), 8) AS volatility_20d
+FROM v JOIN ind i ON v.ticker = i.ticker AND v.timestamp = i.timestamp WHERE v.rn = v.n - 1
+""")
+def e12_latest_features(spark, sf_dir):
+    from tickwise.plans.queries_quality import rounded
+    b = bars(spark, sf_dir)
+    lf = _scoring.latest_feature_rows(b, _ind.technical_features(b, keep_warmup=False))
+    return rounded(lf, ["ticker", "timestamp", "close"] + _F11)
+
+
+@register("J17_backfill_actuals_rule", f"""
+WITH RECURSIVE {FEATURES_CTE},
+p AS (SELECT ticker, timestamp, CASE WHEN macd > macd_signal THEN 'UP' ELSE 'DOWN' END AS predicted_direction FROM ind),
+nx AS (SELECT ticker, timestamp, close, lead(close) OVER (PARTITION BY ticker ORDER BY timestamp) AS nxt FROM bars)
+SELECT p.ticker, p.timestamp, p.predicted_direction,
+       CASE WHEN nx.nxt IS NULL THEN NULL WHEN nx.nxt > nx.close THEN 'UP' ELSE 'DOWN' END AS actual_direction
+FROM p LEFT JOIN nx ON p.ticker = nx.ticker AND p.timestamp = nx.timestamp
+""")
+def j17_backfill_actuals_rule(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    ind = _ind.technical_features(b, keep_warmup=False)
+    preds = ind.select("ticker", "timestamp", F.when(F.col("macd") > F.col("macd_signal"), F.lit("UP"))
+                       .otherwise(F.lit("DOWN")).alias("predicted_direction"))
+    return _scoring.backfill_actuals(preds, b)
+
+
+@register("J15_K6_predict_latest")
+def j15_predict_latest(spark, sf_dir):
+    """J13 refit (logistic, Spark ML, all training rows) saved as a PipelineModel
+    in the checkpoint folder, reloaded, then J15 on the latest rows of every ticker."""
+    import uuid
+    from pyspark.ml import PipelineModel
+    b = bars(spark, sf_dir)
+    ind = _ind.technical_features(b, keep_warmup=False)
+    train = _train(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    _models.refit(train, _F11, "logistic_regression", path)
+    model = PipelineModel.load(path)
+    latest = _scoring.latest_feature_rows(b, ind)
+    return _scoring.predict(model, latest, "logistic_regression", "v1")
