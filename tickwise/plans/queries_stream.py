@@ -1 +1,420 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: streaming ingest, request log, sentiment, sources/sinks,
+remaining serving queries (I, R, L, A, G, K2/K3/K5/K8/K9)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tickwise.functions.cleaning import message_contract
+from tickwise.operators import requestlog as rl
+from tickwise.operators import sentiment as se
+from tickwise.plans import serving
+from tickwise.plans.catalog import BARS_CTE, FEATURES_CTE, SERIES_CTE, register
+from tickwise.session import checkpoint_dir
+from tickwise.sources import loaders, sinks
+from tickwise.sources.tables import bars, table
+from tickwise.streaming import ingest
+
+PRODUCED_AT = "2001-08-03 00:00:00"
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/runs/{uuid.uuid4().hex}/{name}"
+
+
+def _event_messages(spark, sf_dir):
+    """Stand-in stream content from ``events``: one price message per event
+    (ticker = event type, price = value, volume = user id) and one message per
+    event made of its ``props`` text (fails the contract)."""
+    ev = table(spark, sf_dir, "events")
+    good = ev.select(F.to_json(F.struct(
+        F.col("event_type").alias("ticker"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
+        *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
+        F.col("user_id").alias("volume"))).alias("value"))
+    bad = ev.select(F.col("props").alias("value"))
+    return good, bad
+
+
+def _run_ingest(spark, sf_dir):
+    base = _scratch(spark, "ingest")
+    src = f"{base}/in"
+    replay = sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT).select("value")
+    good, bad = _event_messages(spark, sf_dir)
+    # four files, processed one per micro-batch in write order: bars, the same
+    # bars again (all duplicates of stored keys), event prices, invalid props
+    for part in (replay, replay, good, bad):
+        part.coalesce(1).write.mode("append").text(src)
+    stream = ingest.file_source(spark, src, max_files_per_trigger=1)
+    q = ingest.run_ingest(stream, f"{base}/prices", f"{base}/dead", f"{base}/stats", f"{base}/ckpt")
+    q.awaitTermination()
+    return base
+
+
+_INGEST_CTE = f"""{BARS_CTE},
+msgs AS (
+  SELECT ticker, timestamp, round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low,
+         round(close, 4) AS close, CAST(volume AS BIGINT) AS volume FROM bars
+  UNION ALL
+  SELECT upper(trim(event_type)), date_trunc('microseconds', ts), round(value, 4), round(value, 4), round(value, 4),
+         round(value, 4), CAST(user_id AS BIGINT) FROM events WHERE value > 0 AND user_id > 0 AND trim(event_type) <> '')"""
+
+
+@register("I1_stream_ingest", f"""
+WITH {_INGEST_CTE}
+SELECT ticker, timestamp, open, high, low, close, volume FROM msgs
+""")
+def i1_stream_ingest(spark, sf_dir):
+    """Replayed messages through the streaming ingest; returns the stored table."""
+    base = _run_ingest(spark, sf_dir)
+    t = spark.read.parquet(f"{base}/prices")
+    return t.select("ticker", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                    "open", "high", "low", "close", "volume")
+
+
+@register("I1_stream_counts", f"""
+WITH {_INGEST_CTE}
+SELECT (SELECT 2 * count(*) FROM bars) + (SELECT count(*) FROM events WHERE user_id > 0) AS consumed,
+       (SELECT count(*) FROM msgs) AS inserted,
+       (SELECT count(*) FROM events) + (SELECT count(*) FROM events WHERE user_id <= 0) AS errors
+""")
+def i1_stream_counts(spark, sf_dir):
+    """(consumed, inserted, errors) of the same run, summed over micro-batches."""
+    return ingest.totals(spark, f"{_run_ingest(spark, sf_dir)}/stats")
+
+
+@register("I2_message_routing", """
+SELECT error, count(*) AS n FROM (
+  SELECT CASE WHEN user_id <= 0 THEN 'bad_volume' END AS error FROM events
+  UNION ALL SELECT 'missing_field' FROM events) GROUP BY error
+""")
+def i2_message_routing(spark, sf_dir):
+    """I2/B5/B6 in batch: contract outcome counts over the event messages."""
+    good, bad = _event_messages(spark, sf_dir)
+    parsed = good.unionByName(bad).select(*message_contract(F.col("value")))
+    return parsed.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("A7_replay_export", f"""
+WITH {BARS_CTE}
+SELECT ticker AS key, count(*) AS n FROM bars GROUP BY 1
+""")
+def a7_replay_export(spark, sf_dir):
+    """Keyed JSON messages of all bars (count per key)."""
+    m = sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT)
+    return m.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- request log
+R_MAX, R_WINDOW = 2, 86400.0   # 2 hits per client and path per day
+
+
+def _log(spark, sf_dir):
+    return rl.events_as_request_log(table(spark, sf_dir, "events"))
+
+
+_LOG_CTE = """lg AS (SELECT CAST(ts AS TIMESTAMP) AS ts, CAST(user_id AS VARCHAR) AS client, event_type AS path,
+                 CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, event_id AS seq FROM events),
+ln AS (SELECT *, row_number() OVER (PARTITION BY path, client ORDER BY ts, seq) AS k,
+              epoch_us(ts) / 1e6 AS t FROM lg)"""
+
+_R3_SQL = f"""
+WITH RECURSIVE {_LOG_CTE},
+r AS (SELECT path, client, k, ts, seq, status, [t] AS hits, false AS rejected FROM ln WHERE k = 1
+      UNION ALL
+      SELECT ln.path, ln.client, ln.k, ln.ts, ln.seq, ln.status,
+             CASE WHEN len(list_filter(r.hits, lambda h: ln.t - h <= {R_WINDOW})) >= {R_MAX}
+                  THEN list_filter(r.hits, lambda h: ln.t - h <= {R_WINDOW})
+                  ELSE list_append(list_filter(r.hits, lambda h: ln.t - h <= {R_WINDOW}), ln.t) END,
+             len(list_filter(r.hits, lambda h: ln.t - h <= {R_WINDOW})) >= {R_MAX}
+      FROM r JOIN ln ON ln.path = r.path AND ln.client = r.client AND ln.k = r.k + 1)"""
+
+_R2_SQL = f"""
+WITH RECURSIVE {_LOG_CTE},
+r AS (SELECT path, client, k, ts, seq, status, t AS anchor, 1 AS cnt FROM ln WHERE k = 1
+      UNION ALL
+      SELECT ln.path, ln.client, ln.k, ln.ts, ln.seq, ln.status,
+             CASE WHEN ln.t >= r.anchor + {R_WINDOW} THEN ln.t ELSE r.anchor END,
+             CASE WHEN ln.t >= r.anchor + {R_WINDOW} THEN 1 ELSE r.cnt + 1 END
+      FROM r JOIN ln ON ln.path = r.path AND ln.client = r.client AND ln.k = r.k + 1)"""
+
+
+@register("R3_sliding_log_limit", _R3_SQL + """
+SELECT path, client, CAST(ts AS TIMESTAMP) AS ts, seq, CASE WHEN rejected THEN 429 ELSE status END AS status, rejected FROM r
+""")
+def r3_sliding_log_limit(spark, sf_dir):
+    out = rl.sliding_log_limit(_log(spark, sf_dir), R_MAX, R_WINDOW)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("R2_fixed_window_limit", _R2_SQL + f"""
+SELECT path, client, CAST(ts AS TIMESTAMP) AS ts, seq, CASE WHEN cnt > {R_MAX} THEN 429 ELSE status END AS status,
+       cnt > {R_MAX} AS rejected FROM r
+""")
+def r2_fixed_window_limit(spark, sf_dir):
+    out = rl.fixed_window_limit(_log(spark, sf_dir), R_MAX, R_WINDOW)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("R1_request_counters", _R3_SQL + """,
+lim AS (SELECT path, CASE WHEN rejected THEN 429 ELSE status END AS status FROM r)
+SELECT 'requests_total' AS metric, '' AS label, count(*) AS value FROM lim
+UNION ALL SELECT 'requests_by_path', path, count(*) FROM lim GROUP BY path
+UNION ALL SELECT 'responses_by_class', CAST(CAST(trunc(status / 100) AS INTEGER) AS VARCHAR) || 'xx', count(*) FROM lim GROUP BY 2
+UNION ALL SELECT 'rate_limited_total', '', count(*) FILTER (WHERE status = 429) FROM lim
+UNION ALL SELECT 'rate_limited_by_path', path, count(*) FROM lim WHERE status = 429 GROUP BY path
+""")
+def r1_request_counters(spark, sf_dir):
+    """R1 over the log after the R3 limiter (so 429s are counted)."""
+    return rl.request_counters(rl.sliding_log_limit(_log(spark, sf_dir), R_MAX, R_WINDOW))
+
+
+ALERT_STANDIN = [("ErrorEventsHigh", "error", 500, 0.001, 10),
+                 ("Any5xx", None, "5xx", 0.0005, 5)]
+
+
+@register("R4_alert_firings", f"""
+WITH {_LOG_CTE.split(',' + chr(10) + 'ln AS')[0]},
+m AS (SELECT DISTINCT time_bucket(INTERVAL 1 minute, ts) AS mt FROM lg),
+wins AS (SELECT DISTINCT mt - INTERVAL (i) minute AS ws FROM m, range(0, 5) AS r(i)),
+rates AS (
+  SELECT 'ErrorEventsHigh' AS alert, 'error' AS path, 10 AS need, w.ws,
+         (SELECT count(*) FROM lg WHERE path = 'error' AND status = 500 AND ts >= w.ws AND ts < w.ws + INTERVAL 5 minute) / 300.0 AS rate,
+         0.001 AS thr FROM wins w
+  UNION ALL
+  SELECT 'Any5xx', '*', 5, w.ws,
+         (SELECT count(*) FROM lg WHERE status >= 500 AND status < 600 AND ts >= w.ws AND ts < w.ws + INTERVAL 5 minute) / 300.0,
+         0.0005 FROM wins w),
+b AS (SELECT alert, path, need, ws, ws - INTERVAL (row_number() OVER (PARTITION BY alert, path ORDER BY ws)) minute AS isl
+      FROM rates WHERE rate > thr),
+g AS (SELECT alert, path, need, min(ws) AS start, max(ws) AS "end" FROM b GROUP BY alert, path, need, isl)
+SELECT alert, path, CAST(start AS TIMESTAMP) AS start, CAST("end" AS TIMESTAMP) AS "end",
+       CAST(datediff('minute', start, "end") + 1 AS BIGINT) AS minutes
+FROM g WHERE datediff('minute', start, "end") + 1 >= need
+""")
+def r4_alert_firings(spark, sf_dir):
+    """R4 with thresholds scaled to the event rate of the test tables."""
+    out = rl.alert_firings(_log(spark, sf_dir), ALERT_STANDIN)
+    return out.select("alert", "path", F.col("start").cast("timestamp_ntz").alias("start"),
+                      F.col("end").cast("timestamp_ntz").alias("end"), "minutes")
+
+
+@register("R3_stream_limit", _R3_SQL + """
+SELECT path, client, CAST(ts AS TIMESTAMP) AS ts, seq, CASE WHEN rejected THEN 429 ELSE status END AS status, rejected FROM r
+""")
+def r3_stream_limit(spark, sf_dir):
+    """R3 as a streaming job (applyInPandasWithState) over the log replayed as files."""
+    from tickwise.streaming.limits import stream_limit
+    base = _scratch(spark, "limits")
+    _log(spark, sf_dir).coalesce(1).write.parquet(f"{base}/in")
+    schema = "ts timestamp, client string, path string, status int, seq long"
+    src = spark.readStream.schema(schema).parquet(f"{base}/in")
+    q = (stream_limit(src, "sliding", R_MAX, R_WINDOW, watermark="2 days").writeStream
+         .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------- sentiment (L1, L2)
+@register("L1_neutral_sentiment", """
+SELECT doc_id, text, 0.0 AS positive, 0.0 AS negative, 1.0 AS neutral, 'neutral' AS label FROM documents
+""")
+def l1_neutral_sentiment(spark, sf_dir):
+    return se.neutral_sentiment(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("L2_lexicon_sentiment_labels")
+def l2_lexicon_sentiment(spark, sf_dir):
+    """L2 over every document (whole texts): label counts per language."""
+    docs = table(spark, sf_dir, "documents")
+    s = se.model_sentiment(docs.select("doc_id", "text"))
+    return (s.join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang", "label")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("positive"), 6).alias("positive"),
+                 F.round(F.sum("negative"), 6).alias("negative")))
+
+
+# ---------------------------------------------------------------- sources / sinks (A, G)
+def _vendor_wide(spark, sf_dir):
+    """Stand-in vendor frame: bars pivoted to ``{ticker}__{Field}`` columns per date."""
+    b = bars(spark, sf_dir)
+    tick = [r[0] for r in b.select("ticker").distinct().orderBy("ticker").collect()]
+    wide = b.groupBy(F.col("timestamp").alias("date")).pivot("ticker", tick).agg(
+        F.first("open").alias("Open"), F.first("high").alias("High"), F.first("low").alias("Low"),
+        F.first("close").alias("Close"), F.first("volume").alias("Volume"))
+    ren = {c: c.replace("_Open", "__Open").replace("_High", "__High").replace("_Low", "__Low")
+           .replace("_Close", "__Close").replace("_Volume", "__Volume") for c in wide.columns}
+    return wide.select(*[F.col(f"`{c}`").alias(ren[c]) for c in wide.columns]), tick
+
+
+@register("A1_vendor_melt", f"""
+WITH {BARS_CTE}
+SELECT ticker, timestamp, round(open, 4) AS open, round(high, 4) AS high,
+       round(low, 4) AS low, round(close, 4) AS close, CAST(volume AS BIGINT) AS volume
+FROM bars WHERE open > 0 AND high > 0 AND low > 0 AND close > 0 AND volume > 0
+""")
+def a1_vendor_melt(spark, sf_dir):
+    """A1 + B1-B3: wide vendor frame -> long cleaned bars (missing dates dropped)."""
+    wide, tick = _vendor_wide(spark, sf_dir)
+    out = loaders.melt_vendor_frame(wide, tick + ["NOT-LISTED"])
+    return out.select("ticker", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                      *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+                      "volume")
+
+
+@register("A2_period_filter_1y", f"""
+WITH {BARS_CTE}
+SELECT ticker, count(*) AS n FROM bars
+WHERE timestamp >= (SELECT max(timestamp) FROM bars) - INTERVAL 1 year GROUP BY 1
+""")
+def a2_period_filter(spark, sf_dir):
+    b = loaders.period_filter(bars(spark, sf_dir), "1y")
+    return b.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("A3_macro_series", """
+SELECT l_returnflag AS series_id, CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'N' THEN 'None' END AS name,
+       l_shipdate AS timestamp, round(l_discount, 6) AS value
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_discount IS NOT NULL AND NOT isnan(l_discount)
+  AND l_returnflag IN ('A', 'N')
+""")
+def a3_macro_series(spark, sf_dir):
+    """A3 with a stand-in raw series (return flag -> discount by ship date) and an
+    id->name list that omits one series."""
+    raw = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("series_id"), F.col("l_shipdate").alias("timestamp"),
+        F.col("l_discount").alias("value"))
+    names = spark.createDataFrame([("A", "Accepted"), ("N", "None")], "series_id string, name string")
+    return loaders.load_macro_series(raw, names, "1995-01-01")
+
+
+@register("A4_insert_if_absent", f"""
+WITH {BARS_CTE}
+SELECT ticker, timestamp, close FROM bars WHERE timestamp >= TIMESTAMP '1998-01-01'
+""")
+def a4_insert_if_absent(spark, sf_dir):
+    """target = bars before 1998; batch = all bars, then the same bars with
+    a later arrival and changed close. New rows = first arrival of unseen keys."""
+    b = bars(spark, sf_dir).select("ticker", "timestamp", "close")
+    target = b.filter(F.col("timestamp") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    batch = (b.withColumn("_arrival", F.lit(0))
+             .unionByName(b.withColumn("close", F.col("close") + 1).withColumn("_arrival", F.lit(1))))
+    return sinks.insert_if_absent(batch, target, ["ticker", "timestamp"], ["_arrival"]).drop("_arrival")
+
+
+@register("A5_keyed_scan", f"""
+WITH {BARS_CTE}
+SELECT timestamp, open, high, low, close, volume FROM bars WHERE ticker = '1-URGENT'
+""")
+def a5_keyed_scan(spark, sf_dir):
+    return loaders.series_for(bars(spark, sf_dir), "1-URGENT").drop("ticker")
+
+
+@register("A6_G2_distinct_tickers", f"""
+WITH {BARS_CTE}
+SELECT DISTINCT ticker FROM bars
+""")
+def a6_distinct_tickers(spark, sf_dir):
+    return loaders.distinct_tickers(bars(spark, sf_dir))
+
+
+@register("A10_A9_partitioned_roundtrip", f"""
+WITH {BARS_CTE}
+SELECT year(timestamp) AS year, count(*) AS n, round(sum(close), 2) AS sum_close FROM bars
+WHERE year(timestamp) >= 1998 GROUP BY 1
+""")
+def a10_partitioned_roundtrip(spark, sf_dir):
+    """A10: bars appended into a year-partitioned table, read back with a
+    partition filter (pruned scan); A9: the summary written as a JSON report."""
+    base = _scratch(spark, "bars_table")
+    sinks.append_partitioned(bars(spark, sf_dir), base)
+    t = spark.read.parquet(base).filter(F.col("year") >= 1998)
+    summary = t.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("sum_close"))
+    sinks.write_json_report(summary, f"{base}_report")
+    return spark.read.schema("year int, n long, sum_close double").json(f"{base}_report")
+
+
+@register("G1_union_sources", """
+SELECT 'orders' AS source, date_trunc('day', o_orderdate) AS day, count(*) AS n FROM orders GROUP BY 2
+UNION ALL SELECT 'lineitem', date_trunc('day', l_shipdate), count(*) FROM lineitem GROUP BY 2
+""")
+def g1_union_sources(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.lit("orders").alias("source"),
+                                              F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day"))
+    li = table(spark, sf_dir, "lineitem").select(F.lit("lineitem").alias("source"),
+                                                 F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("day"))
+    return o.unionByName(li).groupBy("source", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- serving K2 K3 K5 K8
+@register("K2_ticker_detail", f"""
+WITH RECURSIVE {FEATURES_CTE},
+lt AS (SELECT ticker, arg_max(timestamp, timestamp) AS ts, arg_max(close, timestamp) AS close,
+              arg_max(volume, timestamp) AS volume FROM bars GROUP BY 1),
+pv AS (SELECT b.ticker, arg_max(b.close, b.timestamp) AS pc FROM bars b JOIN lt ON b.ticker = lt.ticker
+       WHERE b.timestamp < lt.ts GROUP BY 1),
+li AS (SELECT ticker, arg_max(rsi_14, timestamp) AS rsi_14, arg_max(macd, timestamp) AS macd,
+              arg_max(macd_signal, timestamp) AS macd_signal, arg_max(bollinger_upper, timestamp) AS bollinger_upper,
+              arg_max(bollinger_lower, timestamp) AS bollinger_lower, arg_max(sma_50, timestamp) AS sma_50,
+              arg_max(sma_200, timestamp) AS sma_200 FROM ind GROUP BY 1)
+SELECT lt.ticker, round(lt.close, 2) AS latest_price,
+       round(CASE WHEN coalesce(pv.pc, lt.close) <> 0 THEN (lt.close - coalesce(pv.pc, lt.close)) / coalesce(pv.pc, lt.close) * 100 ELSE 0 END, 2) AS change_pct,
+       round(coalesce(pv.pc, lt.close), 2) AS previous_close, CAST(lt.volume AS BIGINT) AS volume, lt.ts AS timestamp,
+       round(li.rsi_14, 2) AS rsi_14, round(li.macd, 4) AS macd, round(li.macd_signal, 4) AS macd_signal,
+       round(li.bollinger_upper, 2) AS bollinger_upper, round(li.bollinger_lower, 2) AS bollinger_lower,
+       round(li.sma_50, 2) AS sma_50, round(li.sma_200, 2) AS sma_200
+FROM lt LEFT JOIN pv ON lt.ticker = pv.ticker LEFT JOIN li ON lt.ticker = li.ticker
+""")
+def k2_ticker_detail(spark, sf_dir):
+    from tickwise.operators.indicators import technical_features
+    b = bars(spark, sf_dir)
+    return serving.ticker_detail(b, technical_features(b, keep_warmup=False))
+
+
+@register("K3_history_page2", f"""
+WITH {SERIES_CTE}
+SELECT ticker, timestamp, round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low,
+       round(close, 4) AS close, CAST(volume AS BIGINT) AS volume, CAST(n - 1 - rn - 50 AS INTEGER) AS row_in_page,
+       2 AS page, 50 AS page_size
+FROM s WHERE n - 1 - rn >= 50 AND n - 1 - rn < 100
+""")
+def k3_history_page(spark, sf_dir):
+    return serving.history_page(bars(spark, sf_dir), page=2, page_size=50)
+
+
+@register("K8_chart_series", f"""
+WITH {SERIES_CTE}
+SELECT ticker, timestamp AS date, round(close, 4) AS close, round(high, 4) AS high, round(low, 4) AS low
+FROM s WHERE n - 1 - rn < 500
+""")
+def k8_chart_series(spark, sf_dir):
+    return serving.chart_series(bars(spark, sf_dir))
+
+
+@register("K5_pipeline_status", f"""
+WITH {BARS_CTE},
+c AS (SELECT count(*) AS n, max(timestamp) AS last FROM bars),
+h AS (SELECT n, last, round((epoch_us(TIMESTAMP '2001-08-03 12:00:00') - epoch_us(last)) / 3.6e9, 1) AS hours FROM c)
+SELECT CASE WHEN n = 0 THEN 'failed' ELSE 'degraded' END AS status, last AS last_data_update,
+       hours AS data_freshness_hours, n AS raw_prices_rows, 0::BIGINT AS predictions_rows,
+       0::BIGINT AS model_registry_rows, CAST(NULL AS VARCHAR) AS active_model,
+       concat_ws('; ', CASE WHEN hours > 48 THEN format('Data is {{}}h stale', CAST(round(hours) AS BIGINT)) END,
+                 CASE WHEN n = 0 THEN 'No price data in database' END, 'No active model') AS message
+FROM h
+""")
+def k5_pipeline_status(spark, sf_dir):
+    """K5 over bars, an empty predictions table and an empty registry."""
+    from tickwise.plans.status import pipeline_status
+    empty_pred = spark.createDataFrame([], "ticker string, timestamp timestamp")
+    empty_reg = spark.createDataFrame([], "model_name string, version string, f1 double, is_active boolean")
+    return pipeline_status(bars(spark, sf_dir), empty_pred, empty_reg, "2001-08-03 12:00:00")
+
+
+@register("K9_daily_job")
+def k9_daily_job(spark, sf_dir):
+    """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
+    from tickwise.plans.daily import run_daily
+    return run_daily(spark, bars(spark, sf_dir))
