@@ -23,7 +23,9 @@ def portfolio_requests(spark, sf_dir):
     cnt = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
            .groupBy(F.col("n_name").alias("portfolio_id"), F.col("o_orderpriority").alias("t"))
            .agg(F.count(F.lit(1)).alias("c")))
-    w = cnt.withColumn("w", F.round(F.col("c") / F.sum("c").over(Window.partitionBy("portfolio_id")), 2))
+    tot = F.sum("c").over(Window.partitionBy("portfolio_id"))
+    # share rounded half-up to 2 places in exact integer arithmetic
+    w = cnt.withColumn("w", F.floor((200 * F.col("c") + tot) / (2 * tot)) / 100.0)
     agg = w.groupBy("portfolio_id").agg(F.sort_array(F.collect_list(F.struct("t", "w"))).alias("l"))
     return agg.select("portfolio_id", F.array_join(F.col("l.t"), ",").alias("tickers"),
                       F.array_join(F.transform("l.w", lambda x: x.cast("string")), ",").alias("weights"))
@@ -31,17 +33,21 @@ def portfolio_requests(spark, sf_dir):
 
 REQUESTS_CTE = """p0 AS (SELECT n_name AS portfolio_id, o_orderpriority AS t, count(*) AS c
        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
-p1 AS (SELECT portfolio_id, t, round(c / sum(c) OVER (PARTITION BY portfolio_id), 2) AS w FROM p0),
+p1 AS (SELECT portfolio_id, t, floor((200 * c + sum(c) OVER (PARTITION BY portfolio_id))
+                                   / (2 * sum(c) OVER (PARTITION BY portfolio_id))) / 100.0 AS w FROM p0),
 req AS (SELECT portfolio_id, string_agg(t, ',' ORDER BY t) AS tickers,
                string_agg(CAST(w AS VARCHAR), ',' ORDER BY t) AS weights FROM p1 GROUP BY 1),
 pos AS (SELECT portfolio_id, i - 1 AS pos, upper(trim(string_split(tickers, ',')[i])) AS ticker,
                TRY_CAST(trim(string_split(weights, ',')[i]) AS DOUBLE) AS weight,
                len(string_split(tickers, ',')) AS nt, len(string_split(weights, ',')) AS nw
         FROM req, LATERAL generate_series(1, least(len(string_split(tickers, ',')), len(string_split(weights, ',')))) g(i)),
-chk AS (SELECT portfolio_id,
-          CASE WHEN max(nt) <> max(nw) THEN 'Number of tickers must match weights'
-               WHEN abs(sum(weight) - 1.0) > 0.01 THEN 'Weights must sum to 1.0' END AS error
-        FROM pos GROUP BY 1)"""
+ws AS (SELECT portfolio_id, len(string_split(tickers, ',')) AS nt, len(string_split(weights, ',')) AS nw,
+              list_reduce(list_transform(string_split(weights, ','), lambda x: TRY_CAST(trim(x) AS DOUBLE)),
+                          lambda a, b: a + b) AS weight_sum FROM req),
+chk AS (SELECT portfolio_id, weight_sum,
+          CASE WHEN nt <> nw THEN 'Number of tickers must match weights'
+               WHEN abs(weight_sum - 1.0) > 0.01 THEN 'Weights must sum to 1.0' END AS error
+        FROM ws)"""
 
 RETURNS_CTE = SERIES_CTE + """,
 rr AS (SELECT ticker, rn, n, close / lag(close) OVER (PARTITION BY ticker ORDER BY timestamp) - 1 AS r FROM s),
@@ -109,7 +115,7 @@ def e9_drawdown_curve(spark, sf_dir):
 @register("B7_portfolio_positions", f"""
 WITH {REQUESTS_CTE}
 SELECT pos.portfolio_id, CAST(pos AS INTEGER) AS pos, ticker, weight, CAST(nt AS INTEGER) AS n_tickers,
-       CAST(nw AS INTEGER) AS n_weights, sum(weight) OVER (PARTITION BY pos.portfolio_id) AS weight_sum, chk.error
+       CAST(nw AS INTEGER) AS n_weights, chk.weight_sum, chk.error
 FROM pos JOIN chk ON pos.portfolio_id = chk.portfolio_id
 """)
 def b7_portfolio_positions(spark, sf_dir):
