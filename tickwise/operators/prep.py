@@ -1,8 +1,9 @@
 """Per-fold data preparation J2-J7 for all (ticker, fold) groups at once.
 
 Input: the fold assignment (E13) of the training frame. Every statistic is a
-window aggregate over ``partitionBy(ticker, fold)`` (273 rows per group), so
-one shuffle on (ticker, fold) feeds all steps and no stats table is joined.
+window aggregate over ``partitionBy(ticker, fold)`` (273 rows per group) and
+the de-duplication groups by keys that include (ticker, fold), so one
+shuffle on (ticker, fold) feeds all steps and no stats table is joined.
 
 Order as in the reference: infinite values (J3) -> missing values (J2) ->
 train duplicates (G3) -> IQR capping of train and min/max clipping of test
@@ -19,56 +20,65 @@ from pyspark.sql import functions as F
 IQR_K = 1.5
 
 
-def _w(group, split: bool = False, ordered: bool = False, frame=None):
-    cols = list(group) + (["split"] if split else [])
-    w = Window.partitionBy(*cols)
-    if ordered:
-        w = w.orderBy("rn")
-    if frame is not None:
-        w = w.rowsBetween(*frame)
-    return w
+def _windows(group):
+    """Whole-group frame, forward running frame, and the backward running frame.
+
+    The backward fill uses a running frame in descending order: a frame from
+    the current row to the end is re-aggregated per row by Spark (quadratic),
+    a running frame is incremental.
+    """
+    w = Window.partitionBy(*group)
+    fwd = Window.partitionBy(*group).orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+    bwd = Window.partitionBy(*group).orderBy(F.col("rn").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return w, fwd, bwd
 
 
 def fix_infinite(df: DataFrame, cols: list[str], group) -> DataFrame:
     """Where a column holds +-inf in a split, inf -> NULL, then forward
     fill and backward fill inside the split (ordinary NULLs are filled too).
 
-    Two projections for all columns: flags and split-level ``has_inf``, then
-    the ordered fills (one sort per split partition).
+    Per-split flags and fills are conditional window aggregates over the
+    (ticker, fold) partition, so no separate (ticker, fold, split) shuffle.
     """
-    wsplit = _w(group, split=True)
-    fwd = _w(group, True, True, (Window.unboundedPreceding, 0))
-    bwd = _w(group, True, True, (0, Window.unboundedFollowing))
+    w, fwd, bwd = _windows(group)
+    is_train = F.col("split") == "train"
     keep = [c for c in df.columns if c not in cols]
     first = []
     for c in cols:
         is_inf = F.abs(F.col(c)) == float("inf")
         first += [F.when(is_inf, F.lit(None).cast("double")).otherwise(F.col(c)).alias(c),
                   is_inf.cast("int").alias(f"_inf_{c}"),
-                  (F.max(is_inf.cast("int")).over(wsplit) > 0).alias(f"_has_{c}")]
+                  F.max(F.when(is_train, is_inf.cast("int"))).over(w).alias(f"_htr_{c}"),
+                  F.max(F.when(~is_train, is_inf.cast("int"))).over(w).alias(f"_hte_{c}")]
     d = df.select(*keep, *first)
-    filled = [F.when(F.col(f"_has_{c}"), F.coalesce(F.col(c), F.last(c, True).over(fwd),
-                                                     F.first(c, True).over(bwd)))
-              .otherwise(F.col(c)).alias(c) for c in cols]
+    filled = []
+    for c in cols:
+        in_tr, in_te = F.when(is_train, F.col(c)), F.when(~is_train, F.col(c))
+        ff = F.when(is_train, F.last(in_tr, True).over(fwd)).otherwise(F.last(in_te, True).over(fwd))
+        bf = F.when(is_train, F.last(in_tr, True).over(bwd)).otherwise(F.last(in_te, True).over(bwd))
+        has = F.when(is_train, F.col(f"_htr_{c}")).otherwise(F.col(f"_hte_{c}")) > 0
+        filled.append(F.when(has, F.coalesce(F.col(c), ff, bf)).otherwise(F.col(c)).alias(c))
     return d.select(*keep, *[f"_inf_{c}" for c in cols], *filled)
 
 
 def impute(df: DataFrame, cols: list[str], group, strategy: str = "median",
            leaky_test_impute: bool = False) -> DataFrame:
     """Fill NULLs with the median / mean / 0 (train statistics unless leaky)."""
-    w = _w(group, split=leaky_test_impute)
+    w, _, _ = _windows(group)
+    is_train = F.col("split") == "train"
     keep = [c for c in df.columns if c not in cols]
+
+    def stat(x):
+        if strategy == "median":
+            return F.percentile(x, 0.5).over(w)
+        if strategy == "mean":
+            return F.avg(x).over(w)
+        return F.lit(0.0)
     out = []
     for c in cols:
-        src = F.col(c) if leaky_test_impute else F.when(F.col("split") == "train", F.col(c))
-        if strategy == "median":
-            fill = F.percentile(src, 0.5).over(w)
-        elif strategy == "mean":
-            fill = F.avg(src).over(w)
-        else:
-            fill = F.lit(0.0)
-        out += [F.col(c).isNull().cast("int").alias(f"_miss_{c}"),
-                F.coalesce(F.col(c), fill).alias(c)]
+        tr = stat(F.when(is_train, F.col(c)))
+        fill = F.when(is_train, tr).otherwise(stat(F.when(~is_train, F.col(c)))) if leaky_test_impute else tr
+        out += [F.col(c).isNull().cast("int").alias(f"_miss_{c}"), F.coalesce(F.col(c), fill).alias(c)]
     return df.select(*keep, *out)
 
 
@@ -79,7 +89,7 @@ def cap_and_scale(df: DataFrame, cols: list[str], group, cap: bool = True,
     Three projections, each evaluating the window aggregates of every column
     together (one Window operator per step over the same partitioning).
     """
-    w = _w(group)
+    w, _, _ = _windows(group)
     is_train = F.col("split") == "train"
     keep = [c for c in df.columns if c not in cols]
     if cap:
@@ -126,16 +136,17 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
     d = impute(d, cols, group, "median", leaky_test_impute)
     inf_cols = [f"_inf_{c}" for c in cols]
     miss_cols = [f"_miss_{c}" for c in cols]
-    # Identical train rows (all columns) -> keep the first; a grouped
-    # aggregate, so copies are combined on the mappers before the shuffle
+    # Identical train rows (all columns) -> keep the first. A grouped
+    # aggregate whose keys include (ticker, fold): it reuses the partitioning
+    # of the windows (no shuffle) and combines copies before any exchange.
+    # Test rows carry their row number in the key, so they are never merged.
     key_cols = group + ["split", "timestamp", *cols, "target"]
     rest = ["rn"] + inf_cols + miss_cols
-    train = d.filter(F.col("split") == "train")
-    kept = train.groupBy(*key_cols).agg(F.min_by(F.struct(*rest), F.col("rn")).alias("_r"),
-                                        F.count(F.lit(1)).alias("_copies"))
+    tie = F.when(F.col("split") != "train", F.col("rn")).alias("_tie")
+    kept = d.groupBy(*key_cols, tie).agg(F.min_by(F.struct(*rest), F.col("rn")).alias("_r"),
+                                         F.count(F.lit(1)).alias("_copies"))
     dups = kept.groupBy(*group).agg(F.sum(F.col("_copies") - 1).alias("duplicates_removed"))
-    train = kept.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    d = train.unionByName(d.filter(F.col("split") != "train"))
+    d = kept.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in rest])
     d = cap_and_scale(d, cols, group, cap, scale)
     cap_cols = [f"_cap_{c}" for c in cols] if cap else []
     counts = d.groupBy(*group).agg(

@@ -5,11 +5,11 @@ web server; here they are jobs over a request log
 ``(ts timestamp, client string, path string, status int)``.
 
 R2/R3 are sequential per (path, client): whether a hit is rejected depends
-on earlier decisions (R3 does not record rejected hits). They run as a
-grouped ``applyInPandas`` over (path, client) in batch, and as
-``applyInPandasWithState`` in streaming (``tickwise.streaming.limits``),
-where state per key is bounded (one anchor and a count, or at most ``max``
-timestamps).
+on earlier decisions (R3 does not record rejected hits). In batch they are a
+key-ordered scan (hash partition + sort + ``mapInPandas`` with a carried
+state), in streaming ``applyInPandasWithState`` (``tickwise.streaming.limits``);
+either way the state per key is bounded (one anchor and a count, or at most
+``max`` timestamps).
 """
 
 from __future__ import annotations
@@ -68,27 +68,65 @@ def sliding_log_decisions(secs: np.ndarray, max_requests: int, window: float) ->
     return out
 
 
-def _limit(log: DataFrame, decide, max_requests: int, window: float) -> DataFrame:
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-        rej = decide(_epoch_s(pdf), max_requests, window)
-        pdf = pdf.assign(rejected=rej)
-        pdf["status"] = np.where(rej, 429, pdf["status"]).astype("int32")
-        return pdf[["path", "client", "ts", "seq", "status", "rejected"]]
-    src = log.select("path", "client", "ts", "seq", "status")
-    return src.groupBy("path", "client").applyInPandas(per_key, LIMIT_SCHEMA)
+class _FixedState:
+    def __init__(self, max_requests, window):
+        self.max, self.window, self.anchor, self.count = max_requests, window, None, 0
+
+    def step(self, t: float) -> bool:
+        if self.anchor is None or t >= self.anchor + self.window:
+            self.anchor, self.count = t, 0
+        self.count += 1
+        return self.count > self.max
+
+
+class _SlidingState:
+    def __init__(self, max_requests, window):
+        self.max, self.window, self.hits = max_requests, window, deque()
+
+    def step(self, t: float) -> bool:
+        while self.hits and t - self.hits[0] > self.window:
+            self.hits.popleft()
+        if len(self.hits) >= self.max:
+            return True
+        self.hits.append(t)
+        return False
+
+
+def _limit(log: DataFrame, state_cls, max_requests: int, window: float) -> DataFrame:
+    """Key-ordered scan: hash-partition by (path, client), sort each partition
+    by (path, client, ts, seq) and walk the Arrow batches with one small state
+    object, reset when the key changes. Python runs once per batch; a key's
+    rows are never gathered into one group, and the state is bounded."""
+    def scan(batches):
+        key, st = None, None
+        for pdf in batches:
+            secs = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
+            paths, clients = pdf["path"].to_numpy(), pdf["client"].to_numpy()
+            rej = np.zeros(len(pdf), dtype=bool)
+            for i in range(len(pdf)):
+                k = (paths[i], clients[i])
+                if k != key:
+                    key, st = k, state_cls(max_requests, window)
+                rej[i] = st.step(secs[i])
+            out = pdf[["path", "client", "ts", "seq"]].copy()
+            out["status"] = np.where(rej, 429, pdf["status"]).astype("int32")
+            out["rejected"] = rej
+            yield out
+    src = (log.select("path", "client", "ts", "seq", "status")
+           .repartition("path", "client").sortWithinPartitions("path", "client", "ts", "seq"))
+    return src.mapInPandas(scan, LIMIT_SCHEMA)
 
 
 def fixed_window_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
                        window_seconds: float = DEFAULT_WINDOW_SECONDS) -> DataFrame:
     """R2 for every (path, client); rejected hits get status 429."""
-    return _limit(log, fixed_window_decisions, max_requests, window_seconds)
+    return _limit(log, _FixedState, max_requests, window_seconds)
 
 
 def sliding_log_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
                       window_seconds: float = DEFAULT_WINDOW_SECONDS) -> DataFrame:
     """R3 for every (path, client); rejected hits get status 429."""
-    return _limit(log, sliding_log_decisions, max_requests, window_seconds)
+    return _limit(log, _SlidingState, max_requests, window_seconds)
 
 
 def request_counters(log: DataFrame) -> DataFrame:

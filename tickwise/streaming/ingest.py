@@ -73,7 +73,9 @@ class IngestBatch:
             if inserted:
                 append_partitioned(new, self.target)
             new.unpersist()
-            consumed, errors = valid.count(), invalid.count()
+            c = batch.agg(F.count_if(F.col("error").isNull()).alias("ok"),
+                          F.count_if(F.col("error").isNotNull()).alias("bad")).collect()[0]
+            consumed, errors = int(c["ok"]), int(c["bad"])
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             (invalid.select("raw", "error", F.lit(epoch_id).alias("epoch"))
              .write.mode("overwrite").partitionBy("epoch").parquet(self.dead_letter))
