@@ -131,8 +131,9 @@ def _select_folds(prepared: DataFrame, folds: str, group) -> list[tuple]:
     return [tuple(r) for r in keys.collect()]   # fold ids only (small)
 
 
-def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str, folds: str = "last:3",
-                          group=("ticker", "fold"), threads: int = 4) -> DataFrame:
+def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str, folds: str = "all",
+                          group=("ticker", "fold"), threads: int = 4,
+                          params: dict | None = None) -> DataFrame:
     """J9/J10 per fold via Spark ML, folds as concurrent jobs; returns predictions."""
     from pyspark.ml.functions import vector_to_array
     group = list(group)
@@ -150,7 +151,7 @@ def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str, fold
             return test.select(*group, "rn", F.col("target").cast("int").alias("y_true"),
                                F.lit(int(const)).alias("y_pred"), F.lit(float(const)).alias("y_prob"),
                                F.lit(model).alias("model"))
-        fitted = _assembler_pipeline(cols, make_classifier(model)).fit(train)
+        fitted = _assembler_pipeline(cols, make_classifier(model, params)).fit(train)
         p = fitted.transform(test)
         return p.select(*group, "rn", F.col("target").cast("int").alias("y_true"),
                         F.col("prediction").cast("int").alias("y_pred"),
@@ -168,16 +169,21 @@ def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str, fold
     return out
 
 
+def default_draw(rng: random.Random) -> dict:
+    """One boosted-tree parameter draw (the GBT counterparts of the tuned knobs)."""
+    return {"maxDepth": rng.randint(3, 10), "stepSize": 10 ** rng.uniform(-2, -0.5),
+            "maxIter": rng.randint(50, 300), "subsamplingRate": rng.uniform(0.6, 1.0),
+            "minInstancesPerNode": rng.randint(1, 10),
+            "featureSubsetStrategy": rng.choice(["all", "sqrt", "0.8"]),
+            "minInfoGain": rng.uniform(0.0, 0.05)}
+
+
 def random_search(train: DataFrame, cols: list[str], trials: int = TUNING_TRIALS,
-                  holdout_frac: float = 0.2, seed: int = 42):
+                  holdout_frac: float = 0.2, seed: int = 42, draw=default_draw):
     """Random boosted-tree parameter draws scored by F1 on the last
     ``holdout_frac`` of the training window (by time), fitted as concurrent jobs."""
     rng = random.Random(seed)
-    draws = [{"maxDepth": rng.randint(3, 10), "stepSize": 10 ** rng.uniform(-2, -0.5),
-              "maxIter": rng.randint(50, 300), "subsamplingRate": rng.uniform(0.6, 1.0),
-              "minInstancesPerNode": rng.randint(1, 10),
-              "featureSubsetStrategy": rng.choice(["all", "sqrt", "0.8"]),
-              "minInfoGain": rng.uniform(0.0, 0.05)} for _ in range(trials)]
+    draws = [draw(rng) for _ in range(trials)]
     cut = train.select(F.percentile("rn", 1.0 - holdout_frac).alias("c")).collect()[0]["c"]
     fit_part = train.filter(F.col("rn") < cut).withColumn("target", F.col("target").cast("double"))
     val_part = train.filter(F.col("rn") >= cut)

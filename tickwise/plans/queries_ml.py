@@ -448,3 +448,54 @@ def j15_predict_latest(spark, sf_dir):
     model = PipelineModel.load(path)
     latest = _scoring.latest_feature_rows(b, ind)
     return _scoring.predict(model, latest, "logistic_regression", "v1")
+
+
+@register("D5_fetch_outliers", f"""
+WITH {BARS_CTE},
+c AS (SELECT ticker, close FROM bars WHERE open > 0 AND high > 0 AND low > 0 AND close > 0 AND volume > 0),
+st AS (SELECT ticker, avg(close) AS m, stddev_samp(close) AS sd FROM c GROUP BY 1)
+SELECT c.ticker, count(*) AS outlier_count FROM c JOIN st ON c.ticker = st.ticker
+WHERE st.sd > 0 AND abs(c.close - st.m) > 3 * st.sd GROUP BY 1
+""")
+def d5_fetch_outliers(spark, sf_dir):
+    """The outlier flag on a freshly cleaned batch (B1 applied first)."""
+    from tickwise.functions.cleaning import positive_bars
+    from tickwise.operators.quality import outlier_counts
+    return outlier_counts(positive_bars(bars(spark, sf_dir)))
+
+
+@register("E2_target_legacy_last_row", f"""
+WITH {BARS_CTE}
+SELECT ticker, timestamp,
+       coalesce(CAST(lead(close) OVER (PARTITION BY ticker ORDER BY timestamp) > close AS INTEGER), 0) AS target
+FROM bars
+""")
+def e2_target_legacy(spark, sf_dir):
+    """E2 with ``legacy_last_row=True``: the last bar of each ticker gets 0."""
+    from tickwise.operators.series import halo_blocks, home_only, number_rows
+    from tickwise.operators.training import add_target
+    b = bars(spark, sf_dir).select("ticker", "timestamp", F.col("close").cast("double").alias("close"))
+    d = add_target(halo_blocks(number_rows(b), halo=0, lead=1), legacy_last_row=True)
+    return home_only(d).select("ticker", "timestamp", "target")
+
+
+@register("J16_needing_prediction", f"""
+WITH RECURSIVE {FEATURES_CTE},
+lt AS (SELECT ticker, max(timestamp) AS ts FROM ind GROUP BY 1),
+pred AS (SELECT ticker, timestamp AS predicted_at FROM ind),
+fresh AS (SELECT DISTINCT ticker FROM pred
+          WHERE predicted_at > (SELECT max(timestamp) FROM bars) + INTERVAL 30 minute - INTERVAL 3600 second)
+SELECT lt.ticker, lt.ts AS timestamp FROM lt WHERE lt.ticker NOT IN (SELECT ticker FROM fresh)
+""")
+def j16_needing_prediction(spark, sf_dir):
+    """Stored predictions (one per feature row, stamped with the bar time)
+    are fresh when younger than the 1 h TTL at ``now`` = last bar + 30 min;
+    only tickers without a fresh one are scored again."""
+    from tickwise.operators.latest import latest_per_key
+    b = bars(spark, sf_dir)
+    ind = _ind.technical_features(b, keep_warmup=False)
+    latest = latest_per_key(ind.select("ticker", "timestamp"), cols=["timestamp"])
+    preds = ind.select("ticker", F.col("timestamp").cast("timestamp").alias("predicted_at"))
+    now = b.agg(F.max("timestamp")).collect()[0][0]
+    import datetime as dt
+    return _scoring.needing_prediction(latest, preds, now + dt.timedelta(minutes=30))
