@@ -79,7 +79,7 @@ def test_batch_and_stream_limiter_agree(spark, tmp_path):
 
 
 def test_message_contract_cases(spark):
-    from tickwise.functions.cleaning import message_contract
+    from tickwise.functions.cleaning import apply_contract
     base = '"ticker":"aapl","timestamp":"2024-01-02T00:00:00+00:00","high":155,"low":149,"close":154'
     cases = {
         "str_price": ('{' + base + ',"open":"150.0","volume":1000000}', None),
@@ -99,7 +99,7 @@ def test_message_contract_cases(spark):
         "zero_volume": ('{' + base + ',"open":150,"volume":0}', "bad_volume"),
     }
     df = spark.createDataFrame([(k, v) for k, (v, _) in cases.items()], "name string, value string")
-    got = {r["name"]: r for r in df.select("name", *message_contract(F.col("value"))).collect()}
+    got = {r["name"]: r for r in apply_contract(df, "value").collect()}
     for k, (_, err) in cases.items():
         assert got[k]["error"] == err, k
     assert got["str_price"]["ticker"] == "AAPL" and got["tiny_price"]["open"] == 0.0

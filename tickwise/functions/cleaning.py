@@ -59,40 +59,50 @@ def parse_timestamp(col: Column) -> Column:
 MESSAGE_FIELDS = ["ticker", "timestamp", "open", "high", "low", "close", "volume"]
 
 
-def message_contract(raw: Column) -> list[Column]:
-    """Columns (ticker, timestamp, open..close, volume, error) from one JSON text.
-
-    Rules: JSON object with all 7 fields non-null; ticker non-blank (upper-cased);
-    timestamp parses; prices numeric (numeric strings accepted) and > 0, then
-    rounded to 4 places (checked before rounding, so 0.00001 passes as 0.0);
-    volume integral and > 0 (1000000.0 passes, 1.5 fails); extra fields ignored.
-    ``error`` names the first failed rule, NULL when valid.
+def apply_contract(df: DataFrame, raw: str = "value") -> DataFrame:
+    """Message contract on the JSON text column ``raw``.
+
+    Adds (ticker, timestamp, open..close, volume, error). Rules: JSON object
+    with all 7 fields non-null; ticker non-blank (upper-cased); timestamp
+    parses; prices numeric (numeric strings accepted) and > 0, then rounded to
+    4 places (checked before rounding, so 0.00001 passes as 0.0); volume
+    integral and > 0 (1000000.0 passes, 1.5 fails); extra fields ignored.
+    ``error`` names the first failed rule, NULL when valid; the typed
+    columns are NULL for rejected messages.
+
+    Staged projections: the JSON is parsed once and each field typed once
+    (Spark does not hoist common subexpressions out of conditional branches,
+    and it does not collapse projections that would duplicate ``from_json``).
     """
     schema = "struct<" + ",".join(f"{f}:string" for f in MESSAGE_FIELDS) + ">"
-    parsed = F.from_json(raw, schema)
-    is_obj = F.coalesce(F.trim(raw).startswith("{"), F.lit(False)) & parsed.isNotNull()
-    f = {k: parsed.getField(k) for k in MESSAGE_FIELDS}
-    dec ={k: f[k].try_cast("decimal(38,10)") for k in PRICE_COLS + ["volume"]}
-    ticker = normalize_ticker(f["ticker"])
-    ts = parse_timestamp(f["timestamp"])
+    d = df.withColumn("_m", F.from_json(F.col(raw), schema)).withColumn(
+        "_obj", F.coalesce(F.trim(F.col(raw)).startswith("{"), F.lit(False)) & F.col("_m").isNotNull())
     missing = F.lit(False)
     for k in MESSAGE_FIELDS:
-        missing = missing | f[k].isNull()
+        missing = missing | F.col(f"_m.{k}").isNull()
+    d = d.select("*", missing.alias("_miss"),
+                 normalize_ticker(F.col("_m.ticker")).alias("_t"),
+                 parse_timestamp(F.col("_m.timestamp")).alias("_ts"),
+                 *[F.col(f"_m.{k}").try_cast("decimal(38,10)").alias(f"_d_{k}")
+                   for k in PRICE_COLS + ["volume"]])
     bad_price = F.lit(False)
     for k in PRICE_COLS:
-        bad_price = bad_price | dec[k].isNull() | (dec[k] <= 0)
-    vol = dec["volume"]
+        bad_price = bad_price | F.col(f"_d_{k}").isNull() | (F.col(f"_d_{k}") <= 0)
+    vol = F.col("_d_volume")
     bad_volume = vol.isNull() | (vol != F.floor(vol)) | (vol <= 0)
-    error = (F.when(~is_obj, F.lit("not_a_json_object"))
-             .when(missing, F.lit("missing_field"))
-             .when(ticker.isNull(), F.lit("empty_ticker"))
-             .when(ts.isNull(), F.lit("bad_timestamp"))
+    error = (F.when(~F.col("_obj"), F.lit("not_a_json_object"))
+             .when(F.col("_miss"), F.lit("missing_field"))
+             .when(F.col("_t").isNull(), F.lit("empty_ticker"))
+             .when(F.col("_ts").isNull(), F.lit("bad_timestamp"))
              .when(bad_price, F.lit("bad_price"))
              .when(bad_volume, F.lit("bad_volume")))
-    ok = error.isNull()
-    return [F.when(ok, ticker).alias("ticker"), F.when(ok, ts).alias("timestamp"),
-            *[F.when(ok, F.round(dec[k].cast("double"), 4)).alias(k) for k in PRICE_COLS],
-            F.when(ok, vol.cast("bigint")).alias("volume"), error.alias("error")]
+    d = d.withColumn("error", error)
+    ok = F.col("error").isNull()
+    helpers = ["_m", "_obj", "_miss", "_t", "_ts"] + [f"_d_{k}" for k in PRICE_COLS + ["volume"]]
+    return d.select(*[c for c in df.columns],
+                    F.when(ok, F.col("_t")).alias("ticker"), F.when(ok, F.col("_ts")).alias("timestamp"),
+                    *[F.when(ok, F.round(F.col(f"_d_{k}").cast("double"), 4)).alias(k) for k in PRICE_COLS],
+                    F.when(ok, vol.cast("bigint")).alias("volume"), "error").drop(*helpers)
 
 
 def drop_warmup(df: DataFrame, col: str = "sma_200") -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tickwise.functions.cleaning import message_contract
+from tickwise.functions.cleaning import apply_contract
 from tickwise.operators import requestlog as rl
 from tickwise.operators import sentiment as se
 from tickwise.plans import serving
@@ -93,7 +93,7 @@ SELECT error, count(*) AS n FROM (
 def i2_message_routing(spark, sf_dir):
     """I2/B5/B6 in batch: contract outcome counts over the event messages."""
     good, bad = _event_messages(spark, sf_dir)
-    parsed = good.unionByName(bad).select(*message_contract(F.col("value")))
+    parsed = apply_contract(good.unionByName(bad), "value")
     return parsed.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,7 +2,7 @@
 
 * Source: Kafka in production (``format("kafka")``, key/value bytes), JSON
   lines files in tests (the Kafka connector jar is not bundled with PySpark).
-* Every message is validated by ``message_contract``; valid rows go to the
+* Every message is validated by ``apply_contract``; valid rows go to the
   price table, invalid ones with their raw text and error to a dead-letter
   table (the reference only logged them and stopped on non-object JSON).
 * ``foreachBatch`` applies insert-if-absent (first arrival per key wins
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.functions.cleaning import message_contract
+from tickwise.functions.cleaning import apply_contract
 from tickwise.sources.sinks import append_partitioned, insert_if_absent, read_or_empty
 
 PRICE_SCHEMA = ("ticker string, timestamp timestamp, open double, high double, low double, "
@@ -48,7 +48,9 @@ def kafka_source(spark: SparkSession, servers: str, topic: str = "stock-prices",
 
 def parse(stream: DataFrame) -> DataFrame:
     """Contract columns + ``error`` + raw value and arrival order."""
-    return stream.select(*message_contract(F.col("value")), F.col("value").alias("raw"), "_src", "_seq")
+    d = apply_contract(stream.select(F.col("value").alias("raw"), "_src", "_seq"), "raw")
+    return d.select("ticker", "timestamp", "open", "high", "low", "close", "volume", "error",
+                    "raw", "_src", "_seq")
 
 
 class IngestBatch:
