@@ -10,13 +10,22 @@ from tickwise.operators.latest import (last_two, latest_per_key, page_many,
 
 
 def latest_prices(bars: DataFrame) -> DataFrame:
-    """K1: ticker, latest_price, change_pct (vs F2 previous close), volume, timestamp."""
-    latest = latest_per_key(bars, cols=["timestamp", "close", "volume"])
-    prev = previous_close_before_global_max(bars)
+    """K1: ticker, latest_price, change_pct (vs F2 previous close), volume, timestamp.
+
+    One grouped aggregation: the latest row (F1) is ``max_by`` on the
+    timestamp, the previous close (F2) is ``max_by`` on the timestamp masked
+    to rows before the table-wide max (a scalar subquery); no join, and the
+    bar table is aggregated once.
+    """
+    gmax = bars.select(F.max("timestamp")).scalar()
+    before = F.when(F.col("timestamp") < gmax, F.col("timestamp"))
+    agg = bars.groupBy("ticker").agg(
+        F.max_by(F.struct("timestamp", "close", "volume"), F.col("timestamp")).alias("_l"),
+        F.max_by(F.col("close"), before).alias("prev_close"))
     change = F.coalesce(
         F.try_divide(F.col("close") - F.col("prev_close"), F.nullif(F.col("prev_close"), F.lit(0)))
         * 100.0, F.lit(0.0))
-    return (latest.join(prev, "ticker", "left")
+    return (agg.select("ticker", "_l.*", "prev_close")
             .select("ticker",
                     F.round("close", 2).alias("latest_price"),
                     F.round(change, 2).alias("change_pct"),

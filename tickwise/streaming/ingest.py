@@ -68,9 +68,12 @@ class IngestBatch:
         try:
             valid = batch.filter(F.col("error").isNull())
             invalid = batch.filter(F.col("error").isNotNull())
-            existing = read_or_empty(spark, self.target, PRICE_SCHEMA)
-            new = insert_if_absent(valid.drop("raw", "error"), existing, KEYS, ["_src", "_seq"])
-            new = new.drop("_src", "_seq").persist()
+            # the target is partitioned by year: joining on year as well lets
+            # dynamic partition pruning read only the years present in the batch
+            existing = read_or_empty(spark, self.target, PRICE_SCHEMA + ", year int")
+            batch_rows = valid.drop("raw", "error").withColumn("year", F.year("timestamp"))
+            new = insert_if_absent(batch_rows, existing, KEYS + ["year"], ["_src", "_seq"])
+            new = new.drop("_src", "_seq", "year").persist()
             inserted = new.count()
             if inserted:
                 append_partitioned(new, self.target)
