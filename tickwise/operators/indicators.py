@@ -142,6 +142,16 @@ def technical_features(bars: DataFrame, key: str = "ticker", ts: str = "timestam
     reference, and downstream plans reference it several times).
     """
     d = layout(bars, key, ts, block_rows=block_rows, bucket=bucket)
+    d = add_indicators(d, lags, key, block_rows)
+    out = home_only(d)
+    if not keep_warmup:
+        out = out.filter(F.col("sma_200").isNotNull())
+    return materialize(out) if checkpoint else out
+
+
+def add_indicators(d: DataFrame, lags=None, key: str = "ticker",
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Every indicator column on a layout built with ``MAX_HALO``."""
     d = add_lag_returns(d, lags, key)
     d = add_sma(d, 50, "sma_50", key)
     d = add_sma(d, 200, "sma_200", key)
@@ -150,8 +160,4 @@ def technical_features(bars: DataFrame, key: str = "ticker", ts: str = "timestam
     # RSI and MACD share the first exponential-mean pass (four means, one scan)
     d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(14) + _macd_specs(12, 26), key, MAX_HALO,
                  block_rows)
-    d = _macd_finish(_rsi_finish(d, 14), 26, 9, key, MAX_HALO, block_rows)
-    out = home_only(d)
-    if not keep_warmup:
-        out = out.filter(F.col("sma_200").isNotNull())
-    return materialize(out) if checkpoint else out
+    return _macd_finish(_rsi_finish(d, 14), 26, 9, key, MAX_HALO, block_rows)
