@@ -345,3 +345,18 @@ def d22_frame_quality(spark, sf_dir):
     f = training_frame(bars(spark, sf_dir), drop_nulls=False)
     return eda.frame_quality_report(f.select("ticker", "rsi_14", "return_1d", "volatility_20d", "target"),
                                     ["ticker"], ["rsi_14", "return_1d", "volatility_20d"])
+
+
+# ---------------------------------------------------------------- wider key (25 tickers)
+from tickwise.sources.tables import WIDE_BAR_VIEW_SQL  # noqa: E402
+
+_WIDE_BARS = "bars AS (" + WIDE_BAR_VIEW_SQL.strip() + ")"
+
+
+@register("K7_feature_table_wide", "WITH RECURSIVE " + FEATURES_CTE.replace(BARS_CTE, _WIDE_BARS, 1) + f"""
+SELECT {sql_rounded(["ticker", "timestamp", "close"] + ind.INDICATOR_COLUMNS)} FROM ind
+""")
+def k7_feature_table_wide(spark, sf_dir):
+    """K7 on the 25-ticker bar view (market segment x priority)."""
+    f = ind.technical_features(bars(spark, sf_dir, wide=True), keep_warmup=False)
+    return rounded(f, ["ticker", "timestamp", "close"] + ind.INDICATOR_COLUMNS)
