@@ -104,10 +104,13 @@ def portfolio_risk(bars: DataFrame, requests: DataFrame, days: int = TRADING_DAY
     return and truncated to the shortest series (C7), as the reference does.
     A portfolio naming a ticker without data gets error 'No price data'.
     """
+    from tickwise.session import materialize
     positions = parse_portfolios(requests)
-    rets = recent_returns(bars, days)
+    # both are read by two branches below: computed once (tickers x 252 rows,
+    # one row per position) and checkpointed
+    rets = materialize(recent_returns(bars, days))
     per_ticker = individual_risk(rets)
-    ind = (positions.join(per_ticker, "ticker", "left")
+    ind = materialize(positions.join(per_ticker, "ticker", "left")
            .withColumn("error", F.coalesce(
                F.col("error"),
                F.max(F.when(F.col("n_returns").isNull(), F.concat(F.lit("No price data for ticker "),

@@ -414,7 +414,7 @@ FROM v JOIN ind i ON v.ticker = i.ticker AND v.timestamp = i.timestamp WHERE v.r
 def e12_latest_features(spark, sf_dir):
     from tickwise.plans.queries_quality import rounded
     b = bars(spark, sf_dir)
-    lf = _scoring.latest_feature_rows(b, _ind.technical_features(b, keep_warmup=False))
+    lf = _scoring.latest_feature_rows(b, _ind.technical_features(b, keep_warmup=False, checkpoint=False))
     return rounded(lf, ["ticker", "timestamp", "close"] + _F11)
 
 
@@ -428,7 +428,7 @@ FROM p LEFT JOIN nx ON p.ticker = nx.ticker AND p.timestamp = nx.timestamp
 """)
 def j17_backfill_actuals_rule(spark, sf_dir):
     b = bars(spark, sf_dir)
-    ind = _ind.technical_features(b, keep_warmup=False)
+    ind = _ind.technical_features(b, keep_warmup=False, checkpoint=False)
     preds = ind.select("ticker", "timestamp", F.when(F.col("macd") > F.col("macd_signal"), F.lit("UP"))
                        .otherwise(F.lit("DOWN")).alias("predicted_direction"))
     return _scoring.backfill_actuals(preds, b)
@@ -441,7 +441,7 @@ def j15_predict_latest(spark, sf_dir):
     import uuid
     from pyspark.ml import PipelineModel
     b = bars(spark, sf_dir)
-    ind = _ind.technical_features(b, keep_warmup=False)
+    ind = _ind.technical_features(b, keep_warmup=False, checkpoint=False)
     train = _train(spark, sf_dir)
     path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
     _models.refit(train, _F11, "logistic_regression", path)

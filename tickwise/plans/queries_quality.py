@@ -39,7 +39,7 @@ SELECT {sql_rounded(FEATURE_TABLE_COLS)} FROM vol WHERE sma_200 IS NOT NULL
 """)
 def k7_feature_table(spark, sf_dir):
     """K7: every indicator for all tickers, warm-up rows dropped."""
-    f = ind.technical_features(bars(spark, sf_dir), keep_warmup=False)
+    f = ind.technical_features(bars(spark, sf_dir), keep_warmup=False, checkpoint=False)
     return rounded(f, FEATURE_TABLE_COLS)
 
 
@@ -49,7 +49,7 @@ SELECT ticker, count(*) AS n FROM ind GROUP BY ticker
 """)
 def k7_rows_per_ticker(spark, sf_dir):
     """K7 summary: feature rows produced per ticker."""
-    f = ind.technical_features(bars(spark, sf_dir), keep_warmup=False)
+    f = ind.technical_features(bars(spark, sf_dir), keep_warmup=False, checkpoint=False)
     return f.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -69,7 +69,7 @@ SELECT count(*) AS n, round(sum(close), 2) AS sum_close FROM tj
 def c1_join(spark, sf_dir):
     from tickwise.operators.training import join_bars_indicators
     b = bars(spark, sf_dir)
-    j = join_bars_indicators(b, ind.technical_features(b, keep_warmup=False))
+    j = join_bars_indicators(b, ind.technical_features(b, keep_warmup=False, checkpoint=False))
     return j.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("sum_close"))
 
 
@@ -358,5 +358,5 @@ SELECT {sql_rounded(["ticker", "timestamp", "close"] + ind.INDICATOR_COLUMNS)} F
 """)
 def k7_feature_table_wide(spark, sf_dir):
     """K7 on the 25-ticker bar view (market segment x priority)."""
-    f = ind.technical_features(bars(spark, sf_dir, wide=True), keep_warmup=False)
+    f = ind.technical_features(bars(spark, sf_dir, wide=True), keep_warmup=False, checkpoint=False)
     return rounded(f, ["ticker", "timestamp", "close"] + ind.INDICATOR_COLUMNS)

@@ -371,7 +371,7 @@ FROM lt LEFT JOIN pv ON lt.ticker = pv.ticker LEFT JOIN li ON lt.ticker = li.tic
 def k2_ticker_detail(spark, sf_dir):
     from tickwise.operators.indicators import technical_features
     b = bars(spark, sf_dir)
-    return serving.ticker_detail(b, technical_features(b, keep_warmup=False))
+    return serving.ticker_detail(b, technical_features(b, keep_warmup=False, checkpoint=False))
 
 
 @register("K3_history_page2", f"""
