@@ -193,3 +193,17 @@ def events_as_request_log(events: DataFrame) -> DataFrame:
                          F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200))
                          .cast("int").alias("status"),
                          F.col("event_id").cast("long").alias("seq"))
+
+
+def windowed_counts(log: DataFrame, window: str = "5 minutes", watermark: str | None = None) -> DataFrame:
+    """R1 over event time: counts per (window, path, status class).
+
+    Works on a batch or a streaming log; with ``watermark`` set, a streaming
+    query emits each window once (append mode) and drops its state after the
+    watermark passes the window end.
+    """
+    src = log.withWatermark("ts", watermark) if watermark else log
+    cls = F.concat((F.col("status") / 100).cast("int").cast("string"), F.lit("xx"))
+    return (src.groupBy(F.window("ts", window).alias("w"), "path", cls.alias("status_class"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("w.start").alias("window_start"), "path", "status_class", "n"))

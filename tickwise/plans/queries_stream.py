@@ -418,3 +418,39 @@ def k9_daily_job(spark, sf_dir):
     """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
     from tickwise.plans.daily import run_daily
     return run_daily(spark, bars(spark, sf_dir))
+
+
+@register("F5_page_one_ticker", f"""
+WITH {BARS_CTE}
+SELECT ticker, timestamp, open, high, low, close, volume FROM bars WHERE ticker = '2-HIGH'
+ORDER BY timestamp DESC LIMIT 50 OFFSET 50
+""")
+def f5_page_one_ticker(spark, sf_dir):
+    """F5 for one ticker: page 2 of 50, newest first (top-k with offset)."""
+    from tickwise.operators.latest import page_newest_first
+    b = bars(spark, sf_dir).filter(F.col("ticker") == "2-HIGH")
+    return page_newest_first(b, page=2, page_size=50)
+
+
+@register("R1_stream_windowed_counts", """
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 5 minute, CAST(ts AS TIMESTAMP)) AS window_start, event_type AS path,
+         CASE WHEN event_type = 'error' THEN '5xx' ELSE '2xx' END AS status_class, count(*) AS n
+  FROM events GROUP BY 1, 2, 3)
+WHERE window_start + INTERVAL 5 minute <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL 10 minute
+""")
+def r1_stream_windowed_counts(spark, sf_dir):
+    """R1 as Structured Streaming: 5-minute event-time windows with a watermark,
+    append mode into parquet, read back. Append mode emits a window once the
+    watermark (latest event time - 10 min) has passed its end, so windows
+    still open when the input ends are not in the output."""
+    base = _scratch(spark, "counts")
+    _log(spark, sf_dir).coalesce(1).write.parquet(f"{base}/in")
+    schema = "ts timestamp, client string, path string, status int, seq long"
+    src = spark.readStream.schema(schema).parquet(f"{base}/in")
+    q = (rl.windowed_counts(src, "5 minutes", watermark="10 minutes").writeStream
+         .outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
