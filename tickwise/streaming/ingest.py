@@ -70,14 +70,28 @@ class IngestBatch:
             invalid = batch.filter(F.col("error").isNotNull())
             # the target is partitioned by year: joining on year as well lets
             # dynamic partition pruning read only the years present in the batch
-            existing = read_or_empty(spark, self.target, PRICE_SCHEMA + ", year int")
+            existing = read_or_empty(spark, self.target,
+                                     PRICE_SCHEMA + ", ingest_epoch long, year int")
             batch_rows = valid.drop("raw", "error").withColumn("year", F.year("timestamp"))
             new = insert_if_absent(batch_rows, existing, KEYS + ["year"], ["_src", "_seq"])
-            new = new.drop("_src", "_seq", "year").persist()
-            inserted = new.count()
-            if inserted:
+            new = (new.drop("_src", "_seq", "year")
+                   .withColumn("ingest_epoch", F.lit(epoch_id).cast("long")).persist())
+            # Rows stored by an earlier attempt of this epoch still count as its
+            # inserts. Only a replayed epoch can have any: an attempt marker is
+            # written before appending, and only then is the target counted,
+            # limited to the year partitions the batch touches.
+            marker = f"{self.stats}/_attempts/epoch={epoch_id}"
+            prior = 0
+            if _exists(spark, marker):
+                years = [r[0] for r in batch_rows.select("year").distinct().collect()]
+                prior = existing.filter(F.col("year").isin(years)
+                                        & (F.col("ingest_epoch") == epoch_id)).count()
+            added = new.count()
+            if added:
+                spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("overwrite").parquet(marker)
                 append_partitioned(new, self.target)
             new.unpersist()
+            inserted = prior + added
             c = batch.agg(F.count_if(F.col("error").isNull()).alias("ok"),
                           F.count_if(F.col("error").isNotNull()).alias("bad")).collect()[0]
             consumed, errors = int(c["ok"]), int(c["bad"])
@@ -91,6 +105,13 @@ class IngestBatch:
             batch.unpersist()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Metadata check through the Hadoop file system of the path (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_ingest(stream: DataFrame, target: str, dead_letter: str, stats: str,
                checkpoint: str, available_now: bool = True):
     """Start the query (``availableNow`` drains what is there and stops)."""
