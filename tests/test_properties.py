@@ -22,8 +22,10 @@ def test_limiters_equal_per_key_loop(spark, hits, max_requests, window):
     rows = [(base + dt.timedelta(seconds=s), f"c{k}", "/p", 200, i) for i, (k, s) in enumerate(hits)]
     log = spark.createDataFrame(rows, "ts timestamp, client string, path string, status int, seq long")
     pdf = pd.DataFrame(rows, columns=["ts", "client", "path", "status", "seq"])
+    from tickwise.operators.fixed_window import fixed_window_limit_parallel
     for spark_fn, ref_fn in ((sliding_log_limit, sliding_log_decisions),
-                             (fixed_window_limit, fixed_window_decisions)):
+                             (fixed_window_limit, fixed_window_decisions),
+                             (fixed_window_limit_parallel, fixed_window_decisions)):
         got = {r["seq"]: r["rejected"] for r in spark_fn(log, max_requests, window).collect()}
         want = {}
         for _, g in pdf.groupby("client"):

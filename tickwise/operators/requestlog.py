@@ -117,9 +117,25 @@ def _limit(log: DataFrame, state_cls, max_requests: int, window: float) -> DataF
     return src.mapInPandas(scan, LIMIT_SCHEMA)
 
 
+HOT_KEY_ROWS = 5_000_000
+
+
 def fixed_window_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
-                       window_seconds: float = DEFAULT_WINDOW_SECONDS) -> DataFrame:
-    """R2 for every (path, client); rejected hits get status 429."""
+                       window_seconds: float = DEFAULT_WINDOW_SECONDS,
+                       hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """R2 for every (path, client); rejected hits get status 429.
+
+    The largest key is measured first (one grouped count). Up to
+    ``hot_key_rows`` hits per key the key-ordered scan is used; beyond it the
+    exact parallel version (``fixed_window.fixed_window_limit_parallel``), so
+    a hot client is never a single task. ``hot_key_rows=0`` forces the
+    parallel path, ``None`` the scan.
+    """
+    if hot_key_rows is not None:
+        top = log.groupBy("path", "client").count().agg(F.max("count")).collect()[0][0]
+        if top is not None and top > hot_key_rows:
+            from tickwise.operators.fixed_window import fixed_window_limit_parallel
+            return fixed_window_limit_parallel(log, max_requests, window_seconds)
     return _limit(log, _FixedState, max_requests, window_seconds)
 
 

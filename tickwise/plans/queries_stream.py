@@ -158,6 +158,16 @@ def r2_fixed_window_limit(spark, sf_dir):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@register("R2_fixed_window_limit_parallel", _R2_SQL + f"""
+SELECT path, client, CAST(ts AS TIMESTAMP) AS ts, seq, CASE WHEN cnt > {R_MAX} THEN 429 ELSE status END AS status,
+       cnt > {R_MAX} AS rejected FROM r
+""")
+def r2_fixed_window_limit_parallel(spark, sf_dir):
+    """R2 through the exact parallel path (pointer doubling over window anchors)."""
+    out = rl.fixed_window_limit(_log(spark, sf_dir), R_MAX, R_WINDOW, hot_key_rows=0)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @register("R1_request_counters", _R3_SQL + """,
 lim AS (SELECT path, CASE WHEN rejected THEN 429 ELSE status END AS status FROM r)
 SELECT 'requests_total' AS metric, '' AS label, count(*) AS value FROM lim
