@@ -46,3 +46,19 @@ def test_no_cartesian_products(spark):
                  "J18_backtest_rule"):
         plan = q[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_halo_blocks_bound_partition_size(spark):
+    """One ticker with 20k rows: every (ticker, block) partition holds at most
+    block_rows + halo rows, and each row is home exactly once."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from conftest import series_df
+    from tickwise.operators.series import halo_blocks, number_rows
+    n, block, halo = 20000, 1024, 806
+    d = halo_blocks(number_rows(series_df(spark, np.arange(n) + 1.0, "HOT")), halo, block, lead=1)
+    sizes = d.groupBy("ticker", "_blk").count()
+    assert sizes.count() == -(-n // block)
+    assert sizes.agg(F.max("count")).collect()[0][0] <= block + halo + 1
+    home = d.filter("_home").agg(F.count(F.lit(1)), F.countDistinct("rn"), F.min("rn"), F.max("rn")).collect()[0]
+    assert tuple(home) == (n, n, 0, n - 1)

@@ -68,8 +68,12 @@ def halo_blocks(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS,
     home_blk = F.floor(F.col(RN) / block_rows).cast("long")
     pos = (F.col(RN) - home_blk * block_rows).cast("int")
     reach = -(-halo // block_rows)  # blocks a row can be copied forward into
+    # never copy past the key's last block (it would hold halo rows only)
+    last_blk = (F.floor((F.col(N) - 1) / block_rows).cast("long") if N in df.columns
+                else F.lit(None).cast("long"))
     fwd = (F.transform(F.filter(F.sequence(F.lit(1), F.lit(reach)),
-                                lambda j: pos >= j * block_rows - halo),
+                                lambda j: (pos >= j * block_rows - halo)
+                                & F.coalesce(home_blk + j <= last_blk, F.lit(True))),
                        lambda j: home_blk + j.cast("long"))
            if reach > 0 else F.array().cast("array<long>"))
     prv = F.when((F.lit(lead) > 0) & (pos < lead) & (home_blk > 0), F.array(home_blk - 1))
