@@ -199,3 +199,12 @@ def test_sentiment_placeholder_and_lexicon(spark):
     m = {r["doc_id"]: r for r in model_sentiment(df).collect()}
     assert m[1]["label"] == "positive" and m[1]["negative"] == 0.0
     assert m[2]["label"] == "negative" and m[3]["label"] == "neutral"
+
+
+def test_next_day_target_default_and_legacy(spark):
+    from tickwise.operators.series import halo_blocks, home_only, number_rows
+    from tickwise.operators.training import add_target
+    layout = halo_blocks(number_rows(series_df(spark, [1, 2, 3])), halo=0, lead=1)
+    default = [r["target"] for r in home_only(add_target(layout)).orderBy("timestamp").collect()]
+    legacy = [r["target"] for r in home_only(add_target(layout, legacy_last_row=True)).orderBy("timestamp").collect()]
+    assert default == [1, 1, None] and legacy == [1, 1, 0]
