@@ -208,3 +208,19 @@ def test_next_day_target_default_and_legacy(spark):
     default = [r["target"] for r in home_only(add_target(layout)).orderBy("timestamp").collect()]
     legacy = [r["target"] for r in home_only(add_target(layout, legacy_last_row=True)).orderBy("timestamp").collect()]
     assert default == [1, 1, None] and legacy == [1, 1, 0]
+
+
+def test_paging_offset_keyset_and_unknown_ticker(spark):
+    from tickwise.operators.latest import page_after, page_newest_first
+    from tickwise.plans.serving import ticker_history
+    b = series_df(spark, range(1, 121), "AAA").withColumn("open", F.col("close")) \
+        .withColumn("high", F.col("close")).withColumn("low", F.col("close")).withColumn("volume", F.lit(1))
+    p2 = [r["close"] for r in page_newest_first(b, 2, 50).collect()]
+    assert p2 == [float(x) for x in range(70, 20, -1)]
+    first = page_newest_first(b, 1, 50).collect()
+    k2 = [r["close"] for r in page_after(b, first[-1]["timestamp"], 50).collect()]
+    assert k2 == p2
+    assert ticker_history(b, " aaa ", 3, 50).count() == 20
+    assert ticker_history(b, "aaa", 4, 50).count() == 0
+    with pytest.raises(LookupError):
+        ticker_history(b, "zzz", 1, 50)

@@ -55,6 +55,16 @@ def page_newest_first(df: DataFrame, page: int, page_size: int, ts: str = "times
     return df.orderBy(F.col(ts).desc()).offset((page - 1) * page_size).limit(page_size)
 
 
+def page_after(df: DataFrame, before, page_size: int, ts: str = "timestamp") -> DataFrame:
+    """F5 keyset pagination for deep pages: the ``page_size`` newest rows
+    strictly older than the cursor ``before`` (the last timestamp of the
+    previous page). Cost does not grow with the page number, unlike OFFSET."""
+    if not 1 <= page_size <= 500:
+        raise ValueError("1 <= page_size <= 500 required")
+    src = df if before is None else df.filter(F.col(ts) < F.lit(before))
+    return src.orderBy(F.col(ts).desc()).limit(page_size)
+
+
 def page_many(df: DataFrame, page: int, page_size: int, key: str = "ticker",
               ts: str = "timestamp") -> DataFrame:
     """F5 for every key at once.
@@ -91,4 +101,4 @@ def tail_rows(df_numbered: DataFrame, rows: int) -> DataFrame:
 
 
 __all__ = ["latest_per_key", "previous_close_before_global_max", "last_two",
-           "page_newest_first", "page_many", "arg_max", "ordered", "tail_rows", "Window"]
+           "page_newest_first", "page_after", "page_many", "arg_max", "ordered", "tail_rows", "Window"]

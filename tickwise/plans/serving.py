@@ -79,3 +79,16 @@ def chart_series(bars: DataFrame, page: int = 1, page_size: int = 500) -> DataFr
     return (history_page(bars, page, page_size)
             .select("ticker", F.col("timestamp").alias("date"), "close", "high", "low")
             .orderBy("ticker", "date"))
+
+
+def ticker_history(bars: DataFrame, ticker: str, page: int = 1, page_size: int = 50) -> DataFrame:
+    """K3 for one ticker (upper-cased): an empty first page means an unknown
+    ticker (``LookupError``); an empty later page is an empty result."""
+    from tickwise.operators.latest import page_newest_first
+    t = ticker.strip().upper()
+    p = page_newest_first(bars.filter(F.col("ticker") == t), page, page_size).select(
+        "timestamp", *[F.round(c, 4).alias(c) for c in ("open", "high", "low", "close")],
+        F.col("volume").cast("long").alias("volume"))
+    if page == 1 and not p.take(1):
+        raise LookupError(f"Ticker {t} not found")
+    return p
