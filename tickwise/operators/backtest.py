@@ -25,7 +25,7 @@ def rule_scorer(df: DataFrame) -> DataFrame:
 
     Probability = logistic((macd - signal) / close * 100), so UP <=> p > 0.5.
     """
-    z = (F.col("macd") - F.col("macd_signal")) / F.col("close") * 100.0
+    z = F.try_divide(F.col("macd") - F.col("macd_signal"), F.col("close")) * 100.0
     prob = 1.0 / (1.0 + F.exp(-z))
     return df.withColumn("y_prob", prob).withColumn("y_pred", (F.col("y_prob") > 0.5).cast("int"))
 
@@ -39,7 +39,7 @@ def backtest(frame: DataFrame, scorer=rule_scorer, days: int = BACKTEST_DAYS,
     scored = scorer(tail).withColumnRenamed("target", "y_true")
     w = Window.partitionBy(key).orderBy("rn")        # bounded: the 126-row tail
     nxt = F.lead("close", 1).over(w)
-    steps = (scored.withColumn("r", nxt / F.col("close") - 1.0)
+    steps = (scored.withColumn("r", F.try_divide(nxt, F.col("close")) - 1.0)
              .withColumn("s", F.col("r") * F.col("y_pred")))
     rets = steps.filter(F.col("r").isNotNull())
     cls = confusion_metrics(scored, [key])

@@ -126,7 +126,7 @@ def zscore_outliers(df: DataFrame, group: list[str], features: list[str],
     stats = long.groupBy(*group, "feature").agg(F.avg("x").alias("_m"),
                                                 F.stddev_samp("x").alias("_s"),
                                                 F.count("x").alias("_n"))
-    z = F.abs((F.col("x") - F.col("_m")) / F.col("_s"))
+    z = F.abs(F.try_divide(F.col("x") - F.col("_m"), F.col("_s")))
     hit = F.when((F.col("_s") > 0) & (z > threshold), 1).otherwise(0)
     j = long.join(stats, group + ["feature"])
     agg = j.groupBy(*group, "feature").agg(F.sum(hit).alias("outlier_count"),

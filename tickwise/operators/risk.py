@@ -58,7 +58,7 @@ def recent_returns(bars: DataFrame, days: int = TRADING_DAYS, key: str = "ticker
     """
     d = halo_blocks(number_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")),
                                 key, ts), halo=1)
-    d = d.withColumn("r", F.col("close") / F.lag("close", 1).over(block_window(key)) - 1.0)
+    d = d.withColumn("r", F.try_divide(F.col("close"), F.lag("close", 1).over(block_window(key))) - 1.0)
     d = home_only(d)
     m = F.least(F.col("n") - 1, F.lit(days))
     return (d.filter((F.col("rn") >= F.col("n") - m) & (F.col("rn") >= 1))
@@ -83,7 +83,7 @@ def drawdown_curve(df: DataFrame, group: list[str], order: str, r: str = "r") ->
     w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (df.withColumn("equity", F.product(1.0 + F.col(r)).over(w))
             .withColumn("peak", F.max("equity").over(w))
-            .withColumn("drawdown", (F.col("equity") - F.col("peak")) / F.col("peak")))
+            .withColumn("drawdown", F.try_divide(F.col("equity") - F.col("peak"), F.col("peak"))))
 
 
 def sharpe(r: Column) -> Column:
