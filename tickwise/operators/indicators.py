@@ -49,10 +49,8 @@ def layout(bars: DataFrame, key: str = "ticker", ts: str = "timestamp", price: s
 def add_lag_returns(d: DataFrame, lags=None, key: str = "ticker") -> DataFrame:
     """``return_{k}d`` = close / close k rows back - 1."""
     w = block_window(key)
-    for k in (lags or DEFAULT_LAGS):
-        d = d.withColumn(f"return_{k}d",
-                         F.try_divide(F.col("close"), F.lag("close", k).over(w)) - 1.0)
-    return d
+    return d.withColumns({f"return_{k}d": F.try_divide(F.col("close"), F.lag("close", k).over(w)) - 1.0
+                          for k in (lags or DEFAULT_LAGS)})
 
 
 def add_sma(d: DataFrame, rows: int, name: str, key: str = "ticker") -> DataFrame:
@@ -67,8 +65,8 @@ def add_bollinger(d: DataFrame, rows: int = 20, num_std: float = 2.0,
     fr = trailing(key, rows)
     cnt = F.count("close").over(fr)
     mid, sd = F.avg("close").over(fr), F.stddev_samp("close").over(fr)
-    return (d.withColumn("bollinger_upper", gated(mid + num_std * sd, cnt, rows))
-            .withColumn("bollinger_lower", gated(mid - num_std * sd, cnt, rows)))
+    return d.withColumns({"bollinger_upper": gated(mid + num_std * sd, cnt, rows),
+                          "bollinger_lower": gated(mid - num_std * sd, cnt, rows)})
 
 
 def add_volatility(d: DataFrame, rows: int = 20, key: str = "ticker") -> DataFrame:
@@ -88,8 +86,8 @@ def add_ewm(d: DataFrame, specs: list[Ewm], halo: int, key: str = "ticker",
 
 def _rsi_inputs(d: DataFrame, key: str) -> DataFrame:
     delta = F.col("close") - F.lag("close", 1).over(block_window(key))
-    return (d.withColumn("_gain", F.when(delta > 0, delta).otherwise(F.lit(0.0)))
-            .withColumn("_loss", F.when(delta < 0, -delta).otherwise(F.lit(0.0))))
+    return d.withColumns({"_gain": F.when(delta > 0, delta).otherwise(F.lit(0.0)),
+                          "_loss": F.when(delta < 0, -delta).otherwise(F.lit(0.0))})
 
 
 def _rsi_specs(period: int) -> list[Ewm]:
@@ -113,8 +111,8 @@ def _macd_finish(d: DataFrame, slow: int, signal: int, key: str, halo: int,
     d = d.withColumn("_macd", F.col("_ema_fast") - F.col("_ema_slow"))
     d = ewm_pass(d, [Ewm("_macd_sig", "_macd", span_alpha(signal))], key, halo, block_rows)
     enough = F.col(N) >= slow
-    return (d.withColumn("macd", F.when(enough, F.col("_macd")))
-            .withColumn("macd_signal", F.when(enough, F.col("_macd_sig")))
+    return (d.withColumns({"macd": F.when(enough, F.col("_macd")),
+                           "macd_signal": F.when(enough, F.col("_macd_sig"))})
             .drop("_ema_fast", "_ema_slow", "_macd", "_macd_sig"))
 
 
@@ -153,8 +151,10 @@ def add_indicators(d: DataFrame, lags=None, key: str = "ticker",
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every indicator column on a layout built with ``MAX_HALO``."""
     d = add_lag_returns(d, lags, key)
-    d = add_sma(d, 50, "sma_50", key)
-    d = add_sma(d, 200, "sma_200", key)
+    f50, f200 = trailing(key, 50), trailing(key, 200)
+    d = d.withColumns({
+        "sma_50": gated(F.avg("close").over(f50), F.count("close").over(f50), 50),
+        "sma_200": gated(F.avg("close").over(f200), F.count("close").over(f200), 200)})
     d = add_bollinger(d, key=key)
     d = add_volatility(d, key=key)
     # RSI and MACD share the first exponential-mean pass (four means, one scan)

@@ -86,14 +86,15 @@ def ewm_pass(d: DataFrame, specs: list[Ewm], key: str, halo: int, block_rows: in
     start = F.greatest(F.col(BLK) * block_rows - halo, F.lit(0))
     q = (F.col(RN) - start).cast("double")
     running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
+    cols = {}
     for s in specs:
         if s.a == 0.0:
-            d = d.withColumn(s.out, F.col(s.src))
+            cols[s.out] = F.col(s.src)
             continue
         b = F.when(F.col(RN) == 0, F.col(s.src)).otherwise(F.lit(s.alpha) * F.col(s.src))
         scaled = b * F.pow(F.lit(s.a), -q)
-        d = d.withColumn(s.out, F.pow(F.lit(s.a), q) * F.sum(scaled).over(running))
-    return d
+        cols[s.out] = F.pow(F.lit(s.a), q) * F.sum(scaled).over(running)
+    return d.withColumns(cols)
 
 
 __all__ = ["Ewm", "span_alpha", "memory_rows", "chain_halo", "ewm_pass", "HOME"]
