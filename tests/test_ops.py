@@ -224,3 +224,19 @@ def test_paging_offset_keyset_and_unknown_ticker(spark):
     assert ticker_history(b, "aaa", 4, 50).count() == 0
     with pytest.raises(LookupError):
         ticker_history(b, "zzz", 1, 50)
+
+
+def test_prep_fixes_infinite_and_imputes(spark):
+    from tickwise.operators.prep import prepare_folds
+    inf = float("inf")
+    xs = [1.0, inf, 3.0, None, 5.0, 6.0]
+    rows = [("T", 0, "train", i, x, 0) for i, x in enumerate(xs)] + [("T", 0, "test", 6, None, 1)]
+    df = spark.createDataFrame(rows, "ticker string, fold int, split string, rn long, x double, target int") \
+        .withColumn("timestamp", F.timestamp_seconds(F.col("rn") * 86400))
+    out, counts = prepare_folds(df, ["x"], cap=False, scale=False)
+    got = {r["rn"]: r["x"] for r in out.collect()}
+    # inf -> NULL, then forward fill (1 -> rn1, 3 -> rn3); the test split uses the train median
+    assert [got[i] for i in range(6)] == [1.0, 1.0, 3.0, 3.0, 5.0, 6.0]
+    assert got[6] == 3.0
+    c = counts.collect()[0]
+    assert c["imputed_values_train"] == 1 and c["imputed_values_test"] == 1

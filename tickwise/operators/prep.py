@@ -45,7 +45,7 @@ def fix_infinite(df: DataFrame, cols: list[str], group) -> DataFrame:
     keep = [c for c in df.columns if c not in cols]
     first = []
     for c in cols:
-        is_inf = F.abs(F.col(c)) == float("inf")
+        is_inf = F.coalesce(F.abs(F.col(c)) == float("inf"), F.lit(False))
         first += [F.when(is_inf, F.lit(None).cast("double")).otherwise(F.col(c)).alias(c),
                   is_inf.cast("int").alias(f"_inf_{c}"),
                   F.max(F.when(is_train, is_inf.cast("int"))).over(w).alias(f"_htr_{c}"),
@@ -132,8 +132,18 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
     group = list(group)
     d = folds.select(*group, "split", "rn", "timestamp", *[F.col(c).cast("double").alias(c) for c in cols],
                      "target")
-    d = fix_infinite(d, cols, group)
-    d = impute(d, cols, group, "median", leaky_test_impute)
+    # One aggregate row decides which columns need the fill / impute windows;
+    # columns without +-inf or NULL skip them (their counts are 0).
+    flags = d.agg(*[F.max((F.abs(F.col(c)) == float("inf")).cast("int")).alias(f"i_{c}") for c in cols],
+                  *[F.max(F.col(c).isNull().cast("int")).alias(f"n_{c}") for c in cols]).collect()[0]
+    with_inf = [c for c in cols if flags[f"i_{c}"]]
+    with_gaps = [c for c in cols if flags[f"n_{c}"] or c in with_inf]
+    if with_inf:
+        d = fix_infinite(d, with_inf, group)
+    if with_gaps:
+        d = impute(d, with_gaps, group, "median", leaky_test_impute)
+    d = d.withColumns({**{f"_inf_{c}": F.lit(0) for c in cols if c not in with_inf},
+                       **{f"_miss_{c}": F.lit(0) for c in cols if c not in with_gaps}})
     inf_cols = [f"_inf_{c}" for c in cols]
     miss_cols = [f"_miss_{c}" for c in cols]
     # Identical train rows (all columns) -> keep the first. A grouped
