@@ -30,13 +30,33 @@ def _bucket(v: Column, lo: Column, hi: Column, k: int) -> Column:
     return F.when(width > 0, F.least(raw, F.lit(k - 1))).otherwise(F.lit(0)).cast("int")
 
 
+SMALL_GROUP_ROWS = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
-                    buckets: int = BUCKETS) -> DataFrame:
-    """Rows (group..., p, quantile) with linear interpolation; NULL/NaN ignored."""
+                    buckets: int = BUCKETS, small_group_rows: int | None = SMALL_GROUP_ROWS) -> DataFrame:
+    """Rows (group..., p, quantile) with linear interpolation; NULL/NaN ignored.
+
+    The largest group is measured first (one grouped count): when every group
+    holds at most ``small_group_rows`` values, Spark's exact ``percentile``
+    (one partial/final aggregation) is used; otherwise the distributed
+    selection below, which never gathers a group in one task.
+    ``small_group_rows=None`` forces the distributed path.
+    """
     group = list(group or [])
     gk = group or []
     v = F.col(value).cast("double")
     base = df.select(*gk, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if small_group_rows is not None:
+        sizes = base.groupBy(*gk).count() if gk else base.groupBy().count()
+        top = sizes.agg(F.max("count")).collect()[0][0]
+        if top is None or top <= small_group_rows:
+            ps = [float(p) for p in probs]
+            agg = (base.groupBy(*gk) if gk else base.groupBy()).agg(
+                F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("_q"))
+            return agg.select(*gk, F.posexplode("_q").alias("_i", "quantile")).select(
+                *gk, F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("_i") + 1).alias("p"),
+                "quantile")
     if not gk:
         base = base.withColumn("_g", F.lit(0))
         gk = ["_g"]
