@@ -142,6 +142,10 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
         d = fix_infinite(d, with_inf, group)
     if with_gaps:
         d = impute(d, with_gaps, group, "median", leaky_test_impute)
+    if not with_inf and not with_gaps:
+        # no window ran yet: partition by the group once, so the de-dup
+        # aggregate and every later window reuse this single exchange
+        d = d.repartition(*group)
     d = d.withColumns({**{f"_inf_{c}": F.lit(0) for c in cols if c not in with_inf},
                        **{f"_miss_{c}": F.lit(0) for c in cols if c not in with_gaps}})
     inf_cols = [f"_inf_{c}" for c in cols]

@@ -320,7 +320,8 @@ WITH {BARS_CTE}
 SELECT timestamp, open, high, low, close, volume FROM bars WHERE ticker = '1-URGENT'
 """)
 def a5_keyed_scan(spark, sf_dir):
-    return loaders.series_for(bars(spark, sf_dir), "1-URGENT").drop("ticker")
+    # one ticker: keep the view lazy so the key filter reaches the orders scan
+    return loaders.series_for(bars(spark, sf_dir, materialized=False), "1-URGENT").drop("ticker")
 
 
 @register("A6_G2_distinct_tickers", f"""
@@ -438,7 +439,7 @@ ORDER BY timestamp DESC LIMIT 50 OFFSET 50
 def f5_page_one_ticker(spark, sf_dir):
     """F5 for one ticker: page 2 of 50, newest first (top-k with offset)."""
     from tickwise.operators.latest import page_newest_first
-    b = bars(spark, sf_dir).filter(F.col("ticker") == "2-HIGH")
+    b = bars(spark, sf_dir, materialized=False).filter(F.col("ticker") == "2-HIGH")
     return page_newest_first(b, page=2, page_size=50)
 
 

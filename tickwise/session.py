@@ -79,3 +79,31 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 executor_memory_gb: float, target_partition_mb: int = 256) -> dict:
+    """Size shuffle and scan partitions for a cluster run.
+
+    * scan splits of ``target_partition_mb`` (``spark.sql.files.maxPartitionBytes``);
+    * shuffle partitions so that one partition is about ``target_partition_mb``
+      of input, at least 3 waves over all cores, and a multiple of the core count;
+    * AQE coalesces small partitions back to the same advisory size and splits
+      skewed ones (> 5x median and > 1 GiB);
+    * broadcast threshold stays small relative to executor memory, since AQE
+      applies it to *measured* sizes.
+    """
+    cores = executors * cores_per_executor
+    by_size = -(-input_bytes // (target_partition_mb << 20))
+    parts = max(3 * cores, by_size)
+    parts = -(-parts // cores) * cores
+    broadcast_mb = max(10, min(512, int(executor_memory_gb * 1024 * 0.02)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+    }

@@ -48,8 +48,23 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def bars(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    """OHLCV bars (ticker, timestamp, open, high, low, close, volume)."""
+def bars(spark: SparkSession, sf_dir: str, wide: bool = False,
+         materialized: bool = True) -> DataFrame:
+    """OHLCV bars (ticker, timestamp, open, high, low, close, volume).
+
+    The view stands in for the stored price table, so by default it is
+    materialized once (reliable checkpoint: one row per ticker-day): plans
+    that use the bars several times read that instead of scanning and
+    aggregating ``orders`` again.
+    """
+    df = _bar_view(spark, sf_dir, wide)
+    if not materialized:
+        return df
+    from tickwise.session import materialize
+    return materialize(df)
+
+
+def _bar_view(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     if not wide:
