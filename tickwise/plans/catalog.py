@@ -50,9 +50,23 @@ def _load_all() -> None:
     from tickwise.plans import queries_stream  # noqa: F401
 
 
+def _prepared(fn):
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tickwise.session import apply_conventions, ship_package
+        apply_conventions(spark)
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Registered queries; each first applies the session conventions (UTC)
+    and ships the package to the Python workers."""
     _load_all()
-    return dict(QUERIES)
+    return {name: _prepared(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

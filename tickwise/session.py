@@ -41,6 +41,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conventions(spark)
+    ship_package(spark)
     return spark
 
 
@@ -107,3 +108,29 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
         "spark.sql.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    Functions passed to ``applyInPandas``/``mapInPandas`` are pickled by
+    reference to this package, so every executor needs it. The package is
+    zipped once per SparkContext and distributed with ``addPyFile`` (Spark's
+    file server ships it to each executor), whatever the driver's working
+    directory is.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tickwise_shipped", False):
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tickwise-pkg-")
+    zip_path = os.path.join(out_dir, "tickwise.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zip_path)
+    sc._tickwise_shipped = True
