@@ -42,7 +42,7 @@ def test_training_and_risk_have_no_whole_series_window(spark):
 def test_no_cartesian_products(spark):
     from __spark_entry__ import queries
     q = queries()
-    for name in ("K1_latest_prices", "K4_portfolio_risk", "K5_pipeline_status", "D6_quality_gate",
+    for name in ("K1_latest_prices", "K4_portfolio_risk", "K5_health_status", "D6_quality_gate",
                  "J18_backtest_rule"):
         plan = q[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

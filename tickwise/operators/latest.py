@@ -6,7 +6,7 @@ mapper, one row per key after the shuffle, no sort of the key's history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -101,4 +101,4 @@ def tail_rows(df_numbered: DataFrame, rows: int) -> DataFrame:
 
 
 __all__ = ["latest_per_key", "previous_close_before_global_max", "last_two",
-           "page_newest_first", "page_after", "page_many", "arg_max", "ordered", "tail_rows", "Window"]
+           "page_newest_first", "page_after", "page_many", "arg_max", "ordered", "tail_rows"]

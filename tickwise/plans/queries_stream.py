@@ -405,7 +405,7 @@ def k8_chart_series(spark, sf_dir):
     return serving.chart_series(bars(spark, sf_dir))
 
 
-@register("K5_pipeline_status", f"""
+@register("K5_health_status", f"""
 WITH {BARS_CTE},
 c AS (SELECT count(*) AS n, max(timestamp) AS last FROM bars),
 h AS (SELECT n, last, round((epoch_us(TIMESTAMP '2001-08-03 12:00:00') - epoch_us(last)) / 3.6e9, 1) AS hours FROM c)
@@ -416,12 +416,12 @@ SELECT CASE WHEN n = 0 THEN 'failed' ELSE 'degraded' END AS status, last AS last
                  CASE WHEN n = 0 THEN 'No price data in database' END, 'No active model') AS message
 FROM h
 """)
-def k5_pipeline_status(spark, sf_dir):
+def k5_health_status(spark, sf_dir):
     """K5 over bars, an empty predictions table and an empty registry."""
-    from tickwise.plans.status import pipeline_status
+    from tickwise.plans.status import health_status
     empty_pred = spark.createDataFrame([], "ticker string, timestamp timestamp")
     empty_reg = spark.createDataFrame([], "model_name string, version string, f1 double, is_active boolean")
-    return pipeline_status(bars(spark, sf_dir), empty_pred, empty_reg, "2001-08-03 12:00:00")
+    return health_status(bars(spark, sf_dir), empty_pred, empty_reg, "2001-08-03 12:00:00")
 
 
 @register("K9_daily_job")

@@ -1,4 +1,4 @@
-"""K5 pipeline status: table counts, freshness, active model, status ladder."""
+"""K5 health status: table counts, freshness, active model, status ladder."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 STALE_HOURS = 48
 
 
-def pipeline_status(prices: DataFrame, predictions: DataFrame, registry: DataFrame,
+def health_status(prices: DataFrame, predictions: DataFrame, registry: DataFrame,
                     now, ts: str = "timestamp") -> DataFrame:
     """One row: status, last_data_update, data_freshness_hours, row counts,
     active_model, message. ``degraded`` when data is older than 48 h or no
