@@ -286,18 +286,20 @@ def a2_period_filter(spark, sf_dir):
 
 
 @register("A3_macro_series", """
-SELECT l_returnflag AS series_id, CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'N' THEN 'None' END AS name,
+SELECT l_returnflag AS series_id,
+       CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'N' THEN 'None' WHEN 'R' THEN 'Returned' END AS name,
        l_shipdate AS timestamp, round(l_discount, 6) AS value
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_discount IS NOT NULL AND NOT isnan(l_discount)
-  AND l_returnflag IN ('A', 'N')
+  AND l_returnflag IN ('A', 'N', 'R')
 """)
 def a3_macro_series(spark, sf_dir):
-    """A3 with a stand-in raw series (return flag -> discount by ship date) and an
-    id->name list that omits one series."""
+    """A3 with a stand-in raw series (return flag -> discount by ship date) and
+    the id->name list of all three series."""
     raw = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("series_id"), F.col("l_shipdate").alias("timestamp"),
         F.col("l_discount").alias("value"))
-    names = spark.createDataFrame([("A", "Accepted"), ("N", "None")], "series_id string, name string")
+    names = spark.createDataFrame([("A", "Accepted"), ("N", "None"), ("R", "Returned")],
+                                  "series_id string, name string")
     return loaders.load_macro_series(raw, names, "1995-01-01")
 
 
