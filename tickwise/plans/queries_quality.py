@@ -314,7 +314,52 @@ def d20_zscore_outliers(spark, sf_dir):
     return eda.zscore_outliers(_train(spark, sf_dir), ["ticker"], _DIST_FEATS)
 
 
-@register("D21_eda_report")
+def _d21_sql() -> str:
+    miss_cols = [c for c in TRAIN_COLS if c != "ticker"]
+    miss = "\nUNION ALL ".join(
+        f"SELECT ticker, 'missing' AS section, '{c}' AS item, 'missing_count' AS metric, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS value FROM train GROUP BY ticker "
+        f"UNION ALL SELECT ticker, 'missing', '{c}', 'missing_pct', "
+        f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) FROM train GROUP BY ticker"
+        for c in miss_cols)
+    dist_metrics = {"mean": "round(avg(x), 6)", "std": "round(stddev_samp(x), 6)", "min": "round(min(x), 6)",
+                    "max": "round(max(x), 6)", "median": "round(quantile_cont(x, 0.5), 6)",
+                    "skewness": "round(skewness(x), 4)", "kurtosis": "round(kurtosis(x), 4)",
+                    "range": "round(max(x) - min(x), 6)"}
+    dist = "\nUNION ALL ".join(
+        f"SELECT ticker, 'distribution', feature, '{m}', {e} FROM lf WHERE x IS NOT NULL GROUP BY ticker, feature"
+        for m, e in dist_metrics.items())
+    feats = ", ".join(_DIST_FEATS)
+    return f"""
+WITH RECURSIVE {FEATURES_CTE},
+lf AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN ({feats}))),
+st AS (SELECT ticker, feature, avg(x) AS m, stddev_samp(x) AS s, count(x) AS n FROM lf GROUP BY 1, 2),
+oc AS (SELECT lf.ticker, lf.feature,
+              sum(CASE WHEN st.s > 0 AND abs((lf.x - st.m) / st.s) > 3 THEN 1 ELSE 0 END) AS k, max(st.n) AS n
+       FROM lf JOIN st ON lf.ticker = st.ticker AND lf.feature = st.feature GROUP BY 1, 2),
+dup AS (SELECT ticker, sum(c) AS total, sum(c - 1) AS d FROM (SELECT *, count(*) AS c FROM train GROUP BY ALL) GROUP BY 1),
+cb AS (SELECT ticker, count(*) FILTER (WHERE target = 1) AS up, count(*) FILTER (WHERE target = 0) AS down,
+              count(*) AS n FROM train GROUP BY 1)
+SELECT ticker, 'summary' AS section, CAST(NULL AS VARCHAR) AS item, 'total_rows' AS metric,
+       CAST(count(*) AS DOUBLE) AS value FROM train GROUP BY ticker
+UNION ALL {miss}
+UNION ALL SELECT ticker, 'duplicates', NULL, 'total_rows', total FROM dup
+UNION ALL SELECT ticker, 'duplicates', NULL, 'duplicate_rows', d FROM dup
+UNION ALL SELECT ticker, 'duplicates', NULL, 'unique_rows', total - d FROM dup
+UNION ALL SELECT ticker, 'duplicates', NULL, 'duplicate_pct', round(d * 100.0 / total, 2) FROM dup
+UNION ALL SELECT ticker, 'class_balance', NULL, 'up_days', up FROM cb
+UNION ALL SELECT ticker, 'class_balance', NULL, 'down_days', down FROM cb
+UNION ALL SELECT ticker, 'class_balance', NULL, 'up_pct', round(up * 100.0 / n, 2) FROM cb
+UNION ALL SELECT ticker, 'class_balance', NULL, 'down_pct', round(down * 100.0 / n, 2) FROM cb
+UNION ALL SELECT ticker, 'class_balance', NULL, 'balance_ratio',
+       round(coalesce(least(up, down)::DOUBLE / nullif(greatest(up, down), 0), 0), 4) FROM cb
+UNION ALL {dist}
+UNION ALL SELECT ticker, 'outliers', feature, 'outlier_count', k FROM oc
+UNION ALL SELECT ticker, 'outliers', feature, 'outlier_pct', round(coalesce(k * 100.0 / nullif(n, 0), 0), 2) FROM oc
+"""
+
+
+@register("D21_eda_report", _d21_sql())
 def d21_eda_report(spark, sf_dir):
     """The composed long-form report (sections of D15-D20) per ticker."""
     return eda.eda_report(_train(spark, sf_dir), ["ticker"], _DIST_FEATS)
