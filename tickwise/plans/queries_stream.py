@@ -237,7 +237,22 @@ def l1_neutral_sentiment(spark, sf_dir):
     return se.neutral_sentiment(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@register("L2_lexicon_sentiment_labels")
+def _l2_sql() -> str:
+    pos = ", ".join(f"'{w}'" for w in sorted(se.POSITIVE_WORDS))
+    neg = ", ".join(f"'{w}'" for w in sorted(se.NEGATIVE_WORDS))
+    return f"""
+WITH w AS (SELECT doc_id, lang, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') AS ws FROM documents),
+c AS (SELECT lang, len(ws) AS nw, len(list_filter(ws, lambda x: list_contains([{pos}], x))) AS p,
+             len(list_filter(ws, lambda x: list_contains([{neg}], x))) AS q FROM w),
+l AS (SELECT lang, CASE WHEN p > q THEN 'positive' WHEN q > p THEN 'negative' ELSE 'neutral' END AS label,
+             CASE WHEN p > q THEN p / greatest(nw, 1) ELSE 0.0 END AS positive,
+             CASE WHEN q > p THEN q / greatest(nw, 1) ELSE 0.0 END AS negative FROM c)
+SELECT lang, label, count(*) AS n, round(sum(positive), 6) AS positive, round(sum(negative), 6) AS negative
+FROM l GROUP BY 1, 2
+"""
+
+
+@register("L2_lexicon_sentiment_labels", _l2_sql())
 def l2_lexicon_sentiment(spark, sf_dir):
     """L2 over every document (whole texts): label counts per language."""
     docs = table(spark, sf_dir, "documents")
