@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, decontaminate, linededup, packing, quality, simhash, toxicity
+from tickwise.llm import ann, chat, decontaminate, linededup, packing, quality, simhash, toxicity
 from tickwise.llm.common import prepare, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op6(spark, sf_dir):
                        F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@register("op7_nearest_neighbours")
+def op7(spark, sf_dir):
+    """The 20 nearest of every vector whose id is divisible by 20, among all vectors."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 # html to lines: the same patterns in both languages
 _DROP = r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->"
 _BREAK = r"(?i)<(br|/p|/li|/h[1-6]|/div|/title|/nav|/ul|/article|/tr|/td)\b[^>]*>"
