@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import ann, chat, decontaminate, linededup, packing, quality, simhash, toxicity
+from tickwise.llm import ann, chat, decontaminate, linededup, packing, pst, quality, simhash, toxicity
 from tickwise.llm.common import prepare, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_suffix_tree")
+def op1(spark, sf_dir):
+    """Log10 probability of every document; documents of the fold crc32 mod 5 = 1 are not learnt from."""
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    return pst.score(_table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op2_packing")
 def op2(spark, sf_dir):
     """Pieces of all documents along the curve; digest of each piece's ids."""
