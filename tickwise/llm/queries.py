@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import ann, chat, decontaminate, linededup, packing, pst, quality, simhash, toxicity
+from tickwise.llm import ann, chat, decontaminate, licenses, linededup, packing, pst, quality, simhash, toxicity
 from tickwise.llm.common import prepare, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,24 @@ def chat_events(rows: DataFrame) -> DataFrame:
             .select("conv_id", (F.coalesce("turn", F.lit(-1)) * 8 + F.col("k")).alias("seq"), "e.kind", "message", "role", "e.text"))
 
 
+def files_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, path, text): documents as files of source trees, placed by their ids; every 20th file is
+    its package's LICENSE, every 200th its library's."""
+    part = lambda name, n: F.concat(F.lit(name), F.floor(F.col("doc_id") / n))
+    library = F.concat_ws("/", F.coalesce("source", F.lit("")), part("vol", 20000), part("lib", 200))
+    package = F.concat_ws("/", library, part("pkg", 20))
+    path = (F.when(F.col("doc_id") % 200 == 0, F.concat(library, F.lit("/LICENSE")))
+            .when(F.col("doc_id") % 20 == 0, F.concat(package, F.lit("/LICENSE")))
+            .otherwise(F.concat(package, F.lit("/f"), F.col("doc_id"), F.lit(".txt"))))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+@register("op5_licence_scan")
+def op5(spark, sf_dir):
+    """Licence of every document as a file: its own by template, or that of the nearest directory above."""
+    return licenses.scan(files_of(_table(spark, sf_dir, "documents")))
+
+
 @register("op6_chat_format")
 def op6(spark, sf_dir):
     """All conversations and one made of control strings: folded from their event log, rendered
