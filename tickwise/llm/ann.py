@@ -8,9 +8,9 @@ perturbed ones: sets of -1/+1 steps in the order of their expected squared dista
 (Lv et al., 2007), mapped to the query's own distances to its slots' borders.
 Candidates of all tables are ranked by the exact inner product.
 
-Fitting: ``k`` follows the number of vectors, so a bucket keeps about ``bucket_rows``;
-the number of probes is the smallest that reaches ``recall`` on a sample of at most
-``sample_rows`` vectors, held against brute force there. Every vector is indexed.
+Fitting, on a sample of at most ``sample_rows`` vectors held against brute force: for
+each ``k`` the smallest number of probes that reaches ``recall``, and of these the
+``k`` of the least estimated cost for all vectors. Every vector is indexed.
 
 Scale: equal vectors are one entry with its ``top + 1`` smallest ids (no other id of
 such a class can be among ``top`` nearest); a bucket above ``block_rows`` entries
@@ -45,12 +45,13 @@ class AnnParams:
     top: int = 20
     tables: int = 4
     width: float = 2.0           # slot width in standard deviations of a projection
-    bucket_rows: int = 64        # aimed at; sets the number of functions
+    bucket_rows: int = 64        # at least aimed at; bounds the number of functions
+    probe_cost: float = 100.0    # of a probe row, in comparisons
     most_functions: int = 24
     recall: float = 0.95         # on the sample
     sample_rows: int = 8192      # bound of the fitting sample
     sample_queries: int = 200
-    most_probes: int = 4096      # of a table; beyond it the fit gives more tables
+    most_probes: int = 512       # of a table; beyond it the fit gives more tables
     block_rows: int = 4096
     part_rows: int = 60_000      # index entries of a part
     seed: int = 3
@@ -129,36 +130,53 @@ def probing_order(k: int, most: int) -> list[tuple[int, ...]]:
     return order
 
 
+def _visit_ranks(made: Index, queries: np.ndarray, sample: np.ndarray) -> np.ndarray:
+    """(queries, sample): number of the first probe that meets a vector in any table (large: none)."""
+    never = len(made.steps) + 1
+    own, visits = made.own(sample), made.probes(queries)
+    ranks = np.full((len(queries), len(sample)), never)
+    for t in range(own.shape[1]):
+        for q in range(len(queries)):
+            names, first = np.unique(visits[q, t], return_index=True)
+            at = np.minimum(np.searchsorted(names, own[:, t]), len(names) - 1)
+            met = names[at] == own[:, t]
+            ranks[q, met] = np.minimum(ranks[q, met], first[at[met]])
+    return ranks
+
+
 def fit(sample: np.ndarray, n: int, norm: float, p: AnnParams) -> Index:
-    """Functions and probing order for ``n`` vectors, probes chosen on the sample."""
+    """Functions and probing order for ``n`` vectors. Every number of functions that keeps
+    ``bucket_rows`` in a bucket is tried on the sample: the probes it needs for the recall, and what they
+    cost (rows for probes, comparisons for candidates); the cheapest is taken."""
     dims = sample.shape[1]
     rng = np.random.default_rng(p.seed)
     lifted = np.concatenate([sample, np.sqrt(np.maximum(norm ** 2 - (sample ** 2).sum(1), 0))[:, None]], 1)
     direction = rng.normal(size=(64, dims + 1))
-    width = max(p.width * float((lifted @ direction.T).std(0).mean()), 1e-12)
+    width = max(p.width * float((lifted @ direction.T).std(0).mean()), 1e-12) if len(sample) else 1.0
+    if n <= p.bucket_rows * 16:
+        return Index(np.zeros((1, 0, dims + 1)), np.zeros((1, 0)), width, norm, [()], dims)
     slots = np.floor(lifted @ direction.T / width)
     entropy = np.mean([-(f * np.log(f)).sum() for f in (np.unique(c, return_counts=True)[1] / len(c) for c in slots.T)])
-    k = 0 if n <= p.bucket_rows * 16 else int(np.clip(round(np.log(n / p.bucket_rows) / max(entropy, 0.05)), 1, p.most_functions))
-    tables = p.tables if k else 1
+    most = int(np.clip(round(np.log(n / p.bucket_rows) / max(entropy, 0.05)), 1, p.most_functions))
+    queries = sample[:: max(1, len(sample) // p.sample_queries)]
+    near = queries @ sample.T
+    # as many neighbours of the sample as stand for the nearest of all vectors
+    m = int(np.clip(round((p.top + 1) * len(sample) / n), 2, len(sample)))
+    nearest = np.argpartition(-near, m - 1, axis=1)[:, :m]
+    tables = p.tables
     while True:
-        made = Index(rng.normal(size=(tables, k, dims + 1)), rng.uniform(0, width, (tables, k)), width, norm,
-                     probing_order(k, p.most_probes), dims)
-        if k == 0:
-            return made
-        queries = sample[:: max(1, len(sample) // p.sample_queries)]
-        near = queries @ sample.T
-        # as many neighbours of the sample as stand for the nearest of all vectors
-        m = int(np.clip(round((p.top + 1) * len(sample) / n), 2, len(sample)))
-        best = np.argpartition(-near, m - 1, axis=1)[:, :m]
-        own, visits = made.own(sample), made.probes(queries)
-        first = np.full(best.shape, len(made.steps) + 1)
-        for t in range(tables):
-            for q in range(len(queries)):
-                rank = {b: r for r, b in reversed(list(enumerate(visits[q, t].tolist())))}
-                first[q] = np.minimum(first[q], [rank.get(b, len(made.steps) + 1) for b in own[best[q], t].tolist()])
-        need = int(np.sort(first.ravel())[min(first.size - 1, int(np.ceil(p.recall * first.size)) - 1)]) + 1
-        if need <= len(made.steps):
-            return Index(made.a, made.b, width, norm, made.steps[:need], dims)
+        choices = []
+        for k in range(1, most + 1):
+            made = Index(rng.normal(size=(tables, k, dims + 1)), rng.uniform(0, width, (tables, k)), width, norm,
+                         probing_order(k, p.most_probes), dims)
+            ranks = _visit_ranks(made, queries, sample)
+            hit = np.sort(np.take_along_axis(ranks, nearest, 1).ravel())
+            need = int(hit[int(np.ceil(p.recall * hit.size)) - 1]) + 1
+            if need <= len(made.steps):
+                cost = p.probe_cost * tables * need + float((ranks < need).mean()) * n
+                choices.append((cost, k, Index(made.a, made.b, width, norm, made.steps[:need], dims)))
+        if choices:
+            return min(choices, key=lambda c: c[:2])[2]
         tables *= 2
 
 
