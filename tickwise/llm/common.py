@@ -8,6 +8,7 @@ slice.
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,6 +44,14 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so when the driver's JVM
+    collects their plans, which could be long after the disks are full. Results are not affected
+    (what is still needed is referenced, and written tables stay)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

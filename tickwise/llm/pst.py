@@ -34,11 +34,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import HASH_MUL, mix64, quoted, scratch, split_words, text_slices
+from tickwise.llm.common import HASH_MUL, free_shuffles, mix64, quoted, scratch, split_words, text_slices
 
 
 @dataclass(frozen=True)
@@ -48,12 +49,24 @@ class PstParams:
     divergence: float = 4.0      # nats, in all
     mass: float = 1.0            # m: weight of the suffix's distribution
     hot_share: float = 1e-4
-    block_bytes: int = 6 << 20   # text of a block
+    block_bytes: int = 10 << 20  # text of a block
     bucket_tokens: int = 2_000_000
 
 
 END = xxhash.xxh64_intdigest("\n")     # no word has white space
 
+def _zip(a: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes."""
+    raw = np.ascontiguousarray(a)
+    return zstandard.ZstdCompressor(level=1).compress(raw.view(np.uint8).reshape(len(raw), -1).T.tobytes() if len(raw) else b"")
+
+
+def _unzip(blob, dtype: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    dt = np.dtype(dtype)
+    return np.ascontiguousarray(raw.reshape(dt.itemsize, -1).T).view(dt).ravel() if len(raw) else np.zeros(0, dt)
+
+
 _BLOCK = "block bigint, ids array<bigint>, lengths array<int>, train array<boolean>, codes binary, vocab binary"
 
 
@@ -62,11 +75,15 @@ def token_blocks(docs: DataFrame, train: Column, p: PstParams, id_col: str, text
     src = docs.select(quoted(id_col).cast("bigint").alias("id"), train.alias("train"), quoted(text_col).cast("string").alias("t"))
 
     def block(name, ids, train_flags, lengths, hashes):
-        vocab, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+        vocab, codes, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")       # frequent words get small numbers
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        codes, vocab = rank[codes], vocab[order]
         return pa.RecordBatch.from_arrays(
             [pa.array([name], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
              pa.array([np.concatenate(lengths)], pa.list_(pa.int32())), pa.array([train_flags], pa.list_(pa.bool_())),
-             pa.array([codes.astype("<u4").tobytes()], pa.binary()), pa.array([vocab.astype("<u8").tobytes()], pa.binary())],
+             pa.array([_zip(codes.astype("<u4"))], pa.binary()), pa.array([_zip(vocab.astype("<u8"))], pa.binary())],
             names=["block", "ids", "lengths", "train", "codes", "vocab"])
 
     def run(batches):
@@ -106,8 +123,8 @@ class Block:
         first = np.cumsum(lengths) - lengths
         return Block(t.column("ids")[0].as_py(), lengths,
                      np.repeat(np.array(t.column("train")[0].as_py(), bool), lengths),
-                     np.frombuffer(t.column("codes")[0].as_buffer(), "<u4").astype(np.int64),
-                     np.frombuffer(t.column("vocab")[0].as_buffer(), "<u8"),
+                     _unzip(t.column("codes")[0].as_buffer(), "<u4").astype(np.int64),
+                     _unzip(t.column("vocab")[0].as_buffer(), "<u8"),
                      np.arange(int(lengths.sum())) - np.repeat(first, lengths))
 
 
@@ -186,18 +203,15 @@ class Walk:
 
 
 def _joined(replies: dict[int, tuple], column: int) -> np.ndarray:
-    types = (np.dtype("<i8"), np.dtype(bool))
-    return np.concatenate([np.frombuffer(replies[k][column], types[column]) for k in sorted(replies)] or [np.zeros(0, types[column])])
+    dtype = ("<i8", "?")[column]
+    return np.concatenate([_unzip(replies[k][column], dtype) for k in sorted(replies)] or [np.zeros(0, dtype)])
 
 
-_REQUEST = "block bigint, bucket int, names binary, counts binary, parents binary, hot binary, n_context binary, q binary"
+_REQUEST = ("block bigint, bucket int, names binary, counts binary, q binary, "
+            "run binary, parents binary, hot binary, n_context binary")
 _REPLY = "block bigint, level int, bucket int, counts binary, kept binary, n bigint, v bigint, context bigint, gain double"
 
 
-def _blob(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a).tobytes()
-
-
 def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
     """(block, bucket, names, counts): words of a block and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]):
@@ -211,8 +225,8 @@ def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
                 parts = [order[cuts[k]:cuts[k + 1]] for k in full]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t.column("block")[0].as_py()] * len(full), pa.int64()), pa.array(full, pa.int32()),
-                     pa.array([_blob(b.vocab[x]) for x in parts], pa.binary()),
-                     pa.array([_blob(counts[x].astype("<i8")) for x in parts], pa.binary())],
+                     pa.array([_zip(b.vocab[x]) for x in parts], pa.binary()),
+                     pa.array([_zip(counts[x].astype("<i8")) for x in parts], pa.binary())],
                     names=["block", "bucket", "names", "counts"])
 
     return blocks.mapInArrow(run, "block bigint, bucket int, names binary, counts binary")
@@ -229,7 +243,7 @@ def _answers(blocks, level, bucket, counts, kept, extra=()):
 
 
 def _buffers(t: pa.Table, column: str, dtype: str) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), dtype) for x in t.column(column)]
+    return [_unzip(x.as_buffer(), dtype) for x in t.column(column)]
 
 
 def count_words(requests: DataFrame) -> DataFrame:
@@ -241,8 +255,8 @@ def count_words(requests: DataFrame) -> DataFrame:
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, which, np.concatenate(counts))
         back = np.split(total[which], np.cumsum(sizes)[:-1])
-        return _answers(t.column("block").to_pylist(), 0, t.column("bucket")[0].as_py(), [_blob(x) for x in back],
-                        [b""] * len(back), [(int(total.sum()), int((total > 0).sum()), None, None)])
+        return _answers(t.column("block").to_pylist(), 0, t.column("bucket")[0].as_py(), [_zip(x) for x in back],
+                        [_zip(np.zeros(0, bool))] * len(back), [(int(total.sum()), int((total > 0).sum()), None, None)])
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
@@ -258,14 +272,16 @@ def pair_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot,
         full = [k for k in range(buckets) if lv.cuts[k + 1] > lv.cuts[k]]
         parts = [lv.order[lv.cuts[k]:lv.cuts[k + 1]] for k in full]
         name = left.column("block")[0].as_py()
-        rows = [[name] * len(full), full,
-                [_blob(lv.name[x]) for x in parts], [_blob(counts[x].astype("<i4")) for x in parts],
-                [_blob(lv.parent[x]) for x in parts], [_blob(lv.hot[x]) for x in parts],
-                [_blob(lv.n_context[x].astype("<i8")) for x in parts],
-                [_blob(np.log(q[x]).astype("<f2")) for x in parts]]
-        types = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
-        return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)],
-                                    names=["block", "bucket", "names", "counts", "parents", "hot", "n_context", "q"])
+        rows: list[list] = [[name] * len(full), full, [], [], [], [], [], [], []]
+        for x in parts:     # pairs of a context stand together: its values once, with its number of pairs
+            first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
+            run = np.diff(np.append(first, len(x)))
+            for k, a in enumerate((lv.name[x], counts[x].astype("<i4"), np.log(q[x]).astype("<f2"), run.astype("<i4"),
+                                   lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 2):
+                rows[k].append(_zip(a))
+        types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
+        return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
+            "block", "bucket", "names", "counts", "q", "run", "parents", "hot", "n_context"])
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
 
@@ -286,9 +302,9 @@ def count_pairs(requests: DataFrame, level: int, p: PstParams) -> DataFrame:
         distinct, first, which = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, which, np.concatenate(_buffers(t, "counts", "<i4")))
-        parent = np.concatenate(_buffers(t, "parents", "<u8"))[first]
-        hot = np.concatenate(_buffers(t, "hot", "?"))[first]
-        n = np.concatenate(_buffers(t, "n_context", "<i8"))[first]
+        run = np.concatenate(_buffers(t, "run", "<i4"))
+        of_run = np.repeat(np.arange(len(run)), run)[first]
+        parent, hot, n = (np.concatenate(_buffers(t, c, d))[of_run] for c, d in (("parents", "<u8"), ("hot", "?"), ("n_context", "<i8")))
         q = np.exp(np.concatenate(_buffers(t, "q", "<f2"))[first].astype(np.float64))
         seen = total > 0
         term = np.zeros(len(distinct))
@@ -301,7 +317,7 @@ def count_pairs(requests: DataFrame, level: int, p: PstParams) -> DataFrame:
         cuts = np.cumsum(sizes)[:-1]
         extra = [(None, None, int(c), float(g)) for c, g in zip(contexts[is_hot].view(np.int64), gain[is_hot])]
         return _answers(t.column("block").to_pylist(), level, t.column("bucket")[0].as_py(),
-                        [_blob(x) for x in np.split(total[which], cuts)], [_blob(x) for x in np.split(kept[which], cuts)], extra)
+                        [_zip(x) for x in np.split(total[which], cuts)], [_zip(x) for x in np.split(kept[which], cuts)], extra)
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
@@ -332,6 +348,7 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
     replies = scratch(count_words(vocab_requests(blocks, buckets)), "counts")
     row = replies.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     total = (row.n or 0, row.v or 0)
+    free_shuffles(blocks.sparkSession)
     hot: list = [np.zeros(0, np.uint64)]
     for level in range(1, p.depth + 1):
         asked = pair_requests(blocks, replies.where("block IS NOT NULL"), level, total, hot, buckets, p)
@@ -340,5 +357,6 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
                   .where(F.col("gain") >= p.divergence).select("context").collect())
         hot.append(np.array([r.context for r in passed], np.int64).view(np.uint64))
         replies = replies.unionByName(more)
+        free_shuffles(blocks.sparkSession)
     out = score_blocks(blocks, replies.where("block IS NOT NULL"), total, hot, buckets, p)
     return out.withColumn("train_tokens", F.lit(total[0]).cast("long")).withColumnRenamed("id", id_col)
