@@ -50,7 +50,7 @@ def test_volatility_flat_and_short(spark):
 
 
 def _rsi(spark, closes):
-    return _collect(home_only(ind.add_rsi(ind.layout(series_df(spark, closes), halo=ind.RSI_HALO))),
+    return _collect(home_only(ind.add_rsi(ind.layout(series_df(spark, closes), halo=1))),
                     "rsi_14")
 
 
@@ -73,25 +73,24 @@ def test_rsi_flat_warmup_and_short(spark):
 def test_macd_matches_pandas(spark):
     rng = np.random.default_rng(42)
     walk = 100 + np.cumsum(rng.normal(0, 1, 400))
-    out = home_only(ind.add_macd(ind.layout(series_df(spark, walk), halo=ind.MACD_HALO)))
+    out = home_only(ind.add_macd(ind.layout(series_df(spark, walk), halo=0)))
     s = pd.Series(walk)
     macd = s.ewm(span=12, adjust=False).mean() - s.ewm(span=26, adjust=False).mean()
     sig = macd.ewm(span=9, adjust=False).mean()
     np.testing.assert_allclose(_collect(out, "macd"), macd, rtol=1e-9, atol=1e-9)
     np.testing.assert_allclose(_collect(out, "macd_signal"), sig, rtol=1e-9, atol=1e-9)
-    short = home_only(ind.add_macd(ind.layout(series_df(spark, range(1, 20)), halo=ind.MACD_HALO)))
+    short = home_only(ind.add_macd(ind.layout(series_df(spark, range(1, 20)), halo=0)))
     assert all(x is None for x in _collect(short, "macd"))
 
 
 @pytest.mark.parametrize("block_rows", [128, 256])
 def test_ewm_block_scan_across_many_blocks(spark, block_rows):
-    """Small blocks force multi-block halos; values must equal the sequential recurrence."""
+    """States are carried over many blocks; values must equal the sequential recurrence."""
     rng = np.random.default_rng(7)
     walk = np.abs(100 + np.cumsum(rng.normal(0, 1, 3000))) + 1
-    halo = ind.MACD_HALO
-    d = ind.layout(series_df(spark, walk), halo=halo, block_rows=block_rows)
+    d = ind.layout(series_df(spark, walk), halo=0, block_rows=block_rows)
     d = ind.add_ewm(d, [Ewm("e12", "close", span_alpha(12)), Ewm("e26", "close", span_alpha(26))],
-                    halo, block_rows=block_rows)
+                    block_rows=block_rows)
     out = home_only(d)
     s = pd.Series(walk)
     np.testing.assert_allclose(_collect(out, "e12"), s.ewm(span=12, adjust=False).mean(), rtol=1e-11)
@@ -115,3 +114,34 @@ def test_feature_table_many_tickers_one_hot(spark):
         for u, v in zip(x, y):
             assert (u is None and v is None) or u == pytest.approx(v, rel=1e-9, abs=1e-9)
     assert feats.filter(F.col("ticker") == "HOT").count() == 2500
+
+
+def test_rsi_of_a_suspended_stock_keeps_its_ratio(spark):
+    """Flat closes after movement: both means decay alike, far below any cut-off."""
+    rng = np.random.default_rng(42)
+    walk = np.concatenate([100 + np.cumsum(rng.normal(0, 1, 300)), np.zeros(2500)])
+    walk[300:] = walk[299]
+    delta = pd.Series(walk).diff().fillna(0)
+    g, lo = (x.ewm(alpha=1 / 14, adjust=False).mean() for x in (delta.clip(lower=0), (-delta).clip(lower=0)))
+    want = (100 - 100 / (1 + g / lo)).to_numpy()
+    got = _rsi(spark, walk)
+    np.testing.assert_allclose(got[13:], want[13:], rtol=1e-7)
+
+
+@pytest.mark.parametrize("period", [2, 3, 21, 200])
+def test_rsi_of_any_period(spark, period):
+    walk = np.abs(100 + np.cumsum(np.random.default_rng(1).normal(0, 1, 1500))) + 1
+    out = _collect(home_only(ind.add_rsi(ind.layout(series_df(spark, walk), halo=1, block_rows=256), period, block_rows=256)), f"rsi_{period}")
+    delta = pd.Series(walk).diff().fillna(0)
+    g, lo = (x.ewm(alpha=1 / period, adjust=False).mean() for x in (delta.clip(lower=0), (-delta).clip(lower=0)))
+    np.testing.assert_allclose(out[period:], (100 - 100 / (1 + g / lo))[period:], rtol=1e-8)
+
+
+def test_macd_with_equal_decays_and_long_spans(spark):
+    walk = np.abs(100 + np.cumsum(np.random.default_rng(2).normal(0, 1, 3000))) + 1
+    s = pd.Series(walk)
+    for fast, slow, signal in ((5, 35, 5), (1, 1000, 700)):
+        out = home_only(ind.add_macd(ind.layout(series_df(spark, walk), halo=0, block_rows=256), fast, slow, signal, block_rows=256))
+        macd = s.ewm(span=fast, adjust=False).mean() - s.ewm(span=slow, adjust=False).mean()
+        np.testing.assert_allclose(_collect(out, "macd")[slow:], macd[slow:], rtol=1e-8, atol=1e-9)
+        np.testing.assert_allclose(_collect(out, "macd_signal")[slow:], macd.ewm(span=signal, adjust=False).mean()[slow:], rtol=1e-8, atol=1e-9)

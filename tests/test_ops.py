@@ -55,10 +55,11 @@ def test_drawdown_curve_hand_values(spark):
 
 
 def test_limiters_hand_values():
-    from tickwise.operators.requestlog import fixed_window_decisions, sliding_log_decisions
+    from tickwise.operators.requestlog import SlidingWindow
+    from tickwise.streaming.limits import _fixed_runs
     hits = np.array([0, 0, 30, 60, 61], dtype=float)
-    assert list(sliding_log_decisions(hits, 2, 60)) == [False, False, True, True, False]
-    assert list(fixed_window_decisions(hits, 2, 60)) == [False, False, True, False, False]
+    assert SlidingWindow(2, 60).decide(np.array(hits)).tolist() == [False, False, True, True, False]
+    assert _fixed_runs(np.array(hits), None, 0, 2, 60)[0].tolist() == [False, False, True, False, False]
 
 
 def test_batch_and_stream_limiter_agree(spark, tmp_path):

@@ -1,9 +1,9 @@
 """Technical indicators per ticker: E1-E5, E7, E8, E10 and the K7 feature table.
 
 All indicators run on one ``halo_blocks`` layout whose halo covers the
-longest look-back (SMA-200 frame; the 1e-20 memory of the RSI and of the
-MACD signal chained on the 26-span mean), so a single shuffle on
-(ticker, block) feeds every window and the plan has no join.
+longest frame (SMA-200), so a single shuffle on (ticker, block) feeds every
+window. Exponential means need no halo: their state is carried from block to
+block exactly (``recurrence``), for any period and any length of history.
 
 Semantics (fixed by the reference):
 * returns: ``close / close[t-k] - 1``, null for the first k rows;
@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.operators.recurrence import Ewm, chain_halo, ewm_pass, memory_rows, span_alpha
+from tickwise.operators.recurrence import Chain, Ewm, ewm_pass, span_alpha
 from tickwise.session import materialize
 from tickwise.operators.series import (BLOCK_ROWS, N, RN, block_window, gated, halo_blocks,
                                        home_only, number_rows, trailing)
@@ -33,10 +33,7 @@ INDICATOR_COLUMNS = ["rsi_14", "macd", "macd_signal", "bollinger_upper", "bollin
 FEATURE_COLUMNS = INDICATOR_COLUMNS + ["return_1d", "return_3d", "return_5d", "volatility_20d"]
 DEFAULT_LAGS = [1, 3, 5, 10]
 SQRT_252 = math.sqrt(252.0)
-# halo rows: SMA-200 frame, RSI memory, MACD signal chained on the slow mean
-RSI_HALO = memory_rows(1.0 / 14)
-MACD_HALO = chain_halo(span_alpha(26), span_alpha(9))
-MAX_HALO = max(199, RSI_HALO, MACD_HALO)
+MAX_HALO = 199         # rows before the current one in the longest frame
 
 
 def layout(bars: DataFrame, key: str = "ticker", ts: str = "timestamp", price: str = "close",
@@ -78,10 +75,10 @@ def add_volatility(d: DataFrame, rows: int = 20, key: str = "ticker") -> DataFra
     return d.withColumn(f"volatility_{rows}d", vol * SQRT_252).drop("_logret")
 
 
-def add_ewm(d: DataFrame, specs: list[Ewm], halo: int, key: str = "ticker",
+def add_ewm(d: DataFrame, specs: list[Ewm], key: str = "ticker",
             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """E6 on a layout built with ``halo`` rows."""
-    return ewm_pass(d, specs, key, halo, block_rows)
+    """E6 on any ``halo_blocks`` layout."""
+    return ewm_pass(d, specs, key, block_rows)
 
 
 def _rsi_inputs(d: DataFrame, key: str) -> DataFrame:
@@ -106,28 +103,30 @@ def _macd_specs(fast: int, slow: int) -> list[Ewm]:
     return [Ewm("_ema_fast", "close", span_alpha(fast)), Ewm("_ema_slow", "close", span_alpha(slow))]
 
 
-def _macd_finish(d: DataFrame, slow: int, signal: int, key: str, halo: int,
-                 block_rows: int) -> DataFrame:
-    d = d.withColumn("_macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    d = ewm_pass(d, [Ewm("_macd_sig", "_macd", span_alpha(signal))], key, halo, block_rows)
+def _macd_signal(signal: int) -> list[Chain]:
+    return [Chain("_macd_sig", "_ema_fast", "_ema_slow", span_alpha(signal))]
+
+
+def _macd_finish(d: DataFrame, slow: int) -> DataFrame:
     enough = F.col(N) >= slow
-    return (d.withColumns({"macd": F.when(enough, F.col("_macd")),
+    return (d.withColumns({"macd": F.when(enough, F.col("_ema_fast") - F.col("_ema_slow")),
                            "macd_signal": F.when(enough, F.col("_macd_sig"))})
-            .drop("_ema_fast", "_ema_slow", "_macd", "_macd_sig"))
+            .drop("_ema_fast", "_ema_slow", "_macd_sig"))
 
 
-def add_rsi(d: DataFrame, period: int = 14, key: str = "ticker", halo: int = RSI_HALO,
+def add_rsi(d: DataFrame, period: int = 14, key: str = "ticker",
             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Wilder RSI with the reference's warm-up and zero-loss rules."""
-    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(period), key, halo, block_rows)
+    """Wilder RSI of any period, with the reference's warm-up and zero-loss rules
+    (layout with a halo of one row or more)."""
+    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(period), key, block_rows)
     return _rsi_finish(d, period)
 
 
 def add_macd(d: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9,
-             key: str = "ticker", halo: int = MACD_HALO, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """MACD line and signal (two chained exponential-mean passes)."""
-    d = ewm_pass(d, _macd_specs(fast, slow), key, halo, block_rows)
-    return _macd_finish(d, slow, signal, key, halo, block_rows)
+             key: str = "ticker", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """MACD line and signal of any spans, in one pass."""
+    d = ewm_pass(d, _macd_specs(fast, slow), key, block_rows, _macd_signal(signal))
+    return _macd_finish(d, slow)
 
 
 def technical_features(bars: DataFrame, key: str = "ticker", ts: str = "timestamp",
@@ -157,7 +156,6 @@ def add_indicators(d: DataFrame, lags=None, key: str = "ticker",
         "sma_200": gated(F.avg("close").over(f200), F.count("close").over(f200), 200)})
     d = add_bollinger(d, key=key)
     d = add_volatility(d, key=key)
-    # RSI and MACD share the first exponential-mean pass (four means, one scan)
-    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(14) + _macd_specs(12, 26), key, MAX_HALO,
-                 block_rows)
-    return _macd_finish(_rsi_finish(d, 14), 26, 9, key, MAX_HALO, block_rows)
+    # RSI and MACD share one exponential-mean pass (four means and the signal)
+    d = ewm_pass(_rsi_inputs(d, key), _rsi_specs(14) + _macd_specs(12, 26), key, block_rows, _macd_signal(9))
+    return _macd_finish(_rsi_finish(d, 14), 26)

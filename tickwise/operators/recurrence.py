@@ -1,23 +1,22 @@
-"""Exponential mean with ``adjust=False`` as one window pass per block.
+"""Exponential means with ``adjust=False``, exact for any span and history.
 
     y_0 = x_0,   y_t = a * y_{t-1} + alpha * x_t,   a = 1 - alpha
 
-Spark has no ordered linear recurrence, and folding an array per key would
-put a whole key in one task. Unrolled, ``y_t = sum_s a^(t-s) b_s`` with
-``b_0 = x_0`` (the seed) and ``b_s = alpha x_s`` afterwards. The weight of a
-value ``L`` rows back is ``a^L``; beyond ``L = 20 / -log10(a)`` rows it is below
-1e-20, four orders under a double's resolution. So on the ``halo_blocks``
-layout with a halo of at least ``L`` rows, every (key, block) partition holds
-all the history that can still be seen in the result, and
-
-    y_t = a^q_t * sum_{s <= t in partition} a^-q_s b_s     (q = row index in partition)
-
-is a running sum (JVM side, whole-stage code generation, O(n)). No summary
-table, no join, no whole-key task. In the first block of a key the sum is
-exact (it starts at the seed); elsewhere the omitted prefix is the < 1e-20
-tail. ``a^-q`` stays finite because the partition length is capped by
-``max_partition_rows``. Chained means (MACD signal of MACD) need the sum of
-both look-backs as halo, see ``chain_halo``.
+The recurrence is linear, so a run of ``m`` rows maps the incoming state ``s`` to
+``a^m * s + u`` where ``u`` is the run's own response from state zero. On the
+``halo_blocks`` layout:
+
+1. every (key, block) is cut into runs of ``run_rows`` positions (short enough
+   that ``a^-m`` stays finite); ``u_t = a^q * sum(a^-q b)`` is a running sum inside
+   the run (JVM side, no extra shuffle);
+2. one row per run (its length and last response) is scanned per key: a sorted
+   stream with one number per mean as its state, so its memory does not grow;
+3. the incoming states go back, one row per (key, block), and finish every row.
+
+Nothing is cut off, so ratios of two means stay right even when both have
+decayed to almost nothing (RSI of a suspended stock). A mean of the difference of two
+means (the MACD signal) is part of the same pass: its response to the incoming states
+of the two has a closed form.
 """
 
 from __future__ import annotations
@@ -25,17 +24,19 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.operators.series import BLK, HOME, RN, block_window
+from tickwise.operators.series import BLK, HOME, POS, RN
 
-TAIL_LOG10 = 20.0      # weights below 1e-20 are dropped
 SCALE_LOG10 = 200.0    # a^-q stays below 1e200 (values keep 1e100 of headroom)
 
 
 @dataclass(frozen=True)
 class Ewm:
+    """Mean of column ``src``."""
+
     out: str
     src: str
     alpha: float
@@ -45,56 +46,121 @@ class Ewm:
         return 1.0 - self.alpha
 
 
-def span_alpha(span: float) -> float:
-    return 2.0 / (span + 1.0)
-
-
-def memory_rows(alpha: float) -> int:
-    """Rows after which a value's weight falls below 1e-20."""
-    a = 1.0 - alpha
-    if a <= 0.0:
-        return 0
-    return int(math.ceil(TAIL_LOG10 / -math.log10(a)))
-
+@dataclass(frozen=True)
+class Chain:
+    """Mean of ``plus - minus``, both outputs of means of the same pass."""
 
-def chain_halo(*alphas: float) -> int:
-    """Halo for a chain of means (each applied to the previous one's output)."""
-    return sum(memory_rows(x) for x in alphas)
+    out: str
+    plus: str
+    minus: str
+    alpha: float
 
+    @property
+    def a(self) -> float:
+        return 1.0 - self.alpha
 
-def max_partition_rows(alpha: float) -> int:
-    a = 1.0 - alpha
-    if a <= 0.0:
-        return 1 << 30
-    return int(SCALE_LOG10 / -math.log10(a))
 
+def span_alpha(span: float) -> float:
+    return 2.0 / (span + 1.0)
 
-def ewm_pass(d: DataFrame, specs: list[Ewm], key: str, halo: int, block_rows: int) -> DataFrame:
-    """Add one column per spec on a ``halo_blocks`` layout built with ``halo`` rows.
 
-    Values are produced for every row; they are exact up to the 1e-20 tail for
-    home rows (and for halo rows far enough from the partition start, which
-    chained means rely on). ``src`` must be non-null.
+def run_rows(alphas: list[float], block_rows: int) -> int:
+    """Rows of a run: a divisor of ``block_rows`` for which every ``a^-m`` is finite."""
+    decay = max((-math.log10(1.0 - x) for x in alphas if x < 1.0), default=0.0)
+    rows = block_rows
+    while rows > 1 and (rows * decay > SCALE_LOG10 or block_rows % rows):
+        rows = rows // 2 if rows % 2 == 0 else 1
+    return rows
+
+
+def _mixed(a: float, c: float, n):
+    """sum over s = 0 .. n-1 of c^(n-1-s) * a^(s+1), for a number, array or column ``n``."""
+    power = F.pow if isinstance(n, Column) else np.power
+    lit = F.lit if isinstance(n, Column) else float
+    if abs(a - c) < 1e-12:
+        return n * power(lit(a), n)
+    return a * (power(lit(a), n) - power(lit(c), n)) / (a - c)
+
+
+def _scan(key: str, names: list[str], base: list[Ewm], chains: list[Chain]):
+    """Incoming states of the runs of each key, in order."""
+    at = {s.out: i for i, s in enumerate(base)}
+    a = np.array([s.a for s in base])
+
+    def run(batches):
+        current, known = None, False
+        mean, chained = np.zeros(len(base)), np.zeros(len(chains))
+        for pdf in batches:
+            keys, m = pdf[key].tolist(), pdf["m"].to_numpy()
+            own = pdf[names].to_numpy()
+            states = np.empty((len(pdf), len(names)))
+            for i, k in enumerate(keys):
+                if not known or k != current:
+                    current, known = k, True
+                    mean, chained = np.zeros(len(base)), np.zeros(len(chains))
+                states[i, :len(base)], states[i, len(base):] = mean, chained
+                n = float(m[i])
+                after = [c.a ** n * chained[j] + own[i, len(base) + j] + c.alpha * (
+                    mean[at[c.plus]] * _mixed(base[at[c.plus]].a, c.a, n)
+                    - mean[at[c.minus]] * _mixed(base[at[c.minus]].a, c.a, n)) for j, c in enumerate(chains)]
+                mean = a ** n * mean + own[i, :len(base)]
+                chained = np.array(after)
+            out = pdf[[key, BLK, "_run"]].copy()
+            for j, n_ in enumerate(names):
+                out[n_] = states[:, j]
+            yield out
+
+    return run
+
+
+def ewm_pass(d: DataFrame, specs: list[Ewm], key: str, block_rows: int,
+             chains: list[Chain] | None = None) -> DataFrame:
+    """Add one column per mean (and per chained mean) to the home rows of a ``halo_blocks`` layout.
+
+    ``src`` and ``key`` must be non-null; halo rows get null. Any alpha in (0, 1] is fine.
     """
-    for s in specs:
+    chains = chains or []
+    for s in [*specs, *chains]:
         if not 0.0 < s.alpha <= 1.0:
             raise ValueError(f"alpha out of range: {s.alpha}")
-        if halo < memory_rows(s.alpha):
-            raise ValueError(f"halo {halo} shorter than memory of alpha {s.alpha}")
-        if block_rows + halo > max_partition_rows(s.alpha):
-            raise ValueError(f"partition of {block_rows + halo} rows too long for alpha {s.alpha}")
-    start = F.greatest(F.col(BLK) * block_rows - halo, F.lit(0))
-    q = (F.col(RN) - start).cast("double")
-    running = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-    cols = {}
-    for s in specs:
-        if s.a == 0.0:
-            cols[s.out] = F.col(s.src)
-            continue
-        b = F.when(F.col(RN) == 0, F.col(s.src)).otherwise(F.lit(s.alpha) * F.col(s.src))
-        scaled = b * F.pow(F.lit(s.a), -q)
-        cols[s.out] = F.pow(F.lit(s.a), q) * F.sum(scaled).over(running)
-    return d.withColumns(cols)
+    rows = run_rows([s.alpha for s in [*specs, *chains]], block_rows)
+    q = (F.col(POS) % rows).cast("double")
+    running = (Window.partitionBy(key, BLK, HOME, "_run").orderBy(RN)
+               .rowsBetween(Window.unboundedPreceding, 0))
 
-
-__all__ = ["Ewm", "span_alpha", "memory_rows", "chain_halo", "ewm_pass", "HOME"]
+    def response(x: Column, s) -> Column:
+        if s.a == 0.0:
+            return x
+        b = F.when(F.col(RN) == 0, x).otherwise(F.lit(s.alpha) * x)
+        return F.pow(F.lit(s.a), q) * F.sum(b * F.pow(F.lit(s.a), -q)).over(running)
+
+    own = {s.out: f"_u_{i}" for i, s in enumerate([*specs, *chains])}
+    d = d.withColumn("_run", F.floor(F.col(POS) / rows).cast("int"))
+    d = d.withColumns({own[s.out]: response(F.col(s.src), s) for s in specs})
+    if chains:
+        d = d.withColumns({own[c.out]: response(F.col(own[c.plus]) - F.col(own[c.minus]), c) for c in chains})
+    names = list(own.values())
+    runs = (d.filter(F.col(HOME)).groupBy(key, BLK, "_run")
+            .agg(F.count(F.lit(1)).alias("m"), *[F.max_by(n, RN).alias(n) for n in names]))
+    key_type = d.schema[key].dataType.simpleString()
+    schema = f"`{key}` {key_type}, {BLK} bigint, _run int, " + ", ".join(f"{n} double" for n in names)
+    states = (runs.repartition(key).sortWithinPartitions(key, BLK, "_run")
+              .mapInPandas(_scan(key, names, specs, chains), schema)
+              .groupBy(key, BLK)
+              .agg(F.sort_array(F.collect_list(F.struct("_run", *names))).alias("_states"))
+              .withColumnsRenamed({key: "_state_key", BLK: "_state_blk"}))
+    # plain equality keeps the layout's partitioning (no shuffle of the rows)
+    d = d.join(states, (d[key] == states["_state_key"]) & (d[BLK] == states["_state_blk"]), "left")
+    state = F.element_at("_states", F.col("_run") + 1)
+    n = q + 1.0
+    cols = {s.out: F.pow(F.lit(s.a), n) * state[own[s.out]] + F.col(own[s.out]) for s in specs}
+    by_name = {s.out: s for s in specs}
+    for c in chains:
+        p, m = by_name[c.plus], by_name[c.minus]
+        cols[c.out] = (F.pow(F.lit(c.a), n) * state[own[c.out]] + F.col(own[c.out])
+                       + c.alpha * (state[own[c.plus]] * _mixed(p.a, c.a, n) - state[own[c.minus]] * _mixed(m.a, c.a, n)))
+    d = d.withColumns({k: F.when(F.col(HOME), v) for k, v in cols.items()})
+    return d.drop("_run", "_states", "_state_key", "_state_blk", *names)
+
+
+__all__ = ["Ewm", "Chain", "span_alpha", "run_rows", "ewm_pass"]

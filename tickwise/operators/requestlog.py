@@ -4,21 +4,16 @@ The reference keeps these as in-process counters and a live limiter in its
 web server; here they are jobs over a request log
 ``(ts timestamp, client string, path string, status int)``.
 
-R2/R3 are sequential per (path, client): whether a hit is rejected depends
-on earlier decisions (R3 does not record rejected hits). In batch they are a
-key-ordered scan (hash partition + sort + ``mapInPandas`` with a carried
-state), in streaming ``applyInPandasWithState`` (``tickwise.streaming.limits``);
-either way the state per key is bounded (one anchor and a count, or at most
-``max`` timestamps).
+R2 runs fully parallel (``fixed_window``). R3 is cut into independent segments
+(``sliding_log_limit``), so a hot client's hits are spread over tasks wherever the
+log lets its state be known; in streaming both keep one small state per key
+(``tickwise.streaming.limits``).
 """
 
 from __future__ import annotations
 
-from collections import deque
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,165 +31,167 @@ RATE_WINDOW_MINUTES = 5
 LIMIT_SCHEMA = "path string, client string, ts timestamp, seq long, status int, rejected boolean"
 
 
-def _epoch_s(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
-
-
-def fixed_window_decisions(secs: np.ndarray, max_requests: int, window: float) -> np.ndarray:
-    """R2 on one key's sorted hit times: window opens at the first hit, lasts
-    ``window`` seconds, every hit counts; reject when the count exceeds max."""
-    out = np.zeros(len(secs), dtype=bool)
-    anchor, count = None, 0
-    for i, t in enumerate(secs):
-        if anchor is None or t >= anchor + window:
-            anchor, count = t, 0
-        count += 1
-        out[i] = count > max_requests
-    return out
-
-
-def sliding_log_decisions(secs: np.ndarray, max_requests: int, window: float) -> np.ndarray:
-    """Evict hits older than ``window`` (strictly), reject when ``max``
-    remain; rejected hits are not recorded."""
-    out = np.zeros(len(secs), dtype=bool)
-    hits: deque = deque()
-    for i, t in enumerate(secs):
-        while hits and t - hits[0] > window:
-            hits.popleft()
-        if len(hits) >= max_requests:
-            out[i] = True
-        else:
-            hits.append(t)
-    return out
-
-
-class _FixedState:
-    def __init__(self, max_requests, window):
-        self.max, self.window, self.anchor, self.count = max_requests, window, None, 0
-
-    def step(self, t: float) -> bool:
-        if self.anchor is None or t >= self.anchor + self.window:
-            self.anchor, self.count = t, 0
-        self.count += 1
-        return self.count > self.max
-
-
-class _SlidingState:
-    def __init__(self, max_requests, window):
-        self.max, self.window, self.hits = max_requests, window, deque()
-
-    def step(self, t: float) -> bool:
-        while self.hits and t - self.hits[0] > self.window:
-            self.hits.popleft()
-        if len(self.hits) >= self.max:
-            return True
-        self.hits.append(t)
-        return False
-
-
-def _limit(log: DataFrame, state_cls, max_requests: int, window: float) -> DataFrame:
-    """Key-ordered scan: hash-partition by (path, client), sort each partition
-    by (path, client, ts, seq) and walk the Arrow batches with one small state
-    object, reset when the key changes. Python runs once per batch; a key's
-    rows are never gathered into one group, and the state is bounded."""
-    def scan(batches):
-        key, st = None, None
-        for pdf in batches:
-            secs = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
-            paths, clients = pdf["path"].to_numpy(), pdf["client"].to_numpy()
-            rej = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                k = (paths[i], clients[i])
-                if k != key:
-                    key, st = k, state_cls(max_requests, window)
-                rej[i] = st.step(secs[i])
-            out = pdf[["path", "client", "ts", "seq"]].copy()
-            out["status"] = np.where(rej, 429, pdf["status"]).astype("int32")
-            out["rejected"] = rej
-            yield out
-    src = (log.select("path", "client", "ts", "seq", "status")
-           .repartition("path", "client").sortWithinPartitions("path", "client", "ts", "seq"))
-    return src.mapInPandas(scan, LIMIT_SCHEMA)
+def fixed_window_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
+                       window_seconds: float = DEFAULT_WINDOW_SECONDS) -> DataFrame:
+    """R2 for every (path, client); rejected hits get status 429."""
+    from tickwise.operators.fixed_window import fixed_window_limit_parallel
+    return fixed_window_limit_parallel(log, max_requests, window_seconds)
 
 
-HOT_KEY_ROWS = 5_000_000
+class SlidingWindow:
+    """R3 of one key over hits in time order (integer microseconds).
 
+    ``ring`` holds the last ``size`` accepted times; its next slot is the oldest. A hit
+    is accepted if that one lies more than ``span`` back. Hits are decided a run at a
+    time: up to ``size`` accepted ones by one comparison with the ring, and all
+    rejected ones before the slot frees by one binary search.
+    """
 
-def fixed_window_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
-                       window_seconds: float = DEFAULT_WINDOW_SECONDS,
-                       hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """R2 for every (path, client); rejected hits get status 429.
-
-    The largest key is measured first (one grouped count). Up to
-    ``hot_key_rows`` hits per key the key-ordered scan is used; beyond it the
-    exact parallel version (``fixed_window.fixed_window_limit_parallel``), so
-    a hot client is never a single task. ``hot_key_rows=0`` forces the
-    parallel path, ``None`` the scan.
+    NEVER = -(1 << 62)
+
+    def __init__(self, size: int, span: int, accepted=()):
+        self.size, self.span = size, span
+        self.ring = np.full(max(size, 1), self.NEVER, np.int64)
+        self.slot = 0
+        self.push(np.asarray(accepted, np.int64))
+
+    def push(self, times: np.ndarray) -> None:
+        """Records accepted hits."""
+        for part in (times[-self.size:] if self.size else times[:0],):
+            at = (self.slot + np.arange(len(part))) % self.size if self.size else part
+            self.ring[at] = part
+            self.slot = (self.slot + len(part)) % max(self.size, 1)
+
+    def accepted(self) -> np.ndarray:
+        """Accepted times that are kept, oldest first."""
+        order = np.roll(self.ring, -self.slot)
+        return order[order != self.NEVER]
+
+    def decide(self, times: np.ndarray) -> np.ndarray:
+        """True for rejected hits."""
+        rejected = np.zeros(len(times), bool)
+        if self.size == 0:
+            return ~rejected
+        at = 0
+        while at < len(times):
+            run = times[at:at + self.size]
+            free = run - np.roll(self.ring, -self.slot)[:len(run)] > self.span
+            taken = len(run) if free.all() else int(np.argmin(free))
+            self.push(run[:taken])
+            at += taken
+            if taken < len(run):
+                to = int(np.searchsorted(times, self.ring[self.slot] + self.span, side="right"))
+                rejected[at:to] = True
+                at = to
+        return rejected
+
+
+def _segments(log: DataFrame, max_requests: int, span: int) -> DataFrame:
+    """Hits with ``_seg`` and ``_halo``: segments of a key that can be decided apart.
+
+    Time is cut into buckets of one window. After an empty bucket no earlier hit
+    counts. A bucket that holds at most ``max`` hits together with the one before it is
+    calm: all its hits are accepted whatever came earlier, so the next bucket
+    can start from it alone and gets its hits as a halo.
     """
-    if hot_key_rows is not None:
-        top = log.groupBy("path", "client").count().agg(F.max("count")).collect()[0][0]
-        if top is not None and top > hot_key_rows:
-            from tickwise.operators.fixed_window import fixed_window_limit_parallel
-            return fixed_window_limit_parallel(log, max_requests, window_seconds)
-    return _limit(log, _FixedState, max_requests, window_seconds)
+    keys = ["path", "client"]
+    hits = (log.select(*keys, "ts", "seq", "status")
+            .withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
+            .withColumn("_b", F.floor(F.col("_t") / span).cast("long")))
+    # one row per key and bucket: grows with the time span, not with the hits
+    w = Window.partitionBy(*keys).orderBy("_b")
+    c = hits.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    c = c.withColumn("_joined", F.coalesce(F.lag("_b").over(w) == F.col("_b") - 1, F.lit(False)))
+    c = c.withColumn("_calm", F.col("_c") + F.when(F.col("_joined"), F.lag("_c").over(w)).otherwise(0) <= max_requests)
+    c = c.withColumn("_after_calm", F.col("_joined") & F.lag("_calm").over(w))
+    c = c.withColumn("_seg", F.sum((~F.col("_joined") | F.col("_after_calm")).cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    c = c.withColumn("_lends", F.coalesce(F.lead("_after_calm").over(w), F.lit(False))).select(*keys, "_b", "_seg", "_lends")
+    placed = hits.join(c, keys + ["_b"])
+    places = F.when(F.col("_lends"), F.array(F.struct(F.col("_seg").alias("s"), F.lit(False).alias("h")),
+                                             F.struct((F.col("_seg") + 1).alias("s"), F.lit(True).alias("h")))).otherwise(
+        F.array(F.struct(F.col("_seg").alias("s"), F.lit(False).alias("h"))))
+    return (placed.withColumn("_p", F.explode(places))
+            .select(*keys, "ts", "seq", "status", "_t", F.col("_p.s").alias("_seg"), F.col("_p.h").alias("_halo")))
 
 
 def sliding_log_limit(log: DataFrame, max_requests: int = DEFAULT_MAX_REQUESTS,
                       window_seconds: float = DEFAULT_WINDOW_SECONDS) -> DataFrame:
-    """R3 for every (path, client); rejected hits get status 429."""
-    return _limit(log, _SlidingState, max_requests, window_seconds)
+    """R3 for every (path, client); rejected hits get status 429.
+
+    Segments are sorted streams; what stays of a client that exceeds its limit without
+    a pause is decided in order by one task, in time proportional to its accepted hits.
+    """
+    span = int(round(window_seconds * 1e6))
+    keys = ["path", "client", "_seg"]
+
+    def scan(batches):
+        current, state = None, None
+        for pdf in batches:
+            rejected = np.zeros(len(pdf), bool)
+            t, halo = pdf["_t"].to_numpy(), pdf["_halo"].to_numpy()
+            names = list(zip(*(pdf[k].tolist() for k in keys)))
+            new = np.flatnonzero([True] + [a != b for a, b in zip(names[1:], names)])
+            for s, e in zip(new, np.append(new[1:], len(pdf))):
+                if names[s] != current:
+                    current, state = names[s], SlidingWindow(max_requests, span)
+                lent = s + int(halo[s:e].sum())        # the halo lies before all other hits
+                state.push(t[s:lent])
+                rejected[lent:e] = state.decide(t[lent:e])
+            own = ~halo
+            out = pdf.loc[own, ["path", "client", "ts", "seq"]].copy()
+            out["status"] = np.where(rejected, 429, pdf["status"])[own].astype("int32")
+            out["rejected"] = rejected[own]
+            yield out
+
+    hits = (_segments(log, max_requests, span).repartition(*keys)
+            .sortWithinPartitions(*keys, "ts", "seq"))
+    return hits.mapInPandas(scan, LIMIT_SCHEMA)
 
 
 def request_counters(log: DataFrame) -> DataFrame:
     """(metric, label, value) rows: total, per path, per status class,
-    rate-limited total and per path. One aggregation per grouping."""
+    rate-limited total and per path; one aggregation of the log."""
+    spark = log.sparkSession
     cls = F.concat((F.col("status") / 100).cast("int").cast("string"), F.lit("xx"))
-    parts = [
-        log.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("requests_total").alias("metric"), F.lit("").alias("label"), "value"),
-        log.groupBy("path").agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("requests_by_path").alias("metric"), F.col("path").alias("label"), "value"),
-        log.groupBy(cls.alias("label")).agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("responses_by_class").alias("metric"), "label", "value"),
-        log.agg(F.count_if(F.col("status") == 429).alias("value")).select(
-            F.lit("rate_limited_total").alias("metric"), F.lit("").alias("label"), "value"),
-        log.filter(F.col("status") == 429).groupBy("path").agg(F.count(F.lit(1)).alias("value"))
-        .select(F.lit("rate_limited_by_path").alias("metric"), F.col("path").alias("label"), "value"),
-    ]
-    return reduce(DataFrame.unionByName, parts).withColumn("value", F.col("value").cast("long"))
+    metric = lambda name, label: F.struct(F.lit(name).alias("metric"), label.alias("label"))
+    limited = F.array(metric("rate_limited_total", F.lit("")), metric("rate_limited_by_path", F.col("path")))
+    every = F.array(metric("requests_total", F.lit("")), metric("requests_by_path", F.col("path")),
+                    metric("responses_by_class", cls))
+    counts = (log.groupBy("path", "status").agg(F.count(F.lit(1)).alias("n"))
+              .select(F.explode(F.when(F.col("status") == 429, F.concat(every, limited)).otherwise(every)).alias("m"), "n")
+              .select("m.metric", "m.label", "n"))
+    zeros = spark.createDataFrame([("requests_total", "", 0), ("rate_limited_total", "", 0)],
+                                  "metric string, label string, n bigint")
+    return counts.unionByName(zeros).groupBy("metric", "label").agg(F.sum("n").cast("long").alias("value"))
 
 
 def alert_firings(log: DataFrame, rules=None, step_minutes: int = 1) -> DataFrame:
     """Per rule, 5-minute rates sliding by one minute; a rule fires over a
-    run of consecutive breaching windows lasting at least its ``for`` time.
+    run of consecutive breaching evaluations whose first and last are at least its
+    ``for`` time apart.
 
-    Rows (alert, path, start, end, minutes). Gaps-and-islands over the
-    breaching windows of each (rule, path): island = window start minus
-    row_number minutes; the window sort is per (rule, path) over at most one
-    row per minute of breach.
+    Rows (alert, path, start, end, minutes). All rules are conditional counts of one
+    windowed aggregation. Gaps-and-islands over the breaching windows: island =
+    window start minus row_number minutes; the window sort is per (rule, path) over
+    at most one row per minute of breach.
     """
     rules = rules or ALERT_RULES
-    span = f"{RATE_WINDOW_MINUTES} minutes"
-    out = []
-    for name, path, status, threshold, minutes in rules:
-        src = log
-        if path is not None:
-            src = src.filter(F.col("path") == path)
-        src = src.filter((F.col("status") / 100).cast("int") == 5) if status == "5xx" else \
-            src.filter(F.col("status") == status)
-        rate = (src.groupBy(F.window("ts", span, f"{step_minutes} minute").alias("w"))
-                .agg((F.count(F.lit(1)) / (RATE_WINDOW_MINUTES * 60.0)).alias("rate"))
-                .filter(F.col("rate") > threshold)
-                .select(F.lit(name).alias("alert"), F.lit(path or "*").alias("path"),
-                        F.col("w.start").alias("wstart")))
-        out.append(rate.withColumn("_need", F.lit(minutes)))
-    breaches = reduce(DataFrame.unionByName, out)
+    counts, fields = [], []
+    for k, (name, path, status, threshold, minutes) in enumerate(rules):
+        hit = ((F.col("status") / 100).cast("int") == 5) if status == "5xx" else (F.col("status") == status)
+        counts.append(F.count_if(hit if path is None else hit & (F.col("path") == path)).alias(f"_n{k}"))
+        fields.append(F.struct(F.lit(name).alias("alert"), F.lit(path or "*").alias("path"), F.lit(minutes).alias("_need"),
+                               F.lit(float(threshold)).alias("thr"),
+                               (F.col(f"_n{k}") / (RATE_WINDOW_MINUTES * 60.0)).alias("rate")))
+    rates = log.groupBy(F.window("ts", f"{RATE_WINDOW_MINUTES} minutes", f"{step_minutes} minute").alias("w")).agg(*counts)
+    breaches = (rates.select(F.col("w.start").alias("wstart"), F.explode(F.array(*fields)).alias("r"))
+                .where("r.rate > r.thr").select("r.alert", "r.path", "r._need", "wstart"))
     w = Window.partitionBy("alert", "path").orderBy("wstart")
     island = F.col("wstart") - F.make_dt_interval(mins=F.row_number().over(w) * step_minutes)
     g = breaches.withColumn("_island", island).groupBy("alert", "path", "_island", "_need").agg(
         F.min("wstart").alias("start"), F.max("wstart").alias("end"))
-    dur = ((F.unix_seconds(F.col("end").cast("timestamp")) - F.unix_seconds(F.col("start").cast("timestamp")))
-           / 60 + step_minutes)
+    dur = (F.unix_seconds(F.col("end").cast("timestamp")) - F.unix_seconds(F.col("start").cast("timestamp"))) / 60
     return (g.withColumn("minutes", dur.cast("long")).filter(F.col("minutes") >= F.col("_need"))
             .select("alert", "path", "start", "end", "minutes"))
 
@@ -214,9 +211,9 @@ def events_as_request_log(events: DataFrame) -> DataFrame:
 def windowed_counts(log: DataFrame, window: str = "5 minutes", watermark: str | None = None) -> DataFrame:
     """R1 over event time: counts per (window, path, status class).
 
-    Works on a batch or a streaming log; with ``watermark`` set, a streaming
-    query emits each window once (append mode) and drops its state after the
-    watermark passes the window end.
+    Works on a batch or a streaming log. Without ``watermark`` a streaming query counts
+    every request however late (update mode; its state is one row per window, path and
+    class). With it, state is dropped and later rows are not counted.
     """
     src = log.withWatermark("ts", watermark) if watermark else log
     cls = F.concat((F.col("status") / 100).cast("int").cast("string"), F.lit("xx"))

@@ -38,12 +38,9 @@ def number_rows(df: DataFrame, key: str = "ticker", ts: str = "timestamp",
     bounded (a year of daily bars is at most 366 rows).
     """
     d = df.withColumn("_bkt", F.date_trunc(bucket, F.col(ts)))
-    wb = Window.partitionBy(key, "_bkt")
-    local = d.withColumns({"_lrn": F.row_number().over(wb.orderBy(ts)) - 1,
-                           "_cnt": F.count(F.lit(1)).over(wb)})
-    # bucket sizes come from the same (key, bucket) partitions: the input is
-    # shuffled and read once, and this aggregate needs no further exchange
-    counts = local.groupBy(key, "_bkt").agg(F.max("_cnt").alias("_cnt"))
+    local = d.withColumn("_lrn", F.row_number().over(Window.partitionBy(key, "_bkt").orderBy(ts)) - 1)
+    # bucket sizes need two columns of the input and are summed on the mappers
+    counts = d.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per (key, bucket): size grows with time span, not with data volume
     wk = Window.partitionBy(key).orderBy("_bkt")
     offsets = counts.select(
@@ -53,7 +50,7 @@ def number_rows(df: DataFrame, key: str = "ticker", ts: str = "timestamp",
         F.sum("_cnt").over(Window.partitionBy(key)).alias(N))
     out = local.join(offsets, [key, "_bkt"])
     return out.withColumn(RN, (F.col("_off") + F.col("_lrn")).cast("long")).drop(
-        "_bkt", "_lrn", "_off", "_cnt")
+        "_bkt", "_lrn", "_off")
 
 
 def halo_blocks(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS,

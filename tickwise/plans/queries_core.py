@@ -119,11 +119,9 @@ SELECT ticker, timestamp, round(e12, 2) AS ema_12, round(e26, 2) AS ema_26 FROM
 """)
 def e6_ewm(spark, sf_dir):
     from tickwise.operators.recurrence import Ewm, span_alpha
-    from tickwise.operators.recurrence import memory_rows
-    halo = memory_rows(span_alpha(26))
-    d = ind.layout(_bars(spark, sf_dir), halo=halo)
+    d = ind.layout(_bars(spark, sf_dir), halo=0)
     d = ind.add_ewm(d, [Ewm("ema_12", "close", span_alpha(12)),
-                        Ewm("ema_26", "close", span_alpha(26))], halo)
+                        Ewm("ema_26", "close", span_alpha(26))])
     return home_only(d).select("ticker", "timestamp", F.round("ema_12", 2).alias("ema_12"),
                                F.round("ema_26", 2).alias("ema_26"))
 
@@ -136,7 +134,7 @@ SELECT ticker, timestamp,
 FROM r
 """)
 def e7_rsi(spark, sf_dir):
-    d = ind.add_rsi(ind.layout(_bars(spark, sf_dir), halo=ind.RSI_HALO))
+    d = ind.add_rsi(ind.layout(_bars(spark, sf_dir), halo=1))
     return home_only(d).select("ticker", "timestamp", F.round("rsi_14", 4).alias("rsi_14"))
 
 
@@ -148,6 +146,74 @@ SELECT ticker, timestamp,
 FROM r
 """)
 def e8_macd(spark, sf_dir):
-    d = ind.add_macd(ind.layout(_bars(spark, sf_dir), halo=ind.MACD_HALO))
+    d = ind.add_macd(ind.layout(_bars(spark, sf_dir), halo=0))
     return home_only(d).select("ticker", "timestamp", F.round("macd", 2).alias("macd"),
                                F.round("macd_signal", 2).alias("macd_signal"))
+
+
+# other periods than the reference's defaults
+_PERIODS_CTE = SERIES_CTE + """,
+r AS (
+  SELECT ticker, rn, n, timestamp, close, close AS e5, close AS e35, 0.0::DOUBLE AS sig, 0.0::DOUBLE AS g, 0.0::DOUBLE AS l
+  FROM s WHERE rn = 0
+  UNION ALL
+  SELECT s.ticker, s.rn, s.n, s.timestamp, s.close, (2.0/3) * r.e5 + (1.0/3) * s.close, (17.0/18) * r.e35 + (1.0/18) * s.close,
+         (2.0/3) * r.sig + (1.0/3) * (((2.0/3) * r.e5 + (1.0/3) * s.close) - ((17.0/18) * r.e35 + (1.0/18) * s.close)),
+         (20.0/21) * r.g + (1.0/21) * greatest(s.close - r.close, 0), (20.0/21) * r.l + (1.0/21) * greatest(r.close - s.close, 0)
+  FROM r JOIN s ON s.ticker = r.ticker AND s.rn = r.rn + 1)"""
+
+
+@register("E7_rsi_21", f"""
+WITH RECURSIVE {_PERIODS_CTE}
+SELECT ticker, timestamp, CASE WHEN n < 22 THEN NULL WHEN rn < 20 THEN 100.0 WHEN l = 0 THEN 100.0
+       ELSE round(100 - 100 / (1 + g / l), 4) END AS rsi_21 FROM r
+""")
+def e7_rsi_21(spark, sf_dir):
+    """RSI of period 21."""
+    d = ind.add_rsi(ind.layout(_bars(spark, sf_dir), halo=1), 21)
+    return home_only(d).select("ticker", "timestamp", F.round("rsi_21", 4).alias("rsi_21"))
+
+
+@register("E8_macd_5_35_5", f"""
+WITH RECURSIVE {_PERIODS_CTE}
+SELECT ticker, timestamp, CASE WHEN n >= 35 THEN round(e5 - e35, 2) END AS macd,
+       CASE WHEN n >= 35 THEN round(sig, 2) END AS macd_signal FROM r
+""")
+def e8_macd_5_35_5(spark, sf_dir):
+    """MACD of spans 5, 35 and signal 5 (fast and signal share their decay)."""
+    d = ind.add_macd(ind.layout(_bars(spark, sf_dir), halo=0), 5, 35, 5)
+    return home_only(d).select("ticker", "timestamp", F.round("macd", 2).alias("macd"),
+                               F.round("macd_signal", 2).alias("macd_signal"))
+
+
+SUSPENDED_DAYS = 2500
+
+
+def suspended(bars):
+    """Bars of every ticker, followed by ``SUSPENDED_DAYS`` days at its last close (a suspended stock)."""
+    last = bars.groupBy("ticker").agg(F.max("timestamp").alias("t"), F.max_by("close", "timestamp").alias("close"))
+    flat = last.select("ticker", F.explode(F.sequence(F.lit(1), F.lit(SUSPENDED_DAYS))).alias("d"), "t", "close")
+    return bars.select("ticker", "timestamp", "close").unionByName(flat.select(
+        "ticker", F.expr("t + make_dt_interval(d)").cast(bars.schema["timestamp"].dataType).alias("timestamp"), "close"))
+
+
+@register("E7_rsi_suspended", f"""
+WITH RECURSIVE {BARS_CTE},
+b2 AS (SELECT ticker, timestamp, close FROM bars UNION ALL
+       SELECT ticker, t + to_days(CAST(d AS INTEGER)), close
+       FROM (SELECT ticker, max(timestamp) AS t, max_by(close, timestamp) AS close FROM bars GROUP BY 1), range(1, {SUSPENDED_DAYS + 1}) AS x(d)),
+s AS (SELECT ticker, timestamp, close, row_number() OVER (PARTITION BY ticker ORDER BY timestamp) - 1 AS rn,
+             count(*) OVER (PARTITION BY ticker) AS n FROM b2),
+r AS (
+  SELECT ticker, rn, n, timestamp, close, 0.0::DOUBLE AS g, 0.0::DOUBLE AS l FROM s WHERE rn = 0
+  UNION ALL
+  SELECT s.ticker, s.rn, s.n, s.timestamp, s.close, (13.0/14) * r.g + (1.0/14) * greatest(s.close - r.close, 0),
+         (13.0/14) * r.l + (1.0/14) * greatest(r.close - s.close, 0)
+  FROM r JOIN s ON s.ticker = r.ticker AND s.rn = r.rn + 1)
+SELECT ticker, timestamp, CASE WHEN n < 15 THEN NULL WHEN rn < 13 THEN 100.0 WHEN l = 0 THEN 100.0
+       ELSE round(100 - 100 / (1 + g / l), 4) END AS rsi_14 FROM r
+""")
+def e7_rsi_suspended(spark, sf_dir):
+    """RSI of series that end in a long flat run: both means decay together, their ratio stays."""
+    d = ind.add_rsi(ind.layout(suspended(_bars(spark, sf_dir)), halo=1))
+    return home_only(d).select("ticker", "timestamp", F.round("rsi_14", 4).alias("rsi_14"))

@@ -1,11 +1,11 @@
 """Streaming rate limiters (R2, R3) with ``applyInPandasWithState``.
 
-Key = (path, client). State is bounded: R2 keeps the window anchor and the
-hit count; R3 keeps at most ``max_requests`` accepted hit times. An
-event-time timeout drops a key's state once the watermark passes the end
-of its window, so idle clients cost nothing. Hits of one key are decided in
-event-time order inside a micro-batch and in arrival order across batches,
-as a live limiter would.
+Key = (path, client). State is bounded: R2 keeps its window's start and hit count;
+R3 keeps at most ``max_requests`` accepted hit times. All hits that a micro-batch holds
+for a key are put into event-time order before any of them is decided; across
+micro-batches decisions follow arrival, as a live limiter's do. No hit is dropped for
+being late. With ``idle_seconds`` keys without hits for that processing time lose their
+state (for continuous triggers: a query that waits for time-outs has no last batch).
 """
 
 from __future__ import annotations
@@ -15,68 +15,52 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tickwise.operators.requestlog import DEFAULT_MAX_REQUESTS, DEFAULT_WINDOW_SECONDS
+from tickwise.operators.requestlog import DEFAULT_MAX_REQUESTS, DEFAULT_WINDOW_SECONDS, SlidingWindow
 
 OUT = "path string, client string, ts timestamp, seq long, status int, rejected boolean"
 
 
-def _sliding(max_requests: int, window: float):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        hits = list(state.get[0]) if state.exists else []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-            secs = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
-            rej = np.zeros(len(secs), dtype=bool)
-            for i, t in enumerate(secs):
-                hits = [h for h in hits if t - h <= window]
-                if len(hits) >= max_requests:
-                    rej[i] = True
-                else:
-                    hits.append(float(t))
-            status = np.where(rej, 429, pdf["status"]).astype("int32")
-            yield pd.DataFrame({"path": key[0], "client": key[1], "ts": pdf["ts"].to_numpy(),
-                                "seq": pdf["seq"].to_numpy(), "status": status, "rejected": rej})
-        state.update((hits,))
-        if hits:
-            state.setTimeoutTimestamp(int((max(hits) + window) * 1000) + 1)
-    return fn
+def _fixed_runs(times: np.ndarray, start, count: int, limit: int, span: int):
+    """R2 over ordered times: (rejected, window start, hits in it), a window at a time."""
+    rejected = np.zeros(len(times), bool)
+    at = 0
+    while at < len(times):
+        if start is None or times[at] >= start + span:
+            start, count = int(times[at]), 0
+        to = max(at + 1, int(np.searchsorted(times, start + span, side="left")))
+        rejected[at:to] = count + 1 + np.arange(to - at) > limit
+        count, at = count + to - at, to
+    return rejected, start, count
 
 
-def _fixed(max_requests: int, window: float):
+def _decide(kind: str, limit: int, span: int, idle_ms: int | None):
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
-        anchor, count = (state.get[0], state.get[1]) if state.exists else (None, 0)
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "seq"], kind="stable")
-            secs = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
-            rej = np.zeros(len(secs), dtype=bool)
-            for i, t in enumerate(secs):
-                if anchor is None or t >= anchor + window:
-                    anchor, count = float(t), 0
-                count += 1
-                rej[i] = count > max_requests
-            status = np.where(rej, 429, pdf["status"]).astype("int32")
-            yield pd.DataFrame({"path": key[0], "client": key[1], "ts": pdf["ts"].to_numpy(),
-                                "seq": pdf["seq"].to_numpy(), "status": status, "rejected": rej})
-        if anchor is not None:
-            state.update((anchor, count))
-            state.setTimeoutTimestamp(int((anchor + window) * 1000) + 1)
+        pdf = pd.concat(list(pdfs)).sort_values(["ts", "seq"], kind="stable")
+        times = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        if kind == "sliding":
+            window = SlidingWindow(limit, span, state.get[0] if state.exists else ())
+            rejected = window.decide(times)
+            state.update((window.accepted().tolist(),))
+        else:
+            start, count = state.get if state.exists else (None, 0)
+            rejected, start, count = _fixed_runs(times, start, count, limit, span)
+            state.update((start, count))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+        yield pd.DataFrame({"path": key[0], "client": key[1], "ts": pdf["ts"].to_numpy(), "seq": pdf["seq"].to_numpy(),
+                            "status": np.where(rejected, 429, pdf["status"]).astype("int32"), "rejected": rejected})
     return fn
 
 
 def stream_limit(log_stream: DataFrame, kind: str = "sliding",
                  max_requests: int = DEFAULT_MAX_REQUESTS,
-                 window_seconds: float = DEFAULT_WINDOW_SECONDS,
-                 watermark: str = "1 hour") -> DataFrame:
+                 window_seconds: float = DEFAULT_WINDOW_SECONDS, idle_seconds: float | None = None) -> DataFrame:
     """R2 (``kind='fixed'``) or R3 (``'sliding'``) over a request-log stream."""
-    if kind == "sliding":
-        fn, state = _sliding(max_requests, window_seconds), "hits array<double>"
-    else:
-        fn, state = _fixed(max_requests, window_seconds), "anchor double, count long"
-    return (log_stream.withWatermark("ts", watermark).groupBy("path", "client")
-            .applyInPandasWithState(fn, OUT, state, "append", GroupStateTimeout.EventTimeTimeout))
+    schema = "hits array<long>" if kind == "sliding" else "start long, count long"
+    fn = _decide(kind, max_requests, int(round(window_seconds * 1e6)), None if idle_seconds is None else int(idle_seconds * 1000))
+    return (log_stream.groupBy("path", "client")
+            .applyInPandasWithState(fn, OUT, schema, "append", GroupStateTimeout.NoTimeout if idle_seconds is None
+                                    else GroupStateTimeout.ProcessingTimeTimeout))
