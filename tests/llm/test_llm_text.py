@@ -254,8 +254,11 @@ def test_packing_edge_cases(spark):
     hard = ["don't it's. we'll!! A'S 12.5kg, ÀÉ.", "İstanbul, J̌ x<|endoftext|>. <|ENDOFTEXT|>, ΑΣ.", "ñ̃o… (a) \x1c b c", "!!!"]
     tok = packing.WordTokenizer(open(packing.default_tokenizer(), encoding="utf-8").read())
     assert tok.by_word
-    ids, n = tok.encode(pa.array(hard))
-    assert [*ids.tolist()] == [i for x in whole_ids(hard) for i in x[:-1]] and n.tolist() == [len(x) - 1 for x in whole_ids(hard)]
+    for by_word in (True, False):
+        tok.by_word = by_word
+        ids, n, sums = tok.encode(pa.array(hard), 2, np.ones((1, tok.size)))
+        assert [np.frombuffer(x, "<u2").tolist() for x in ids.to_pylist()] == whole_ids(hard)
+        assert n.tolist() == sums[:, 0].tolist() == [len(x) for x in whole_ids(hard)]
 
 
 def test_hilbert_neighbours_touch():

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import ragged, scratch, shuffle_partitions, split_words, with_text_columns
+from tickwise.llm.common import Words, scratch, shuffle_partitions, split_words, with_text_columns
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_directions: dict[tuple, np.ndarray] = {}
+
+
+def directions(p: PackParams, size: int) -> np.ndarray:
+    """(dims, size) Gaussian directions: each id's share of the projections."""
+    key = (p.seed, p.dims, size)
+    if key not in _directions:
+        _directions[key] = np.random.default_rng(p.seed).normal(0, 1, (p.dims, size)).astype(np.float32)
+    return _directions[key]
+
+
 def read_tokenizer(spark, path: str) -> str:
     """The tokenizer file's text, by Spark's reader when it lies in a store."""
     if "://" in path:
@@ -83,98 +94,118 @@ def hilbert_key(x: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+# Steps of the tokenizer that let a text be encoded word by word (fixed values of its file).
+_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# A Latin letter, closing marks (no apostrophe) and the word's end.
+_CLOSING = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])([.,;:!?$*%&#\")\]}]+)([\t-\r ]|$)"
+# Texts in which lower-casing A-Z first could change what is composed, or with special tokens.
+_DELICATE = r"\p{M}|<\|"
+
+
 class WordTokenizer:
     """Token ids of whole texts through the distinct words of a slice.
 
-    White space always separates tokens of this tokenizer, so a text's ids are its
-    words' ids in order. Words of letters are encoded many at a time (their last
-    token is marked as a word end), others one by one; a bounded table keeps words
-    seen before.
+    White space always separates tokens of this tokenizer, and letters and the marks after
+    them are different token groups; so marks that close a word are split off, A-Z are
+    lower-cased, and each distinct word is encoded once. Words of letters are
+    encoded many at a time (their last token is marked as a word end). A bounded
+    table keeps words seen before. Texts with combining marks or special tokens, and all
+    texts of a tokenizer with other steps, are encoded whole.
     """
 
-    KEEP = 300_000
+    KEEP = 800_000
 
     def __init__(self, spec: str):
+        import json
         import os
 
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_str(spec)
+        steps = json.loads(spec)
         vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.size = max(vocab.values()) + 1
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.by_word = (
+            [x.get("type") for x in (steps.get("normalizer") or {}).get("normalizers", [])] == _NORMALIZER
+            and _SPLIT in json.dumps(steps.get("pre_tokenizer"), ensure_ascii=False).replace("\\\\", "\\")
+            and steps["model"].get("end_of_word_suffix") == "</w>")
+        self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self._clear()
-
-    def _clear(self):
-        self.index: dict[str, int] = {}
-        self.first, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after the other, ids of each word), in an order of its own kept by ``words``."""
-        plain = [w for w in words if w.isalpha()]
+        # without the clean-up that such words do not need: ASCII letters; letters
+        self.plain = Tokenizer.from_str(json.dumps({**steps, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        self.letters = Tokenizer.from_str(json.dumps({
+            **steps, "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Lowercase"}]},
+            "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+                {"type": "WhitespaceSplit"},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}))
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, self.dtype).tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes words that are not in the table."""
+        alpha = [w for w in words if w.isalpha()]
         other = [w for w in words if not w.isalpha()]
-        ids, lengths = [], []
-        for at in range(0, len(plain), 2000):
-            part = plain[at:at + 2000]
-            got = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            stop = np.flatnonzero(self.ends[got]) + 1
-            if len(stop) != len(part):  # a letter that the tokenizer sees otherwise: one by one
-                each = [x.ids for x in self.tok.encode_batch(part, add_special_tokens=False)]
-                got = np.array([i for x in each for i in x], np.uint32)
-                stop = np.cumsum([len(x) for x in each])
-            ids.append(got)
-            lengths.append(np.diff(stop, prepend=0))
-        if other:
-            each = [x.ids for x in self.tok.encode_batch(other, add_special_tokens=False)]
-            ids.append(np.array([i for x in each for i in x], np.uint32))
-            lengths.append(np.array([len(x) for x in each]))
-        words[:] = plain + other
-        return np.concatenate(ids), np.concatenate(lengths).astype(np.int64)
-
-    def lookup(self, words: list[str]) -> np.ndarray:
-        """Entry number of every word, encoding new ones."""
-        if len(self.index) > self.KEEP:
-            self._clear()
-        new = [w for w in words if w not in self.index]
-        if new:
-            ids, length = self._encode(new)
-            at = len(self.ids) + np.cumsum(length) - length
-            base = len(self.first)
-            self.index.update(zip(new, range(base, base + len(new))))
-            self.first = np.concatenate([self.first, at])
-            self.length = np.concatenate([self.length, length])
-            self.ids = np.concatenate([self.ids, ids])
-        index = self.index
-        return np.fromiter((index[w] for w in words), np.int64, len(words))
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, ids of each text)."""
-        w = split_words(texts)
-        # words share their entry with the word before a run of closing marks: "word.," is "word" and ".,"
-        vocab = pa.array(w.vocab, pa.string())
-        stem = pc.utf8_rtrim(vocab, characters=CLOSING)
-        stems = stem.to_pylist()
-        parts: list[str] = []
-        n_parts = np.ones(len(w.vocab), np.int64)
-        for i, (word, s) in enumerate(zip(w.vocab, stems)):
-            if len(s) == len(word) or not s or not s[-1].isalpha() or "<|" in word:
-                parts.append(word if "<|" in word or not word.isascii() else word.lower())
-            else:
-                parts.append(s.lower() if s.isascii() else s)
-                parts.append(word[len(s):])
-                n_parts[i] = 2
-        entry = self.lookup(parts)
-        length = self.length[entry]
-        first_part = np.cumsum(n_parts) - n_parts
-        part_at = ragged(first_part[w.codes], n_parts[w.codes])      # parts of all words in order
-        n_ids = length[part_at]
-        ids = self.ids[ragged(self.first[entry][part_at], n_ids)]
-        ends = np.concatenate([[0], np.cumsum(n_ids)])[np.concatenate([[0], np.cumsum(n_parts[w.codes])])]
-        return ids, np.diff(ends[w.offsets])
-
-
-# Closing marks: ASCII characters that are neither letters, digits nor apostrophes.
-CLOSING = ".,;:!?$*%&#\")]}"
+        self.known.update(zip(other, self._whole(other)))
+        width = self.dtype.itemsize
+        for tok, part in ((self.plain, [w for w in alpha if w.isascii()]), (self.letters, [w for w in alpha if not w.isascii()])):
+            groups = [part[at:at + 1000] for at in range(0, len(part), 1000)]
+            for group, got in zip(groups, tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+                flat = np.array(got.ids, self.dtype)
+                stop = ((np.flatnonzero(self.ends[flat]) + 1) * width).tolist()
+                if len(stop) != len(group):     # a letter of another Unicode version
+                    self.known.update(zip(group, self._whole(group)))
+                    continue
+                raw = flat.tobytes()
+                self.known.update(zip(group, [raw[i:j] for i, j in zip([0, *stop], stop)]))
+
+    def encode(self, texts: pa.Array, end_id: int, each: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(ids with the end id as bytes, number of ids, sum of the columns of ``each`` (dims, ids) over the
+        ids) of every text."""
+        texts = pc.fill_null(texts, "")
+        if self.by_word:
+            delicate = pc.match_substring_regex(texts, _DELICATE)
+            # one more space than the text has: found by the words, never encoded
+            w = split_words(pc.replace_substring_regex(texts, _CLOSING, r"\1 \2\3"), lower=True)
+            if len(self.known) > self.KEEP:
+                self.known.clear()
+            known = self.known
+            if new := [x for x in w.vocab if x not in known]:
+                self._learn(new)
+            coded = [known[x] for x in w.vocab]
+            rows = np.flatnonzero(delicate.to_numpy(zero_copy_only=False))
+            if len(rows):       # these as one word each
+                length = np.diff(w.offsets)
+                keep = ~np.isin(w.doc_of, rows)
+                length[rows] = 0
+                first = np.cumsum(length) - length
+                codes = np.insert(w.codes[keep], first[rows], len(coded) + np.arange(len(rows)))
+                length[rows] = 1
+                coded += self._whole(texts.take(pa.array(rows)).to_pylist())
+                w = Words(np.concatenate([[0], np.cumsum(length)]), codes, w.vocab)
+        else:
+            w = Words(np.arange(len(texts) + 1), np.arange(len(texts)), [])
+            coded = self._whole(texts.to_pylist())
+        # one more word: the end id, after each document
+        coded.append(np.array([end_id], self.dtype).tobytes())
+        words = pa.array(coded, pa.binary())
+        codes = np.insert(w.codes, w.offsets[1:], len(coded) - 1)
+        ends = w.offsets[1:] + np.arange(1, len(w.offsets))
+        placed = words.take(pa.array(codes))
+        cuts = np.concatenate([[0], ends])
+        offsets = np.frombuffer(placed.buffers()[1], np.int32, len(codes) + 1)[cuts]
+        docs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), placed.buffers()[2]])
+        # sums by distinct word, then by document
+        flat = np.frombuffer(b"".join(coded), self.dtype)
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
+        owner = np.repeat(np.arange(len(coded)), size)
+        sums = np.stack([np.add.reduceat(np.bincount(owner, row[flat], len(coded))[codes], cuts[:-1]) for row in each], 1)
+        return docs, np.diff(offsets).astype(np.int64) // self.dtype.itemsize, sums
+
 
 _tokenizers: dict[int, WordTokenizer] = {}
 
@@ -194,23 +225,10 @@ def tokenised(docs: DataFrame, spec: str, p: PackParams, id_col: str, text_col:
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         tok = _tokenizer(shared.value)
-        flat, n = tok.encode(texts)
-        size = len(tok.ends)
-        stop = np.cumsum(n + 1)
-        ids = np.empty(int(stop[-1]), np.uint32)
-        last = stop - 1
-        inner = np.ones(len(ids), bool)
-        inner[last] = False
-        ids[inner], ids[last] = flat, p.end_id
-        directions = np.random.default_rng(p.seed).normal(0, 1, (max(size, p.end_id + 1), p.dims)).astype(np.float32)
-        mean = np.stack([np.add.reduceat(directions[:, k][ids], stop - n - 1) for k in range(p.dims)], 1) / (n + 1)[:, None]
-        grid = ((1 + np.tanh(mean / (2 * p.spread))) / 2 * (1 << p.bits)).astype(np.int64)
+        ids, n, sums = tok.encode(texts, p.end_id, directions(p, max(tok.size, p.end_id + 1)))
+        grid = ((1 + np.tanh(sums / n[:, None] / (2 * p.spread))) / 2 * (1 << p.bits)).astype(np.int64)
         key = hilbert_key(np.clip(grid, 0, (1 << p.bits) - 1), p.bits).astype(np.int64)
-        raw = ids.astype("<u2" if size <= 1 << 16 else "<u4")
-        cuts = np.concatenate([[0], stop]) * raw.itemsize
-        blobs = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(cuts.astype(np.int32).tobytes()),
-                                                            pa.py_buffer(raw.tobytes())])
-        return [blobs, pa.array((n + 1).astype(np.int64)), pa.array(key)]
+        return [ids, pa.array(n), pa.array(key)]
 
     return with_text_columns(docs, text_col, "ids binary, n_ids bigint, hilbert bigint", compute, [id_col])
 
