@@ -30,7 +30,7 @@ def test_logistic_per_fold(spark, prepared):
 @pytest.mark.parametrize("model", ["random_forest", "xgboost"])
 def test_tree_fold_predictions(spark, prepared, model):
     from tickwise.operators.models import tree_fold_predictions
-    preds = tree_fold_predictions(prepared, COLS, model, folds="all",
+    preds = tree_fold_predictions(prepared, COLS, model,
                                   params={"maxIter": 5} if model == "xgboost" else {"numTrees": 10})
     rows = preds.collect()
     assert len(rows) == 21 and all(0.0 <= r["y_prob"] <= 1.0 for r in rows)

@@ -70,7 +70,6 @@ def test_ewm_equals_sequential(spark, n, alpha, block_rows, seed):
 def test_exact_quantiles_equal_numpy(spark, values, probs):
     from tickwise.functions.stats import exact_quantiles
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = {r["p"]: r["quantile"] for r in exact_quantiles(df, "x", probs, buckets=16,
-                                                          small_group_rows=None).collect()}
+    got = {r["p"]: r["quantile"] for r in exact_quantiles(df, "x", probs).collect()}
     for p in probs:
         assert abs(got[float(p)] - np.percentile(values, p * 100)) <= 1e-9 * (1 + abs(np.percentile(values, p * 100)))

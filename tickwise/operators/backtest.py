@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tickwise.operators.folds import BACKTEST_DAYS, TRAIN_WINDOW
 from tickwise.operators.metrics import confusion_metrics
 from tickwise.operators.risk import drawdown_curve, sharpe, total_return
-from tickwise.operators.series import number_rows
+from tickwise.operators.series import newest_rows, with_length
 
 
 def rule_scorer(df: DataFrame) -> DataFrame:
@@ -34,8 +34,8 @@ def backtest(frame: DataFrame, scorer=rule_scorer, days: int = BACKTEST_DAYS,
              min_rows: int = TRAIN_WINDOW + BACKTEST_DAYS, key: str = "ticker",
              ts: str = "timestamp") -> DataFrame:
     """J18 for every ticker of a training frame (needs close, target, features)."""
-    d = number_rows(frame, key, ts)
-    tail = d.filter((F.col("rn") >= F.col("n") - days) & (F.col("n") >= min_rows))
+    tail = with_length(newest_rows(frame, days, key, ts), frame, key).filter(F.col("n") >= min_rows)
+    tail = tail.withColumn("rn", F.col("n") - 1 - F.col("_back")).drop("_back")
     scored = scorer(tail).withColumnRenamed("target", "y_true")
     w = Window.partitionBy(key).orderBy("rn")        # bounded: the 126-row tail
     nxt = F.lead("close", 1).over(w)
@@ -62,7 +62,7 @@ def backtest(frame: DataFrame, scorer=rule_scorer, days: int = BACKTEST_DAYS,
                     r4(F.col("buyhold_sharpe")).alias("buyhold_sharpe"),
                     r4(F.col("strategy_total_return") - F.col("buyhold_total_return"))
                     .alias("outperformance"))
-    short = (d.groupBy(key).agg(F.max("n").alias("rows")).filter(F.col("rows") < min_rows)
+    short = (frame.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") < min_rows)
              .select(key, F.lit("insufficient_data").alias("status"), "rows"))
     return ok.withColumn("rows", F.lit(None).cast("long")).unionByName(short, allowMissingColumns=True)
 

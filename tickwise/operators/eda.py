@@ -143,14 +143,16 @@ def eda_summary(df: DataFrame, group: list[str], ts: str = "timestamp") -> DataF
 
 
 def eda_report(df: DataFrame, group: list[str], features: list[str]) -> DataFrame:
-    """All sections as (group, section, item, metric, value) rows."""
+    """All sections as (group, section, item, metric, value) rows; dates as epoch seconds."""
     def melt(section: str, frame: DataFrame, item: str | None, metrics: list[str]) -> DataFrame:
         it = F.col(item).cast("string") if item else F.lit(None).cast("string")
         return frame.select(*group, F.lit(section).alias("section"), it.alias("item"),
                             *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
             group + ["section", "item"], metrics, "metric", "value")
     parts = [
-        melt("summary", eda_summary(df, group), None, ["total_rows"]),
+        melt("summary", eda_summary(df, group).withColumns(
+            {c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6 for c in ("start", "end")}),
+             None, ["total_rows", "start", "end"]),
         melt("missing", missing_report(df, group), "column", ["missing_count", "missing_pct"]),
         melt("duplicates", duplicate_report(df, group), None,
              ["total_rows", "duplicate_rows", "unique_rows", "duplicate_pct"]),
@@ -160,6 +162,8 @@ def eda_report(df: DataFrame, group: list[str], features: list[str]) -> DataFram
              ["mean", "std", "min", "max", "median", "skewness", "kurtosis", "range"]),
         melt("outliers", zscore_outliers(df, group, features), "feature",
              ["outlier_count", "outlier_pct"]),
+        melt("correlation", correlations(df, group, features).withColumn(
+            "pair", F.concat_ws("|", "feature_1", "feature_2")), "pair", ["correlation"]),
     ]
     return reduce(DataFrame.unionByName, parts)
 

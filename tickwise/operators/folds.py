@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.operators.series import number_rows
+from tickwise.operators.series import newest_rows, number_rows, with_length
 
 # Fixed values from the reference: walk-forward sizes and holdout length.
 TRAIN_WINDOW = 252
@@ -44,6 +44,6 @@ def fold_count(n: DataFrame, train: int = TRAIN_WINDOW, test: int = TEST_WINDOW)
 
 def holdout_tail(frame: DataFrame, rows: int = BACKTEST_DAYS, key: str = "ticker",
                  ts: str = "timestamp") -> DataFrame:
-    """Last ``rows`` rows per key (filter on the distributed numbering)."""
-    d = number_rows(frame, key, ts)
-    return d.filter(F.col("rn") >= F.col("n") - rows)
+    """Last ``rows`` rows per key, with ``rn`` and ``n``."""
+    d = with_length(newest_rows(frame, rows, key, ts), frame, key)
+    return d.withColumn("rn", F.col("n") - 1 - F.col("_back")).drop("_back")

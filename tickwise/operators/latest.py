@@ -69,17 +69,15 @@ def page_many(df: DataFrame, page: int, page_size: int, key: str = "ticker",
               ts: str = "timestamp") -> DataFrame:
     """F5 for every key at once.
 
-    Position from the newest row is ``n - 1 - rn`` from the distributed
-    numbering (``number_rows``), so the page is a plain filter.
+    The newest ``page * page_size`` rows of each key are kept in every task before
+    the shuffle; the page is a filter on them.
     """
     if page < 1 or not 1 <= page_size <= 500:
         raise ValueError("page >= 1 and 1 <= page_size <= 500 required")
-    from tickwise.operators.series import number_rows
+    from tickwise.operators.series import newest_rows
     lo = (page - 1) * page_size
-    d = number_rows(df, key, ts)
-    newest_pos = F.col("n") - 1 - F.col("rn")
-    return (d.filter((newest_pos >= lo) & (newest_pos < lo + page_size))
-            .withColumn("row_in_page", (newest_pos - lo).cast("int")).drop("rn", "n"))
+    d = newest_rows(df, lo + page_size, key, ts).filter(F.col("_back") >= lo)
+    return d.withColumn("row_in_page", (F.col("_back") - lo).cast("int")).drop("_back")
 
 
 def arg_max(df: DataFrame, metric: str, tie_order: str, group: list[str] | None = None) -> DataFrame:
@@ -90,15 +88,5 @@ def arg_max(df: DataFrame, metric: str, tie_order: str, group: list[str] | None
     return agg.select(*[F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
-def ordered(df: DataFrame, *cols) -> DataFrame:
-    """plain ordered listing."""
-    return df.orderBy(*cols)
-
-
-def tail_rows(df_numbered: DataFrame, rows: int) -> DataFrame:
-    """E14/E15 helper: last ``rows`` rows of each key from ``rn``/``n`` columns."""
-    return df_numbered.filter(F.col("rn") >= F.col("n") - rows)
-
-
 __all__ = ["latest_per_key", "previous_close_before_global_max", "last_two",
-           "page_newest_first", "page_after", "page_many", "arg_max", "ordered", "tail_rows"]
+           "page_newest_first", "page_after", "page_many", "arg_max"]

@@ -97,15 +97,23 @@ def fold_metrics(preds: DataFrame, group=("ticker", "fold", "model")) -> DataFra
 def _assembler_pipeline(cols: list[str], classifier):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
-    # scaler with centring; Spark's sample std differs from the reference's
-    # population std by sqrt(n/(n-1)), which does not change tree splits and
-    # only rescales linear weights, so predictions are unaffected.
+    # scaler with centring; Spark's sample std differs from the population std by
+    # sqrt(n/(n-1)): no matter to tree splits, and see ``logistic_penalty``.
     return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_raw"),
                             StandardScaler(inputCol="_raw", outputCol="features", withMean=True,
                                            withStd=True),
                             classifier])
 
 
+def logistic_penalty(n: int, C: float = LOGISTIC_C) -> float:
+    """``regParam`` that makes Spark minimise 0.5 |w|^2 + C * sum(log-loss) over ``n`` rows.
+
+    Spark minimises the mean loss, hence 1 / (C n); the factor (n-1)/n is the squared
+    ratio of population to sample std, as |w| is meant for the former's scale.
+    """
+    return (n - 1) / (C * n * n) if n > 1 else 1.0 / C
+
+
 def make_classifier(name: str, params: dict | None = None):
     from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                            RandomForestClassifier)
@@ -121,23 +129,13 @@ def make_classifier(name: str, params: dict | None = None):
     raise ValueError(name)
 
 
-def _select_folds(prepared: DataFrame, folds: str, group) -> list[tuple]:
-    keys = prepared.select(*group).distinct()
-    if folds.startswith("last:"):
-        k = int(folds.split(":")[1])
-        from pyspark.sql import Window
-        w = Window.partitionBy(group[0]).orderBy(F.col(group[1]).desc())
-        keys = keys.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
-    return [tuple(r) for r in keys.collect()]   # fold ids only (small)
-
-
-def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str, folds: str = "all",
+def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str,
                           group=("ticker", "fold"), threads: int = 4,
                           params: dict | None = None) -> DataFrame:
     """J9/J10 per fold via Spark ML, folds as concurrent jobs; returns predictions."""
     from pyspark.ml.functions import vector_to_array
     group = list(group)
-    keys = _select_folds(prepared, folds, group)
+    keys = [tuple(r) for r in prepared.select(*group).distinct().collect()]   # fold ids only
 
     def run(key):
         cond = F.lit(True)
@@ -206,9 +204,10 @@ def select_best(metrics: DataFrame, group: list[str] | None = None) -> DataFrame
     means = metrics.groupBy(*group, "model").agg(
         *[F.avg(m).alias(m) for m in ("accuracy", "precision", "recall", "f1", "roc_auc")],
         F.count(F.lit(1)).alias("folds"))
-    order = F.array_position(F.array(*[F.lit(m) for m in MODEL_ORDER]), F.col("model"))
+    known = F.array_position(F.array(*[F.lit(m) for m in MODEL_ORDER]), F.col("model"))
+    order = F.when(known == 0, F.lit(len(MODEL_ORDER) + 1)).otherwise(known)   # others come last
     from pyspark.sql import Window
-    score = F.struct(F.col("f1"), (-order).alias("_t"))
+    score = F.struct(F.col("f1"), (-order).alias("_t"), F.col("model"))
     # one row per (group, model): the window spans at most three rows
     return means.withColumn("best_model", F.max_by(F.col("model"), score).over(
         Window.partitionBy(*group)))
@@ -217,7 +216,8 @@ def select_best(metrics: DataFrame, group: list[str] | None = None) -> DataFrame
 def refit(train: DataFrame, cols: list[str], model: str, path: str | None = None):
     """Fit the chosen model on all rows; optionally save the PipelineModel."""
     t = train.withColumn("target", F.col("target").cast("double"))
-    fitted = _assembler_pipeline(cols, make_classifier(model)).fit(t)
+    params = {"regParam": logistic_penalty(t.count())} if model == "logistic_regression" else None
+    fitted = _assembler_pipeline(cols, make_classifier(model, params)).fit(t)
     if path:
         fitted.write().overwrite().save(path)
     return fitted

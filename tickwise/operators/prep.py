@@ -132,22 +132,8 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
     group = list(group)
     d = folds.select(*group, "split", "rn", "timestamp", *[F.col(c).cast("double").alias(c) for c in cols],
                      "target")
-    # One aggregate row decides which columns need the fill / impute windows;
-    # columns without +-inf or NULL skip them (their counts are 0).
-    flags = d.agg(*[F.max((F.abs(F.col(c)) == float("inf")).cast("int")).alias(f"i_{c}") for c in cols],
-                  *[F.max(F.col(c).isNull().cast("int")).alias(f"n_{c}") for c in cols]).collect()[0]
-    with_inf = [c for c in cols if flags[f"i_{c}"]]
-    with_gaps = [c for c in cols if flags[f"n_{c}"] or c in with_inf]
-    if with_inf:
-        d = fix_infinite(d, with_inf, group)
-    if with_gaps:
-        d = impute(d, with_gaps, group, "median", leaky_test_impute)
-    if not with_inf and not with_gaps:
-        # no window ran yet: partition by the group once, so the de-dup
-        # aggregate and every later window reuse this single exchange
-        d = d.repartition(*group)
-    d = d.withColumns({**{f"_inf_{c}": F.lit(0) for c in cols if c not in with_inf},
-                       **{f"_miss_{c}": F.lit(0) for c in cols if c not in with_gaps}})
+    # one plan for all data: columns without gaps pass through the same windows unchanged
+    d = impute(fix_infinite(d, cols, group), cols, group, "median", leaky_test_impute)
     inf_cols = [f"_inf_{c}" for c in cols]
     miss_cols = [f"_miss_{c}" for c in cols]
     # Identical train rows (all columns) -> keep the first. A grouped

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,10 @@ class ModelRegistry:
     def _snapshots(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(SCHEMA + ", snapshot int").parquet(self.base)
-        except Exception:  # noqa: BLE001 - no snapshot written yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None     # no snapshot written yet
 
     def _current_id(self) -> int:
         snaps = self._snapshots()
@@ -45,7 +48,7 @@ class ModelRegistry:
 
     def _write(self, df: DataFrame) -> None:
         nxt = self._current_id() + 1
-        df.coalesce(1).write.mode("errorifexists").parquet(f"{self.base}/snapshot={nxt}")
+        df.write.mode("errorifexists").parquet(f"{self.base}/snapshot={nxt}")
 
     def register(self, model_name: str, metrics: dict, model_path: str, ticker: str = "",
                  version: str | None = None) -> str:

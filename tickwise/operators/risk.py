@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.cleaning import normalize_ticker
-from tickwise.operators.series import block_window, halo_blocks, home_only, number_rows
+from tickwise.operators.series import newest_rows
 
 TRADING_DAYS = 252
 WEIGHT_TOLERANCE = 0.01
@@ -56,13 +56,11 @@ def recent_returns(bars: DataFrame, days: int = TRADING_DAYS, key: str = "ticker
     Rows (ticker, pos, r) with ``pos`` counted from the oldest kept return;
     a ticker with fewer than 2 closes has none.
     """
-    d = halo_blocks(number_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")),
-                                key, ts), halo=1)
-    d = d.withColumn("r", F.try_divide(F.col("close"), F.lag("close", 1).over(block_window(key))) - 1.0)
-    d = home_only(d)
-    m = F.least(F.col("n") - 1, F.lit(days))
-    return (d.filter((F.col("rn") >= F.col("n") - m) & (F.col("rn") >= 1))
-            .select(key, (F.col("rn") - (F.col("n") - m)).cast("int").alias("pos"), "r"))
+    tail = newest_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), days + 1, key, ts)
+    w = Window.partitionBy(key).orderBy(ts)          # bounded: days + 1 rows
+    d = tail.withColumns({"r": F.try_divide(F.col("close"), F.lag("close", 1).over(w)) - 1.0,
+                          "pos": F.row_number().over(w) - 2})
+    return d.filter(F.col("pos") >= 0).select(key, "pos", "r")
 
 
 def individual_risk(returns: DataFrame, key: str = "ticker") -> DataFrame:
@@ -104,13 +102,10 @@ def portfolio_risk(bars: DataFrame, requests: DataFrame, days: int = TRADING_DAY
     return and truncated to the shortest series (C7), as the reference does.
     A portfolio naming a ticker without data gets error 'No price data'.
     """
-    from tickwise.session import materialize
     positions = parse_portfolios(requests)
-    # both are read by two branches below: computed once (tickers x 252 rows,
-    # one row per position) and checkpointed
-    rets = materialize(recent_returns(bars, days))
+    rets = recent_returns(bars, days)
     per_ticker = individual_risk(rets)
-    ind = materialize(positions.join(per_ticker, "ticker", "left")
+    ind = (positions.join(per_ticker, "ticker", "left")
            .withColumn("error", F.coalesce(
                F.col("error"),
                F.max(F.when(F.col("n_returns").isNull(), F.concat(F.lit("No price data for ticker "),

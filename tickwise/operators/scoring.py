@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators.indicators import FEATURE_COLUMNS, INDICATOR_COLUMNS
-from tickwise.operators.series import number_rows
+from tickwise.operators.series import block_window, halo_blocks, home_only, newest_rows, number_rows
 
 PREDICTION_TTL_SECONDS = 3600
 LATEST_ROWS = 30
@@ -24,10 +24,9 @@ def latest_feature_rows(bars: DataFrame, indicators: DataFrame, min_periods: int
     mirrors the reference's partial frames). Missing lags/volatility -> 0.0.
     The window runs over the bounded 30-row tail of each ticker.
     """
-    d = number_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), key, ts)
-    tail = d.filter(F.col("rn") >= F.col("n") - LATEST_ROWS)
+    tail = newest_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), LATEST_ROWS, key, ts)
     w = Window.partitionBy(key).orderBy(ts)
-    lagged = tail.select(key, ts, "close", "rn", "n",
+    lagged = tail.select(key, ts, "close", "_back",
                          *[(F.col("close") / F.nullif(F.lag("close", k).over(w), F.lit(0.0)) - 1)
                            .alias(f"return_{k}d") for k in (1, 3, 5)],
                          F.ln(F.col("close") / F.nullif(F.lag("close", 1).over(w), F.lit(0.0)))
@@ -35,7 +34,7 @@ def latest_feature_rows(bars: DataFrame, indicators: DataFrame, min_periods: int
     fr = w.rowsBetween(-19, 0)
     vol = F.when(F.count("_lr").over(fr) >= min_periods,
                  F.stddev_samp("_lr").over(fr) * math.sqrt(252.0))
-    latest = lagged.withColumn("volatility_20d", vol).filter(F.col("rn") == F.col("n") - 1)
+    latest = lagged.withColumn("volatility_20d", vol).filter(F.col("_back") == 0)
     ind = indicators.select(key, ts, *INDICATOR_COLUMNS)
     j = latest.join(ind, [key, ts])
     return j.select(key, ts, "close", *INDICATOR_COLUMNS,
@@ -70,12 +69,11 @@ def backfill_actuals(predictions: DataFrame, bars: DataFrame, key: str = "ticker
                      ts: str = "timestamp") -> DataFrame:
     """actual_direction = UP if the next close is above the predicted bar's close.
 
-    The next close comes from the bar table via a (key, next timestamp)
-    equi-join on the distributed numbering; no per-key sort.
+    The next close is a ``lead`` on the block layout (each block holds the first row of the next).
     """
-    d = number_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), key, ts)
-    nxt = d.select(key, (F.col("rn") - 1).alias("rn"), F.col("close").alias("_next"))
-    pairs = d.join(nxt, [key, "rn"]).select(key, ts, "close", "_next")
+    d = halo_blocks(number_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), key, ts), halo=0, lead=1)
+    d = home_only(d.withColumn("_next", F.lead("close", 1).over(block_window(key))))
+    pairs = d.filter(F.col("_next").isNotNull()).select(key, ts, "close", "_next")
     out = predictions.join(pairs, [key, ts], "left")
     actual = F.when(F.col("_next").isNull(), F.lit(None).cast("string")).when(
         F.col("_next") > F.col("close"), F.lit("UP")).otherwise(F.lit("DOWN"))

@@ -1,10 +1,9 @@
 """Headline sentiment (L1 placeholder, L2 model-backed) over a text table.
 
-L1 needs no UDF: a constant struct per row. L2 runs a pluggable scorer
-``scorer(list[str]) -> list[(label, score)]`` in ``mapInPandas``: Spark
-partitions the texts, the scorer is built once per Python worker and called
-on batches of ``batch_size`` whole texts. The default scorer is a small
-lexicon model (word lists below); a real model can be passed in.
+L1 is a constant struct per row. L2's lexicon model (word lists below, or given ones)
+is a few array functions on the JVM. A real model can be passed to ``model_sentiment``:
+``scorer(list[str]) -> list[(label, score)]``, built once per Python worker and called
+on batches of whole texts.
 """
 
 from __future__ import annotations
@@ -35,6 +34,19 @@ def neutral_sentiment(texts: DataFrame, text_col: str = "text") -> DataFrame:
                         F.lit(1.0).alias("neutral"), F.lit("neutral").alias("label"))
 
 
+def lexicon_sentiment(texts: DataFrame, positive=frozenset(POSITIVE_WORDS), negative=frozenset(NEGATIVE_WORDS),
+                      text_col: str = "text") -> DataFrame:
+    """L2: share of lexicon hits among the words; the larger side wins, ties are neutral."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+    hits = lambda lexicon: F.size(F.filter(words, lambda w: w.isin(*sorted(lexicon))))
+    p, q, n = F.col("_pos"), F.col("_neg"), F.greatest(F.col("_words"), F.lit(1))
+    counted = texts.withColumns({"_words": F.size(words), "_pos": hits(positive), "_neg": hits(negative)})
+    return counted.withColumns({
+        "positive": F.when(p > q, p / n).otherwise(0.0), "negative": F.when(q > p, q / n).otherwise(0.0),
+        "neutral": F.when(p == q, 1.0 - (p + q) / n).otherwise(0.0),
+        "label": F.when(p > q, "positive").when(q > p, "negative").otherwise("neutral")}).drop("_words", "_pos", "_neg")
+
+
 def lexicon_scorer(batch: list[str]) -> list[tuple[str, float]]:
     """Share of lexicon hits among words; the larger side wins, ties neutral."""
     out = []

@@ -53,6 +53,21 @@ def number_rows(df: DataFrame, key: str = "ticker", ts: str = "timestamp",
         "_bkt", "_lrn", "_off")
 
 
+def newest_rows(df: DataFrame, rows: int, key: str = "ticker", ts: str = "timestamp") -> DataFrame:
+    """The newest ``rows`` rows of each key with ``_back`` (0 = newest).
+
+    A descending row number with a limit: Spark keeps at most ``rows`` rows of a key in
+    each task before the shuffle, so a key's history is never moved or sorted whole.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(ts).desc())
+    return df.withColumn("_back", F.row_number().over(w) - 1).filter(F.col("_back") < rows)
+
+
+def with_length(df: DataFrame, whole: DataFrame, key: str = "ticker") -> DataFrame:
+    """Adds ``n``, the key's number of rows in ``whole`` (summed on the mappers)."""
+    return df.join(whole.groupBy(key).agg(F.count(F.lit(1)).alias(N)), key)
+
+
 def halo_blocks(df: DataFrame, halo: int, block_rows: int = BLOCK_ROWS,
                 lead: int = 0) -> DataFrame:
     """Assign rows to (key, ``_blk``) blocks with a trailing halo; flag ``_home``.

@@ -7,6 +7,7 @@ critical quality check stops the run (``DataQualityError``).
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ def run_daily(spark: SparkSession, new_bars: DataFrame, base: str | None = None,
         append_partitioned(new, prices_path)
     new.unpersist()
     prices = spark.read.parquet(prices_path).drop("year")
-    now = now or prices.agg(F.max("timestamp")).collect()[0][0]
+    now = now or datetime.now(timezone.utc).replace(tzinfo=None)     # the clock, never the data's own last day
     quality.enforce(quality.quality_gate(prices, now, min_rows=min_rows))
     feats = ind.technical_features(prices, keep_warmup=False)
     feats.write.mode("overwrite").parquet(f"{base}/technical_indicators")

@@ -94,18 +94,21 @@ def d1_null_rates(spark, sf_dir):
     return quality.null_rates(bars(spark, sf_dir), _COLS)
 
 
-@register("D1_null_rates_lineitem", """
-SELECT * FROM (
-  SELECT 'l_shipdate' AS column, count(*) FILTER (WHERE l_shipdate IS NULL) AS null_count, count(*) AS total FROM lineitem
-  UNION ALL SELECT 'l_quantity', count(*) FILTER (WHERE l_quantity IS NULL), count(*) FROM lineitem
-  UNION ALL SELECT 'l_extendedprice', count(*) FILTER (WHERE l_extendedprice IS NULL), count(*) FROM lineitem
-  UNION ALL SELECT 'l_discount', count(*) FILTER (WHERE l_discount IS NULL), count(*) FROM lineitem
-) x, LATERAL (SELECT null_count * 100.0 / total AS null_pct, null_count * 100.0 / total <= 5.0 AS passed)
-WHERE total > 0
-""")
+_LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _null_rate_sql(source: str, cols: list[str]) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS total FROM {source}"
+                              for c in cols)
+    return f"""SELECT * FROM ({rows}) x,
+LATERAL (SELECT null_count * 100.0 / total AS null_pct, null_count * 100.0 / total <= 5.0 AS passed) WHERE total > 0"""
+
+
+@register("D1_null_rates_lineitem", _null_rate_sql("lineitem", _LINEITEM))
 def d1_null_rates_lineitem(spark, sf_dir):
-    return quality.null_rates(table(spark, sf_dir, "lineitem"),
-                              ["l_shipdate", "l_quantity", "l_extendedprice", "l_discount"])
+    """Null rates of every column of ``lineitem``."""
+    return quality.null_rates(table(spark, sf_dir, "lineitem"), _LINEITEM)
 
 
 @register("D2_freshness", f"""
@@ -146,19 +149,30 @@ def d4_outliers_lineitem(spark, sf_dir):
     return quality.outlier_counts(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice")
 
 
+@register("D4_outliers_low_bound", f"""
+WITH {BARS_CTE},
+st AS (SELECT ticker, avg(close) AS m, stddev_samp(close) AS sd FROM bars GROUP BY ticker)
+SELECT b.ticker, count(*) AS outlier_count FROM bars b JOIN st ON b.ticker = st.ticker
+WHERE abs(b.close - st.m) > 1.5 * st.sd GROUP BY b.ticker
+""")
+def d4_outliers_low_bound(spark, sf_dir):
+    """D4 at a bound that the bars do exceed (1.5 standard deviations)."""
+    return quality.outlier_counts(bars(spark, sf_dir), k=1.5)
+
+
 @register("D6_quality_gate", f"""
 WITH {BARS_CTE},
 a AS (SELECT count(*) AS total, max(timestamp) AS last FROM bars),
 o AS (SELECT count(*) AS n FROM bars b JOIN (SELECT ticker, avg(close) m, stddev_samp(close) sd FROM bars GROUP BY 1) st
       ON b.ticker = st.ticker WHERE abs(b.close - st.m) > 3 * st.sd),
 c AS (
-  SELECT 0 AS ord, 'null_rate:ticker' AS "check", 0.0 AS value FROM a
-  UNION ALL SELECT 1, 'null_rate:timestamp', 0.0 FROM a
-  UNION ALL SELECT 2, 'null_rate:open', 0.0 FROM a
-  UNION ALL SELECT 3, 'null_rate:high', 0.0 FROM a
-  UNION ALL SELECT 4, 'null_rate:low', 0.0 FROM a
-  UNION ALL SELECT 5, 'null_rate:close', 0.0 FROM a
-  UNION ALL SELECT 6, 'null_rate:volume', 0.0 FROM a)
+  SELECT 0 AS ord, 'null_rate:ticker' AS "check", (SELECT count(*) FILTER (WHERE ticker IS NULL) * 100.0 / count(*) FROM bars) AS value FROM a
+  UNION ALL SELECT 1, 'null_rate:timestamp', (SELECT count(*) FILTER (WHERE timestamp IS NULL) * 100.0 / count(*) FROM bars) FROM a
+  UNION ALL SELECT 2, 'null_rate:open', (SELECT count(*) FILTER (WHERE open IS NULL) * 100.0 / count(*) FROM bars) FROM a
+  UNION ALL SELECT 3, 'null_rate:high', (SELECT count(*) FILTER (WHERE high IS NULL) * 100.0 / count(*) FROM bars) FROM a
+  UNION ALL SELECT 4, 'null_rate:low', (SELECT count(*) FILTER (WHERE low IS NULL) * 100.0 / count(*) FROM bars) FROM a
+  UNION ALL SELECT 5, 'null_rate:close', (SELECT count(*) FILTER (WHERE close IS NULL) * 100.0 / count(*) FROM bars) FROM a
+  UNION ALL SELECT 6, 'null_rate:volume', (SELECT count(*) FILTER (WHERE volume IS NULL) * 100.0 / count(*) FROM bars) FROM a)
 SELECT ord, "check", value, 5.0 AS threshold, 'critical' AS severity, value <= 5.0 AS passed FROM c
 UNION ALL
 SELECT 7, 'freshness_hours', (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last)) / 3.6e9, 48.0, 'critical',
@@ -211,35 +225,28 @@ def a11_constraint_audit(spark, sf_dir):
 _FEATS = ind.FEATURE_COLUMNS
 
 
+_REPORTED = [c for c in TRAIN_COLS if c != "ticker"]
+_DTYPES = {"timestamp": "datetime64[ns]", "target": "int32"}
+
+
 @register("D15_missing_report", f"""
 WITH RECURSIVE {FEATURES_CTE},
-t AS (SELECT * FROM tv)
-SELECT ticker, c AS column, CAST(m AS BIGINT) AS missing_count, round(m * 100.0 / total, 2) AS missing_pct, dtype
-FROM (SELECT ticker, count(*) AS total,
-        count(*) FILTER (WHERE rsi_14 IS NULL) AS rsi_14, count(*) FILTER (WHERE return_1d IS NULL) AS return_1d,
-        count(*) FILTER (WHERE return_5d IS NULL) AS return_5d,
-        count(*) FILTER (WHERE volatility_20d IS NULL) AS volatility_20d,
-        count(*) FILTER (WHERE target IS NULL) AS target
-      FROM t GROUP BY ticker)
-UNPIVOT (m FOR c IN (rsi_14, return_1d, return_5d, volatility_20d, target))
-JOIN (VALUES ('rsi_14', 'float64'), ('return_1d', 'float64'), ('return_5d', 'float64'),
-             ('volatility_20d', 'float64'), ('target', 'int32')) d(cname, dtype) ON c = cname
+g AS (SELECT ticker, count(*) AS total, {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in _REPORTED)} FROM tv GROUP BY ticker)
+{" UNION ALL ".join(f"SELECT ticker, '{c}' AS column, CAST(n_{c} AS BIGINT) AS missing_count, round(n_{c} * 100.0 / total, 2) AS missing_pct, '{_DTYPES.get(c, 'float64')}' AS dtype FROM g" for c in _REPORTED)}
 """)
 def d15_missing_report(spark, sf_dir):
-    f = training_frame(bars(spark, sf_dir), drop_nulls=False)
-    return eda.missing_report(f.select("ticker", "rsi_14", "return_1d", "return_5d",
-                                       "volatility_20d", "target"), ["ticker"])
+    """Missing values of every column of the training frame."""
+    return eda.missing_report(training_frame(bars(spark, sf_dir), drop_nulls=False), ["ticker"])
 
 
 @register("D16_duplicates", """
-WITH c AS (SELECT l_returnflag, count(*) AS k FROM lineitem GROUP BY ALL)
 SELECT l_returnflag, sum(k)::BIGINT AS total_rows, sum(k - 1)::BIGINT AS duplicate_rows,
        (sum(k) - sum(k - 1))::BIGINT AS unique_rows, round(sum(k - 1) * 100.0 / sum(k), 2) AS duplicate_pct
-FROM (SELECT l_returnflag, l_orderkey, l_linenumber, count(*) AS k FROM lineitem GROUP BY ALL) GROUP BY l_returnflag
+FROM (SELECT *, count(*) AS k FROM lineitem GROUP BY ALL) GROUP BY l_returnflag
 """)
 def d16_duplicates(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
-    return eda.duplicate_report(li, ["l_returnflag"])
+    """Duplicates over all columns of ``lineitem``."""
+    return eda.duplicate_report(table(spark, sf_dir, "lineitem"), ["l_returnflag"])
 
 
 @register("D17_class_balance", f"""
@@ -267,12 +274,13 @@ def d17_class_balance_labels(spark, sf_dir):
     return eda.class_balance(table(spark, sf_dir, "labels"), [], target="quality")
 
 
-_DIST_FEATS = ["rsi_14", "return_1d", "return_5d", "volatility_20d"]
+_DIST_FEATS = ind.FEATURE_COLUMNS
+_DIST_LIST = ", ".join(_DIST_FEATS)
 
 
 @register("D18_distributions", f"""
 WITH RECURSIVE {FEATURES_CTE},
-l AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN (rsi_14, return_1d, return_5d, volatility_20d)))
+l AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN ({_DIST_LIST})))
 SELECT ticker, feature, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min(x), 6) AS min,
        round(max(x), 6) AS max, round(quantile_cont(x, 0.5), 6) AS median,
        round(skewness(x), 4) AS skewness, round(kurtosis(x), 4) AS kurtosis, round(max(x) - min(x), 6) AS range
@@ -282,28 +290,29 @@ def d18_distributions(spark, sf_dir):
     return eda.distributions(_train(spark, sf_dir), ["ticker"], _DIST_FEATS)
 
 
+_PAIRS = [(a, b) for i, a in enumerate(_FEATS) for b in [*_FEATS[i + 1:], "target"]]
+_CORR_COLS = ", ".join(f'corr({a}, {b}) AS "{a}|{b}"' for a, b in _PAIRS)
+_CORR_NAMES = ", ".join(f'"{a}|{b}"' for a, b in _PAIRS)
+_CORR_SQL = f"""c AS (SELECT ticker, {_CORR_COLS} FROM train GROUP BY ticker),
+l AS (SELECT ticker, pair, r FROM c UNPIVOT (r FOR pair IN ({_CORR_NAMES}))),
+cr AS (SELECT ticker, split_part(pair, '|', 1) AS feature_1, split_part(pair, '|', 2) AS feature_2, round(r, 4) AS correlation,
+              CASE WHEN split_part(pair, '|', 2) = 'target' THEN 'target' ELSE 'high_pair' END AS kind
+       FROM l WHERE split_part(pair, '|', 2) = 'target' OR abs(r) > 0.8)"""
+
+
 @register("D19_correlations", f"""
 WITH RECURSIVE {FEATURES_CTE},
-c AS (SELECT ticker,
-        corr(rsi_14, return_1d) AS "rsi_14|return_1d", corr(rsi_14, return_5d) AS "rsi_14|return_5d",
-        corr(return_1d, return_5d) AS "return_1d|return_5d",
-        corr(rsi_14, target) AS "rsi_14|target", corr(return_1d, target) AS "return_1d|target",
-        corr(return_5d, target) AS "return_5d|target"
-      FROM train GROUP BY ticker),
-l AS (SELECT ticker, pair, r FROM c UNPIVOT (r FOR pair IN ("rsi_14|return_1d", "rsi_14|return_5d",
-        "return_1d|return_5d", "rsi_14|target", "return_1d|target", "return_5d|target")))
-SELECT ticker, split_part(pair, '|', 1) AS feature_1, split_part(pair, '|', 2) AS feature_2,
-       round(r, 4) AS correlation,
-       CASE WHEN split_part(pair, '|', 2) = 'target' THEN 'target' ELSE 'high_pair' END AS kind
-FROM l WHERE split_part(pair, '|', 2) = 'target' OR abs(r) > 0.8
+{_CORR_SQL}
+SELECT * FROM cr
 """)
 def d19_correlations(spark, sf_dir):
-    return eda.correlations(_train(spark, sf_dir), ["ticker"], ["rsi_14", "return_1d", "return_5d"])
+    """Correlations of all feature pairs and of every feature with the target."""
+    return eda.correlations(_train(spark, sf_dir), ["ticker"], _FEATS)
 
 
 @register("D20_zscore_outliers", f"""
 WITH RECURSIVE {FEATURES_CTE},
-l AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN (rsi_14, return_1d, return_5d, volatility_20d))),
+l AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN ({_DIST_LIST}))),
 st AS (SELECT ticker, feature, avg(x) AS m, stddev_samp(x) AS s, count(x) AS n FROM l GROUP BY 1, 2)
 SELECT l.ticker, l.feature,
        sum(CASE WHEN st.s > 0 AND abs((l.x - st.m) / st.s) > 3 THEN 1 ELSE 0 END)::BIGINT AS outlier_count,
@@ -332,6 +341,7 @@ def _d21_sql() -> str:
     feats = ", ".join(_DIST_FEATS)
     return f"""
 WITH RECURSIVE {FEATURES_CTE},
+{_CORR_SQL},
 lf AS (SELECT ticker, feature, x FROM train UNPIVOT (x FOR feature IN ({feats}))),
 st AS (SELECT ticker, feature, avg(x) AS m, stddev_samp(x) AS s, count(x) AS n FROM lf GROUP BY 1, 2),
 oc AS (SELECT lf.ticker, lf.feature,
@@ -356,6 +366,9 @@ UNION ALL SELECT ticker, 'class_balance', NULL, 'balance_ratio',
 UNION ALL {dist}
 UNION ALL SELECT ticker, 'outliers', feature, 'outlier_count', k FROM oc
 UNION ALL SELECT ticker, 'outliers', feature, 'outlier_pct', round(coalesce(k * 100.0 / nullif(n, 0), 0), 2) FROM oc
+UNION ALL SELECT ticker, 'summary', NULL, 'start', epoch_us(CAST(min(timestamp) AS TIMESTAMP)) / 1e6 FROM train GROUP BY ticker
+UNION ALL SELECT ticker, 'summary', NULL, 'end', epoch_us(CAST(max(timestamp) AS TIMESTAMP)) / 1e6 FROM train GROUP BY ticker
+UNION ALL SELECT ticker, 'correlation', feature_1 || '|' || feature_2, 'correlation', correlation FROM cr
 """
 
 
@@ -365,31 +378,44 @@ def d21_eda_report(spark, sf_dir):
     return eda.eda_report(_train(spark, sf_dir), ["ticker"], _DIST_FEATS)
 
 
-@register("D22_frame_quality", f"""
+def _missing_warning(c: str) -> str:
+    text = f"'''{c}'' has {{}} missing values ({{}}%)'"
+    return f"CASE WHEN m_{c} > 0 THEN format({text}, m_{c}, printf('%.1f', m_{c} * 100.0 / original_rows)) END"
+
+
+def _infinite_warning(c: str) -> str:
+    text = f"'''{c}'' has {{}} infinite values'"
+    return f"CASE WHEN i_{c} > 0 THEN format({text}, i_{c}) END"
+
+
+def _d22_sql() -> str:
+    t = ", ".join(["ticker", *_FEATS, "target"])
+    miss = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS m_{c}, count(*) FILTER (WHERE isinf({c})) AS i_{c}" for c in _FEATS)
+    warn = ",\n".join([*map(_missing_warning, _FEATS),
+                       "CASE WHEN d.duplicates > 0 THEN format('{} duplicate rows found', d.duplicates) END",
+                       *map(_infinite_warning, _FEATS)])
+    return f"""
 WITH RECURSIVE {FEATURES_CTE},
-t AS (SELECT ticker, rsi_14, return_1d, volatility_20d, target FROM tv),
-a AS (SELECT ticker, count(*) AS original_rows,
-        count(*) FILTER (WHERE rsi_14 IS NULL) AS m1, count(*) FILTER (WHERE return_1d IS NULL) AS m2,
-        count(*) FILTER (WHERE volatility_20d IS NULL) AS m3, avg(target) AS up FROM t GROUP BY 1),
+t AS (SELECT {t} FROM tv),
+a AS (SELECT ticker, count(*) AS original_rows, {miss}, avg(target) AS up FROM t GROUP BY 1),
 d AS (SELECT ticker, sum(k - 1) AS duplicates FROM (SELECT *, count(*) AS k FROM t GROUP BY ALL) GROUP BY 1)
-SELECT a.ticker, original_rows, (m1 + m2 + m3)::BIGINT AS missing_values, d.duplicates::BIGINT AS duplicates,
-       0::BIGINT AS infinite_values,
+SELECT a.ticker, original_rows, ({" + ".join(f"m_{c}" for c in _FEATS)})::BIGINT AS missing_values, d.duplicates::BIGINT AS duplicates,
+       ({" + ".join(f"i_{c}" for c in _FEATS)})::BIGINT AS infinite_values,
        round(CASE WHEN up = 0 OR up = 1 THEN 100.0 ELSE least(up, 1 - up) * 100.0 END, 4) AS minority_pct,
        (original_rows - d.duplicates)::BIGINT AS final_rows,
-       concat_ws('; ',
-         CASE WHEN m1 > 0 THEN format('''rsi_14'' has {{}} missing values ({{}}%)', m1, printf('%.1f', m1 * 100.0 / original_rows)) END,
-         CASE WHEN m2 > 0 THEN format('''return_1d'' has {{}} missing values ({{}}%)', m2, printf('%.1f', m2 * 100.0 / original_rows)) END,
-         CASE WHEN m3 > 0 THEN format('''volatility_20d'' has {{}} missing values ({{}}%)', m3, printf('%.1f', m3 * 100.0 / original_rows)) END,
-         CASE WHEN d.duplicates > 0 THEN format('{{}} duplicate rows found', d.duplicates) END,
+       concat_ws('; ', {warn},
          CASE WHEN (CASE WHEN up = 0 OR up = 1 THEN 100.0 ELSE least(up, 1 - up) * 100.0 END) < 30
               THEN format('Class imbalance detected: minority class is {{}}%', printf('%.1f', least(up, 1 - up) * 100.0)) END
        ) AS warnings
 FROM a JOIN d ON a.ticker = d.ticker
-""")
+"""
+
+
+@register("D22_frame_quality", _d22_sql())
 def d22_frame_quality(spark, sf_dir):
+    """Quality report of the training frame over all features."""
     f = training_frame(bars(spark, sf_dir), drop_nulls=False)
-    return eda.frame_quality_report(f.select("ticker", "rsi_14", "return_1d", "volatility_20d", "target"),
-                                    ["ticker"], ["rsi_14", "return_1d", "volatility_20d"])
+    return eda.frame_quality_report(f.select("ticker", *_FEATS, "target"), ["ticker"], _FEATS)
 
 
 # ---------------------------------------------------------------- wider key (25 tickers)

@@ -237,9 +237,9 @@ def l1_neutral_sentiment(spark, sf_dir):
     return se.neutral_sentiment(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def _l2_sql() -> str:
-    pos = ", ".join(f"'{w}'" for w in sorted(se.POSITIVE_WORDS))
-    neg = ", ".join(f"'{w}'" for w in sorted(se.NEGATIVE_WORDS))
+def _l2_sql(positive, negative) -> str:
+    pos = ", ".join(f"'{w}'" for w in sorted(positive))
+    neg = ", ".join(f"'{w}'" for w in sorted(negative))
     return f"""
 WITH w AS (SELECT doc_id, lang, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') AS ws FROM documents),
 c AS (SELECT lang, len(ws) AS nw, len(list_filter(ws, lambda x: list_contains([{pos}], x))) AS p,
@@ -252,14 +252,27 @@ FROM l GROUP BY 1, 2
 """
 
 
-@register("L2_lexicon_sentiment_labels", _l2_sql())
+def _l2_labels(spark, sf_dir, positive, negative):
+    scored = se.lexicon_sentiment(table(spark, sf_dir, "documents").select("lang", "text"), positive, negative)
+    return scored.groupBy("lang", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("positive"), 6).alias("positive"),
+        F.round(F.sum("negative"), 6).alias("negative"))
+
+
+@register("L2_lexicon_sentiment_labels", _l2_sql(se.POSITIVE_WORDS, se.NEGATIVE_WORDS))
 def l2_lexicon_sentiment(spark, sf_dir):
     """L2 over every document (whole texts): label counts per language."""
-    docs = table(spark, sf_dir, "documents")
-    s = se.model_sentiment(docs.select("doc_id", "text"))
-    return (s.join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang", "label")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("positive"), 6).alias("positive"),
-                 F.round(F.sum("negative"), 6).alias("negative")))
+    return _l2_labels(spark, sf_dir, se.POSITIVE_WORDS, se.NEGATIVE_WORDS)
+
+
+# a lexicon of words that the documents hold, so that all three labels occur
+_L2_POS, _L2_NEG = {"the", "que", "der", "on"}, {"of", "de", "and", "und", "la"}
+
+
+@register("L2_sentiment_other_lexicon", _l2_sql(_L2_POS, _L2_NEG))
+def l2_other_lexicon(spark, sf_dir):
+    """L2 with a given lexicon."""
+    return _l2_labels(spark, sf_dir, _L2_POS, _L2_NEG)
 
 
 # ---------------------------------------------------------------- sources / sinks (A, G)
@@ -445,7 +458,7 @@ def k5_health_status(spark, sf_dir):
 def k9_daily_job(spark, sf_dir):
     """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
     from tickwise.plans.daily import run_daily
-    return run_daily(spark, bars(spark, sf_dir))
+    return run_daily(spark, bars(spark, sf_dir, materialized=True), now="2001-08-03 12:00:00")
 
 
 @register("F5_page_one_ticker", f"""

@@ -54,8 +54,8 @@ def apply_conventions(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is created
-    and registered, so cluster runs never fall back to a machine-local path.
+    Only when a session on one machine (``local[..]``) has none, a scratch folder is created
+    and registered. On a cluster a machine-local path would lose files: an error is raised.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

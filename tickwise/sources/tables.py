@@ -49,13 +49,12 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 
 def bars(spark: SparkSession, sf_dir: str, wide: bool = False,
-         materialized: bool = True) -> DataFrame:
+         materialized: bool = False) -> DataFrame:
     """OHLCV bars (ticker, timestamp, open, high, low, close, volume).
 
-    The view stands in for the stored price table, so by default it is
-    materialized once (reliable checkpoint: one row per ticker-day): plans
-    that use the bars several times read that instead of scanning and
-    aggregating ``orders`` again.
+    A lazy view: filters and column choice reach the scan of ``orders``. With
+    ``materialized`` it is stored once (reliable checkpoint, one row per ticker-day),
+    for plans that use the bars several times.
     """
     df = _bar_view(spark, sf_dir, wide)
     if not materialized:
