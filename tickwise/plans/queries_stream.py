@@ -458,7 +458,9 @@ def k5_health_status(spark, sf_dir):
 def k9_daily_job(spark, sf_dir):
     """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
     from tickwise.plans.daily import run_daily
-    return run_daily(spark, bars(spark, sf_dir, materialized=True), now="2001-08-03 12:00:00")
+    b = bars(spark, sf_dir, materialized=True)
+    clock = b.agg(F.max("timestamp") + F.expr("INTERVAL 12 HOURS")).first()[0]     # half a day after the last bar
+    return run_daily(spark, b, now=clock)
 
 
 @register("F5_page_one_ticker", f"""
