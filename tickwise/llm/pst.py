@@ -67,6 +67,25 @@ def _unzip(blob, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(dt.itemsize, -1).T).view(dt).ravel() if len(raw) else np.zeros(0, dt)
 
 
+_X_BITS = np.uint64((1 << 48) - 1)     # of a next word's hash: it is compared inside one context only
+
+
+def _zip48(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(
+        np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
+
+
+def _unzip48(blob) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _pair_name(parent: np.ndarray, following: np.ndarray) -> np.ndarray:
+    return mix64(parent * HASH_MUL + following)
+
+
 _BLOCK = "block bigint, ids array<bigint>, lengths array<int>, train array<boolean>, codes binary, vocab binary"
 
 
@@ -163,7 +182,7 @@ def _level(b: Block, depth: int, gram: np.ndarray, names: np.ndarray, count: np.
     key, pair = np.unique(before[at] * len(b.vocab) + b.codes[at], return_inverse=True)
     context, following = key // len(b.vocab), key % len(b.vocab)
     parent = names[context]
-    name = mix64(parent * HASH_MUL + b.vocab[following])
+    name = _pair_name(parent, b.vocab[following] & _X_BITS)
     hot = count[context] > hot_count
     order, cuts = _sorted_by_bucket(_bucket(np.where(hot, name, mix64(parent)), buckets), buckets)
     return Level(at, pair, context, following, count[context], name, parent, order, cuts, hot)
@@ -207,7 +226,7 @@ def _joined(replies: dict[int, tuple], column: int) -> np.ndarray:
     return np.concatenate([_unzip(replies[k][column], dtype) for k in sorted(replies)] or [np.zeros(0, dtype)])
 
 
-_REQUEST = ("block bigint, bucket int, names binary, counts binary, q binary, "
+_REQUEST = ("block bigint, bucket int, following binary, counts binary, q binary, "
             "run binary, parents binary, hot binary, n_context binary")
 _REPLY = "block bigint, level int, bucket int, counts binary, kept binary, n bigint, v bigint, context bigint, gain double"
 
@@ -276,12 +295,13 @@ def pair_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot,
         for x in parts:     # pairs of a context stand together: its values once, with its number of pairs
             first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
             run = np.diff(np.append(first, len(x)))
-            for k, a in enumerate((lv.name[x], counts[x].astype("<i4"), np.log(q[x]).astype("<f2"), run.astype("<i4"),
-                                   lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 2):
+            rows[2].append(_zip48(b.vocab[lv.next[x]] & _X_BITS))
+            for k, a in enumerate((counts[x].astype("<i4"), np.log(q[x]).astype("<f2"), run.astype("<i4"),
+                                   lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 3):
                 rows[k].append(_zip(a))
         types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
         return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
-            "block", "bucket", "names", "counts", "q", "run", "parents", "hot", "n_context"])
+            "block", "bucket", "following", "counts", "q", "run", "parents", "hot", "n_context"])
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
 
@@ -297,14 +317,17 @@ def count_pairs(requests: DataFrame, level: int, p: PstParams) -> DataFrame:
     """Totals of every pair and the outcome of its context's test, to every block that asked; partial
     test sums of hot contexts."""
     def run(t: pa.Table) -> pa.Table:
-        names = _buffers(t, "names", "<u8")
-        sizes = [len(x) for x in names]
-        distinct, first, which = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+        following = [_unzip48(x.as_buffer()) for x in t.column("following")]
+        sizes = [len(x) for x in following]
+        run = np.concatenate(_buffers(t, "run", "<i4"))
+        of_run = np.repeat(np.arange(len(run)), run)
+        parents = np.concatenate(_buffers(t, "parents", "<u8"))
+        distinct, first, which = np.unique(_pair_name(parents[of_run], np.concatenate(following)), return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, which, np.concatenate(_buffers(t, "counts", "<i4")))
-        run = np.concatenate(_buffers(t, "run", "<i4"))
-        of_run = np.repeat(np.arange(len(run)), run)[first]
-        parent, hot, n = (np.concatenate(_buffers(t, c, d))[of_run] for c, d in (("parents", "<u8"), ("hot", "?"), ("n_context", "<i8")))
+        of_run = of_run[first]
+        parent = parents[of_run]
+        hot, n = (np.concatenate(_buffers(t, c, d))[of_run] for c, d in (("hot", "?"), ("n_context", "<i8")))
         q = np.exp(np.concatenate(_buffers(t, "q", "<f2"))[first].astype(np.float64))
         seen = total > 0
         term = np.zeros(len(distinct))
