@@ -307,7 +307,33 @@ from tickwise.operators import prep as _prep  # noqa: E402
 _F11 = _ind.FEATURE_COLUMNS
 
 
-def _prep_sql() -> str:
+# gaps put into the folds: nulls, infinite values, repeated train rows
+_NULLED, _BLOWN = "return_1d", "volatility_20d"
+
+
+def _gaps_sql() -> str:
+    """Steps J3, J2 and G3 between the fold rows (s1) and the outlier cap, from their definitions."""
+    head = "ticker, fold, split, rn, timestamp, target"
+    others = ", ".join(c for c in _F11 if c not in (_NULLED, _BLOWN))
+    same = "PARTITION BY ticker, fold, split ORDER BY rn"
+    return f"""
+g0 AS (SELECT {head}, {others}, CASE WHEN rn % 17 = 3 THEN NULL ELSE {_NULLED} END AS {_NULLED},
+              CASE WHEN rn % 29 = 5 THEN CAST('inf' AS DOUBLE) ELSE {_BLOWN} END AS {_BLOWN} FROM s1),
+g1 AS (SELECT * FROM g0 UNION ALL SELECT * FROM g0 WHERE split = 'train' AND rn % 41 = 7),
+g2 AS (SELECT {head}, {others}, {_NULLED}, CAST(isinf({_BLOWN}) AS INTEGER) AS was_inf,
+              CASE WHEN isinf({_BLOWN}) THEN NULL ELSE {_BLOWN} END AS b FROM g1),
+g3 AS (SELECT {head}, {others}, {_NULLED}, was_inf,
+              coalesce(b, last_value(b IGNORE NULLS) OVER ({same} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                       first_value(b IGNORE NULLS) OVER ({same} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {_BLOWN} FROM g2),
+g4 AS (SELECT {head}, {others}, {_BLOWN}, was_inf, CAST({_NULLED} IS NULL AS INTEGER) AS was_null,
+              coalesce({_NULLED}, quantile_cont(CASE WHEN split = 'train' THEN {_NULLED} END, 0.5) OVER (PARTITION BY ticker, fold)) AS {_NULLED}
+       FROM g3),
+g5 AS (SELECT ticker, fold, split, timestamp, target, {", ".join(_F11)}, min(rn) AS rn, count(*) - 1 AS copies,
+              min(was_inf + was_null) AS filled
+       FROM g4 GROUP BY ticker, fold, split, timestamp, target, {", ".join(_F11)}, CASE WHEN split <> 'train' THEN rn END),"""
+
+
+def _prep_sql(gaps: bool = False) -> str:
     w = "OVER (PARTITION BY ticker, fold)"
     cap = ", ".join(
         f"""CASE WHEN split = 'train' THEN least(greatest({c}, q1_{c} - 1.5 * (q3_{c} - q1_{c})), q3_{c} + 1.5 * (q3_{c} - q1_{c})) ELSE {c} END AS {c},
@@ -328,11 +354,11 @@ f AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((rn - 272) / 21.0))
                                        CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
       FROM tn WHERE n >= 273),
 s1 AS (SELECT ticker, CAST(fold AS INTEGER) AS fold, CASE WHEN rn - fold * 21 < 252 THEN 'train' ELSE 'test' END AS split,
-              rn, timestamp, target, {cols} FROM f),
-s2 AS (SELECT *, {qs} FROM s1),
-s3 AS (SELECT ticker, fold, split, rn, timestamp, target, {cap} FROM s2),
-s4 AS (SELECT ticker, fold, split, rn, timestamp, target, ({kcols}) AS capped, {clip} FROM s3),
-s5 AS (SELECT ticker, fold, split, timestamp, target, capped, {scale} FROM s4)"""
+              rn, timestamp, target, {cols} FROM f),{_gaps_sql() if gaps else "g5 AS (SELECT *, 0 AS copies, 0 AS filled FROM s1),"}
+s2 AS (SELECT *, {qs} FROM g5),
+s3 AS (SELECT ticker, fold, split, rn, timestamp, target, copies, filled, {cap} FROM s2),
+s4 AS (SELECT ticker, fold, split, rn, timestamp, target, copies, filled, ({kcols}) AS capped, {clip} FROM s3),
+s5 AS (SELECT ticker, fold, split, timestamp, target, copies, filled, capped, {scale} FROM s4)"""
 
 
 @register("J7_prepared_folds", _prep_sql() + f"""
@@ -345,12 +371,16 @@ def j7_prepared_folds(spark, sf_dir):
                       *[F.round(c, 6).alias(c) for c in _F11])
 
 
-@register("J7_prep_counts", _prep_sql() + """
-SELECT ticker, fold, 0::BIGINT AS imputed_values_train, 0::BIGINT AS imputed_values_test,
+_PREP_COUNTS = """
+SELECT ticker, fold, sum(CASE WHEN split = 'train' THEN filled ELSE 0 END)::BIGINT AS imputed_values_train,
+       sum(CASE WHEN split = 'test' THEN filled ELSE 0 END)::BIGINT AS imputed_values_test,
        sum(capped)::BIGINT AS outliers_capped, count(*) FILTER (WHERE split = 'train') AS train_rows,
-       count(*) FILTER (WHERE split = 'test') AS test_rows, 0::BIGINT AS duplicates_removed
+       count(*) FILTER (WHERE split = 'test') AS test_rows, sum(copies)::BIGINT AS duplicates_removed
 FROM s5 GROUP BY 1, 2
-""")
+"""
+
+
+@register("J7_prep_counts", _prep_sql() + _PREP_COUNTS)
 def j7_prep_counts(spark, sf_dir):
     folds = fo.assign_folds(_train(spark, sf_dir))
     _, counts = _prep.prepare_folds(folds, _F11)
@@ -372,6 +402,31 @@ def _prepared(spark, sf_dir):
     return materialize(out)
 
 
+def _with_gaps(folds):
+    """Fold rows with holes: nulls, infinite values and repeated train rows at fixed positions."""
+    rn = F.col("rn")
+    d = folds.withColumns({_NULLED: F.when(rn % 17 == 3, F.lit(None)).otherwise(F.col(_NULLED)),
+                           _BLOWN: F.when(rn % 29 == 5, F.lit(float("inf"))).otherwise(F.col(_BLOWN))})
+    return d.unionByName(d.filter((F.col("split") == "train") & (rn % 41 == 7)))
+
+
+@register("J7_prepared_folds_gaps", _prep_sql(True) + f"""
+SELECT ticker, fold, split, timestamp, target, {", ".join(_F11)} FROM s5
+""")
+def j7_prepared_folds_gaps(spark, sf_dir):
+    """J2, J3, E11, G3 and J4-J6 on folds that hold nulls, infinite values and repeated rows."""
+    out, _ = _prep.prepare_folds(_with_gaps(fo.assign_folds(_train(spark, sf_dir))), _F11)
+    return out.select("ticker", "fold", "split", "timestamp", "target", *[F.round(c, 6).alias(c) for c in _F11])
+
+
+@register("J7_prep_counts_gaps", _prep_sql(True) + _PREP_COUNTS)
+def j7_prep_counts_gaps(spark, sf_dir):
+    """Counts of the same preparation."""
+    _, counts = _prep.prepare_folds(_with_gaps(fo.assign_folds(_train(spark, sf_dir))), _F11)
+    return counts.select("ticker", "fold", *[F.col(c).cast("long").alias(c) for c in (
+        "imputed_values_train", "imputed_values_test", "outliers_capped", "train_rows", "test_rows", "duplicates_removed")])
+
+
 @register("J8_logistic_fold_metrics")
 def j8_logistic_fold_metrics(spark, sf_dir):
     """J8 fitted on every (ticker, fold) in parallel; D12/D13 on each test split."""

@@ -454,6 +454,33 @@ def k5_health_status(spark, sf_dir):
     return health_status(bars(spark, sf_dir), empty_pred, empty_reg, "2001-08-03 12:00:00")
 
 
+def _standin_registry(spark, sf_dir):
+    """Predictions: each ticker's last bar; registry: a row for each ticker, active where it has the most bars."""
+    b = bars(spark, sf_dir)
+    per = b.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("timestamp"))
+    top = per.agg(F.max("n")).scalar()
+    registry = per.select(F.lit("rule").alias("model_name"), F.col("ticker").alias("version"),
+                          (F.col("n") / 10000).alias("f1"), (F.col("n") == top).alias("is_active"))
+    return b, per.select("ticker", "timestamp"), registry
+
+
+@register("K5_health_status_active", f"""
+WITH {BARS_CTE},
+per AS (SELECT ticker, count(*) AS n FROM bars GROUP BY 1),
+c AS (SELECT count(*) AS n, max(timestamp) AS last FROM bars),
+h AS (SELECT n, last, 12.0 AS hours, (SELECT count(*) FROM per) AS k,
+             (SELECT max('rule:' || ticker) FROM per WHERE n = (SELECT max(n) FROM per)) AS active FROM c)
+SELECT 'healthy' AS status, last AS last_data_update, hours AS data_freshness_hours, n AS raw_prices_rows, k AS predictions_rows,
+       k AS model_registry_rows, active AS active_model, 'All systems operational' AS message FROM h
+""")
+def k5_health_status_active(spark, sf_dir):
+    """K5 with fresh bars, predictions and an active model."""
+    from tickwise.plans.status import health_status
+    b, predictions, registry = _standin_registry(spark, sf_dir)
+    clock = b.agg(F.max("timestamp") + F.expr("INTERVAL 12 HOURS")).first()[0]
+    return health_status(b, predictions, registry, clock)
+
+
 @register("K9_daily_job")
 def k9_daily_job(spark, sf_dir):
     """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
