@@ -37,11 +37,6 @@ def round_bars(df: DataFrame) -> DataFrame:
     return out.withColumn("volume", F.col("volume").cast("bigint"))
 
 
-def as_utc(col: Column) -> Column:
-    """Instant in UTC. Naive values are read as UTC (session zone is UTC)."""
-    return col.cast("timestamp")
-
-
 def normalize_ticker(col: Column) -> Column:
     """``upper(trim(ticker))``; empty or blank becomes NULL (rejected)."""
     t = F.upper(F.trim(col))
@@ -103,13 +98,3 @@ def apply_contract(df: DataFrame, raw: str = "value") -> DataFrame:
                     F.when(ok, F.col("_t")).alias("ticker"), F.when(ok, F.col("_ts")).alias("timestamp"),
                     *[F.when(ok, F.round(F.col(f"_d_{k}").cast("double"), 4)).alias(k) for k in PRICE_COLS],
                     F.when(ok, vol.cast("bigint")).alias("volume"), "error").drop(*helpers)
-
-
-def drop_warmup(df: DataFrame, col: str = "sma_200") -> DataFrame:
-    """Drop indicator rows until the slowest indicator exists."""
-    return df.filter(F.col(col).isNotNull())
-
-
-def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Drop rows with a NULL in any (given) column."""
-    return df.na.drop(how="any", subset=cols)

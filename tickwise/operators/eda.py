@@ -181,6 +181,7 @@ def frame_quality_report(df: DataFrame, group: list[str], features: list[str],
     minority = F.least(F.col("_up"), 1 - F.col("_up")) * 100.0
     # a one-class frame has a single class share of 100 %, so no warning
     minority = F.when((F.col("_up") == 0) | (F.col("_up") == 1), F.lit(100.0)).otherwise(minority)
+    # fixed values: message texts that users of the reference match on
     warns = [F.when(F.col(f"_m_{c}") > 0, F.format_string(
         "'%s' has %d missing values (%.1f%%)", F.lit(c), F.col(f"_m_{c}"),
         F.col(f"_m_{c}") * 100.0 / F.col("original_rows"))) for c in features]

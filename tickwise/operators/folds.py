@@ -35,13 +35,6 @@ def assign_folds(frame: DataFrame, train: int = TRAIN_WINDOW, test: int = TEST_W
                           .otherwise(F.lit("test")))
 
 
-def fold_count(n: DataFrame, train: int = TRAIN_WINDOW, test: int = TEST_WINDOW) -> DataFrame:
-    """Number of complete folds per key from a (key, n) frame."""
-    size = train + test
-    return n.withColumn("n_folds", F.when(F.col("n") >= size,
-                                          F.floor((F.col("n") - size) / test) + 1).otherwise(0))
-
-
 def holdout_tail(frame: DataFrame, rows: int = BACKTEST_DAYS, key: str = "ticker",
                  ts: str = "timestamp") -> DataFrame:
     """Last ``rows`` rows per key, with ``rn`` and ``n``."""

@@ -82,9 +82,12 @@ def impute(df: DataFrame, cols: list[str], group, strategy: str = "median",
     return df.select(*keep, *out)
 
 
+ZSCORE_K = 3.0
+
+
 def cap_and_scale(df: DataFrame, cols: list[str], group, cap: bool = True,
-                  scale: bool = True) -> DataFrame:
-    """J4 (IQR fences on train), J5 (test clipped to capped-train min/max), J6.
+                  scale: bool = True, method: str = "iqr") -> DataFrame:
+    """J4 (fences on train: IQR, or ``method="zscore"``: mean and sample std), J5 (test clipped to capped-train min/max), J6.
 
     Three projections, each evaluating the window aggregates of every column
     together (one Window operator per step over the same partitioning).
@@ -93,16 +96,24 @@ def cap_and_scale(df: DataFrame, cols: list[str], group, cap: bool = True,
     is_train = F.col("split") == "train"
     keep = [c for c in df.columns if c not in cols]
     if cap:
-        quart = [F.percentile(F.when(is_train, F.col(c)), F.array(F.lit(0.25), F.lit(0.75)))
-                 .over(w).alias(f"_q_{c}") for c in cols]
-        d = df.select(*keep, *cols, *quart)
+        if method not in ("iqr", "zscore"):
+            raise ValueError(f"unknown cap method {method!r}")
+        on_train = lambda c: F.when(is_train, F.col(c))
+        if method == "iqr":
+            centre = [F.percentile(on_train(c), F.array(F.lit(0.25), F.lit(0.75))).over(w).alias(f"_q_{c}") for c in cols]
+        else:
+            centre = [F.array(F.avg(on_train(c)).over(w), F.stddev_samp(on_train(c)).over(w)).alias(f"_q_{c}") for c in cols]
+        d = df.select(*keep, *cols, *centre)
         fenced = []
         for c in cols:
             q1, q3 = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
-            lo, hi = q1 - IQR_K * (q3 - q1), q3 + IQR_K * (q3 - q1)
+            if method == "iqr":
+                lo, hi = q1 - IQR_K * (q3 - q1), q3 + IQR_K * (q3 - q1)
+            else:   # mean and std; a zero or undefined std caps nothing
+                lo, hi = (F.when(q3 > 0, q1 + k * q3) for k in (-ZSCORE_K, ZSCORE_K))
             x = F.col(c)
             fenced.append(F.when(is_train, F.least(F.greatest(x, lo), hi)).otherwise(x).alias(c))
-            fenced.append((is_train & ((x < lo) | (x > hi))).cast("int").alias(f"_cap_{c}"))
+            fenced.append(F.coalesce((is_train & ((x < lo) | (x > hi))).cast("int"), F.lit(0)).alias(f"_cap_{c}"))
         d = d.select(*keep, *fenced)
         bounds = []
         for c in cols:
@@ -123,7 +134,8 @@ def cap_and_scale(df: DataFrame, cols: list[str], group, cap: bool = True,
 
 
 def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
-                  leaky_test_impute: bool = False, cap: bool = True, scale: bool = True):
+                  leaky_test_impute: bool = False, cap: bool = True, scale: bool = True,
+                  cap_method: str = "iqr"):
     """Returns (prepared rows, per-group counts).
 
     Counts per (ticker, fold): infinite values fixed and values imputed per
@@ -147,7 +159,7 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
                                          F.count(F.lit(1)).alias("_copies"))
     dups = kept.groupBy(*group).agg(F.sum(F.col("_copies") - 1).alias("duplicates_removed"))
     d = kept.select(*key_cols, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    d = cap_and_scale(d, cols, group, cap, scale)
+    d = cap_and_scale(d, cols, group, cap, scale, cap_method)
     cap_cols = [f"_cap_{c}" for c in cols] if cap else []
     counts = d.groupBy(*group).agg(
         F.sum(sum((F.col(c) for c in inf_cols + miss_cols), F.lit(0)) * (F.col("split") == "train").cast("int"))

@@ -38,6 +38,7 @@ def parse_portfolios(requests: DataFrame) -> DataFrame:
     nums = F.transform(w, lambda x: F.trim(x).try_cast("double"))
     wsum = F.aggregate(nums, F.lit(0.0), lambda acc, x: acc + x)
     bad_num = F.exists(nums, lambda x: x.isNull())
+    # fixed values: message texts that users of the reference match on
     err = (F.when(bad_num, F.lit("Weights must be numeric values"))
            .when(F.size(t) != F.size(w), F.lit("Number of tickers must match weights"))
            .when(F.abs(wsum - 1.0) > WEIGHT_TOLERANCE, F.lit("Weights must sum to 1.0")))

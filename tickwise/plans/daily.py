@@ -17,7 +17,7 @@ from tickwise.operators import indicators as ind
 from tickwise.operators import models, prep, quality
 from tickwise.operators.registry import ModelRegistry
 from tickwise.operators.training import training_frame
-from tickwise.session import checkpoint_dir
+from tickwise.session import checkpoint_dir, materialize
 from tickwise.sources.sinks import append_partitioned, insert_if_absent, read_or_empty
 
 
@@ -45,7 +45,7 @@ def run_daily(spark: SparkSession, new_bars: DataFrame, base: str | None = None,
     train = training_frame(prices, feats)
     prepared, _ = prep.prepare_folds(fo.assign_folds(train), ind.FEATURE_COLUMNS)
     preds = models.logistic_fold_predictions(prepared, ind.FEATURE_COLUMNS)
-    metrics = models.fold_metrics(preds)
+    metrics = materialize(models.fold_metrics(preds))    # a few rows per fold, fitted once
     best = models.select_best(metrics)
     top = best.filter(F.col("model") == F.col("best_model")).collect()
     summary = [("inserted_rows", float(inserted)), ("feature_rows", float(feats.count()))]

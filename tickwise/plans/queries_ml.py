@@ -410,6 +410,20 @@ def _with_gaps(folds):
     return d.unionByName(d.filter((F.col("split") == "train") & (rn % 41 == 7)))
 
 
+_Z_FENCE = {c: (f"avg(CASE WHEN split = 'train' THEN {c} END) OVER w", f"stddev_samp(CASE WHEN split = 'train' THEN {c} END) OVER w") for c in _F11}
+_Z_SUM = " + ".join(f"CAST(split = 'train' AND abs({c} - {m}) > 3 * {sd} AND {sd} > 0 AS INTEGER)" for c, (m, sd) in _Z_FENCE.items())
+
+
+@register("J4_zscore_caps", _prep_sql() + f""",
+z AS (SELECT ticker, fold, {_Z_SUM} AS capped FROM s1 WINDOW w AS (PARTITION BY ticker, fold))
+SELECT ticker, fold, sum(capped)::BIGINT AS outliers_capped FROM z GROUP BY 1, 2
+""")
+def j4_zscore_caps(spark, sf_dir):
+    """J4 with z-score fences: values capped in each fold's training rows."""
+    _, counts = _prep.prepare_folds(fo.assign_folds(_train(spark, sf_dir)), _F11, cap_method="zscore")
+    return counts.select("ticker", "fold", F.col("outliers_capped").cast("long").alias("outliers_capped"))
+
+
 @register("J7_prepared_folds_gaps", _prep_sql(True) + f"""
 SELECT ticker, fold, split, timestamp, target, {", ".join(_F11)} FROM s5
 """)

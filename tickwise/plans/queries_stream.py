@@ -303,6 +303,21 @@ def a1_vendor_melt(spark, sf_dir):
                       "volume")
 
 
+@register("A1_vendor_single", f"""
+WITH {BARS_CTE}
+SELECT ticker, timestamp, round(open, 4) AS open, round(high, 4) AS high,
+       round(low, 4) AS low, round(close, 4) AS close, CAST(volume AS BIGINT) AS volume
+FROM bars WHERE ticker = '2-HIGH' AND open > 0 AND high > 0 AND low > 0 AND close > 0 AND volume > 0
+""")
+def a1_vendor_single(spark, sf_dir):
+    """A1 in the vendor's layout for one ticker (columns without its name)."""
+    wide = bars(spark, sf_dir).filter(F.col("ticker") == "2-HIGH").select(
+        F.col("timestamp").alias("date"), *[F.col(c.lower()).alias(c) for c in loaders.VENDOR_FIELDS])
+    out = loaders.melt_vendor_frame(wide, ["2-HIGH"])
+    return out.select("ticker", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                      *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")], "volume")
+
+
 @register("A2_period_filter_1y", f"""
 WITH {BARS_CTE}
 SELECT ticker, count(*) AS n FROM bars

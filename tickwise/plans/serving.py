@@ -33,12 +33,6 @@ def latest_prices(bars: DataFrame) -> DataFrame:
                     "timestamp"))
 
 
-def latest_prices_with_count(bars: DataFrame) -> DataFrame:
-    """K1 with the list size as a column (window over the tiny per-ticker result)."""
-    from pyspark.sql import Window
-    return latest_prices(bars).withColumn("count", F.count(F.lit(1)).over(Window.partitionBy()))
-
-
 def ticker_detail(bars: DataFrame, indicators: DataFrame) -> DataFrame:
     """K2: latest bar, change vs its own previous bar (F3) and newest indicators.
 

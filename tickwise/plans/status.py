@@ -29,6 +29,7 @@ def health_status(prices: DataFrame, predictions: DataFrame, registry: DataFrame
     status = (F.when(failed, F.lit("failed"))
               .when(stale | F.col("active_model").isNull(), F.lit("degraded"))
               .otherwise(F.lit("healthy")))
+    # fixed values: message texts that users of the reference match on
     msgs = F.concat_ws("; ",
                        F.when(stale, F.format_string("Data is %.0fh stale", F.col("data_freshness_hours"))),
                        F.when(failed, F.lit("No price data in database")),

@@ -20,10 +20,13 @@ def melt_vendor_frame(wide: DataFrame, tickers: list[str], date_col: str = "date
                       sep: str = "__") -> DataFrame:
     """A1: ticker-wide vendor frame (``{ticker}__{Field}`` columns) -> long bars.
 
-    Per ticker: rows with all fields null are dropped, then rows with null
+    With a single requested ticker the vendor's plain layout (columns ``Open`` .. ``Volume``) is
+    read too. Per ticker: rows with all fields null are dropped, then rows with null
     open or close; tickers whose columns are absent are skipped. Then B1/B2.
     The melt is a narrow ``stack`` projection: no shuffle.
     """
+    if len(tickers) == 1 and all(f in wide.columns for f in VENDOR_FIELDS):
+        wide = wide.withColumnsRenamed({f: f"{tickers[0]}{sep}{f}" for f in VENDOR_FIELDS})
     present = [t for t in tickers if all(f"{t}{sep}{f}" in wide.columns for f in VENDOR_FIELDS)]
     if not present:
         return wide.sparkSession.createDataFrame(
@@ -50,7 +53,7 @@ def period_filter(df: DataFrame, period: str, asof=None, ts: str = "timestamp")
     result does not depend on the clock.
     """
     if period not in VALID_PERIODS:
-        raise ValueError(f"Invalid period '{period}'. Must be one of: {VALID_PERIODS}")
+        raise ValueError(f"unknown look-back {period!r}; known: {', '.join(VALID_PERIODS)}")
     if period == "max":
         return df
     end = F.lit(asof) if asof is not None else df.select(F.max(ts)).scalar()

@@ -43,11 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def bars(spark: SparkSession, sf_dir: str, wide: bool = False,
          materialized: bool = False) -> DataFrame:
     """OHLCV bars (ticker, timestamp, open, high, low, close, volume).
@@ -83,8 +78,3 @@ def _bar_view(spark: SparkSession, sf_dir: str, wide: bool) -> DataFrame:
                  F.min("o_totalprice").alias("low"),
                  F.max_by("o_totalprice", "o_orderkey").alias("close"),
                  F.count(F.lit(1)).alias("volume")))
-
-
-def bars_sql(source: str = "orders") -> str:
-    """The bar view as a SQL sub-select (used by the DuckDB oracles)."""
-    return BAR_VIEW_SQL.replace("FROM orders", f"FROM {source}")
