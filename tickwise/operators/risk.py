@@ -54,14 +54,14 @@ def recent_returns(bars: DataFrame, days: int = TRADING_DAYS, key: str = "ticker
                    ts: str = "timestamp") -> DataFrame:
     """Simple returns of the last ``days + 1`` closes per ticker.
 
-    Rows (ticker, pos, r) with ``pos`` counted from the oldest kept return;
+    Rows (ticker, pos, timestamp, r) with ``pos`` counted from the oldest kept return;
     a ticker with fewer than 2 closes has none.
     """
     tail = newest_rows(bars.select(key, ts, F.col("close").cast("double").alias("close")), days + 1, key, ts)
     w = Window.partitionBy(key).orderBy(ts)          # bounded: days + 1 rows
     d = tail.withColumns({"r": F.try_divide(F.col("close"), F.lag("close", 1).over(w)) - 1.0,
                           "pos": F.row_number().over(w) - 2})
-    return d.filter(F.col("pos") >= 0).select(key, "pos", "r")
+    return d.filter(F.col("pos") >= 0).select(key, "pos", ts, "r")
 
 
 def individual_risk(returns: DataFrame, key: str = "ticker") -> DataFrame:
@@ -96,13 +96,17 @@ def total_return(r: Column) -> Column:
     return F.coalesce(F.product(1.0 + r) - 1.0, F.lit(0.0))
 
 
-def portfolio_risk(bars: DataFrame, requests: DataFrame, days: int = TRADING_DAYS):
+def portfolio_risk(bars: DataFrame, requests: DataFrame, days: int = TRADING_DAYS, by: str = "position",
+                   ts: str = "timestamp"):
     """K4 for every requested portfolio. Returns (portfolio_df, individual_df).
 
-    Portfolio returns are aligned by position from each ticker's oldest kept
-    return and truncated to the shortest series (C7), as the reference does.
+    ``by="position"`` aligns returns from each ticker's oldest kept one and cuts to the
+    shortest series (C7), as the reference does; ``by="date"`` uses the dates on which
+    every position has a return.
     A portfolio naming a ticker without data gets error 'No price data'.
     """
+    if by not in ("position", "date"):
+        raise ValueError(f"unknown alignment {by!r}")
     positions = parse_portfolios(requests)
     rets = recent_returns(bars, days)
     per_ticker = individual_risk(rets)
@@ -113,11 +117,14 @@ def portfolio_risk(bars: DataFrame, requests: DataFrame, days: int = TRADING_DAY
                                                                   F.col("ticker"))))
                .over(Window.partitionBy("portfolio_id")))))
     valid = ind.filter(F.col("error").isNull())
-    min_len = valid.groupBy("portfolio_id").agg(F.min("n_returns").alias("_len"))
-    aligned = (valid.select("portfolio_id", "ticker", "weight").join(min_len, "portfolio_id")
-               .join(rets, "ticker").filter(F.col("pos") < F.col("_len")))
-    preturn = aligned.groupBy("portfolio_id", "pos").agg(F.sum(F.col("weight") * F.col("r")).alias("r"))
-    curve = drawdown_curve(preturn, ["portfolio_id"], "pos")
+    bound = valid.groupBy("portfolio_id").agg(F.min("n_returns").alias("_len"), F.count(F.lit(1)).alias("_held"))
+    joined = valid.select("portfolio_id", "ticker", "weight").join(bound, "portfolio_id").join(rets, "ticker")
+    step = "pos" if by == "position" else ts
+    if by == "position":
+        joined = joined.filter(F.col("pos") < F.col("_len"))
+    preturn = joined.groupBy("portfolio_id", step).agg(
+        F.sum(F.col("weight") * F.col("r")).alias("r"), (F.count(F.lit(1)) == F.max("_held")).alias("_full"))
+    curve = drawdown_curve(preturn.filter(F.col("_full") | F.lit(by == "position")), ["portfolio_id"], step)
     port = curve.groupBy("portfolio_id").agg(
         F.round(F.percentile("r", 0.05), 6).alias("var_95"),
         F.round(F.percentile("r", 0.01), 6).alias("var_99"),

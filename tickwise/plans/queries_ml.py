@@ -10,7 +10,7 @@ from tickwise.operators import folds as fo
 from tickwise.operators import metrics as me
 from tickwise.operators import risk
 from tickwise.operators.training import training_frame
-from tickwise.plans.catalog import BARS_CTE, FEATURES_CTE, SERIES_CTE, register
+from tickwise.plans.catalog import BARS_CTE, FEATURES_CTE, ORACLES, SERIES_CTE, register
 from tickwise.sources.tables import bars, table
 
 
@@ -151,6 +151,26 @@ def k4_portfolio_risk(spark, sf_dir):
     return port
 
 
+def _k4_by_date_sql() -> str:
+    sql = ORACLES["K4_portfolio_risk"]
+    sql = sql.replace("SELECT ticker, rn, n, close / lag", "SELECT ticker, timestamp, rn, n, close / lag")
+    sql = sql.replace("AS pos, r FROM rr", "AS pos, timestamp, r FROM rr")
+    a, b = sql.index("ml AS (SELECT"), sql.index("cu AS (SELECT")
+    return sql[:a] + """held AS (SELECT portfolio_id, count(*) AS k FROM pos GROUP BY 1),
+pr AS (SELECT pos.portfolio_id, rets.timestamp AS pos, sum(pos.weight * rets.r) AS r
+       FROM pos JOIN err ON err.portfolio_id = pos.portfolio_id JOIN held ON held.portfolio_id = pos.portfolio_id
+       JOIN rets ON rets.ticker = pos.ticker WHERE err.error IS NULL
+       GROUP BY pos.portfolio_id, rets.timestamp, held.k HAVING count(*) = held.k),
+""" + sql[b:]
+
+
+@register("K4_portfolio_risk_by_date", _k4_by_date_sql())
+def k4_portfolio_risk_by_date(spark, sf_dir):
+    """K4 with returns aligned on common dates."""
+    port, _ = risk.portfolio_risk(bars(spark, sf_dir), portfolio_requests(spark, sf_dir), by="date")
+    return port
+
+
 @register("K4_individual_risk", f"""
 WITH {RETURNS_CTE}, {REQUESTS_CTE},
 tk AS (SELECT ticker, stddev_pop(r) * sqrt(252) AS v, quantile_cont(r, 0.05) AS q, avg(r) * 252 AS e FROM rets GROUP BY 1),
