@@ -1,8 +1,10 @@
 """Largest-inner-product search by multiprobe p-stable hashing.
 
 Vectors are lifted so that the largest inner product is the smallest Euclidean
-distance (one more coordinate, sqrt(M^2 - |x|^2), M the largest norm; queries get
-norm M and 0 there). Each of ``tables`` tables hashes with ``k`` functions
+distance (one more coordinate, sqrt(M^2 - |x|^2); queries get
+norm M and 0 there). M is the largest norm, or the 99.9th percentile of the norms where a
+few are far larger: these few vectors form a bucket of their own that every query visits,
+as they would push all others to one side of the sphere. Each of ``tables`` tables hashes with ``k`` functions
 floor((a.x + b) / w), ``a`` Gaussian (2-stable). A query visits its own bucket and
 perturbed ones: sets of -1/+1 steps in the order of their expected squared distance
 (Lv et al., 2007), mapped to the query's own distances to its slots' borders.
@@ -89,7 +91,12 @@ class Index:
     def own(self, x: np.ndarray) -> np.ndarray:
         """(n, tables) bucket of each indexed vector."""
         p = np.floor(self.project(x, False))
-        return np.stack([self.buckets(p[t], t) for t in range(len(p))], 1)
+        out = np.stack([self.buckets(p[t], t) for t in range(len(p))], 1)
+        out[self.beyond(x)] = LONG
+        return out
+
+    def beyond(self, x: np.ndarray) -> np.ndarray:
+        return np.linalg.norm(x, axis=1) > self.norm * (1 + 1e-9)
 
     def probes(self, x: np.ndarray, count: int | None = None) -> np.ndarray:
         """(n, tables, probes) buckets that each query visits, in order."""
@@ -110,6 +117,9 @@ class Index:
         return out
 
 
+LONG = -1            # bucket of the vectors beyond the norm
+
+
 def probing_order(k: int, most: int) -> list[tuple[int, ...]]:
     """Sets of border ranks 1..2k (nearest first) by expected squared distance, the empty set first."""
     if k == 0:
@@ -150,6 +160,7 @@ def fit(sample: np.ndarray, n: int, norm: float, p: AnnParams) -> Index:
     cost (rows for probes, comparisons for candidates); the cheapest is taken."""
     dims = sample.shape[1]
     rng = np.random.default_rng(p.seed)
+    sample = sample[np.linalg.norm(sample, axis=1) <= norm * (1 + 1e-9)]
     lifted = np.concatenate([sample, np.sqrt(np.maximum(norm ** 2 - (sample ** 2).sum(1), 0))[:, None]], 1)
     direction = rng.normal(size=(64, dims + 1))
     width = max(p.width * float((lifted @ direction.T).std(0).mean()), 1e-12) if len(sample) else 1.0
@@ -215,11 +226,10 @@ def index_rows(classes: DataFrame, index: Index) -> DataFrame:
         for b in batches:
             x = _matrix(b.column(1), index.dims)
             own = shared.value.own(x)
-            t = own.shape[1]
-            at = np.repeat(np.arange(len(x)), t)
+            at, table = np.nonzero((own != LONG) | (np.arange(own.shape[1]) == 0))     # one row for a long vector
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(t, dtype=np.int32), len(x))), pa.array(own.ravel()),
-                 b.column(0).take(pa.array(at)), _lists(x[at])], names=["table", "bucket", "rep", "v"])
+                [pa.array(table.astype(np.int32)), pa.array(own[at, table]), b.column(0).take(pa.array(at)), _lists(x[at])],
+                names=["table", "bucket", "rep", "v"])
 
     return classes.select("rep", "v").mapInArrow(run, "table int, bucket bigint, rep bigint, v array<double>")
 
@@ -236,6 +246,7 @@ def probe_rows(queries: DataFrame, index: Index) -> DataFrame:
             x = _matrix(b.column(1), index.dims)
             for s in range(0, len(x), 256):
                 visits = shared.value.probes(x[s:s + 256]).reshape(len(x[s:s + 256]), -1)
+                visits = np.concatenate([visits, np.full((len(visits), 1), LONG)], 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(visits.ravel()), pa.array(np.repeat(ids[s:s + 256], visits.shape[1]))], names=["bucket", "q"])
 
@@ -395,14 +406,17 @@ def search(rows: DataFrame, is_query: Column, p: AnnParams = AnnParams(), id_col
     classes = members.where("id = rep").select("rep", "v")
     asking = vectors.where(is_query).join(classes, "v").select("rep", F.col("id").alias("query_id"))
     asking = scratch(asking, "asking")
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     stats = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"),
-                        F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square")).first()
+                        F.max(square).alias("square"), F.percentile_approx(square, 0.999, 10_000).alias("usual")).first()
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(p.sample_rows).select("v").collect()
     dims = int(stats.dims or 1)
     matrix = np.zeros((len(sample), dims))
     for i, r in enumerate(sample):
         matrix[i, :len(r.v)] = r.v
-    index = fit(matrix, stats.n, float(np.sqrt(stats.square or 0.0)), p)
+    usual = float(stats.usual or 0.0)
+    norm = float(np.sqrt(stats.square or 0.0)) if (stats.square or 0.0) <= 2 * usual else float(np.sqrt(usual))
+    index = fit(matrix, stats.n, norm, p)
     table = scratch(index_rows(classes, index), "index")
     sizes = table.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("blocks"))
     queries = classes.join(asking.select("rep").distinct(), "rep", "left_semi")
