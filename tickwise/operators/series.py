@@ -60,7 +60,9 @@ def newest_rows(df: DataFrame, rows: int, key: str = "ticker", ts: str = "timest
     each task before the shuffle, so a key's history is never moved or sorted whole.
     """
     w = Window.partitionBy(key).orderBy(F.col(ts).desc())
-    return df.withColumn("_back", F.row_number().over(w) - 1).filter(F.col("_back") < rows)
+    # the limit must stand on the bare row number for Spark to see it
+    kept = df.withColumn("_back", F.row_number().over(w)).filter(F.col("_back") <= rows)
+    return kept.withColumn("_back", F.col("_back") - 1)
 
 
 def with_length(df: DataFrame, whole: DataFrame, key: str = "ticker") -> DataFrame:
