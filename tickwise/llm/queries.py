@@ -157,7 +157,7 @@ t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 b AS (SELECT l.host, line FROM l JOIN t USING (host) WHERE line <> '' GROUP BY l.host, line, pages
       HAVING count(*) >= 3 AND count(*) > 0.3 * pages),
 g AS (SELECT host, list(line) AS boiler FROM b GROUP BY host),
-k AS (SELECT page_id, p.host, ls, list_filter(ls, x -> trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) = ''
+k AS (SELECT page_id, p.host, ls, list_filter(ls, lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) = ''
         OR boiler IS NULL OR NOT list_contains(boiler, trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)))) AS kept
       FROM p LEFT JOIN g ON p.host = g.host)
 SELECT page_id, host, array_to_string(kept, chr(10)) AS text, len(ls) AS n_lines, len(ls) - len(kept) AS n_dropped FROM k""")
