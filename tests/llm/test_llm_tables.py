@@ -152,6 +152,39 @@ def test_fold_of_events(spark):
     assert chat.format_chats(ev).count() == 3
 
 
+def test_repeated_rows_are_messages_of_their_own(spark):
+    turns = [(1, 0, "user", "hey"), (1, 0, "user", "hey"), (1, 1, "assistant", "abc"), (1, 1, "assistant", "abc"),
+             (1, 2, "assistant", "even"), (1, 2, "assistant", "even"), (1, 2, "assistant", "even"), (1, 3, None, "x"), (1, 3, "x", None),
+             (2, 0, "a\nb", "c"), (2, 0, "a", "b\nc")]
+    rows = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    back = {r.conv_id: r for r in chat.read_back(chat.format_chats(queries.chat_events(rows))).collect()}
+    assert [(t.role, t.text) for t in back[1].turns][:7] == [(r, t) for _, _, r, t in turns[:7]]
+    assert Counter((t.role, t.text) for k in back for t in back[k].turns) == Counter((r or "", t or "") for _, _, r, t in turns)
+    assert back[1].loss_text == "abcabceveneveneven"
+
+
+def test_texts_of_every_length_are_streamed_or_edited(spark):
+    rows = spark.createDataFrame([(k, 0, r, t) for k, (r, t) in enumerate((r, t) for r in ("user", "assistant") for t in ("", "ab", "abc"))],
+                                 "conv_id bigint, turn bigint, role string, text string")
+    kinds = defaultdict(list)
+    for r in queries.chat_events(rows).orderBy("conv_id", "seq").collect():
+        kinds[r.conv_id].append(r.kind)
+    assert all(kinds[k] == ["message", "edit"] for k in range(3))
+    assert all(kinds[k] == ["message", "delta", "regenerate", "delta", "delta"] for k in range(3, 6))
+
+
+def test_events_delivered_again_count_once(spark):
+    log = [(1, 0, "message", "a", "assistant", ""), (1, 1, "delta", "a", None, "x "), (1, 2, "delta", "a", None, "x "),
+           (1, 3, "message", "b", "user", "d"), (1, 4, "edit", "b", None, "e"), (1, 5, "message", "c", "user", "u"), (1, 6, "retract", "c", None, None),
+           (1, 7, "message", "f", "assistant", "old"), (1, 8, "delta", "f", None, "y"), (1, 9, "regenerate", "f", None, "new "), (1, 10, "delta", "f", None, "z")]
+    ev = spark.createDataFrame(log, "conv_id bigint, seq bigint, kind string, message string, role string, text string")
+    rows = lambda df: sorted(tuple(r) for r in chat.fold(df).collect())
+    once = [(1, 0, "a", "assistant", "x x "), (1, 3, "b", "user", "e"), (1, 7, "f", "assistant", "new z")]
+    assert rows(ev) == once and rows(ev.unionAll(ev).repartition(5)) == once
+    other_role = ev.withColumn("role", F.when(F.col("kind") == "delta", "assistant").otherwise(F.col("role")))
+    assert rows(ev.unionAll(other_role)) == once
+
+
 def test_op6_digests(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]

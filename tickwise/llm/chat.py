@@ -21,7 +21,8 @@ none is left, and reading back takes one away: reversible for every text.
 The loss mask holds the code-point spans of the assistant texts.
 
 Defined cases: null text or role is empty; events of equal sequence number are
-ordered by kind (message first), then text; events whose message never started make
+ordered by kind (message first), then text; an event delivered again (same conversation,
+message, sequence number, kind and text) counts once; events whose message never started make
 one with an empty role; unknown kinds are ignored; a conversation without messages
 gives no row; null conversation ids form one conversation; an empty table gives an
 empty result; extra columns are ignored.
@@ -51,13 +52,13 @@ def fold(events: DataFrame) -> DataFrame:
     log = events.select(
         "conv_id", "seq", "message", rank.alias("rank"), F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text")).where("rank IS NOT NULL")
-    step = F.struct("seq", "rank", "text", "role")
+    step = F.struct("seq", "rank", "text")
     entries = log.groupBy("conv_id", "message").agg(
         F.min("seq").alias("first_seq"),
         F.max(F.when(F.col("rank") == 0, F.struct("seq", "role"))).alias("start"),
         F.max(F.when(F.col("rank") < 3, F.struct("seq", "rank", "text"))).alias("reset"),
         F.max(F.when(F.col("rank") == 4, F.col("seq"))).alias("gone"),
-        F.sort_array(F.collect_list(F.when(F.col("rank") == 3, step))).alias("deltas"))
+        F.sort_array(F.collect_set(F.when(F.col("rank") == 3, step))).alias("deltas"))
     late = F.filter("deltas", lambda d: F.col("reset").isNull() | (d["seq"] > F.col("reset.seq"))
                     | ((d["seq"] == F.col("reset.seq")) & (d["rank"] > F.col("reset.rank"))))
     return (entries.where("gone IS NULL")

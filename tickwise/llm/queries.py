@@ -69,20 +69,25 @@ def chat_events(rows: DataFrame) -> DataFrame:
 
     A user's or system's message arrives as a draft that an edit replaces; an
     assistant's is streamed in two deltas, broken off, regenerated and streamed
-    again. Texts with an even length take the plain way (one message event).
+    again. Null roles and texts are empty. Rows that are equal throughout are
+    messages of their own, told apart by a copy number.
     """
-    text = F.coalesce("text", F.lit(""))
+    cells = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # equal rows meet as counts, so a row repeated very often is no hot key
+    copies = cells.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n"))
+    numbered = copies.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    text = F.col("text")
     half = (F.length(text) / 2).cast("int")
     event = lambda kind, t: F.struct(F.lit(kind).alias("kind"), t.alias("text"))
     first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
     streamed = F.array(event("message", F.lit("")), event("delta", rest), event("regenerate", F.lit("")),
                        event("delta", first), event("delta", rest))
     edited = F.array(event("message", first), event("edit", text))
-    plain = F.array(event("message", text))
-    log = F.when(F.length(text) % 2 == 0, plain).when(F.col("role") == "assistant", streamed).otherwise(edited)
-    # rows with the same conversation and turn are different messages
-    message = F.concat_ws("/", F.coalesce(F.col("turn").cast("string"), F.lit("")), F.md5(F.concat_ws("\n", "role", text)))
-    return (rows.select("conv_id", "turn", "role", message.alias("message"), F.posexplode(log).alias("k", "e"))
+    log = F.when(F.col("role") == "assistant", streamed).otherwise(edited)
+    # rows with the same conversation and turn are different messages; the role's length keeps (role, text) unambiguous
+    message = F.concat_ws("/", F.coalesce(F.col("turn").cast("string"), F.lit("")), F.md5(F.concat_ws("\n", "role", "text")),
+                          F.length("role").cast("string"), F.col("copy").cast("string"))
+    return (numbered.select("conv_id", "turn", "role", message.alias("message"), F.posexplode(log).alias("k", "e"))
             .select("conv_id", (F.coalesce("turn", F.lit(-1)) * 8 + F.col("k")).alias("seq"), "e.kind", "message", "role", "e.text"))
 
 
