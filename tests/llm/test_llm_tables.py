@@ -275,6 +275,63 @@ def test_licences_own_and_inherited(spark):
     assert licenses.scan(df).count() == len(files) and licenses.scan(df.limit(0)).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_TEXT = """Copyright (c) 2015, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+GPL_HEADER = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {}General Public License as published by
+ * the Free Software Foundation, either version {} of the License, or
+ * (at your option) any later version.
+ */
+int main() {{ return 0; }}
+"""
+GPL_TEXT = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+""" + "The licenses for most software and other practical works are designed to take away your freedom.\n" * 30
+
+
+def test_wrapped_and_inline_notices_and_whole_licence_texts(spark):
+    filler = [(100 + i, f"z{i}/f.txt", f"plain words number {i} of a file without any notice " * 5) for i in range(60)]
+    files = [(1, "a/LICENSE", MIT_TEXT), (2, "b/LICENSE", BSD_TEXT), (3, "c/COPYING", GPL_TEXT), (4, "a/x.py", "x = 1"), (5, "c/y/z.py", None),
+             (6, "d/h.py", "".join(f"# {x}\n" for x in BSD_TEXT.split("\n")) + "x = 1\n" * 50),
+             (7, "d/g3.c", GPL_HEADER.format("", 3)), (8, "d/g2.c", GPL_HEADER.format("", 2)), (9, "d/lg.c", GPL_HEADER.format("Lesser ", 3)),
+             (10, "d/ag.c", GPL_HEADER.format("Affero ", 3)),
+             (11, "d/in.js", "Copyright 2020 Foo. Released under the MIT License. See the file for all of the details and so on."),
+             (12, "d/ap.go", '// Licensed under the Apache License, Version 2.0 (the "License");\n// you may not use this file except in compliance'),
+             (13, "d/no.py", "The program is free and the terms of its use are published by the foundation."),
+             (14, "e/p.py", "All rights reserved"), (15, "e/q.py", "Copyright 2015 Foo. All rights reserved. See the file beside this one for more.")]
+    df = spark.createDataFrame(files + filler, "doc_id bigint, path string, text string")
+    got = {r.doc_id: (r.licence, r.origin) for r in licenses.scan(df).collect() if r.doc_id < 100}
+    assert got == {1: ("MIT", "own"), 2: ("BSD-3-Clause", "own"), 3: ("GPL-3.0", "own"), 4: ("MIT", "inherited"), 5: ("GPL-3.0", "inherited"),
+                   6: ("BSD-3-Clause", "own"), 7: ("GPL-3.0", "own"), 8: ("GPL-2.0", "own"), 9: ("LGPL-3.0", "own"), 10: ("AGPL-3.0", "own"),
+                   11: ("MIT", "own"), 12: ("Apache-2.0", "own"), 13: (None, "none"), 14: ("proprietary", "own"), 15: (None, "none")}
+
+
 def test_op5_against_brute_force(spark):
     rows = queries.files_of(spark.read.parquet(f"{SF01}/documents.parquet")).collect()
     terms = lambda t: Counter(x for x in licenses._terms((t or "").split()) if x)

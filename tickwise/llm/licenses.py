@@ -1,7 +1,11 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, then inheritance.
 
-Every line of a file (headers can stand anywhere) and, for licence files, the whole
-text is compared with short templates of the common licences. Terms are weighted
+Every line of a file (headers can stand anywhere), every window of as many terms as a
+notice has, over line breaks and comment marks, and, for licence files, the whole
+text is compared with short templates of the common licences. Windows find notices that
+are wrapped, stand inside a longer line or are a part of a licence's full text (its title
+or a sentence of its own is a template). Windows that cannot reach ``least`` are left out by the
+weight of the template's terms in them (an upper bound, so none is lost). Terms are weighted
 tf * ln((1 + files) / (1 + files with the term)), the counts being taken over
 all files; only terms of the templates need a count (a fixed vocabulary), any other term has
 the weight of an unseen one, which can only lower a cosine. The best template of a file
@@ -12,6 +16,10 @@ A file without a licence of its own inherits that of the nearest directory above
 joined with the licensed directories on each of their ancestor paths, the longest
 wins, and files join their directory. A hot directory is one row in that join.
 
+A reservation of rights stands beside licences too: ``proprietary`` counts only as a line (or
+licence file) of its own, and only if no licence reaches ``least``. The sentence that both BSD licences
+begin with names BSD-3-Clause.
+
 Defined cases: null or empty texts have no licence of their own; several licence
 files of one directory: the best cosine, then the smallest template name; ties
 between templates: the smallest name; null paths belong to no directory and inherit
@@ -35,7 +43,8 @@ from tickwise.llm.common import quoted, scratch, split_words, text_slices
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0",
                    "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0", "SPDX-License-Identifier: Apache-2.0"],
+                   "http://www.apache.org/licenses/LICENSE-2.0", "Apache License Version 2.0, January 2004",
+                   "SPDX-License-Identifier: Apache-2.0"],
     "MIT": ["Released under the MIT License", "Licensed under the MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction",
@@ -43,15 +52,28 @@ TEMPLATES = {
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License",
-                "SPDX-License-Identifier: GPL-3.0"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0"],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0"],
-    "AGPL-3.0": ["licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0"],
+                "GNU General Public License Version 3, 29 June 2007", "SPDX-License-Identifier: GPL-3.0"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2",
+                "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License",
+                "GNU General Public License Version 2, June 1991", "SPDX-License-Identifier: GPL-2.0"],
+    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3",
+                 *(f"This {x} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation, either version 3 of the License" for x in ("library", "program")),
+                 "GNU Lesser General Public License Version 3, 29 June 2007", "SPDX-License-Identifier: LGPL-3.0"],
+    "LGPL-2.1": ["licensed under the GNU Lesser General Public License, version 2.1",
+                 *(f"This {x} is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation; either version 2.1 of the License" for x in ("library", "program")),
+                 "GNU Lesser General Public License Version 2.1, February 1999", "SPDX-License-Identifier: LGPL-2.1"],
+    "AGPL-3.0": ["licensed under the GNU Affero General Public License, version 3",
+                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License",
+                 "GNU Affero General Public License Version 3, 19 November 2007", "SPDX-License-Identifier: AGPL-3.0"],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                      "that the following conditions are met", "Licensed under the BSD 3-Clause License",
                      "SPDX-License-Identifier: BSD-3-Clause"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-                "SPDX-License-Identifier: MPL-2.0"],
+                "Mozilla Public License Version 2.0", "SPDX-License-Identifier: MPL-2.0"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
@@ -98,18 +120,48 @@ def term_counts(files: DataFrame, text_col: str) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _matrix(vocab: dict[str, int], idf: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Names and unit vectors of all templates, sorted by name."""
-    names, rows = [], []
+def _matrix(vocab: dict[str, int], idf: np.ndarray) -> tuple[list[str], np.ndarray, list[int]]:
+    """Names, unit vectors and numbers of terms of all templates, sorted by name."""
+    names, rows, sizes = [], [], []
     for name in sorted(TEMPLATES):
         for notice in TEMPLATES[name]:
             v = np.zeros(len(vocab))
-            for t in _terms(notice.split()):
-                if t:
-                    v[vocab[t]] += idf[vocab[t]]
+            terms = [vocab[t] for t in _terms(notice.split()) if t]
+            for t in terms:
+                v[t] += idf[t]
             names.append(name)
             rows.append(v / np.linalg.norm(v))
-    return names, np.array(rows)
+            sizes.append(len(terms))
+    return names, np.array(rows), sizes
+
+
+def _windows(of, owner, n_owner, state, least):
+    """Best cosine and template of any window of each owner: ``of`` holds the terms of all owners in
+    order (-1: foreign). A window has as many terms as the template it is compared with."""
+    vocab, idf, unseen, names, templates, sizes = state
+    cosine, which = np.zeros(n_owner), np.zeros(n_owner, np.int64)
+    weight = np.append(idf, unseen) ** 2
+    for k, (u, m) in enumerate(zip(templates, sizes)):
+        n = len(of) - m + 1
+        if n <= 0 or names[k] == "proprietary":
+            continue
+        # cosine <= root of the template's weight that lies in the window (Cauchy-Schwarz)
+        inside = np.concatenate([[0.0], np.cumsum(np.append(u ** 2, 0.0)[of])])
+        at = np.flatnonzero(inside[m:] - inside[:-m] >= least ** 2 - 1e-6)
+        at = at[owner[at] == owner[at + m - 1]]
+        for s in range(0, len(at), 4096):
+            some = at[s:s + 4096]
+            terms = of[some[:, None] + np.arange(m)]
+            cells = np.arange(len(some))[:, None] * (len(vocab) + 1) + terms % (len(vocab) + 1)
+            tf = np.bincount(cells.ravel(), minlength=len(some) * (len(vocab) + 1)).reshape(len(some), -1)
+            # a foreign term weighs as if each were another word
+            power = np.where(np.arange(len(vocab) + 1) < len(vocab), tf ** 2, tf) @ weight
+            cos = np.round((tf[:, :-1] * idf) @ u / np.sqrt(power), 12)
+            best = np.zeros(n_owner)
+            np.maximum.at(best, owner[some], cos)
+            better = best > cosine              # templates come by name: the first of equals stays
+            cosine, which = np.where(better, best, cosine), np.where(better, k, which)
+    return cosine, which
 
 
 def own_licences(files: DataFrame, path_col: str, text_col: str, id_col: str, p: LicenceParams) -> DataFrame:
@@ -120,12 +172,14 @@ def own_licences(files: DataFrame, path_col: str, text_col: str, id_col: str, p:
     n = files.count()
     idf = np.log((1 + n) / (1 + np.array([counts.get(i, 0) for i in range(len(vocab))]))) + 1e-9
     unseen = float(np.log(1 + n) + 1e-9)
-    names, templates = _matrix(vocab, idf)
-    shared = spark.sparkContext.broadcast((vocab, idf, unseen, names, templates))
+    names, templates, sizes = _matrix(vocab, idf)
+    named = np.array([x != "proprietary" for x in names])
+    shared = spark.sparkContext.broadcast((vocab, idf, unseen, names, templates, sizes))
 
     def best(owner, term, n_owner, state):
-        """Best cosine and template of every owner of terms (numbers, -1: foreign)."""
-        vocab, idf, unseen, names, templates = state
+        """Best cosine and template of every owner of terms (numbers, -1: foreign); a licence that
+        reaches ``least`` goes before a reservation of rights."""
+        vocab, idf, unseen, names, templates, _ = state
         cosine, which = np.zeros(n_owner), np.zeros(n_owner, np.int64)
         size = len(vocab)
         known = term >= 0
@@ -145,10 +199,19 @@ def own_licences(files: DataFrame, path_col: str, text_col: str, id_col: str, p:
             v = tf * idf
             dots = v @ templates.T
             cos = dots / np.sqrt((v ** 2).sum(1) + foreign[at:to])[:, None]
+            cos = np.round(cos, 12)
+            licensed = (cos[:, named] >= p.least).any(1)
+            cos[np.ix_(licensed, ~named)] = 0.0
             which[live[at:to]] = cos.argmax(1)
             cosine[live[at:to]] = cos.max(1)
         return cosine, which
 
+    def prefer(where, c, k, top, template):
+        """The better of two findings for each file: a licence that reaches ``least``, then the cosine, then the name."""
+        a, b = named[k] & (c >= p.least), named[template] & (top >= p.least)
+        better = where & ((a & ~b) | ((a == b) & ((c > top) | ((c == top) & (k < template)))))
+        return np.where(better, c, top), np.where(better, k, template)
+
     def run(batches):
         state = shared.value
         vocab, names = state[0], state[3]
@@ -161,15 +224,16 @@ def own_licences(files: DataFrame, path_col: str, text_col: str, id_col: str, p:
             real = of > -2          # marks without letters are no terms
             of, line = of[real], w.doc_of[real]
             cosine, which = best(line, of, len(file_of), state)
-            # best line of a file: largest cosine, then the first template by name
-            order = np.lexsort((which, -cosine, file_of))
+            # best line of a file: a licence, largest cosine, then the first template by name
+            order = np.lexsort((which, -cosine, ~named[which] | (cosine < p.least), file_of))
             first = order[np.searchsorted(file_of[order], np.arange(len(lines)))] if len(lines) else order
             top, template = cosine[first], which[first]
             whole = np.array(part.column(3).to_pylist(), bool)
             if whole.any():
                 c, k = best(file_of[line], of, len(lines), state)
-                better = whole & (c > top)
-                top, template = np.where(better, c, top), np.where(better, k, template)
+                top, template = prefer(whole, c, k, top, template)
+            c, k = _windows(of, file_of[line], len(lines), state, p.least)
+            top, template = prefer(np.ones(len(lines), bool), c, k, top, template)
             licence = [names[k] if c >= p.least else None for c, k in zip(top, template)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(licence, pa.string()), pa.array(top)],
                                              names=["id", "path", "whole", "licence", "cosine"])
