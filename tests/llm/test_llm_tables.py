@@ -60,6 +60,20 @@ def test_short_items_match_whole(spark):
     assert set(got) == {(1, 1)}
 
 
+def test_exact_copies_in_any_place_case_and_length(spark):
+    item = "Name the largest ocean known"
+    names = "Anna Berta Carl Dora Emil Frida met Gustav Hanna and Ida in Jena"
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100))
+    apples = "Anna has 5 apples and eats 2"
+    docs = [(1, "1) " + item), (2, "Q1 " + item), (3, "A Heading\n" + item), (4, FILL + item.upper()), (5, FILL + names.lower()),
+            (6, FILL + names.upper() + "!"), (7, FILL + "why not now " + FILL), (8, FILL + " ".join(passage.split()[30:43]) + " " + FILL),
+            (9, FILL + " ".join(passage.split()[30:41]) + " " + FILL), (10, "1) Berta has 7 apples and eats 3"), (11, "Berta has 7 apples and eats 3"),
+            (12, FILL + "Paris is the capital of France"), (13, FILL)]
+    items = [(1, item), (2, names), (3, "Why not now?"), (4, passage), (5, apples), (6, "What is the capital of France")]
+    got = set(leaks(spark, docs, items))
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (7, 3), (8, 4), (10, 5), (11, 5)}
+
+
 def brute_leaks(docs, items, n=8):
     """Items of which at least half the words lie in 8-word runs of the document (data without slots)."""
     words = lambda t: [decontaminate.bare(w) or w for w in (t or "").split()]

@@ -2,22 +2,25 @@
 
 Words become template tokens: numbers ``<num>``, capitalised words inside a
 sentence ``<name>``, units after a number ``<unit>``; all others are lower-cased
-without edge punctuation. Every ``window`` consecutive tokens of a benchmark item
-and of a document give a template hash (shorter items: the whole item); windows
-with fewer than ``literals`` ordinary words are too general and not used. Windows
+without edge punctuation. A capitalised word at the start of a text, sentence or line can be
+either, so its windows count with each choice; ``STARTERS`` are never names. Every ``window`` consecutive tokens of a benchmark item
+and of a document give a template hash (shorter items: the whole item); template windows
+with fewer than ``literals`` ordinary words are too general and not used. Beside them every
+window gives the hash of its bare words, numbers and names included, so exact copies are found
+in any letter case and without edge punctuation, items of any length included. Windows
 are joined on the hash. The matches of a document and an item with the same
 shift form one alignment; in it, each slot value of the item must stand for one
 value of the document. An item that was re-parameterised (other numbers, names or
 units, used consistently) thus matches, and a chance match of templates does not.
 A document is contaminated by an item if consistent alignments cover
-at least ``coverage`` of the item's tokens.
+at least ``coverage`` of the item's tokens, or an exact alignment covers ``run`` tokens.
 
 The documents are read once: a fixed-size bit table of the benchmark's hashes
 (``TABLE_BITS``, broadcast) lets tasks leave out windows that match nothing; the
 rest is joined exactly, so a full table costs time and no result.
 
-Defined cases: null or empty texts match nothing; items without a usable window
-(fewer than ``shortest`` tokens, or too few ordinary words) match nothing; equal
+Defined cases: null or empty texts match nothing; items with fewer than ``shortest``
+tokens or too few ordinary words match as exact copies only; equal
 item texts count as one item, named by the smallest id; a document with repeated
 ids matches if one of its rows does; empty tables give an empty result; extra
 columns are ignored.
@@ -30,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +50,13 @@ UNITS = frozenset(
     "dollar dollars cent cents euro euros pound pounds usd eur gbp percent degrees "
     "heures minuten stunden tage jahre jours ans horas días años metros metres meters litres liters grams "
     "kilograms kilometers kilometres".split())
+# Words that often begin a sentence or question and are no names.
+STARTERS = frozenset(
+    "a an the this that these those it he she we you they i his her its our your their there here what which who whom whose "
+    "when where why how is are was were do does did can could will would shall should may might must has have had if in on at "
+    "by for from to of with and or but not no yes as after before during while because since although so then each every all "
+    "some any one let given suppose".split())
+_LINE_START = "\x01"
 _NUMBER = re.compile(r"[($€£¥+\-]*\d[\d.,:/]*(?:st|nd|rd|th|%|€)?\W*$")
 _NUMBER_UNIT = re.compile(r"[($€£¥+\-]*\d[\d.,]*([a-z°%/]+)\W*$", re.IGNORECASE)
 
@@ -53,8 +64,9 @@ _NUMBER_UNIT = re.compile(r"[($€£¥+\-]*\d[\d.,]*([a-z°%/]+)\W*$", re.IGNORE
 @dataclass(frozen=True)
 class LeakParams:
     window: int = 8
-    shortest: int = 5            # tokens of the shortest usable item
-    literals: int = 4            # ordinary words a window needs
+    shortest: int = 5            # tokens of the shortest item with template windows
+    literals: int = 4            # ordinary words a template window needs
+    run: int = 13                # tokens of an exact alignment that is a leak whatever the item's length
     coverage: float = 0.5        # of an item's tokens
     consistent: float = 0.8      # share of an alignment's slots that keep the mapping
 
@@ -64,12 +76,16 @@ _MARK = mix64(np.array([0, 101, 102, 103], np.uint64))
 
 
 def _canonical(texts: pa.Array):
-    """Words of a slice with, for each position, template hash and slot type."""
-    w = split_words(texts)
+    """Words of a slice with, for each position, literal hash, template hash, slot type and whether it
+    can be a name as well as a word."""
+    w = split_words(pc.replace_substring_regex(texts, r"[\x09-\x0D ]*[\n\r][\x09-\x0D ]*([^\x09-\x0D ])", "\n" + _LINE_START + r"\1"))
     n = len(w.vocab)
     literal = np.zeros(n, np.uint64)
-    number, unit, capital, closes = (np.zeros(n, bool) for _ in range(4))
+    number, unit, capital, closes, line = (np.zeros(n, bool) for _ in range(5))
     for i, word in enumerate(w.vocab):
+        if word[0] == _LINE_START and len(word) > 1:
+            line[i] = True
+            w.vocab[i] = word = word[1:]
         b = bare(word)
         literal[i] = xxhash.xxh64_intdigest(b or word, 3)
         closes[i] = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
@@ -79,40 +95,72 @@ def _canonical(texts: pa.Array):
         else:
             unit[i] = b in UNITS or word in UNITS
             core = word.lstrip("\"'([{«“‘")
-            capital[i] = core[:1].isupper() and any(c.islower() for c in core[1:])
+            capital[i] = core[:1].isupper() and any(c.islower() for c in core[1:]) and b not in STARTERS
     kind = np.zeros(len(w.codes), np.int8)
+    either = np.zeros(len(w.codes), bool)
     if len(kind):
         start = np.zeros(len(kind), bool)
         start[w.offsets[:-1][np.diff(w.offsets) > 0]] = True
-        before_closes = np.append(False, closes[w.codes][:-1]) | start
+        opens = np.append(False, closes[w.codes][:-1]) | start | line[w.codes]
         before_number = np.append(False, number[w.codes][:-1]) & ~start
-        kind[capital[w.codes] & ~before_closes] = NAME
+        kind[capital[w.codes] & ~opens] = NAME
         kind[unit[w.codes] & before_number] = UNIT
         kind[number[w.codes]] = NUM
+        either = capital[w.codes] & opens & (kind == WORD)
     token = np.where(kind == WORD, literal[w.codes], _MARK[kind])
-    return w, token, kind
+    return w, literal[w.codes], token, kind, either
 
 
-def _windows(w, token, kind, size: int, p: LeakParams):
-    """(start position, hash) of every usable window of ``size`` tokens inside one document."""
+def _hash(token, at: np.ndarray, size: int, names: int = 0) -> np.ndarray:
+    """Hash of the windows at ``at``; bits of ``names`` are positions taken as names."""
+    h = np.full(len(at), size, np.uint64)
+    for k in range(size):
+        h = h * HASH_MUL + (_MARK[NAME] if names >> k & 1 else token[at + k])
+    return mix64(h)
+
+
+def _windows(canonical, size: int, p: LeakParams):
+    """(start positions, hashes, names) of the usable windows of ``size`` tokens inside one document:
+    first the literal ones (names: None), then templates by the positions taken as names (bits)."""
+    w, literal, token, kind, either = canonical
     n = len(token) - size + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return
     doc = w.doc_of
-    plain = np.concatenate([[0], np.cumsum(kind == WORD)])
-    ok = (doc[:n] == doc[size - 1:]) & (plain[size:] - plain[:n] >= min(p.literals, size - 1))
-    h = np.full(n, size, np.uint64)
+    inside = doc[:n] == doc[size - 1:]
+    at = np.flatnonzero(inside)
+    yield at, _hash(literal, at, size), None
+    if size < p.shortest:
+        return
+    sums = np.concatenate([[0], np.cumsum(kind == WORD)])
+    plain = sums[size:] - sums[:-size]
+    least = min(p.literals, size - 1)
+    # windows without a slot are literal ones
+    at = np.flatnonzero(inside & (plain >= least) & (plain < size))
+    yield at, _hash(token, at, size), 0
+    open_at = np.zeros(n, np.int64)
     for k in range(size):
-        h = h * HASH_MUL + token[k:n + k]
-    at = np.flatnonzero(ok)
-    return at, mix64(h[at])
-
-
-def _slots(w, kind, at: np.ndarray, size: int) -> list[list[str]]:
+        open_at |= either[k:n + k].astype(np.int64) << k
+    at = np.flatnonzero(inside & (open_at > 0) & (plain > least))
+    order = np.argsort(open_at[at], kind="stable")
+    at = at[order]
+    values, first = np.unique(open_at[at], return_index=True)
+    for bits, some in zip(values.tolist(), np.split(at, first[1:])):
+        names = bits
+        while names:                    # all choices among the positions
+            mine = some[plain[some] - names.bit_count() >= least]
+            if len(mine):
+                yield mine, _hash(token, mine, size, names), names
+            names = (names - 1) & bits
+
+
+def _slots(w, kind, at: np.ndarray, size: int, names: int | None) -> list[list[str]]:
     """Slot values of each window, in order."""
+    if names is None:
+        return [[]] * len(at)
     out = []
     for s in at.tolist():
-        where = np.flatnonzero(kind[s:s + size]) + s
+        where = (s + k for k in range(size) if kind[s + k] or names >> k & 1)
         out.append([(bare(x) or x) for x in (w.vocab[w.codes[k]] for k in where)])
     return out
 
@@ -134,17 +182,17 @@ def item_windows(items: DataFrame, p: LeakParams) -> DataFrame:
     """(id, hash, at, slots, n_tokens, size) of the items' windows."""
     def run(batches):
         for part in text_slices(batches, "t"):
-            w, token, kind = _canonical(part.column(1))
+            canonical = w, _, _, kind, _ = _canonical(part.column(1))
             counts = np.diff(w.offsets)
             ids = part.column(0).to_pylist()
-            for size in range(p.shortest, p.window + 1):
-                at, h = _windows(w, token, kind, size, p)
-                doc = w.doc_of[at]
-                mine = (counts[doc] >= p.window) if size == p.window else (counts[doc] == size)
-                at, h, doc = at[mine], h[mine], doc[mine]
-                b = _batch([ids[d] for d in doc], h, at - w.offsets[doc], _slots(w, kind, at, size))
-                yield (b.append_column("n_tokens", pa.array(counts[doc].astype(np.int32)))
-                       .append_column("size", pa.array(np.full(len(at), size, np.int32))))
+            for size in range(1, p.window + 1):
+                for at, h, names in _windows(canonical, size, p):
+                    doc = w.doc_of[at]
+                    mine = (counts[doc] >= p.window) if size == p.window else (counts[doc] == size)
+                    at, h, doc = at[mine], h[mine], doc[mine]
+                    b = _batch([ids[d] for d in doc], h, at - w.offsets[doc], _slots(w, kind, at, size, names))
+                    yield (b.append_column("n_tokens", pa.array(counts[doc].astype(np.int32)))
+                           .append_column("size", pa.array(np.full(len(at), size, np.int32))))
 
     texts = (_as_long(items, "item_id", "text").where("t IS NOT NULL AND id IS NOT NULL")
              .groupBy("t").agg(F.min("id").alias("id")).select("id", "t"))
@@ -169,14 +217,19 @@ def document_windows(docs: DataFrame, table, sizes: list[int], p: LeakParams, id
     """(id, hash, at, slots) of the documents' windows whose hash may be an item's."""
     def run(batches):
         for part in text_slices(batches, "t"):
-            w, token, kind = _canonical(part.column(1))
+            canonical = w, _, _, kind, _ = _canonical(part.column(1))
             ids = part.column(0).to_pylist()
             for size in sizes:
-                at, h = _windows(w, token, kind, size, p)
-                may = table.value[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-                at, h = at[may], h[may]
-                doc = w.doc_of[at]
-                yield _batch([ids[d] for d in doc], h, at - w.offsets[doc], _slots(w, kind, at, size))
+                for at, h, names in _windows(canonical, size, p):
+                    may = table.value[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+                    at, h = at[may], h[may]
+                    doc = w.doc_of[at]
+                    if names is None and size < p.window and len(at):
+                        # the whole item in one window: its first copy in a text tells all
+                        order = np.lexsort((at, h, doc))
+                        new = np.append(True, (np.diff(doc[order]) != 0) | (h[order][1:] != h[order][:-1]))
+                        at, h, doc = at[order][new], h[order][new], doc[order][new]
+                    yield _batch([ids[d] for d in doc], h, at - w.offsets[doc], _slots(w, kind, at, size, names))
 
     return _as_long(docs, id_col, text_col).where("t IS NOT NULL AND id IS NOT NULL").mapInArrow(run, _HASHES)
 
@@ -197,7 +250,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, p: LeakParams = LeakParams(),
             .where(F.size("slots") == F.size("item_slots"))
             .select("id", "item_id", "n_tokens", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
                     F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("pairs")))
-    aligned = hits.groupBy("id", "item_id", "shift").agg(
+    # literal windows are exact whatever the slots of the templates at the same shift
+    aligned = hits.groupBy("id", "item_id", "shift", (F.size("pairs") == 0).alias("literal")).agg(
         F.first("n_tokens").alias("n_tokens"),
         F.collect_set(F.struct("item_at", "size")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))  # an alignment is at most one item long
@@ -206,12 +260,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, p: LeakParams = LeakParams(),
                                   .otherwise(values / F.size("pairs")))
                .where(F.col("fixed") >= p.consistent)
                .withColumn("same", F.forall("pairs", lambda x: x["a"] == x["b"])))
-    covered = (aligned.select("id", "item_id", "n_tokens", "same", F.explode("places").alias("place"))
-               .select("id", "item_id", "n_tokens", "same",
+    tokens = F.array_distinct(F.flatten(F.transform("places", lambda x: F.sequence(x["item_at"], x["item_at"] + x["size"] - 1))))
+    aligned = aligned.withColumn("run", F.when(F.col("literal"), F.size(tokens)).otherwise(0))
+    covered = (aligned.select("id", "item_id", "n_tokens", "same", "run", F.explode("places").alias("place"))
+               .select("id", "item_id", "n_tokens", "same", "run",
                        F.explode(F.sequence(F.col("place.item_at"),
                                             F.col("place.item_at") + F.col("place.size") - 1)).alias("token"))
                .groupBy("id", "item_id").agg(F.countDistinct("token").alias("covered"),
                                              F.first("n_tokens").alias("n_tokens"),
-                                             F.min("same").alias("exact")))
-    return (covered.where(F.col("covered") >= p.coverage * F.col("n_tokens"))
+                                             F.min("same").alias("exact"), F.max("run").alias("run")))
+    return (covered.where((F.col("covered") >= p.coverage * F.col("n_tokens")) | (F.col("run") >= p.run))
             .select(F.col("id").alias(id_col), "item_id", "covered", "n_tokens", "exact"))
