@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import ann, chat, decontaminate, licenses, linededup, packing, pst, quality, simhash, toxicity
+from tickwise.llm import (ann, chat, decontaminate, fim, licenses, linededup, packing, pieces, pst, quality, simhash,
+                          spelling, toxicity)
 from tickwise.llm.common import prepare, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +191,40 @@ def op10(spark, sf_dir):
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
     return quality.score(docs, model, keep=["doc_id"]).select(
         "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@register("op11_fill_in_middle", r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+             list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS g FROM t),
+c AS (SELECT *, len(u) AS n, least(g[1] % (len(u) + 1), g[2] % (len(u) + 1)) AS a,
+             greatest(g[1] % (len(u) + 1), g[2] % (len(u) + 1)) AS b,
+             CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR g[3] % 100 >= 50 THEN 'plain'
+                  WHEN g[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(x) AS restored_sha256 FROM p""")
+def op11(spark, sf_dir):
+    """Fill-in-the-middle form of every document, with digests of the output and of the text rebuilt from it."""
+    out = fim.transform(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@register("op12_spelling_variants")
+def op12(spark, sf_dir):
+    """Words of all documents (one letter planted out of some) grouped with their more frequent near words."""
+    return spelling.group(spelling.word_counts(_table(spark, sf_dir, "documents"), noise=31))
+
+
+@register("op13_sentencepiece")
+def op13(spark, sf_dir):
+    """Ids of every document and the text decoded from them, as digests."""
+    coded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
