@@ -74,6 +74,26 @@ def test_exact_copies_in_any_place_case_and_length(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (7, 3), (8, 4), (10, 5), (11, 5)}
 
 
+def test_one_or_two_words_are_no_evidence_inside_other_text(spark):
+    docs = [(1, "An answer: yes of course."), (2, "The weather is fine and dry today."), (3, "Yes!"), (4, "the"), (5, "say no more, please"), (6, "No more")]
+    items = [(1, "Yes"), (2, "the"), (3, "no more"), (4, "say no more")]
+    assert set(leaks(spark, docs, items)) == {(3, 1), (4, 2), (6, 3), (5, 4)}
+
+
+def test_windows_left_out_by_their_words_match_nothing(spark, monkeypatch):
+    """Random texts over few words, numbers and names: the same leaks with and without the word table."""
+    import random
+    rnd = random.Random(4)
+    words = ["red", "Anna", "7", "km", "ball.", "Paris", "see", "Rome", "12", "box", "of", "sees"]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    items = [(i, text(rnd.choice([3, 6, 9, 20]))) for i in range(25)]
+    docs = [(d, text(15) + " fern " + rnd.choice(items)[1].replace("7", "9") + rnd.choice([" ", ".\n"]) + text(9)) for d in range(60)]
+    got = {k: tuple(r) for k, r in leaks(spark, docs, items).items()}
+    whole = decontaminate._windows
+    monkeypatch.setattr(decontaminate, "_windows", lambda c, sizes, p, known=None: whole(c, sizes, p))
+    assert got == {k: tuple(r) for k, r in leaks(spark, docs, items).items()} and len(got) > 40
+
+
 def brute_leaks(docs, items, n=8):
     """Items of which at least half the words lie in 8-word runs of the document (data without slots)."""
     words = lambda t: [decontaminate.bare(w) or w for w in (t or "").split()]
@@ -409,11 +429,12 @@ def test_pipeline_stages_against_brute_force(spark):
 
 
 def test_pipeline_edge_cases(spark, tmp_path):
-    rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, "A fine text of words, long enough. " * 20, "en", "a", 1),
-            (3, "A fine text of words, long enough. " * 20, "en", "a", 1), (None, "no id here at all, but words", "en", "a", 2),
-            (4, "word " * 30_000, "en", "b", 3)]
+    fine = "A fine text of words, long enough. " * 20
+    rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, fine, "en", "a", 1),
+            (3, fine, "en", "a", 1), (None, "no id here at all, but words", "en", "a", 2),
+            (None, "no id here at all, but words", "en", "a", 2), (None, fine, "en", "c", 1), (4, "word " * 30_000, "en", "b", 3)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    docs = spark.createDataFrame(rows, schema).withColumns({"Score": F.lit(1), "k0": F.lit(2), "n_lines": F.lit(3)})
+    docs = spark.createDataFrame(rows, schema).withColumns({"Score": F.lit(1), "k0": F.lit(2), "n_lines": F.lit(3), "row": F.lit(4), "row_": F.lit(5)})
     d = str(tmp_path)
     docs.write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (4, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
@@ -429,6 +450,38 @@ def test_pipeline_edge_cases(spark, tmp_path):
         assert corpus_pipeline.STAGES[0][1](spark, frame, d).columns == docs.columns
 
 
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Reused and missing ids: a near copy or a leak goes, another text under the same id stays."""
+    other = " ".join(f"unlike{k}" for k in range(80))
+    near = FILL * 30
+    rows = [(5, near), (6, near + "x"), (6, other), (7, "Start. " + ITEM + " End."), (7, other + " more of it all"), (None, near), (None, ITEM), (None, other[:300])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("en"), "source": F.lit("a"), "n_chars": F.length("text").cast("long")})
+    d = str(tmp_path)
+    spark.createDataFrame([(1, ITEM)], "item_id bigint, text string").write.parquet(f"{d}/benchmark.parquet")
+    stage = dict(corpus_pipeline.STAGES)
+    single = stage["simhash near-dedup"](spark, docs, d)
+    from test_llm_text import brute_components, brute_fingerprint
+    comp = brute_components(list(range(len(rows))), [brute_fingerprint(t) for _, t in rows], 3)
+    groups = {}
+    for (i, t), c in zip(rows, comp):
+        groups.setdefault(c, []).append((i is None, i, t))
+    kept = single.collect()
+    assert len(kept) == len(groups) and {r.doc_id for r in kept} >= {5, 6, 7}
+    assert Counter((r.doc_id) for r in kept) == Counter(min(g, key=lambda x: (x[0], x[1] or 0))[1] for g in groups.values())
+    assert (6, other) in {(r.doc_id, r.text) for r in kept} and (6, near + "x") not in {(r.doc_id, r.text) for r in kept}
+    clean = {(r.doc_id, r.text) for r in stage["benchmark decontamination"](spark, docs, d).collect()}
+    assert clean == {(i, t) for i, t in rows if ITEM not in t}
+
+
+def test_pipeline_texts_meet_no_sort_or_aggregate(spark):
+    """Stages that drop documents decide on narrow rows: the plan that holds the texts has neither."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    for name in ("simhash near-dedup", "benchmark decontamination"):
+        plan = dict(corpus_pipeline.STAGES)[name](spark, docs, SF01)._jdf.queryExecution().optimizedPlan().toString()
+        physical = dict(corpus_pipeline.STAGES)[name](spark, docs, SF01)._jdf.queryExecution().sparkPlan().toString()
+        assert "text" in plan and "SortMergeJoin" not in physical and "ShuffledHashJoin" in physical
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).where("length < 1").count() == 0
 
