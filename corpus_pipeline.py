@@ -3,8 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept;
 between stages the rows are written as Parquet to the shared checkpoint folder.
 All but the last return the columns of ``documents``. Nulls follow the operators'
-docstrings: rows with a null text go through every stage with an empty text, rows
-with a null id are kept by the filters and packed.
+docstrings: rows with a null text go through every stage with an empty text.
+
+The stages that compare documents decide row by row, whatever the ids: they write the rows
+once with a key of their own, decide on narrow rows, and take the kept rows by their keys
+through a shuffled hash join. Texts are in no sort and no aggregate, and rows with missing
+or reused ids are treated like any other.
 """
 
 from __future__ import annotations
@@ -35,23 +39,34 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _columns(out.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a key that is unique among them, and its name."""
+    key = fresh_name(docs, "row")
+    return scratch(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
+def _kept(rows: DataFrame, key: str, keys: DataFrame, how: str, like: DataFrame) -> DataFrame:
+    """Rows whose key is (``left_semi``) or is not (``left_anti``) among ``keys``; the side of keys is hashed
+    partition by partition, so the rows are never sorted."""
+    return _columns(rows.join(keys.hint("shuffle_hash"), key, how), like)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component; of repeated rows (same id and
-    text) one stays, and rows without id all stay."""
+    """One document of each SimHash component: that with the smallest id (missing ids come last)."""
     prepare(spark)
-    found = simhash.cluster(docs, SHINGLE_WORDS, MAX_BITS)
-    extra = found.where("doc_id <> component").select("doc_id").distinct()
-    same = fresh_name(docs, "text_hash")
-    named = docs.where("doc_id IS NOT NULL").join(extra, "doc_id", "left_anti")
-    single = named.withColumn(same, F.xxhash64("text")).dropDuplicates(["doc_id", same])
-    return _columns(single, docs).unionByName(docs.where("doc_id IS NULL"))
+    rows, key = _keyed(docs)
+    found = simhash.cluster(rows, SHINGLE_WORDS, MAX_BITS, id_col=key).select(F.col(key).alias("k"), "component")
+    named = found.join(rows.select(F.col(key).alias("k"), F.col("doc_id").alias("id")), "k")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "k")).alias("first"))
+    return _kept(rows, key, first.select(F.col("first.k").alias(key)), "left_semi", docs)
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
     prepare(spark)
-    leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _columns(docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti"), docs)
+    rows, key = _keyed(docs)
+    leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key)
+    return _kept(rows, key, leaks.select(key).distinct(), "left_anti", docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
