@@ -27,25 +27,6 @@ def test_logistic_per_fold(spark, prepared):
     assert m["accuracy"] > 0.7 and 0 <= m["roc_auc"] <= 1
 
 
-@pytest.mark.parametrize("model", ["random_forest", "xgboost"])
-def test_tree_fold_predictions(spark, prepared, model):
-    from tickwise.operators.models import tree_fold_predictions
-    preds = tree_fold_predictions(prepared, COLS, model,
-                                  params={"maxIter": 5} if model == "xgboost" else {"numTrees": 10})
-    rows = preds.collect()
-    assert len(rows) == 21 and all(0.0 <= r["y_prob"] <= 1.0 for r in rows)
-    acc = np.mean([r["y_pred"] == r["y_true"] for r in rows])
-    assert acc > 0.6
-
-
-def test_random_search_small(spark, prepared):
-    from tickwise.operators.models import random_search
-    train = prepared.filter(F.col("split") == "train")
-    best, f1 = random_search(train, COLS, trials=2,
-                             draw=lambda rng: {"maxDepth": rng.randint(2, 3), "maxIter": 3})
-    assert best["maxIter"] == 3 and 0.0 <= f1 <= 1.0
-
-
 def test_select_best_tie_goes_to_model_order(spark):
     from tickwise.operators.models import select_best
     rows = [("T", "xgboost", 0.5, 0.5, 0.5, 0.6, 0.5), ("T", "logistic_regression", 0.5, 0.5, 0.5, 0.6, 0.5),

@@ -1,39 +1,30 @@
-"""Direction models: J8-J13.
+"""Direction models: J8, J12 and the Spark ML form of J13.
 
 * J8 logistic regression (L2, C = 1, intercept unpenalised) is fitted for
   every (ticker, fold) group in parallel with ``applyInPandas``: each group
   is the fold's 273 prepared rows, solved by Newton steps on the 12x12
   normal equations (numpy inside the task; Spark partitions the folds).
-* J9 random forest and J10 gradient-boosted trees use Spark ML. Spark ML fits
-  one frame per call, so folds are fitted as concurrent Spark jobs from a
-  driver thread pool (data never leaves the executors); ``folds`` selects
-  which folds ("all" or "last:k").
-* J11 random search over boosted-tree parameters, scored on a held-out tail
-  of the training window (not on the training rows).
+* J9-J11 (forest, boosted trees, search) are in ``trees``.
 * J12 averages fold metrics per model and picks the best by mean F1 (first
-  model in the fixed order wins a tie). J13 refits the winner on all rows and
-  saves a ``PipelineModel`` (assembler + scaler + classifier).
+  model in the fixed order wins a tie).
+* J13 for each ticker, with the preparation saved beside the model, is in ``refit``. ``refit`` here fits
+  one model over rows of any number (Spark ML) and saves a ``PipelineModel``.
 """
 
 from __future__ import annotations
 
-import random
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators import trees
 from tickwise.operators.metrics import confusion_metrics, roc_auc
 
 # Fixed values from the reference: model order and hyper-parameters.
 MODEL_ORDER = ["logistic_regression", "random_forest", "xgboost"]
 LOGISTIC_C = 1.0
 LOGISTIC_MAX_ITER = 1000
-FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5, "seed": 42}
-BOOSTED = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "seed": 42}
-TUNING_TRIALS = 50
 
 
 def fit_logistic(X: np.ndarray, y: np.ndarray, C: float = LOGISTIC_C,
@@ -119,9 +110,13 @@ def make_classifier(name: str, params: dict | None = None):
                                            RandomForestClassifier)
     params = params or {}
     if name == "random_forest":
-        return RandomForestClassifier(labelCol="target", featuresCol="features", **{**FOREST, **params})
+        d = trees.Forest()
+        return RandomForestClassifier(labelCol="target", featuresCol="features", **{
+            "numTrees": d.trees, "maxDepth": d.depth, "minInstancesPerNode": d.least_rows, "seed": d.seed, **params})
     if name == "xgboost":
-        return GBTClassifier(labelCol="target", featuresCol="features", **{**BOOSTED, **params})
+        d = trees.Boosted()
+        return GBTClassifier(labelCol="target", featuresCol="features", **{
+            "maxIter": d.rounds, "maxDepth": d.depth, "stepSize": d.rate, "seed": d.seed, **params})
     if name == "logistic_regression":
         return LogisticRegression(labelCol="target", featuresCol="features",
                                   maxIter=LOGISTIC_MAX_ITER, elasticNetParam=0.0,
@@ -129,73 +124,11 @@ def make_classifier(name: str, params: dict | None = None):
     raise ValueError(name)
 
 
-def tree_fold_predictions(prepared: DataFrame, cols: list[str], model: str,
-                          group=("ticker", "fold"), threads: int = 4,
-                          params: dict | None = None) -> DataFrame:
-    """J9/J10 per fold via Spark ML, folds as concurrent jobs; returns predictions."""
-    from pyspark.ml.functions import vector_to_array
-    group = list(group)
-    keys = [tuple(r) for r in prepared.select(*group).distinct().collect()]   # fold ids only
-
-    def run(key):
-        cond = F.lit(True)
-        for g, v in zip(group, key):
-            cond = cond & (F.col(g) == v)
-        part = prepared.filter(cond)
-        train = part.filter(F.col("split") == "train").withColumn("target", F.col("target").cast("double"))
-        test = part.filter(F.col("split") == "test")
-        if train.select("target").distinct().count() < 2:
-            const = train.agg(F.first("target")).collect()[0][0]
-            return test.select(*group, "rn", F.col("target").cast("int").alias("y_true"),
-                               F.lit(int(const)).alias("y_pred"), F.lit(float(const)).alias("y_prob"),
-                               F.lit(model).alias("model"))
-        fitted = _assembler_pipeline(cols, make_classifier(model, params)).fit(train)
-        p = fitted.transform(test)
-        return p.select(*group, "rn", F.col("target").cast("int").alias("y_true"),
-                        F.col("prediction").cast("int").alias("y_pred"),
-                        vector_to_array("probability")[1].alias("y_prob"), F.lit(model).alias("model"))
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        parts = list(pool.map(run, keys))
-    if not parts:
-        return prepared.sparkSession.createDataFrame(
-            [], ", ".join([f"{g} {t}" for g, t in prepared.select(*group).dtypes]
-                          + ["rn long", "y_true int", "y_pred int", "y_prob double", "model string"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def default_draw(rng: random.Random) -> dict:
-    """One boosted-tree parameter draw (the GBT counterparts of the tuned knobs)."""
-    return {"maxDepth": rng.randint(3, 10), "stepSize": 10 ** rng.uniform(-2, -0.5),
-            "maxIter": rng.randint(50, 300), "subsamplingRate": rng.uniform(0.6, 1.0),
-            "minInstancesPerNode": rng.randint(1, 10),
-            "featureSubsetStrategy": rng.choice(["all", "sqrt", "0.8"]),
-            "minInfoGain": rng.uniform(0.0, 0.05)}
-
-
-def random_search(train: DataFrame, cols: list[str], trials: int = TUNING_TRIALS,
-                  holdout_frac: float = 0.2, seed: int = 42, draw=default_draw):
-    """Random boosted-tree parameter draws scored by F1 on the last
-    ``holdout_frac`` of the training window (by time), fitted as concurrent jobs."""
-    rng = random.Random(seed)
-    draws = [draw(rng) for _ in range(trials)]
-    cut = train.select(F.percentile("rn", 1.0 - holdout_frac).alias("c")).collect()[0]["c"]
-    fit_part = train.filter(F.col("rn") < cut).withColumn("target", F.col("target").cast("double"))
-    val_part = train.filter(F.col("rn") >= cut)
-
-    def score(params):
-        m = _assembler_pipeline(cols, make_classifier("xgboost", params)).fit(fit_part)
-        p = m.transform(val_part).select(F.col("target").alias("y_true"),
-                                         F.col("prediction").cast("int").alias("y_pred"))
-        f1 = confusion_metrics(p, []).collect()[0]["f1"]
-        return params, f1
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        results = list(pool.map(score, draws))
-    return max(results, key=lambda r: r[1])
+def all_fold_predictions(prepared: DataFrame, cols: list[str], group=("ticker", "fold")) -> DataFrame:
+    """Test predictions of the three models for every group."""
+    return (logistic_fold_predictions(prepared, cols, group)
+            .unionByName(trees.forest_predictions(prepared, cols, group))
+            .unionByName(trees.boosted_predictions(prepared, cols, group)))
 
 
 def select_best(metrics: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -61,12 +61,21 @@ def fix_infinite(df: DataFrame, cols: list[str], group) -> DataFrame:
     return d.select(*keep, *[f"_inf_{c}" for c in cols], *filled)
 
 
+IMPUTE = ("median", "mean", "zero", "drop")
+
+
 def impute(df: DataFrame, cols: list[str], group, strategy: str = "median",
            leaky_test_impute: bool = False) -> DataFrame:
-    """Fill NULLs with the median / mean / 0 (train statistics unless leaky)."""
+    """NULLs become the median, the mean or zero (statistics of the train rows unless leaky), or their rows
+    are dropped (``strategy="drop"``). ``_miss_<column>`` marks filled values; ``imputed_counts`` counts what was done."""
+    if strategy not in IMPUTE:
+        raise ValueError(f"unknown strategy {strategy!r}, one of {', '.join(IMPUTE)}")
+    keep = [c for c in df.columns if c not in cols]
+    if strategy == "drop":
+        kept = df.na.drop(how="any", subset=cols)
+        return kept.select(*keep, *[x for c in cols for x in (F.lit(0).alias(f"_miss_{c}"), F.col(c))])
     w, _, _ = _windows(group)
     is_train = F.col("split") == "train"
-    keep = [c for c in df.columns if c not in cols]
 
     def stat(x):
         if strategy == "median":
@@ -82,6 +91,13 @@ def impute(df: DataFrame, cols: list[str], group, strategy: str = "median",
     return df.select(*keep, *out)
 
 
+def imputed_counts(df: DataFrame, cols: list[str], group: list[str], strategy: str = "median") -> DataFrame:
+    """(group..., imputed): values that ``impute`` fills in rows of a group, or the rows it drops."""
+    missing = [F.col(c).isNull().cast("int") for c in cols]
+    each = F.greatest(*missing, F.lit(0)) if strategy == "drop" else sum(missing, F.lit(0))
+    return df.groupBy(*group).agg(F.sum(each).cast("long").alias("imputed"))
+
+
 ZSCORE_K = 3.0
 
 
@@ -135,7 +151,7 @@ def cap_and_scale(df: DataFrame, cols: list[str], group, cap: bool = True,
 
 def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
                   leaky_test_impute: bool = False, cap: bool = True, scale: bool = True,
-                  cap_method: str = "iqr"):
+                  cap_method: str = "iqr", strategy: str = "median"):
     """Returns (prepared rows, per-group counts).
 
     Counts per (ticker, fold): infinite values fixed and values imputed per
@@ -145,7 +161,7 @@ def prepare_folds(folds: DataFrame, cols: list[str], group=("ticker", "fold"),
     d = folds.select(*group, "split", "rn", "timestamp", *[F.col(c).cast("double").alias(c) for c in cols],
                      "target")
     # one plan for all data: columns without gaps pass through the same windows unchanged
-    d = impute(fix_infinite(d, cols, group), cols, group, "median", leaky_test_impute)
+    d = impute(fix_infinite(d, cols, group), cols, group, strategy, leaky_test_impute)
     inf_cols = [f"_inf_{c}" for c in cols]
     miss_cols = [f"_miss_{c}" for c in cols]
     # Identical train rows (all columns) -> keep the first. A grouped

@@ -1,14 +1,14 @@
-"""Scoring: latest features (E12, C4), batch prediction (J15), result reuse
-(J16) and outcome backfill (J17), for all tickers at once."""
+"""Scoring: latest features (E12, C4), result reuse (J16, K6) and outcome backfill (J17), for all
+tickers at once. Prediction with the saved preparation and model (J15) is in ``refit``."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.operators.indicators import FEATURE_COLUMNS, INDICATOR_COLUMNS
+from tickwise.operators.indicators import INDICATOR_COLUMNS
 from tickwise.operators.series import block_window, halo_blocks, home_only, newest_rows, number_rows
 
 PREDICTION_TTL_SECONDS = 3600
@@ -42,27 +42,34 @@ def latest_feature_rows(bars: DataFrame, indicators: DataFrame, min_periods: int
                       for c in ("return_1d", "return_3d", "return_5d", "volatility_20d")])
 
 
-def predict(model, features: DataFrame, model_name: str, model_version: str,
-            key: str = "ticker", ts: str = "timestamp") -> DataFrame:
-    """Saved column order -> scaler -> classifier; UP/DOWN, confidence =
-    max class probability (4 places)."""
-    from pyspark.ml.functions import vector_to_array
-    scored = model.transform(features.select(key, ts, *FEATURE_COLUMNS))
-    prob = vector_to_array("probability")
-    return scored.select(key, ts,
-                         F.when(F.col("prediction") == 1.0, F.lit("UP")).otherwise(F.lit("DOWN"))
-                         .alias("predicted_direction"),
-                         F.round(F.array_max(prob), 4).alias("confidence"),
-                         F.lit(model_version).alias("model_version"),
-                         F.lit(model_name).alias("model_name"))
+def _fresh(predictions: DataFrame, now, ttl_seconds: int) -> DataFrame:
+    """Stored predictions younger than the TTL at ``now`` (a value, or a column such as a scalar subquery)."""
+    clock = now if isinstance(now, Column) else F.lit(now)
+    return predictions.filter(F.col("predicted_at") > clock.cast("timestamp") - F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 
 def needing_prediction(latest: DataFrame, predictions: DataFrame, now,
                        ttl_seconds: int = PREDICTION_TTL_SECONDS, key: str = "ticker") -> DataFrame:
     """Tickers without a prediction younger than the TTL (anti join)."""
-    fresh = predictions.filter(F.col("predicted_at") > F.lit(now).cast("timestamp")
-                               - F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    return latest.join(fresh.select(key).distinct(), key, "left_anti")
+    return latest.join(_fresh(predictions, now, ttl_seconds).select(key).distinct(), key, "left_anti")
+
+
+PREDICTION_COLUMNS = ["timestamp", "predicted_direction", "confidence", "model_version", "model_name"]
+
+
+def predict_or_reuse(latest: DataFrame, stored: DataFrame, now, scorer, ttl_seconds: int = PREDICTION_TTL_SECONDS,
+                     key: str = "ticker") -> DataFrame:
+    """K6: for every ticker of ``latest`` its newest stored prediction if that is younger than the TTL, else one by
+    ``scorer`` (feature rows -> key and ``PREDICTION_COLUMNS``), which sees only the tickers that need it.
+
+    Rows carry ``reused``. Of stored predictions of the same moment the largest version counts.
+    """
+    fresh = _fresh(stored, now, ttl_seconds)
+    newest = fresh.groupBy(key).agg(F.max_by(F.struct(*PREDICTION_COLUMNS), F.struct("predicted_at", "model_version")).alias("_p"))
+    wanted = latest.select(key).distinct()
+    old = newest.join(wanted, key, "left_semi").select(key, "_p.*", F.lit(True).alias("reused"))
+    new = scorer(latest.join(newest.select(key), key, "left_anti")).select(key, *PREDICTION_COLUMNS, F.lit(False).alias("reused"))
+    return old.unionByName(new)
 
 
 def backfill_actuals(predictions: DataFrame, bars: DataFrame, key: str = "ticker",

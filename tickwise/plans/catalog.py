@@ -45,6 +45,7 @@ def register(name: str, sql: str | None = None):
 def _load_all() -> None:
     # importing the modules fills the registries
     from tickwise.plans import queries_core  # noqa: F401
+    from tickwise.plans import queries_models  # noqa: F401
     from tickwise.plans import queries_quality  # noqa: F401
     from tickwise.plans import queries_ml  # noqa: F401
     from tickwise.plans import queries_stream  # noqa: F401

@@ -260,20 +260,37 @@ def d13_roc_auc_rule(spark, sf_dir):
     return me.roc_auc(s, ["ticker"]).select("ticker", F.round("roc_auc", 8).alias("roc_auc"))
 
 
+_FIVE = ("accuracy", "precision", "recall", "f1", "roc_auc")
+
+
 @register("D14_mean_fold_metrics_rule", f"""
 WITH RECURSIVE {FEATURES_CTE}, {TRAIN_NUM},
 f AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((rn - 272) / 21.0)) AS BIGINT),
                                        CAST(least(floor(rn / 21.0), floor((n - 273) / 21.0)) AS BIGINT))) AS fold
       FROM tn WHERE n >= 273),
 t AS (SELECT ticker, fold, target AS y_true {_RULE} FROM f WHERE rn - fold * 21 >= 252),
-g AS (SELECT ticker, fold, avg(CAST(y_pred = y_true AS INTEGER)) AS acc FROM t GROUP BY 1, 2)
-SELECT ticker, count(*) AS n_items, round(avg(acc), 8) AS avg_accuracy FROM g GROUP BY 1
+c AS (SELECT ticker, fold, count(*) FILTER (WHERE y_pred = 1 AND y_true = 1) AS tp, count(*) FILTER (WHERE y_pred = 1 AND y_true = 0) AS fp,
+             count(*) FILTER (WHERE y_pred = 0 AND y_true = 1) AS fn, avg(CAST(y_pred = y_true AS INTEGER)) AS accuracy,
+             count(*) FILTER (WHERE y_true = 1) AS n1, count(*) FILTER (WHERE y_true = 0) AS n0 FROM t GROUP BY 1, 2),
+rk AS (SELECT ticker, fold, y_true, rank() OVER (PARTITION BY ticker, fold ORDER BY y_prob)
+              + (count(*) OVER (PARTITION BY ticker, fold, y_prob) - 1) / 2.0 AS ar FROM t),
+rs AS (SELECT ticker, fold, sum(ar) FILTER (WHERE y_true = 1) AS rs FROM rk GROUP BY 1, 2),
+m AS (SELECT c.ticker, c.fold, accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+             CASE WHEN tp = 0 THEN 0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1,
+             CASE WHEN n1 = 0 OR n0 = 0 THEN 0.5 ELSE (rs - n1 * (n1 + 1) / 2.0) / (n1 * n0) END AS roc_auc
+      FROM c JOIN rs ON c.ticker = rs.ticker AND c.fold = rs.fold)
+SELECT ticker, count(*) AS n_items, {", ".join(f"round(avg({x}), 8) AS avg_{x}" for x in _FIVE)}
+FROM m WHERE f1 > 0 GROUP BY 1
 """)
 def d14_mean_fold_metrics_rule(spark, sf_dir):
+    """All five metrics over the folds that succeeded (here: those with a hit)."""
     f = fo.assign_folds(_train(spark, sf_dir)).filter(F.col("split") == "test")
-    m = me.confusion_metrics(bt.rule_scorer(f).withColumnRenamed("target", "y_true"), ["ticker", "fold"])
-    return me.mean_metrics(m, ["ticker"], ["accuracy"]).select(
-        "ticker", "n_items", F.round("avg_accuracy", 8).alias("avg_accuracy"))
+    scored = bt.rule_scorer(f).withColumnRenamed("target", "y_true")
+    group = ["ticker", "fold"]
+    m = me.confusion_metrics(scored, group).join(me.roc_auc(scored, group), group)
+    m = m.withColumn("status", F.when(F.col("f1") > 0, "success").otherwise("no_hit"))
+    mean = me.mean_metrics(m, ["ticker"], list(_FIVE), status_col="status")
+    return mean.select("ticker", "n_items", *[F.round(f"avg_{x}", 8).alias(f"avg_{x}") for x in _FIVE])
 
 
 _BT_SQL = f"""
@@ -413,7 +430,7 @@ def j7_prep_counts(spark, sf_dir):
 # ---------------------------------------------------------------- J8/J12 models
 from tickwise.operators import models as _models  # noqa: E402
 from tickwise.operators import scoring as _scoring  # noqa: E402
-from tickwise.session import checkpoint_dir, materialize  # noqa: E402
+from tickwise.session import materialize  # noqa: E402
 
 
 def _prepared(spark, sf_dir):
@@ -470,21 +487,6 @@ def j8_logistic_fold_metrics(spark, sf_dir):
                                                  ("accuracy", "precision", "recall", "f1", "roc_auc")])
 
 
-@register("J12_model_selection")
-def j12_model_selection(spark, sf_dir):
-    """Logistic regression (all folds) vs the rule model (all folds); mean
-    metrics per (ticker, model) and the best model by mean F1."""
-    prepared = _prepared(spark, sf_dir)
-    lr = _models.logistic_fold_predictions(prepared, _F11)
-    f = fo.assign_folds(_train(spark, sf_dir)).filter(F.col("split") == "test")
-    rule = bt.rule_scorer(f).select("ticker", "fold", "rn", F.col("target").alias("y_true"),
-                                    "y_pred", "y_prob", F.lit("rule_macd").alias("model"))
-    metrics = _models.fold_metrics(lr.unionByName(rule))
-    best = _models.select_best(metrics, ["ticker"])
-    return best.select("ticker", "model", "folds", "best_model",
-                       *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
-
-
 @register("E12_latest_features", f"""
 WITH RECURSIVE {FEATURES_CTE},
 t AS (SELECT ticker, timestamp, close, rn, n FROM s WHERE rn >= n - 30),
@@ -523,22 +525,6 @@ def j17_backfill_actuals_rule(spark, sf_dir):
     return _scoring.backfill_actuals(preds, b)
 
 
-@register("J15_K6_predict_latest")
-def j15_predict_latest(spark, sf_dir):
-    """J13 refit (logistic, Spark ML, all training rows) saved as a PipelineModel
-    in the checkpoint folder, reloaded, then J15 on the latest rows of every ticker."""
-    import uuid
-    from pyspark.ml import PipelineModel
-    b = bars(spark, sf_dir)
-    ind = _ind.technical_features(b, keep_warmup=False, checkpoint=False)
-    train = _train(spark, sf_dir)
-    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
-    _models.refit(train, _F11, "logistic_regression", path)
-    model = PipelineModel.load(path)
-    latest = _scoring.latest_feature_rows(b, ind)
-    return _scoring.predict(model, latest, "logistic_regression", "v1")
-
-
 @register("D5_fetch_outliers", f"""
 WITH {BARS_CTE},
 c AS (SELECT ticker, close FROM bars WHERE open > 0 AND high > 0 AND low > 0 AND close > 0 AND volume > 0),
@@ -585,6 +571,5 @@ def j16_needing_prediction(spark, sf_dir):
     ind = _ind.technical_features(b, keep_warmup=False)
     latest = latest_per_key(ind.select("ticker", "timestamp"), cols=["timestamp"])
     preds = ind.select("ticker", F.col("timestamp").cast("timestamp").alias("predicted_at"))
-    now = b.agg(F.max("timestamp")).collect()[0][0]
-    import datetime as dt
-    return _scoring.needing_prediction(latest, preds, now + dt.timedelta(minutes=30))
+    now = b.agg(F.max("timestamp").alias("t")).scalar() + F.expr("INTERVAL 30 MINUTES")
+    return _scoring.needing_prediction(latest, preds, now)

@@ -62,15 +62,17 @@ def j1_training_frame(spark, sf_dir):
     return rounded(_train(spark, sf_dir), TRAIN_COLS)
 
 
+_C1 = ["ticker", "timestamp", "close"] + ind.INDICATOR_COLUMNS
+
+
 @register("C1_bars_join_indicators", f"""
 WITH RECURSIVE {FEATURES_CTE}
-SELECT count(*) AS n, round(sum(close), 2) AS sum_close FROM tj
+SELECT {sql_rounded(_C1)} FROM tj
 """)
 def c1_join(spark, sf_dir):
     from tickwise.operators.training import join_bars_indicators
     b = bars(spark, sf_dir)
-    j = join_bars_indicators(b, ind.technical_features(b, keep_warmup=False, checkpoint=False))
-    return j.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("sum_close"))
+    return rounded(join_bars_indicators(b, ind.technical_features(b, keep_warmup=False, checkpoint=False)), _C1)
 
 
 # ---------------------------------------------------------------- D1-D7 quality
