@@ -64,3 +64,24 @@ def test_halo_blocks_bound_partition_size(spark):
     assert sizes.agg(F.max("count")).collect()[0][0] <= block + halo + 1
     home = d.filter("_home").agg(F.count(F.lit(1)), F.countDistinct("rn"), F.min("rn"), F.max("rn")).collect()[0]
     assert tuple(home) == (n, n, 0, n - 1)
+
+
+def test_exponential_means_have_no_stage_by_key_alone(spark):
+    """Runs are scanned by (key, group of blocks), then groups; the rows below are shuffled once."""
+    import re
+    from conftest import series_df
+    from tickwise.operators.recurrence import Chain, Ewm, ewm_pass
+    from tickwise.operators.series import halo_blocks, number_rows
+    d = halo_blocks(number_rows(series_df(spark, [1.0 + i % 7 for i in range(500)])), 0, 64)
+    out = ewm_pass(d, [Ewm("a", "close", 0.1), Ewm("b", "close", 0.05)], "ticker", 64, [Chain("c", "a", "b", 0.2)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    by = [[c.split("#")[0].strip() for c in m.split(",")] for m in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    scans = [k for k in by if any(c.startswith("_group") for c in k)]
+    assert scans and all(len(k) >= 3 for k in scans)      # key, group, number of partitions
+    assert plan.count("MapInPandas") >= 2
+
+
+def test_auc_has_no_window_over_a_group(spark):
+    from tickwise.operators.metrics import roc_auc
+    df = spark.range(1000).selectExpr("CAST(id % 2 AS STRING) AS g", "id % 17 / 17.0 AS y_prob", "CAST(id % 3 = 0 AS INT) AS y_true")
+    assert _window_keys(roc_auc(df, ["g"])) == [["_k0", "_range"]]

@@ -4,10 +4,12 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import series_df
+from tickwise.operators.series import halo_blocks, home_only, number_rows
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -73,3 +75,37 @@ def test_exact_quantiles_equal_numpy(spark, values, probs):
     got = {r["p"]: r["quantile"] for r in exact_quantiles(df, "x", probs).collect()}
     for p in probs:
         assert abs(got[float(p)] - np.percentile(values, p * 100)) <= 1e-9 * (1 + abs(np.percentile(values, p * 100)))
+
+
+@pytest.mark.parametrize("n,fan,seed", [(20, 2, 0), (137, 3, 1), (400, 5, 2)])
+def test_prefix_scan_over_many_levels(spark, n, fan, seed):
+    """E6 and the MACD signal with tiny groups, so that several levels are needed; too few raise an error."""
+    from tickwise.operators.recurrence import Chain, Ewm, ewm_pass
+    x = np.random.default_rng(seed).normal(size=n) + 10
+    d = halo_blocks(number_rows(series_df(spark, x)), 0, 4)
+    specs, chains = [Ewm("f", "close", 2 / 13), Ewm("s", "close", 0.9)], [Chain("g", "f", "s", 0.2)]
+    levels = 1
+    while 4 * fan ** levels < n:
+        levels += 1
+    got = home_only(ewm_pass(d, specs, "ticker", 4, chains, fan, levels)).toPandas().sort_values("rn")
+    c = pd.Series(x)
+    f, s = c.ewm(alpha=2 / 13, adjust=False).mean(), c.ewm(alpha=0.9, adjust=False).mean()
+    np.testing.assert_allclose(got["f"], f, rtol=1e-10)
+    np.testing.assert_allclose(got["s"], s, rtol=1e-10)
+    np.testing.assert_allclose(got["g"][1:], (f - s).ewm(alpha=0.2, adjust=False).mean()[1:], rtol=1e-8, atol=1e-10)
+    if levels > 1:
+        with pytest.raises(Exception, match="more levels"):
+            ewm_pass(d, specs, "ticker", 4, chains, fan, levels - 1).toPandas()
+
+
+@pytest.mark.parametrize("n,kinds,seed", [(1, 1, 0), (40, 3, 1), (900, 900, 2), (700, 40, 3)])
+def test_auc_equals_pairs(spark, n, kinds, seed):
+    """D13 against counting pairs, ties as a half; groups with one class give 0.5, null groups are a group."""
+    from tickwise.operators.metrics import roc_auc
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], n), "y_prob": rng.integers(0, kinds, n) / kinds, "y_true": rng.integers(0, 2, n)})
+    got = {r.g: r.roc_auc for r in roc_auc(spark.createDataFrame(pdf, "g string, y_prob double, y_true int"), ["g"]).collect()}
+    for g, part in pdf.groupby("g", dropna=False):
+        a, b = part[part.y_true == 1].y_prob.to_numpy()[:, None], part[part.y_true == 0].y_prob.to_numpy()[None, :]
+        want = 0.5 if a.size == 0 or b.size == 0 else ((a > b) + 0.5 * (a == b)).mean()
+        assert abs(got[None if g is None or g != g else g] - want) < 1e-9

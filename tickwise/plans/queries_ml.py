@@ -260,6 +260,19 @@ def d13_roc_auc_rule(spark, sf_dir):
     return me.roc_auc(s, ["ticker"]).select("ticker", F.round("roc_auc", 8).alias("roc_auc"))
 
 
+@register("D13_roc_auc_one_group", """
+WITH t AS (SELECT l_extendedprice + l_linenumber AS p, CAST(l_returnflag = 'R' AS INTEGER) AS y FROM lineitem),
+rk AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS ar FROM t),
+g AS (SELECT sum(ar) FILTER (WHERE y = 1) AS rs, count(*) FILTER (WHERE y = 1) AS n1, count(*) FILTER (WHERE y = 0) AS n0 FROM rk)
+SELECT 'all' AS grp, round((rs - n1 * (n1 + 1) / 2.0) / (CAST(n1 AS DOUBLE) * n0), 8) AS roc_auc FROM g
+""")
+def d13_roc_auc_one_group(spark, sf_dir):
+    """D13 with one group that holds all rows: return flag R told from the line's price."""
+    s = table(spark, sf_dir, "lineitem").select(
+        F.lit("all").alias("grp"), (F.col("l_extendedprice") + F.col("l_linenumber")).alias("y_prob"), (F.col("l_returnflag") == "R").cast("int").alias("y_true"))
+    return me.roc_auc(s, ["grp"]).select("grp", F.round("roc_auc", 8).alias("roc_auc"))
+
+
 _FIVE = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
 
