@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators import trees
 from tickwise.operators.metrics import confusion_metrics, roc_auc
+from tickwise.session import materialize
 
 # Fixed values from the reference: model order and hyper-parameters.
 MODEL_ORDER = ["logistic_regression", "random_forest", "xgboost"]
@@ -76,12 +77,14 @@ def logistic_fold_predictions(prepared: DataFrame, cols: list[str],
         return res
 
     src = prepared.select(*group, "split", "rn", "target", *cols)
-    return src.groupBy(*group).applyInPandas(fit_predict, out_schema)
+    return trees.spread(src, group).groupBy(*group).applyInPandas(fit_predict, out_schema)
 
 
 def fold_metrics(preds: DataFrame, group=("ticker", "fold", "model")) -> DataFrame:
-    """D12 + D13 per (ticker, fold, model)."""
+    """D12 + D13 per (ticker, fold, model). The predictions are written once: both metrics read them, and models
+    are not fitted twice."""
     group = list(group)
+    preds = materialize(preds)
     return confusion_metrics(preds, group).join(roc_auc(preds, group), group)
 
 

@@ -113,7 +113,7 @@ def fit_models(prepared: DataFrame, cols: list[str], chosen: DataFrame | str, gr
         return out.assign(model=pdf["model"].iloc[0], **{g: pdf[g].iloc[0] for g in group})[
             [*group, "model", "tree", "node", "feature", "threshold", "value"]]
 
-    return rows.groupBy(*group, "model").applyInPandas(run, schema)
+    return trees.spread(rows, [*group, "model"]).groupBy(*group, "model").applyInPandas(run, schema)
 
 
 def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -282,6 +282,12 @@ def _resumed(codes, y, fit, number, models, start, margin):
 
 # ---- folds as Spark groups
 
+def spread(rows: DataFrame, group: list[str]) -> DataFrame:
+    """The rows by group over all shuffle partitions. Training costs far more than its bytes suggest, and a stated number of
+    partitions is not merged by size at run time."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
+
+
 def _schema(prepared: DataFrame, group: list[str], fields: str) -> str:
     return ", ".join([f"`{g}` {t}" for g, t in prepared.select(*group).dtypes] + [fields])
 
@@ -316,7 +322,7 @@ def _grouped(prepared: DataFrame, cols: list[str], group: list[str], fields: str
             return pd.DataFrame(columns=names)
         return work(*_fold_arrays(pdf, cols))[names]
 
-    return prepared.select(*group, "split", "rn", "target", *cols).groupBy(*group).applyInPandas(run, schema)
+    return spread(prepared.select(*group, "split", "rn", "target", *cols), group).groupBy(*group).applyInPandas(run, schema)
 
 
 def forest_predictions(prepared: DataFrame, cols: list[str], group=("ticker", "fold"), p: Forest = Forest()) -> DataFrame:

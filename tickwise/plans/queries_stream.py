@@ -43,11 +43,11 @@ def _run_ingest(spark, sf_dir):
     src = f"{base}/in"
     replay = sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT).select("value")
     good, bad = _event_messages(spark, sf_dir)
-    # four files, processed one per micro-batch in write order: bars, the same
-    # bars again (all duplicates of stored keys), event prices, invalid props
+    # bars, the same bars again (all duplicates of stored keys), event prices, invalid props: each in files as
+    # Spark writes them, several to a micro-batch
     for part in (replay, replay, good, bad):
-        part.coalesce(1).write.mode("append").text(src)
-    stream = ingest.file_source(spark, src, max_files_per_trigger=1)
+        part.write.mode("append").text(src)
+    stream = ingest.file_source(spark, src, max_files_per_trigger=4)
     q = ingest.run_ingest(stream, f"{base}/prices", f"{base}/dead", f"{base}/stats", f"{base}/ckpt")
     q.awaitTermination()
     return base
@@ -69,7 +69,7 @@ SELECT ticker, timestamp, open, high, low, close, volume FROM msgs
 def i1_stream_ingest(spark, sf_dir):
     """Replayed messages through the streaming ingest; returns the stored table."""
     base = _run_ingest(spark, sf_dir)
-    t = spark.read.parquet(f"{base}/prices")
+    t = ingest.read_prices(spark, f"{base}/prices", f"{base}/stats")
     return t.select("ticker", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                     "open", "high", "low", "close", "volume")
 
@@ -97,14 +97,43 @@ def i2_message_routing(spark, sf_dir):
     return parsed.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _messages_sql(where: str = "") -> str:
+    """Key, place in the replay and the message's fields, read back from its JSON text on the Spark side."""
+    return f"""SELECT ticker AS key, row_number() OVER (ORDER BY timestamp, ticker) AS place, ticker, strftime(timestamp, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamp,
+       round(CAST(open AS DOUBLE), 4) AS open, round(CAST(high AS DOUBLE), 4) AS high, round(CAST(low AS DOUBLE), 4) AS low,
+       round(CAST(close AS DOUBLE), 4) AS close, CAST(volume AS BIGINT) AS volume, '2001-08-03T00:00:00+00:00' AS produced_at FROM bars {where}"""
+
+
+_MESSAGE = "ticker string, timestamp string, open double, high double, low double, close double, volume bigint, produced_at string"
+
+
+def _read_messages(m):
+    return m.select("key", F.from_json("value", _MESSAGE, {"mode": "FAILFAST"}).alias("m")).select("key", "m.*")
+
+
 @register("A7_replay_export", f"""
-WITH {BARS_CTE}
-SELECT ticker AS key, count(*) AS n FROM bars GROUP BY 1
+WITH {BARS_CTE}, m AS ({_messages_sql()})
+SELECT * EXCLUDE (place) FROM m
 """)
 def a7_replay_export(spark, sf_dir):
-    """Keyed JSON messages of all bars (count per key)."""
-    m = sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT)
-    return m.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    """Keyed JSON messages of all bars, field by field."""
+    return _read_messages(sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT))
+
+
+@register("A7_replay_first_messages", f"""
+WITH {BARS_CTE}, m AS ({_messages_sql("WHERE ticker = '2-HIGH'")})
+SELECT * FROM m WHERE place <= 100
+""")
+def a7_replay_first_messages(spark, sf_dir):
+    """A7 with a ticker and a message limit: the first 100 messages of one ticker, in replay order (by file and line)."""
+    m = sinks.replay_messages(bars(spark, sf_dir), PRODUCED_AT, ticker_filter="2-HIGH", max_messages=100)
+    out = _scratch(spark, "replay")
+    m.write.json(out)       # ordered parts: file by file, line by line
+    back = spark.read.schema("key string, value string").json(out).select("key", "value", F.col("_metadata.file_name").alias("_file"),
+                                                                          F.monotonically_increasing_id().alias("_line"))
+    from pyspark.sql import Window
+    placed = back.withColumn("place", F.row_number().over(Window.orderBy("_file", "_line")).cast("long"))      # 100 rows at most
+    return placed.select("place", "key", F.from_json("value", _MESSAGE, {"mode": "FAILFAST"}).alias("m")).select("place", "key", "m.*")
 
 
 # ---------------------------------------------------------------- request log
@@ -496,15 +525,54 @@ def k5_health_status_active(spark, sf_dir):
     return health_status(b, predictions, registry, clock)
 
 
-@register("K9_daily_job")
-def k9_daily_job(spark, sf_dir):
-    """K9: ingest bars -> gate -> features -> folds/prep/logistic -> refit, register, promote."""
+def _daily(spark, sf_dir):
     from tickwise.plans.daily import run_daily
     b = bars(spark, sf_dir, materialized=True)
     clock = b.agg(F.max("timestamp") + F.expr("INTERVAL 12 HOURS")).first()[0]     # half a day after the last bar
     return run_daily(spark, b, now=clock)
 
 
+@register("K9_daily_job")
+def k9_daily_job(spark, sf_dir):
+    """K9: ingest bars -> gate -> features -> folds/prep -> three models -> refit, register, promote."""
+    return _daily(spark, sf_dir)
+
+
+@register("K9_daily_job_counts", f"""
+WITH RECURSIVE {FEATURES_CTE},
+f AS (SELECT ticker, count(*) AS n FROM train GROUP BY 1 HAVING count(*) >= 273)
+SELECT 'inserted_rows' AS step, CAST(count(*) AS DOUBLE) AS value FROM bars
+UNION ALL SELECT 'feature_rows', CAST(count(*) AS DOUBLE) FROM ind
+UNION ALL SELECT 'train_rows', CAST(count(*) AS DOUBLE) FROM train
+UNION ALL SELECT 'folds', CAST(coalesce(sum(floor((n - 273) / 21) + 1), 0) AS DOUBLE) FROM f
+""")
+def k9_daily_job_counts(spark, sf_dir):
+    """The countable steps of the same job."""
+    return _daily(spark, sf_dir).filter(~F.col("step").isin("best_f1", "promoted"))
+
+
+@register("J14_registry", f"""
+WITH {BARS_CTE},
+m AS (SELECT ticker, count(*) AS n, row_number() OVER (ORDER BY ticker) AS k, round(count(*) / 10000.0, 4) AS f1 FROM bars GROUP BY 1),
+a AS (SELECT *, max(f1) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM m)
+SELECT 'rule' AS model_name, ticker AS version, ticker, f1, k = (SELECT max(k) FROM a WHERE best IS NULL OR k = 1) AS is_active FROM a
+""")
+def j14_registry(spark, sf_dir):
+    """A model for each ticker (its F1 stands for the number of bars) registered in one change; the first one is promoted,
+    the others only by a gain above 1, which none has."""
+    from tickwise.operators.registry import ModelRegistry
+    per = bars(spark, sf_dir).groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0.0)
+    rows = per.select(F.lit("rule").alias("model_name"), F.col("ticker").alias("version"), "ticker", zero.alias("accuracy"), zero.alias("precision_score"),
+                      zero.alias("recall"), F.round(F.col("n") / 10000.0, 4).alias("f1"), F.lit(PRODUCED_AT).cast("timestamp").alias("trained_at"),
+                      F.lit("").alias("model_path"))
+    reg = ModelRegistry(spark, _scratch(spark, "registry"))
+    reg.register_all(rows)
+    for r in reg.table().orderBy("version").select("version", "f1").toLocalIterator():      # a row for each ticker of the registry
+        reg.auto_promote_if_better(r.version, r.f1, threshold=1.0)
+    return reg.table().select("model_name", "version", "ticker", "f1", "is_active")
+
+
 @register("F5_page_one_ticker", f"""
 WITH {BARS_CTE}
 SELECT ticker, timestamp, open, high, low, close, volume FROM bars WHERE ticker = '2-HIGH'
