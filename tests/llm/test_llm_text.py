@@ -50,6 +50,51 @@ def test_held_out_accuracy(spark, module, target, divisor, held):
     assert len(out) > 50 and right > max(0.9, common) and all(0 <= r.score <= 1 for r in out)
 
 
+def brute_quality(text, model):
+    """Score of one text from the fitted weights, word by word."""
+    p, m64 = model.params, (1 << 64) - 1
+    mul = int(quality.HASH_MUL)
+
+    def mix(x):
+        for shift, k in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * k & m64
+        return x ^ x >> 31
+
+    words = WORD.findall(text or "")
+    whole = lambda w: mix(sum(ord(c) * pow(mul, k, 1 << 64) for k, c in enumerate(f"<{w}>")) & m64)
+    found = []
+    for w in words:
+        found.append(whole(w))
+        for n in p.n_grams:
+            for k in range(len(w) + 3 - n):
+                h = n
+                for c in f"<{w}>"[k:k + n]:
+                    h = (h * mul + ord(c)) & m64
+                found.append(mix(h))
+    pairs = list(zip(words, words[1:]))
+    found += [mix((whole(a) * mul + whole(b)) & m64) for a, b in pairs]
+    again = sum(x in pairs[max(0, i - p.recent):i] for i, x in enumerate(pairs))
+    total = sum(float(model.logit[h >> (64 - p.bits)]) for h in found) + again * float(model.logit[quality.REPEAT])
+    return 1 / (1 + math.exp(-(total / max(1, len(found) + again) + model.bias)))
+
+
+def test_op10_score_is_the_average_of_word_gram_and_pair_vectors(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    rows = docs.where("doc_id % 20 = 0 AND length(text) < 4000").select("doc_id", "text").unionByName(odd_docs(spark, False).where("doc_id <> 8"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, "buy now " * 50), (-2, "a b c a b c a d a a")], "doc_id bigint, text string"))
+    got = quality.score(rows, model).collect()
+    assert len(got) > 40 and all(abs(r.score - brute_quality(r.text, model)) < 1e-9 for r in got)
+
+
+def test_repeated_phrases_are_junk(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    phrases = ["buy ", "buy now ", "click here to win a prize ", "one two three four five six seven eight nine ten eleven twelve "]
+    rows = spark.createDataFrame([(k, x * 100) for k, x in enumerate(phrases)], "doc_id bigint, text string")
+    assert all(r.score < 0.1 for r in quality.score(rows, model).collect())
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_classifier_edge_cases(spark, module):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (5, 0, 1), (99, 1, 1), (None, 1, 1), (6, None, None)],

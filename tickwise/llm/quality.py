@@ -1,8 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word contributes itself and its character n-grams (with word marks),
-and a word that repeats its predecessor a repeat mark (the one word bigram that
-is kept), each hashed into one of ``2**bits`` learned vectors; a document is the
+Every word contributes itself and its character n-grams (with word marks), and each
+pair of adjacent words its word bigram, all hashed into ``2**bits`` learned vectors. A
+pair that stood among the ``recent`` words before adds a mark of its own, so repeated words and
+phrases have a feature whatever their words are. A document is the
 average of all these vectors, and a softmax over two classes follows. Training is
 plain stochastic gradient descent in numpy on a bounded labelled sample;
 scoring runs over all documents in Arrow batches. As average and output layer
@@ -27,7 +28,7 @@ from tickwise.llm.common import (HASH_MUL, Words, labelled_sample, mix64, ragged
                                  training_texts, with_text_columns)
 
 
-REPEAT = 0                       # bucket of the repeat mark
+REPEAT = 0                       # bucket of the mark of a pair seen shortly before
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class QualityParams:
     bits: int = 16               # 2**bits hashed vectors
     dim: int = 16
     n_grams: tuple[int, ...] = (3, 4, 5)
+    recent: int = 16             # words within which a pair counts as repeated
     epochs: int = 5
     rate: float = 0.5
     max_docs: int = 3000         # bound of the labelled sample
@@ -49,6 +51,35 @@ class QualityModel:
     params: QualityParams
 
 
+def _whole(cp: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of whole words: a polynomial over their code points."""
+    power = np.ones(int(lengths.max()) + 1, np.uint64)
+    power[1:] = HASH_MUL
+    power = np.cumprod(power, dtype=np.uint64)
+    at = np.arange(len(cp)) - np.repeat(starts, lengths)
+    return mix64(np.add.reduceat(cp * power[at], starts))
+
+
+def pair_buckets(w: Words, p: QualityParams) -> tuple[np.ndarray, np.ndarray]:
+    """(document, bucket) of every pair of adjacent words, and of the marks of repeated pairs."""
+    if len(w.codes) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cp = np.frombuffer("".join(f"<{x}>" for x in w.vocab).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter((len(x) + 2 for x in w.vocab), np.int64, len(w.vocab))
+    whole = _whole(cp, np.cumsum(lengths) - lengths, lengths)
+    doc = w.doc_of
+    first = np.flatnonzero(doc[1:] == doc[:-1])
+    hashed = mix64(whole[w.codes[first]] * HASH_MUL + whole[w.codes[first + 1]])
+    pair = np.zeros(len(doc), np.uint64)        # by position; the last word of a document has none
+    pair[first] = hashed | np.uint64(1)
+    again = np.zeros(len(doc), bool)
+    for d in range(1, min(p.recent, len(doc) - 1) + 1):
+        again[d:] |= (pair[d:] == pair[:-d]) & (doc[d:] == doc[:-d])
+    again &= pair > 0
+    return (np.concatenate([doc[first], doc[again]]),
+            np.concatenate([(hashed >> np.uint64(64 - p.bits)).astype(np.int64), np.full(int(again.sum()), REPEAT)]))
+
+
 def subword_buckets(words: list[str], p: QualityParams) -> tuple[np.ndarray, np.ndarray]:
     """(index of the word, bucket) of every feature, grouped by word."""
     if not words:
@@ -58,13 +89,8 @@ def subword_buckets(words: list[str], p: QualityParams) -> tuple[np.ndarray, np.
     lengths = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), lengths)
     starts = np.cumsum(lengths) - lengths
-    # whole word: polynomial over its code points
-    power = np.ones(int(lengths.max()) + 1, np.uint64)
-    power[1:] = HASH_MUL
-    power = np.cumprod(power, dtype=np.uint64)
-    at = np.arange(len(cp)) - np.repeat(starts, lengths)
-    whole = np.add.reduceat(cp * power[at], starts)
-    owners, hashes = [np.arange(len(words))], [mix64(whole)]
+    whole = _whole(cp, starts, lengths)
+    owners, hashes = [np.arange(len(words))], [whole]
     for n in p.n_grams:
         if len(cp) < n:
             continue
@@ -87,10 +113,12 @@ def _document_features(texts: list[str], p: QualityParams) -> list[tuple[np.ndar
         who, bucket = subword_buckets(w.vocab, p)
         count = np.bincount(who, minlength=len(w.vocab))
         first = np.cumsum(count) - count
+        doc, pairs = pair_buckets(w, p)
+        order = np.argsort(doc, kind="stable")
+        upto = np.searchsorted(doc[order], np.arange(len(w.offsets)))
         for i in range(len(w.offsets) - 1):
             codes = w.codes[w.offsets[i]:w.offsets[i + 1]]
-            feats = np.concatenate([bucket[ragged(first[codes], count[codes])],
-                                    np.full(int((codes[1:] == codes[:-1]).sum()), REPEAT)])
+            feats = np.concatenate([bucket[ragged(first[codes], count[codes])], pairs[order[upto[i]:upto[i + 1]]]])
             ids, n = np.unique(feats, return_counts=True)
             out.append((ids, (n / max(1, len(feats))).astype(np.float32)))
     return out
@@ -139,10 +167,9 @@ def score_words(w: Words, model: QualityModel) -> np.ndarray:
     per_word = np.bincount(who, model.logit[bucket], len(w.vocab))
     n_word = np.bincount(who, minlength=len(w.vocab))
     doc, n = w.doc_of, len(w.offsets) - 1
-    again = doc[1:][(w.codes[1:] == w.codes[:-1]) & (doc[1:] == doc[:-1])]
-    repeats = np.bincount(again, minlength=n)
-    total = np.bincount(doc, per_word[w.codes], n) + repeats * model.logit[REPEAT]
-    feats = np.bincount(doc, n_word[w.codes], n) + repeats
+    owner, pairs = pair_buckets(w, model.params)
+    total = np.bincount(doc, per_word[w.codes], n) + np.bincount(owner, model.logit[pairs], n)
+    feats = np.bincount(doc, n_word[w.codes], n) + np.bincount(owner, minlength=n)
     z = total / np.maximum(feats, 1) + model.bias
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
