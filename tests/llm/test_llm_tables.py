@@ -219,6 +219,31 @@ def test_events_delivered_again_count_once(spark):
     assert rows(ev.unionAll(other_role)) == once
 
 
+def test_long_conversations_take_time_in_proportion(spark):
+    """Twice the turns take about twice the time (a quadratic step would take four times), and all spans are right."""
+    import time
+
+    def run(n):
+        rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                     F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                     F.concat(F.lit("wörd </s> "), F.col("id").cast("string")).alias("text"))
+        made = chat.format_chats(queries.chat_events(rows)).cache()
+        made.count()
+        start = time.time()
+        back = chat.read_back(made).select("loss_text", F.size("turns").alias("n")).first()
+        took = time.time() - start
+        whole = made.first()
+        made.unpersist()
+        want = [f"wörd </s> {k}" for k in range(1, n, 2)]
+        assert back.n == n and back.loss_text == "".join(want)
+        spans = [whole.formatted[s.start:s.start + s.length] for s in whole.loss_spans]
+        assert [x.replace("\\", "") for x in spans] == want
+        return took
+
+    run(2000)
+    assert run(24_000) < 3.2 * run(12_000) + 1
+
+
 def test_op6_digests(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]

@@ -30,7 +30,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rank of the kinds among events of the same sequence number (fixed values).
@@ -77,24 +77,15 @@ def render(messages: DataFrame) -> DataFrame:
               .otherwise("[/ROLE]"))
     turns = messages.select("conv_id", "first_seq", "message", opens.alias("o"), text.alias("x"), closes.alias("c"),
                             (role == "assistant").alias("scored"))
-    conv = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(
-        F.struct("first_seq", "message", "o", "x", "c", "scored"))).alias("turns"))
+    # places by a running sum before the turns are gathered, so that no array grows step by step
+    before = Window.partitionBy("conv_id").orderBy("first_seq", "message").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("o") + F.length("x") + F.length("c")
+    placed = turns.withColumn("at", len("<s>") + F.coalesce(F.sum(size).over(before), F.lit(0)))
+    conv = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(
+        F.struct("first_seq", "message", "o", "x", "c", "scored", "at"))).alias("turns"))
     whole = F.concat(F.lit("<s>"), F.array_join(F.transform("turns", lambda t: F.concat(t["o"], t["x"], t["c"])), ""))
-    start = F.struct(F.lit(3).cast("long").alias("at"),
-                     F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-
-    # spans by running sums over short arrays of lengths: the texts are not copied at each step
-    sizes = F.transform("turns", lambda t: F.struct(
-        F.length(t["o"]).alias("o"), F.length(t["x"]).alias("x"), F.length(t["c"]).alias("c"), t["scored"].alias("scored")))
-
-    def move(acc, t):
-        text_at = acc["at"] + t["o"]
-        return F.struct((text_at + t["x"] + t["c"]).alias("at"),
-                        F.when(t["scored"], F.concat(acc["spans"], F.array(F.struct(
-                            text_at.alias("start"), t["x"].cast("long").alias("length")))))
-                        .otherwise(acc["spans"]).alias("spans"))
-
-    spans = F.aggregate(sizes, start, move, lambda acc: acc["spans"])
+    spans = F.transform(F.filter("turns", lambda t: t["scored"]), lambda t: F.struct(
+        (t["at"] + F.length(t["o"])).cast("long").alias("start"), F.length(t["x"]).cast("long").alias("length")))
     return conv.select("conv_id", whole.alias("formatted"), spans.alias("loss_spans"))
 
 
@@ -104,7 +95,8 @@ _TURN = (r"(?s)\[INST\].*?\[/INST\]|\[ASST\].*?</s>|\[SYS\].*?\[/SYS\]|\[ROLE\].
 def read_back(formatted: DataFrame) -> DataFrame:
     """(conv_id, turns, loss_text, formatted_chars) parsed from the output alone: turns as
     (role, text), and all text under the loss mask, unescaped."""
-    pieces = F.regexp_extract_all("formatted", F.lit(_TURN), F.lit(0))
+    parsed = formatted.select("conv_id", "loss_spans", F.length("formatted").cast("long").alias("formatted_chars"),
+                              F.regexp_extract_all("formatted", F.lit(_TURN), F.lit(0)).alias("pieces"))
 
     def body(x, opens, closes):
         return F.substring(x, F.lit(len(opens) + 1), F.length(x) - len(opens) - len(closes))
@@ -120,10 +112,11 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 .otherwise(F.substring(other, mark + 5, F.length(other))))
         return F.struct(role.alias("role"), unescape(text).alias("text"))
 
-    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(
-        F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
-    return formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), loss.alias("loss_text"),
-                            F.length("formatted").cast("long").alias("formatted_chars"))
+    # the k-th span lies in the k-th turn of an assistant; cut from that turn, not from the whole text again
+    spoken = F.filter("pieces", lambda x: x.startswith("[ASST]"))
+    loss = F.array_join(F.zip_with(spoken, "loss_spans", lambda x, s: unescape(
+        F.substring(x, F.lit(len("[ASST]") + 1), s["length"].cast("int")))), "")
+    return parsed.select("conv_id", F.transform("pieces", turn).alias("turns"), loss.alias("loss_text"), "formatted_chars")
 
 
 def format_chats(events: DataFrame) -> DataFrame:
