@@ -201,6 +201,8 @@ def test_sentiment_placeholder_and_lexicon(spark):
     m = {r["doc_id"]: r for r in model_sentiment(df).collect()}
     assert m[1]["label"] == "positive" and m[1]["negative"] == 0.0
     assert m[2]["label"] == "negative" and m[3]["label"] == "neutral"
+    named = model_sentiment(df.select(F.concat(F.lit("id-"), "doc_id").alias("key"), F.col("text").alias("head line")), id_col="key", text_col="head line")
+    assert named.columns[:2] == ["key", "head line"] and {r.key for r in named.collect()} == {"id-1", "id-2", "id-3"}
 
 
 def test_next_day_target_default_and_legacy(spark):

@@ -11,7 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tickwise.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"K9_daily_job", "J15_K6_predict_latest", "J12_model_selection", "J8_logistic_fold_metrics",
+SLOW = {"K9_daily_job_counts", "J15_K6_predict_latest", "J12_model_selection", "J8_logistic_fold_metrics",
         "I1_stream_ingest", "I1_stream_counts"}
 
 

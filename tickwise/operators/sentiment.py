@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 LABELS = ("positive", "negative", "neutral")
 BATCH = 32
-OUT_SCHEMA = ("doc_id long, text string, positive double, negative double, neutral double, "
-              "label string")
+
 
 POSITIVE_WORDS = {"gain", "gains", "growth", "profit", "profits", "rise", "rises", "rally",
                   "beat", "beats", "strong", "record", "up", "surge", "improve", "improves",
@@ -67,7 +66,7 @@ def lexicon_scorer(batch: list[str]) -> list[tuple[str, float]]:
 def model_sentiment(texts: DataFrame, scorer_factory=lambda: lexicon_scorer,
                     batch_size: int = BATCH, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """L2: winning label's score in its column, the other two 0."""
+    """L2: id and text as they are, the winning label's score in its column, the other two 0."""
     def run(batches):
         scorer = scorer_factory()
         for pdf in batches:
@@ -78,7 +77,9 @@ def model_sentiment(texts: DataFrame, scorer_factory=lambda: lexicon_scorer,
             labels = [r[0] for r in res]
             scores = [float(r[1]) for r in res]
             yield pd.DataFrame({
-                "doc_id": pdf[id_col].astype("int64"), "text": pdf[text_col],
+                id_col: pdf[id_col], text_col: pdf[text_col],
                 **{lab: [s if lb == lab else 0.0 for lb, s in zip(labels, scores)] for lab in LABELS},
                 "label": labels})
-    return texts.select(F.col(id_col).alias(id_col), F.col(text_col)).mapInPandas(run, OUT_SCHEMA)
+    src = texts.select(F.col(id_col), F.col(text_col))
+    schema = ", ".join([f"`{c}` {t}" for c, t in src.dtypes] + [f"{lab} double" for lab in LABELS] + ["label string"])
+    return src.mapInPandas(run, schema)
