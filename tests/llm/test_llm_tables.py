@@ -391,6 +391,23 @@ def test_wrapped_and_inline_notices_and_whole_licence_texts(spark):
                    11: ("MIT", "own"), 12: ("Apache-2.0", "own"), 13: (None, "none"), 14: ("proprietary", "own"), 15: (None, "none")}
 
 
+def test_current_identifiers_and_further_licences(spark):
+    cut = BSD_TEXT[:BSD_TEXT.index("3. ")] if "3. " in BSD_TEXT else BSD_TEXT
+    files = [(1, "a/f.c", "/* SPDX-License-Identifier: GPL-2.0-only */\nint x;"), (2, "b/f.py", "# SPDX-License-Identifier: LGPL-2.1-or-later\n" + "y = 2\n" * 9),
+             (3, "c/f", "// SPDX-License-Identifier: BSD-2-Clause"), (4, "d/f", "SPDX-License-Identifier: EPL-2.0"),
+             (5, "e/LICENSE", "ISC License\n\nCopyright 2020 Foo\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose "
+              "with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"),
+             (6, "f/LICENSE", "CC0 1.0 Universal\n\nStatement of Purpose\n\nThe laws of most jurisdictions throughout the world"),
+             (7, "g/LICENSE", "BSD 2-Clause License\n\n" + cut), (8, "h/LICENSE", "BSD 3-Clause License\n\n" + BSD_TEXT),
+             (9, "i/f", "SPDX-License-Identifier: Unknown-1.0"), (10, "j/f", "SPDX-License-Identifier: GPL-2.0"), (11, "k/f", "// SPDX-License-Identifier: AGPL-3.0-only")]
+    files += [(100 + k, f"x/y{k}.txt", f"plain text number {k} about a license of software") for k in range(40)]
+    got = {r.doc_id: r.licence for r in licenses.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")).collect()}
+    assert {k: got[k] for k in range(1, 12)} == {
+        1: "GPL-2.0", 2: "LGPL-2.1", 3: "BSD-2-Clause", 4: "EPL-2.0", 5: "ISC", 6: "CC0-1.0", 7: "BSD-2-Clause", 8: "BSD-3-Clause", 9: None,
+        10: "GPL-2.0", 11: "AGPL-3.0"}
+    assert not any(v for k, v in got.items() if k >= 100)
+
+
 def test_op5_against_brute_force(spark):
     rows = queries.files_of(spark.read.parquet(f"{SF01}/documents.parquet")).collect()
     terms = lambda t: Counter(x for x in licenses._terms((t or "").split()) if x)

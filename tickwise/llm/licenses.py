@@ -72,6 +72,12 @@ TEMPLATES = {
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                      "that the following conditions are met", "Licensed under the BSD 3-Clause License",
                      "SPDX-License-Identifier: BSD-3-Clause"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Licensed under the BSD 2-Clause License", "SPDX-License-Identifier: BSD-2-Clause"],
+    "ISC": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies", "SPDX-License-Identifier: ISC"],
+    "EPL-2.0": ["Eclipse Public License - v 2.0", "SPDX-License-Identifier: EPL-2.0"],
+    "CC0-1.0": ["CC0 1.0 Universal", "SPDX-License-Identifier: CC0-1.0"],
+    "Zlib": ["zlib License", "SPDX-License-Identifier: Zlib"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
                 "Mozilla Public License Version 2.0", "SPDX-License-Identifier: MPL-2.0"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
@@ -82,6 +88,9 @@ TEMPLATES = {
     "proprietary": ["All rights reserved", "Copyright. All rights reserved", "Confidential and proprietary"],
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
+# Current SPDX identifiers of the GNU family tell this version from later ones; the licence is the same.
+for _name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+    TEMPLATES[_name] += [f"SPDX-License-Identifier: {_name}-{_form}" for _form in ("only", "or-later")]
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-_][^/]*)?$"
 _TERM = re.compile(r"[\w.+\-]*\w")
 
