@@ -24,8 +24,8 @@ Defined cases: null text or role is empty; events of equal sequence number are
 ordered by kind (message first), then text; an event delivered again (same conversation,
 message, sequence number, kind and text) counts once; events whose message never started make
 one with an empty role; unknown kinds are ignored; a conversation without messages
-gives no row; null conversation ids form one conversation; an empty table gives an
-empty result; extra columns are ignored.
+gives no row; null conversation ids form one conversation; long texts and
+conversations are rendered whole (a conversation is one row); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

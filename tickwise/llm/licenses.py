@@ -23,8 +23,8 @@ begin with names BSD-3-Clause.
 Defined cases: null or empty texts have no licence of their own; several licence
 files of one directory: the best cosine, then the smallest template name; ties
 between templates: the smallest name; null paths belong to no directory and inherit
-nothing; repeated rows are reported row by row; an empty table gives an empty result;
-extra columns are ignored.
+nothing; repeated rows are reported row by row; long texts are read
+whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,8 +14,8 @@ joined by broadcast, and their pages are dealt out by text in the join of the ot
 
 Defined cases: null texts stay null and count as pages without lines; blank lines
 are never counted nor dropped; pages without host (null) form one host of their own;
-repeated pages count as often as they stand there; an empty table gives an empty
-result; all columns of the input are kept, whatever their names.
+repeated pages count as often as they stand there; long texts keep all
+their other lines; an empty table gives an empty result; all columns of the input are kept, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ own work. The tokenizer file is read on the driver and broadcast (a vocabulary,
 fixed size); tasks need no local file.
 
 Defined cases: null and empty texts are the end id alone; documents longer than a
-sequence span several; repeated ids are packed row by row; an empty table
+sequence span several; repeated and null ids are packed row by row; an empty table
 gives an empty result; extra columns are ignored.
 """
 

@@ -18,7 +18,8 @@ the rounds end, and every pair stays in some bucket of every round.
 Defined cases: null or blank texts have fingerprint zero and are linked like any
 other; fewer words than a shingle form one shingle; repeated rows and ids share a
 component; null ids are kept, linked through their fingerprint, and have a
-component only if it holds some id; an empty table gives an empty result.
+component only if it holds some id; long texts are read whole, their shingles counted in
+chunks; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
