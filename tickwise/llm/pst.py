@@ -12,13 +12,21 @@ must reach ``divergence`` nats. Next-symbol distributions are smoothed towards t
 suffix, P(x|s) = (N(sx) + m q(x)) / (N(s) + m), so every state sums to one. A
 symbol is scored in the longest retained suffix of its history.
 
+Contexts grow a word at a time, to ``depth`` words or until none is left that could grow. From two words on
+only contexts that are *alive* are extended: with q the distribution in force after the
+context's own test, an extension that keeps n <= N(sx) of the occurrences before x
+gains at most g(n) = n ln( (n - 1 + m q(x)) / ((max(n, least) - 1 + m) q(x)) ) by them; g grows
+with n where it is positive, so the sum over x of max(0, g(N(sx))) bounds the divergence of every extension,
+however long. Below ``divergence`` none can pass its test, and leaving them out changes nothing.
+
 Jobs: texts become blocks of token numbers (some MB each, written once). Per level,
 a block asks for the counts of its distinct (context, next symbol) pairs; requests are
 grouped by bucket (a hash of the context), summed over all blocks, tested, and the
 counts go back to the blocks, in the order asked. So what is moved follows the
 corpus, and nothing grows on the driver. Contexts with more than ``hot_share`` of all
 tokens are spread over the buckets by next symbol; their tests are sums over buckets
-(at most 1 / hot_share such contexts a level, which bounds what is broadcast).
+(at most 1 / hot_share such contexts a level, which bounds what is broadcast). After the second
+level a block keeps only the tokens that alive contexts still need, so further levels are small jobs.
 
 Defined cases: null and empty texts are the end symbol alone; a null id counts as the
 empty string for the fold; repeated rows are scored and counted row by row; texts are
@@ -44,7 +52,7 @@ from tickwise.llm.common import HASH_MUL, free_shuffles, mix64, quoted, scratch,
 
 @dataclass(frozen=True)
 class PstParams:
-    depth: int = 2
+    depth: int = 12              # longest context, in words
     least: int = 8               # occurrences of a context
     divergence: float = 4.0      # nats, in all
     mass: float = 1.0            # m: weight of the suffix's distribution
@@ -53,6 +61,8 @@ class PstParams:
     bucket_tokens: int = 2_000_000
 
 
+HEAD = 2                               # levels that all frequent contexts take part in
+
 END = xxhash.xxh64_intdigest("\n")     # no word has white space
 
 def _zip(a: np.ndarray) -> bytes:
@@ -147,6 +157,9 @@ class Block:
                      np.arange(int(lengths.sum())) - np.repeat(first, lengths))
 
 
+KEPT, ALIVE = 1, 2                     # outcome of a context's test, as bits of a reply
+
+
 @dataclass
 class Level:
     """Distinct (context, next) pairs of a block at one depth, in the order of the request."""
@@ -162,6 +175,15 @@ class Level:
     cuts: np.ndarray             # of the buckets in ``order``
     hot: np.ndarray              # of each pair's context
 
+    def answer(self, reply: dict[int, tuple], passed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of the pairs, and of each pair's context: retained, alive. ``passed``: retained hot contexts."""
+        count = np.empty(len(self.name), np.int64)
+        count[self.order] = _joined(reply, 0)
+        flags = np.empty(len(self.name), np.uint8)
+        flags[self.order] = _joined(reply, 1)
+        kept = np.where(self.hot, np.isin(self.parent, passed), (flags & KEPT) > 0)
+        return count, kept, self.hot | ((flags & ALIVE) > 0)
+
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
@@ -203,26 +225,116 @@ class Walk:
         self.prob = self.base.copy()
         gram, names = b.codes, b.vocab
         self.level = None
-        for depth in range(1, p.depth + 1):
+        for depth in range(1, min(p.depth, HEAD) + 1):
             lv = _level(b, depth, gram, names, count, buckets, hot_count, p)
             self.level = lv
             if len(replies) <= depth:
                 return
-            count = np.empty(len(lv.name), np.int64)
-            count[lv.order] = _joined(replies[depth], 0)
-            kept = np.empty(len(lv.name), bool)
-            kept[lv.order] = _joined(replies[depth], 1)
-            kept = np.where(lv.hot, np.isin(lv.parent, hot[depth]), kept)
+            count, kept, alive = lv.answer(replies[depth], hot[depth])
             use = kept[lv.pair]
             at, pair = lv.at[use], lv.pair[use]
             self.prob[at] = (count[pair] + p.mass * self.prob[at]) / (lv.n_context[pair] + p.mass)
             gram = np.full(len(b.codes), -1)
             gram[lv.at] = lv.pair
             names = lv.name
+            self.alive = np.zeros(len(b.codes), bool)
+            self.alive[lv.at] = alive[lv.pair]
+        self.gram_count = np.where(gram >= 0, count[gram], 0) if len(count) else np.zeros(len(gram), np.int64)
+
+
+@dataclass
+class Rest:
+    """Tokens of a block that contexts of more than HEAD words need, in order."""
+
+    codes: np.ndarray
+    vocab: np.ndarray
+    train: np.ndarray
+    doc: np.ndarray              # number of the token's document in the block
+    place: np.ndarray            # position in its document
+    count: np.ndarray            # of the (HEAD + 1)-gram that ends here
+    alive: np.ndarray            # the context of HEAD words before it can grow
+    prob: np.ndarray             # where alive
+
+    TYPES = {"codes": "<u4", "vocab": "<u8", "train": "?", "doc": "<i4", "place": "<i4", "count": "<i8", "alive": "?", "prob": "<f8"}
+
+    @staticmethod
+    def of(walk: Walk, doc: np.ndarray, depth: int) -> "Rest":
+        """Tokens with an alive context, and up to ``depth`` + 1 before each."""
+        b = walk.b
+        ends = np.concatenate([[0], np.cumsum(walk.alive)])
+        after = np.minimum(np.arange(len(b.codes)) + depth + 2, len(b.codes))
+        at = np.flatnonzero(ends[after] > ends[:-1])
+        vocab, codes = np.unique(b.codes[at], return_inverse=True)
+        alive = walk.alive[at]
+        return Rest(codes, b.vocab[vocab], b.train[at], doc[at], b.place[at], walk.gram_count[at], alive, walk.prob[at][alive])
+
+    def blobs(self) -> list[bytes]:
+        return [_zip(getattr(self, c).astype(t)) for c, t in self.TYPES.items()]
+
+    @staticmethod
+    def read(t: pa.Table) -> "Rest":
+        return Rest(*(_unzip(t.column(c)[0].as_buffer(), d) for c, d in Rest.TYPES.items()))
+
+
+class RestWalk:
+    """State of a block's remaining tokens after the replies to levels HEAD + 1, HEAD + 2, ...
+
+    A count is -1 where it is not known and 0 where the n-gram is known to be too rare for a context.
+    A pair is asked for if its context is alive, for the test, or if the context of the next token is
+    alive, whose extension needs the count; contexts of the latter kind ask without a test (``n_context`` 0).
+    """
+
+    def __init__(self, rest: Rest, replies: list[dict[int, tuple]], total: tuple[int, int], hot: list, buckets: int, p: PstParams):
+        self.b = rest
+        hot_count = p.hot_share * total[0]
+        words = rest.vocab[rest.codes.astype(np.int64)]
+        linked = np.append(False, (rest.doc[1:] == rest.doc[:-1]) & (rest.place[1:] == rest.place[:-1] + 1))[:len(words)]
+        prob = np.ones(len(words))
+        prob[rest.alive] = rest.prob
+        self.prob, self.before = prob, prob.copy()
+        names, count, alive = words, rest.count.astype(np.int64), rest.alive
+        for _ in range(HEAD):
+            names = self._longer(names, words)
+        for depth in range(HEAD + 1, p.depth + 1):
+            parent, parent_count = np.roll(names, 1), np.where(linked, np.roll(count, 1), -1)
+            test = alive & (rest.place >= depth) & (parent_count >= p.least)
+            rare = (rest.place < depth) | ((parent_count >= 0) & (parent_count < p.least)) | ((count >= 0) & (count < p.least))
+            following = np.append((alive & linked)[1:], False)[:len(words)]
+            names = self._longer(names, words)
+            self.level = lv = self._level(np.flatnonzero(test | (following & ~rare & (count >= p.least))), names, parent,
+                                          np.where(test, parent_count, 0), buckets, hot_count)
+            if len(replies) <= depth - HEAD - 1:
+                return
+            found, kept, growing = lv.answer(replies[depth - HEAD - 1], hot[depth])
+            tested = lv.n_context[lv.pair] > 0
+            use = kept[lv.pair] & tested
+            at, pair = lv.at[use], lv.pair[use]
+            prob[at] = (found[pair] + p.mass * prob[at]) / (lv.n_context[pair] + p.mass)
+            alive = np.zeros(len(words), bool)
+            alive[lv.at] = growing[lv.pair] & tested
+            count = np.where(rare, 0, -1)
+            count[lv.at] = found[lv.pair]
+
+    @staticmethod
+    def _longer(names: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return _pair_name(np.roll(names, 1), words & _X_BITS)
+
+    def _level(self, at, names, parent, n_context, buckets: int, hot_count: float) -> Level:
+        _, first, pair = np.unique(names[at], return_index=True, return_inverse=True)
+        first = at[first]
+        _, context = np.unique(parent[first], return_inverse=True)
+        together = np.argsort(context, kind="stable")       # pairs of a context stand together
+        place = np.empty(len(together), np.int64)
+        place[together] = np.arange(len(together))
+        first, context, pair = first[together], context[together], place[pair]
+        n = n_context[first]
+        hot = n > hot_count
+        order, cuts = _sorted_by_bucket(_bucket(np.where(hot, names[first], mix64(parent[first])), buckets), buckets)
+        return Level(at, pair, context, self.b.codes[first].astype(np.int64), n, names[first], parent[first], order, cuts, hot)
 
 
 def _joined(replies: dict[int, tuple], column: int) -> np.ndarray:
-    dtype = ("<i8", "?")[column]
+    dtype = ("<i8", "<u1")[column]
     return np.concatenate([_unzip(replies[k][column], dtype) for k in sorted(replies)] or [np.zeros(0, dtype)])
 
 
@@ -275,41 +387,54 @@ def count_words(requests: DataFrame) -> DataFrame:
         np.add.at(total, which, np.concatenate(counts))
         back = np.split(total[which], np.cumsum(sizes)[:-1])
         return _answers(t.column("block").to_pylist(), 0, t.column("bucket")[0].as_py(), [_zip(x) for x in back],
-                        [_zip(np.zeros(0, bool))] * len(back), [(int(total.sum()), int((total > 0).sum()), None, None)])
+                        [_zip(np.zeros(0, np.uint8))] * len(back), [(int(total.sum()), int((total > 0).sum()), None, None)])
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
 
+def _asked(name: int, walk: Walk | RestWalk, buckets: int) -> pa.Table:
+    """Requests of a block's level: pairs by bucket, with training counts and the suffix's probability."""
+    b, lv = walk.b, walk.level
+    counts = np.bincount(lv.pair[b.train[lv.at]], minlength=len(lv.name))
+    q = np.zeros(len(lv.name))
+    q[lv.pair] = walk.prob[lv.at]
+    full = [k for k in range(buckets) if lv.cuts[k + 1] > lv.cuts[k]]
+    rows: list[list] = [[name] * len(full), full, [], [], [], [], [], [], []]
+    for x in (lv.order[lv.cuts[k]:lv.cuts[k + 1]] for k in full):
+        # pairs of a context stand together: its values once, with its number of pairs
+        first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
+        run = np.diff(np.append(first, len(x)))
+        rows[2].append(_zip48(b.vocab[lv.next[x]] & _X_BITS))
+        for k, a in enumerate((counts[x].astype("<i4"), q[x].astype("<f4"), run.astype("<i4"),
+                               lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 3):
+            rows[k].append(_zip(a))
+    types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
+    return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
+        "block", "bucket", "following", "counts", "q", "run", "parents", "hot", "n_context"])
+
+
 def pair_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
-    """Requests of a level: pairs by bucket, with training counts and the suffix's probability."""
+    """Requests of one of the first levels."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        walk = Walk(Block.read(left), _replies(right, level), total, hot, buckets, p)
-        b, lv = walk.b, walk.level
-        counts = np.bincount(lv.pair[b.train[lv.at]], minlength=len(lv.name))
-        q = np.zeros(len(lv.name))
-        q[lv.pair] = walk.prob[lv.at]
-        full = [k for k in range(buckets) if lv.cuts[k + 1] > lv.cuts[k]]
-        parts = [lv.order[lv.cuts[k]:lv.cuts[k + 1]] for k in full]
-        name = left.column("block")[0].as_py()
-        rows: list[list] = [[name] * len(full), full, [], [], [], [], [], [], []]
-        for x in parts:     # pairs of a context stand together: its values once, with its number of pairs
-            first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
-            run = np.diff(np.append(first, len(x)))
-            rows[2].append(_zip48(b.vocab[lv.next[x]] & _X_BITS))
-            for k, a in enumerate((counts[x].astype("<i4"), np.log(q[x]).astype("<f2"), run.astype("<i4"),
-                                   lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 3):
-                rows[k].append(_zip(a))
-        types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
-        return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
-            "block", "bucket", "following", "counts", "q", "run", "parents", "hot", "n_context"])
+        return _asked(left.column("block")[0].as_py(), Walk(Block.read(left), _replies(right, 0, level), total, hot, buckets, p), buckets)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
 
 
-def _replies(t: pa.Table, levels: int) -> list[dict[int, tuple]]:
+def rest_requests(rests: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
+    """Requests of a level above HEAD."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        walk = RestWalk(Rest.read(left), _replies(right, HEAD + 1, level - HEAD - 1), total, hot, buckets, p)
+        return _asked(left.column("block")[0].as_py(), walk, buckets)
+
+    return rests.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
+
+
+def _replies(t: pa.Table, first: int, levels: int) -> list[dict[int, tuple]]:
+    """Replies to the levels ``first`` .. ``first + levels - 1``, by bucket."""
     out: list[dict[int, tuple]] = [{} for _ in range(levels)]
     for level, bucket, counts, kept in zip(*(t.column(c) for c in ("level", "bucket", "counts", "kept"))):
-        out[level.as_py()][bucket.as_py()] = (counts.as_buffer(), kept.as_buffer())
+        out[level.as_py() - first][bucket.as_py()] = (counts.as_buffer(), kept.as_buffer())
     return out
 
 
@@ -328,36 +453,64 @@ def count_pairs(requests: DataFrame, level: int, p: PstParams) -> DataFrame:
         of_run = of_run[first]
         parent = parents[of_run]
         hot, n = (np.concatenate(_buffers(t, c, d))[of_run] for c, d in (("hot", "?"), ("n_context", "<i8")))
-        q = np.exp(np.concatenate(_buffers(t, "q", "<f2"))[first].astype(np.float64))
-        seen = total > 0
-        term = np.zeros(len(distinct))
-        term[seen] = total[seen] * np.log((total[seen] - 1 + p.mass * q[seen]) / ((n[seen] - 1 + p.mass) * q[seen]))
+        q = np.concatenate(_buffers(t, "q", "<f4"))[first].astype(np.float64)
+        seen = (total > 0) & (n > 0)
+
+        def gains(among, q):
+            term, c = np.zeros(len(distinct)), total[seen]
+            term[seen] = c * np.log((c - 1 + p.mass * q[seen]) / ((among[seen] - 1 + p.mass) * q[seen]))
+            return term
+
+        term = gains(n, q)
         contexts, at = np.unique(parent, return_inverse=True)
         gain = np.bincount(at, term, len(contexts))
         is_hot = np.zeros(len(contexts), bool)
         is_hot[at] = hot
-        kept = (gain >= p.divergence)[at]
+        kept = (gain >= p.divergence)[at] & (n > 0)
+        in_force = np.where(kept, (total + p.mass * q) / (n + p.mass), q)
+        bound = np.bincount(at, np.maximum(gains(np.maximum(total, p.least), in_force), 0), len(contexts))
+        flags = (KEPT * kept + ALIVE * (bound >= p.divergence)[at]).astype(np.uint8)
         cuts = np.cumsum(sizes)[:-1]
         extra = [(None, None, int(c), float(g)) for c, g in zip(contexts[is_hot].view(np.int64), gain[is_hot])]
         return _answers(t.column("block").to_pylist(), level, t.column("bucket")[0].as_py(),
-                        [_zip(x) for x in np.split(total[which], cuts)], [_zip(x) for x in np.split(kept[which], cuts)], extra)
+                        [_zip(x) for x in np.split(total[which], cuts)], [_zip(x) for x in np.split(flags[which], cuts)], extra)
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
 
-def score_blocks(blocks: DataFrame, replies: DataFrame, total, hot, buckets: int, p: PstParams) -> DataFrame:
-    """(id, n_tokens, n_known, base_score, score, n_context): scores in log10."""
+_SCORES = ["ids", "lengths", "n_known", "base_score", "score"]
+_REST = ("block bigint, ids array<bigint>, lengths array<bigint>, n_known array<bigint>, base_score array<double>, "
+         "score array<double>, kept bigint, " + ", ".join(f"{c} binary" for c in Rest.TYPES))
+
+
+def head_scores(blocks: DataFrame, replies: DataFrame, total, hot, buckets: int, p: PstParams) -> DataFrame:
+    """A row per block: scores in log10 after the first levels, and the tokens that longer contexts need."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        walk = Walk(Block.read(left), _replies(right, p.depth + 1), total, hot, buckets, p)
+        walk = Walk(Block.read(left), _replies(right, 0, min(p.depth, HEAD) + 1), total, hot, buckets, p)
         b = walk.b
         doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
         per_doc = lambda x: np.bincount(doc, x, len(b.lengths))
+        rest = Rest.of(walk, doc, p.depth)
+        values = [b.ids, b.lengths, per_doc(walk.count[b.codes] > 0).astype(np.int64),
+                  per_doc(np.log10(walk.base)), per_doc(np.log10(walk.prob))]
+        lists = [pa.array([v], pa.list_(pa.float64() if i > 2 else pa.int64())) for i, v in enumerate(values)]
         return pa.Table.from_arrays(
-            [pa.array(b.ids, pa.int64()), pa.array(b.lengths), pa.array(per_doc(walk.count[b.codes] > 0).astype(np.int64)),
-             pa.array(per_doc(np.log10(walk.base))), pa.array(per_doc(np.log10(walk.prob)))],
-            names=["id", "n_tokens", "n_known", "base_score", "score"])
+            [left.column("block"), *lists, pa.array([len(rest.codes)], pa.int64()),
+             *[pa.array([x], pa.binary()) for x in rest.blobs()]], names=["block", *_SCORES, "kept", *Rest.TYPES])
+
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REST)
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+
+def rest_scores(rests: DataFrame, replies: DataFrame, levels: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score): the scores of the first levels, moved by the ``levels`` after them."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        walk = RestWalk(Rest.read(left), _replies(right, HEAD + 1, levels), total, hot, buckets, p)
+        cols = [left.column(c)[0].values for c in _SCORES]
+        moved = np.bincount(walk.b.doc, np.log10(walk.prob) - np.log10(walk.before), len(cols[0]))
+        cols[4] = pa.array(np.array(cols[4]) + moved)
+        return pa.Table.from_arrays(cols, names=["id", "n_tokens", "n_known", "base_score", "score"])
+
+    return rests.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         run, "id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
@@ -373,13 +526,26 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
     total = (row.n or 0, row.v or 0)
     free_shuffles(blocks.sparkSession)
     hot: list = [np.zeros(0, np.uint64)]
-    for level in range(1, p.depth + 1):
-        asked = pair_requests(blocks, replies.where("block IS NOT NULL"), level, total, hot, buckets, p)
+
+    def counted(asked: DataFrame, level: int) -> DataFrame:
         more = scratch(count_pairs(asked, level, p), "counts")
         passed = (more.where("context IS NOT NULL").groupBy("context").agg(F.sum("gain").alias("gain"))
                   .where(F.col("gain") >= p.divergence).select("context").collect())
         hot.append(np.array([r.context for r in passed], np.int64).view(np.uint64))
-        replies = replies.unionByName(more)
         free_shuffles(blocks.sparkSession)
-    out = score_blocks(blocks, replies.where("block IS NOT NULL"), total, hot, buckets, p)
+        return more.where("block IS NOT NULL")
+
+    replies = replies.where("block IS NOT NULL")
+    for level in range(1, min(p.depth, HEAD) + 1):
+        replies = replies.unionByName(counted(pair_requests(blocks, replies, level, total, hot, buckets, p), level))
+    rests = scratch(head_scores(blocks, replies, total, hot, buckets, p), "rests")
+    free_shuffles(blocks.sparkSession)
+    buckets = max(8, -(-(rests.agg(F.sum("kept")).first()[0] or 0) // p.bucket_tokens))
+    replies, level = replies.limit(0), HEAD
+    while level < p.depth:
+        more = counted(rest_requests(rests, replies, level + 1, total, hot, buckets, p), level + 1)
+        if more.isEmpty():       # no context can grow
+            break
+        replies, level = replies.unionByName(more), level + 1
+    out = rest_scores(rests, replies, level - HEAD, total, hot, buckets, p)
     return out.withColumn("train_tokens", F.lit(total[0]).cast("long")).withColumnRenamed("id", id_col)
