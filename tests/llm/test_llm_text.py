@@ -394,7 +394,7 @@ def test_suffix_tree_follows_words_far_back(spark, hot_share):
         copy = " ".join(f"c{j}" if (i * 31 + j * 17) % 43 else f"e{i}" for j in range(30))
         rows.append((i, f"{noise} {start} {passages[k]} {end} {copy} {start} {passages[k]} {end}"))
     rows += [(1000 + i, "same words in every copy and nothing else " * 3) for i in range(30)]
-    p = pst.PstParams(hot_share=hot_share, block_bytes=4000, bucket_tokens=3000)
+    p = pst.PstParams(depth=10, hot_share=hot_share, block_bytes=4000, bucket_tokens=3000)
     want, kept, *_ = brute_tree(rows, p)
     assert {3, 6, 8} <= {len(s) for s in kept}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

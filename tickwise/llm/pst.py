@@ -52,7 +52,7 @@ from tickwise.llm.common import HASH_MUL, free_shuffles, mix64, quoted, scratch,
 
 @dataclass(frozen=True)
 class PstParams:
-    depth: int = 12              # longest context, in words
+    depth: int = 6               # longest context, in words
     least: int = 8               # occurrences of a context
     divergence: float = 4.0      # nats, in all
     mass: float = 1.0            # m: weight of the suffix's distribution
@@ -244,36 +244,47 @@ class Walk:
 
 @dataclass
 class Rest:
-    """Tokens of a block that contexts of more than HEAD words need, in order."""
+    """Tokens of a block that contexts of more than HEAD words need, in order: most of them by their word alone."""
 
     codes: np.ndarray
     vocab: np.ndarray
     train: np.ndarray
     doc: np.ndarray              # number of the token's document in the block
     place: np.ndarray            # position in its document
-    count: np.ndarray            # of the (HEAD + 1)-gram that ends here
+    count: np.ndarray            # of the (HEAD + 1)-gram that ends here, at most ``least`` where neither context is alive
     alive: np.ndarray            # the context of HEAD words before it can grow
     prob: np.ndarray             # where alive
 
-    TYPES = {"codes": "<u4", "vocab": "<u8", "train": "?", "doc": "<i4", "place": "<i4", "count": "<i8", "alive": "?", "prob": "<f8"}
+    TYPES = {"codes": "<u4", "vocab": "<u8", "train": "?", "doc": "<i4", "place": "<i4", "count": "<i8", "alive": "?", "prob": "<f4"}
+    STEPS = ("doc", "place")     # written as differences
 
     @staticmethod
-    def of(walk: Walk, doc: np.ndarray, depth: int) -> "Rest":
-        """Tokens with an alive context, and up to ``depth`` + 1 before each."""
+    def of(walk: Walk, doc: np.ndarray, p: PstParams) -> "Rest":
+        """Tokens whose next longer context is frequent and can grow, and the words before them that still longer
+        contexts reach: every (HEAD + 1)-gram in a frequent context is frequent, which ends most of them soon."""
         b = walk.b
-        ends = np.concatenate([[0], np.cumsum(walk.alive)])
-        after = np.minimum(np.arange(len(b.codes)) + depth + 2, len(b.codes))
-        at = np.flatnonzero(ends[after] > ends[:-1])
+        frequent = walk.gram_count >= p.least
+        alive = walk.alive & np.append(False, frequent)[:len(frequent)]
+        wanted, reaching = alive.copy(), alive
+        for back in range(1, min(p.depth, len(alive) - 1) + 1):
+            if back > HEAD + 1:
+                reaching = reaching & np.append(np.zeros(back - HEAD, bool), frequent[:-(back - HEAD)])
+            wanted[:-back] |= reaching[back:]
+        at = np.flatnonzero(wanted)
         vocab, codes = np.unique(b.codes[at], return_inverse=True)
-        alive = walk.alive[at]
-        return Rest(codes, b.vocab[vocab], b.train[at], doc[at], b.place[at], walk.gram_count[at], alive, walk.prob[at][alive])
+        exact = alive | np.append(alive[1:], False)[:len(alive)]
+        count = np.where(exact, walk.gram_count, np.minimum(walk.gram_count, p.least))[at]
+        return Rest(codes, b.vocab[vocab], b.train[at], doc[at], b.place[at], count, alive[at], walk.prob[at][alive[at]])
 
     def blobs(self) -> list[bytes]:
-        return [_zip(getattr(self, c).astype(t)) for c, t in self.TYPES.items()]
+        steps = {c: np.diff(getattr(self, c), prepend=0) for c in self.STEPS}
+        return [_zip(steps.get(c, getattr(self, c)).astype(t)) for c, t in self.TYPES.items()]
 
     @staticmethod
     def read(t: pa.Table) -> "Rest":
-        return Rest(*(_unzip(t.column(c)[0].as_buffer(), d) for c, d in Rest.TYPES.items()))
+        rest = Rest(*(_unzip(t.column(c)[0].as_buffer(), d) for c, d in Rest.TYPES.items()))
+        rest.doc, rest.place = (np.cumsum(getattr(rest, c), dtype=np.int64) for c in Rest.STEPS)
+        return rest
 
 
 class RestWalk:
@@ -490,7 +501,7 @@ def head_scores(blocks: DataFrame, replies: DataFrame, total, hot, buckets: int,
         b = walk.b
         doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
         per_doc = lambda x: np.bincount(doc, x, len(b.lengths))
-        rest = Rest.of(walk, doc, p.depth)
+        rest = Rest.of(walk, doc, p)
         values = [b.ids, b.lengths, per_doc(walk.count[b.codes] > 0).astype(np.int64),
                   per_doc(np.log10(walk.base)), per_doc(np.log10(walk.prob))]
         lists = [pa.array([v], pa.list_(pa.float64() if i > 2 else pa.int64())) for i, v in enumerate(values)]
