@@ -19,7 +19,8 @@ gains at most g(n) = n ln( (n - 1 + m q(x)) / ((max(n, least) - 1 + m) q(x)) ) b
 with n where it is positive, so the sum over x of max(0, g(N(sx))) bounds the divergence of every extension,
 however long. Below ``divergence`` none can pass its test, and leaving them out changes nothing.
 
-Jobs: texts become blocks of token numbers (some MB each, written once). Per level,
+Jobs: texts become blocks of token numbers (some MB each, written once). A word's total and its number among words of
+that total stand for it in later messages. Per level,
 a block asks for the counts of its distinct (context, next symbol) pairs; requests are
 grouped by bucket (a hash of the context), summed over all blocks, tested, and the
 counts go back to the blocks, in the order asked. So what is moved follows the
@@ -77,30 +78,24 @@ def _unzip(blob, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(dt.itemsize, -1).T).view(dt).ravel() if len(raw) else np.zeros(0, dt)
 
 
-_X_BITS = np.uint64((1 << 48) - 1)     # of a next word's hash: it is compared inside one context only
-
+def _pair_name(parent: np.ndarray, following: np.ndarray) -> np.ndarray:
+    return mix64(parent * HASH_MUL + following)
 
-def _zip48(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(
-        np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
 
+def _word_name(count: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """A word's hash from its training count and its number among the words of that count."""
+    return mix64(count.astype(np.uint64) * HASH_MUL + number)
 
-def _unzip48(blob) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(6, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :6] = planes.T
-    return out.view("<u8").ravel()
 
+def _base(count: np.ndarray, total: tuple[int, int]) -> np.ndarray:
+    return (count + 0.5) / (total[0] + 0.5 * (total[1] + 1))
 
-def _pair_name(parent: np.ndarray, following: np.ndarray) -> np.ndarray:
-    return mix64(parent * HASH_MUL + following)
 
-
-_BLOCK = "block bigint, ids array<bigint>, lengths array<int>, train array<boolean>, codes binary, vocab binary"
+_BLOCK = "block bigint, ids array<bigint>, lengths array<int>, train array<boolean>, codes binary, vocab binary, rank binary"
 
 
 def token_blocks(docs: DataFrame, train: Column, p: PstParams, id_col: str, text_col: str) -> DataFrame:
-    """Blocks of whole documents: token numbers into the block's vocabulary of 64-bit word hashes."""
+    """Blocks of whole documents: token numbers, the block's vocabulary of 64-bit word hashes, and the number of each."""
     src = docs.select(quoted(id_col).cast("bigint").alias("id"), train.alias("train"), quoted(text_col).cast("string").alias("t"))
 
     def block(name, ids, train_flags, lengths, hashes):
@@ -108,12 +103,13 @@ def token_blocks(docs: DataFrame, train: Column, p: PstParams, id_col: str, text
         order = np.argsort(-counts, kind="stable")       # frequent words get small numbers
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        codes, vocab = rank[codes], vocab[order]
+        codes = rank[codes]
         return pa.RecordBatch.from_arrays(
             [pa.array([name], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
              pa.array([np.concatenate(lengths)], pa.list_(pa.int32())), pa.array([train_flags], pa.list_(pa.bool_())),
-             pa.array([_zip(codes.astype("<u4"))], pa.binary()), pa.array([_zip(vocab.astype("<u8"))], pa.binary())],
-            names=["block", "ids", "lengths", "train", "codes", "vocab"])
+             pa.array([_zip(codes.astype("<u4"))], pa.binary()), pa.array([_zip(vocab.astype("<u8"))], pa.binary()),
+             pa.array([_zip(rank.astype("<u4"))], pa.binary())],
+            names=["block", "ids", "lengths", "train", "codes", "vocab", "rank"])
 
     def run(batches):
         name = TaskContext.get().partitionId() << 32
@@ -143,7 +139,7 @@ class Block:
     lengths: np.ndarray
     train: np.ndarray            # per token
     codes: np.ndarray
-    vocab: np.ndarray
+    rank: np.ndarray             # code of each word, in the order of their hashes
     place: np.ndarray = field(default=None)  # position of a token in its document
 
     @staticmethod
@@ -153,7 +149,7 @@ class Block:
         return Block(t.column("ids")[0].as_py(), lengths,
                      np.repeat(np.array(t.column("train")[0].as_py(), bool), lengths),
                      _unzip(t.column("codes")[0].as_buffer(), "<u4").astype(np.int64),
-                     _unzip(t.column("vocab")[0].as_buffer(), "<u8"),
+                     _unzip(t.column("rank")[0].as_buffer(), "<u4").astype(np.int64),
                      np.arange(int(lengths.sum())) - np.repeat(first, lengths))
 
 
@@ -178,9 +174,9 @@ class Level:
     def answer(self, reply: dict[int, tuple], passed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts of the pairs, and of each pair's context: retained, alive. ``passed``: retained hot contexts."""
         count = np.empty(len(self.name), np.int64)
-        count[self.order] = _joined(reply, 0)
+        count[self.order] = _joined(reply, 0, "<i8")
         flags = np.empty(len(self.name), np.uint8)
-        flags[self.order] = _joined(reply, 1)
+        flags[self.order] = _joined(reply, 1, "<u1")
         kept = np.where(self.hot, np.isin(self.parent, passed), (flags & KEPT) > 0)
         return count, kept, self.hot | ((flags & ALIVE) > 0)
 
@@ -194,17 +190,17 @@ def _sorted_by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.
     return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
 
 
-def _level(b: Block, depth: int, gram: np.ndarray, names: np.ndarray, count: np.ndarray, buckets: int,
+def _level(b: Block, words: np.ndarray, depth: int, gram: np.ndarray, names: np.ndarray, count: np.ndarray, buckets: int,
            hot_count: float, p: PstParams) -> Level:
-    """``gram``: number of the shorter n-gram that ends at each token (-1: none), ``names`` and ``count``
-    its hash and training count; as the context of the next token it must be frequent enough."""
+    """``words``: hashes of the block's words; ``gram``: number of the shorter n-gram that ends at each token (-1: none),
+    ``names`` and ``count`` its hash and training count; as the context of the next token it must be frequent enough."""
     before = np.append(-1, gram[:-1])
     at = np.flatnonzero((b.place >= depth) & (before >= 0))
     at = at[count[before[at]] >= p.least]
-    key, pair = np.unique(before[at] * len(b.vocab) + b.codes[at], return_inverse=True)
-    context, following = key // len(b.vocab), key % len(b.vocab)
+    key, pair = np.unique(before[at] * len(words) + b.codes[at], return_inverse=True)
+    context, following = key // len(words), key % len(words)
     parent = names[context]
-    name = _pair_name(parent, b.vocab[following] & _X_BITS)
+    name = _pair_name(parent, words[following])
     hot = count[context] > hot_count
     order, cuts = _sorted_by_bucket(_bucket(np.where(hot, name, mix64(parent)), buckets), buckets)
     return Level(at, pair, context, following, count[context], name, parent, order, cuts, hot)
@@ -214,19 +210,22 @@ class Walk:
     """State of a block after the replies to its requests so far."""
 
     def __init__(self, b: Block, replies: list[dict[int, tuple]], total: tuple[int, int], hot: list, buckets: int, p: PstParams):
-        n, v = total
-        hot_count = p.hot_share * n
+        hot_count = p.hot_share * total[0]
         self.b = b
-        order, _ = _sorted_by_bucket(_bucket(b.vocab, buckets), buckets)
-        count = np.empty(len(b.vocab), np.int64)
-        count[order] = _joined(replies[0], 0)
-        self.count = count
-        self.base = (count[b.codes] + 0.5) / (n + 0.5 * (v + 1))
+        count = np.empty(len(b.rank), np.int64)
+        count[b.rank] = _joined(replies[0], 0, "<i8")
+        number = np.empty(len(b.rank), np.uint64)
+        number[b.rank] = _joined(replies[0], 1, "<u8")
+        self.word_count, self.word_number = count, number
+        words = _word_name(count, number)
+        self.base = _base(count[b.codes], total)
         self.prob = self.base.copy()
-        gram, names = b.codes, b.vocab
+        self.found = np.zeros(len(b.codes), np.int64)       # counts in the longest retained suffix, if one is
+        self.among = np.zeros(len(b.codes), np.int64)
+        gram, names = b.codes, words
         self.level = None
         for depth in range(1, min(p.depth, HEAD) + 1):
-            lv = _level(b, depth, gram, names, count, buckets, hot_count, p)
+            lv = _level(b, words, depth, gram, names, count, buckets, hot_count, p)
             self.level = lv
             if len(replies) <= depth:
                 return
@@ -234,6 +233,7 @@ class Walk:
             use = kept[lv.pair]
             at, pair = lv.at[use], lv.pair[use]
             self.prob[at] = (count[pair] + p.mass * self.prob[at]) / (lv.n_context[pair] + p.mass)
+            self.found[at], self.among[at] = count[pair], lv.n_context[pair]
             gram = np.full(len(b.codes), -1)
             gram[lv.at] = lv.pair
             names = lv.name
@@ -247,7 +247,8 @@ class Rest:
     """Tokens of a block that contexts of more than HEAD words need, in order: most of them by their word alone."""
 
     codes: np.ndarray
-    vocab: np.ndarray
+    word_count: np.ndarray       # of the words that ``codes`` names
+    word_number: np.ndarray
     train: np.ndarray
     doc: np.ndarray              # number of the token's document in the block
     place: np.ndarray            # position in its document
@@ -255,7 +256,8 @@ class Rest:
     alive: np.ndarray            # the context of HEAD words before it can grow
     prob: np.ndarray             # where alive
 
-    TYPES = {"codes": "<u4", "vocab": "<u8", "train": "?", "doc": "<i4", "place": "<i4", "count": "<i8", "alive": "?", "prob": "<f4"}
+    TYPES = {"codes": "<u4", "word_count": "<i8", "word_number": "<u8", "train": "?", "doc": "<i4", "place": "<i4", "count": "<i8", "alive": "?",
+             "prob": "<f4"}
     STEPS = ("doc", "place")     # written as differences
 
     @staticmethod
@@ -274,7 +276,7 @@ class Rest:
         vocab, codes = np.unique(b.codes[at], return_inverse=True)
         exact = alive | np.append(alive[1:], False)[:len(alive)]
         count = np.where(exact, walk.gram_count, np.minimum(walk.gram_count, p.least))[at]
-        return Rest(codes, b.vocab[vocab], b.train[at], doc[at], b.place[at], count, alive[at], walk.prob[at][alive[at]])
+        return Rest(codes, walk.word_count[vocab], walk.word_number[vocab], b.train[at], doc[at], b.place[at], count, alive[at], walk.prob[at][alive[at]])
 
     def blobs(self) -> list[bytes]:
         steps = {c: np.diff(getattr(self, c), prepend=0) for c in self.STEPS}
@@ -296,9 +298,9 @@ class RestWalk:
     """
 
     def __init__(self, rest: Rest, replies: list[dict[int, tuple]], total: tuple[int, int], hot: list, buckets: int, p: PstParams):
-        self.b = rest
+        self.b, self.word_count, self.word_number = rest, rest.word_count, rest.word_number
         hot_count = p.hot_share * total[0]
-        words = rest.vocab[rest.codes.astype(np.int64)]
+        words = _word_name(rest.word_count, rest.word_number)[rest.codes.astype(np.int64)]
         linked = np.append(False, (rest.doc[1:] == rest.doc[:-1]) & (rest.place[1:] == rest.place[:-1] + 1))[:len(words)]
         prob = np.ones(len(words))
         prob[rest.alive] = rest.prob
@@ -328,7 +330,7 @@ class RestWalk:
 
     @staticmethod
     def _longer(names: np.ndarray, words: np.ndarray) -> np.ndarray:
-        return _pair_name(np.roll(names, 1), words & _X_BITS)
+        return _pair_name(np.roll(names, 1), words)
 
     def _level(self, at, names, parent, n_context, buckets: int, hot_count: float) -> Level:
         _, first, pair = np.unique(names[at], return_index=True, return_inverse=True)
@@ -344,14 +346,13 @@ class RestWalk:
         return Level(at, pair, context, self.b.codes[first].astype(np.int64), n, names[first], parent[first], order, cuts, hot)
 
 
-def _joined(replies: dict[int, tuple], column: int) -> np.ndarray:
-    dtype = ("<i8", "<u1")[column]
+def _joined(replies: dict[int, tuple], column: int, dtype: str) -> np.ndarray:
     return np.concatenate([_unzip(replies[k][column], dtype) for k in sorted(replies)] or [np.zeros(0, dtype)])
 
 
-_REQUEST = ("block bigint, bucket int, following binary, counts binary, q binary, "
-            "run binary, parents binary, hot binary, n_context binary")
-_REPLY = "block bigint, level int, bucket int, counts binary, kept binary, n bigint, v bigint, context bigint, gain double"
+_REQUEST = ("block bigint, bucket int, word_count binary, word_number binary, counts binary, q binary, "
+            "among binary, run binary, parents binary, hot binary, n_context binary")
+_REPLY = "block bigint, level int, bucket int, counts binary, marks binary, n bigint, v bigint, context bigint, gain double"
 
 
 def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -360,27 +361,29 @@ def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 t = pa.Table.from_batches([batch.slice(i, 1)])
-                b = Block.read(t)
-                counts = np.bincount(b.codes[b.train], minlength=len(b.vocab))
-                order, cuts = _sorted_by_bucket(_bucket(b.vocab, buckets), buckets)
+                b, vocab = Block.read(t), _unzip(t.column("vocab")[0].as_buffer(), "<u8")
+                counts = np.bincount(b.codes[b.train], minlength=len(vocab))[b.rank]
+                # buckets are ranges of hashes, so the order of hashes is that of buckets
+                bucket = ((vocab >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 full = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
-                parts = [order[cuts[k]:cuts[k + 1]] for k in full]
+                parts = [slice(cuts[k], cuts[k + 1]) for k in full]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t.column("block")[0].as_py()] * len(full), pa.int64()), pa.array(full, pa.int32()),
-                     pa.array([_zip(b.vocab[x]) for x in parts], pa.binary()),
+                     pa.array([_zip(vocab[x]) for x in parts], pa.binary()),
                      pa.array([_zip(counts[x].astype("<i8")) for x in parts], pa.binary())],
                     names=["block", "bucket", "names", "counts"])
 
     return blocks.mapInArrow(run, "block bigint, bucket int, names binary, counts binary")
 
 
-def _answers(blocks, level, bucket, counts, kept, extra=()):
+def _answers(blocks, level, bucket, counts, marks, extra=()):
     """Reply rows: one for each block, then ``extra`` rows (n, v, context, gain) for the driver."""
     m, e = len(blocks), len(extra)
-    cols = [[*blocks, *[None] * e], [level] * (m + e), [bucket] * (m + e), [*counts, *[None] * e], [*kept, *[None] * e],
+    cols = [[*blocks, *[None] * e], [level] * (m + e), [bucket] * (m + e), [*counts, *[None] * e], [*marks, *[None] * e],
             *[[*[None] * m, *[x[i] for x in extra]] for i in range(4)]]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-    names = ["block", "level", "bucket", "counts", "kept", "n", "v", "context", "gain"]
+    names = ["block", "level", "bucket", "counts", "marks", "n", "v", "context", "gain"]
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
 
@@ -388,46 +391,61 @@ def _buffers(t: pa.Table, column: str, dtype: str) -> list[np.ndarray]:
     return [_unzip(x.as_buffer(), dtype) for x in t.column(column)]
 
 
-def count_words(requests: DataFrame) -> DataFrame:
-    """Totals of every word to every block that asked, and the number of words and tokens."""
+def count_words(requests: DataFrame, buckets: int) -> DataFrame:
+    """Totals of every word to every block that asked, and the number of words and tokens. With its total goes
+    a word's number among the words of that total: both are small where words are common, the pair is unique over
+    all buckets, and the total gives the base probability, so later requests carry it in place of a hash."""
     def run(t: pa.Table) -> pa.Table:
         names, counts = _buffers(t, "names", "<u8"), _buffers(t, "counts", "<i8")
         sizes = [len(x) for x in names]
         distinct, which = np.unique(np.concatenate(names), return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, which, np.concatenate(counts))
-        back = np.split(total[which], np.cumsum(sizes)[:-1])
-        return _answers(t.column("block").to_pylist(), 0, t.column("bucket")[0].as_py(), [_zip(x) for x in back],
-                        [_zip(np.zeros(0, np.uint8))] * len(back), [(int(total.sum()), int((total > 0).sum()), None, None)])
+        bucket = t.column("bucket")[0].as_py()
+        by_total = np.argsort(total, kind="stable")
+        _, first, same = np.unique(total[by_total], return_index=True, return_counts=True)
+        number = np.empty(len(distinct), np.uint64)
+        number[by_total] = (np.arange(len(distinct)) - np.repeat(first, same)) * buckets + bucket
+        cuts = np.cumsum(sizes)[:-1]
+        return _answers(t.column("block").to_pylist(), 0, bucket, [_zip(x) for x in np.split(total[which], cuts)],
+                        [_zip(x) for x in np.split(number[which], cuts)], [(int(total.sum()), int((total > 0).sum()), None, None)])
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
 
-def _asked(name: int, walk: Walk | RestWalk, buckets: int) -> pa.Table:
-    """Requests of a block's level: pairs by bucket, with training counts and the suffix's probability."""
+def _asked(name: int, walk: Walk | RestWalk, level: int, buckets: int) -> pa.Table:
+    """Requests of a block's level: pairs by bucket, with training counts and the suffix's probability. Up to
+    level 2 that follows from the word's count and two counts in the suffix (0 where it is not retained), which
+    compress better; at level 1 a context is a word and goes by its number."""
     b, lv = walk.b, walk.level
     counts = np.bincount(lv.pair[b.train[lv.at]], minlength=len(lv.name))
+    by_counts = level <= 2
     q = np.zeros(len(lv.name))
-    q[lv.pair] = walk.prob[lv.at]
+    q[lv.pair] = walk.found[lv.at] if by_counts else walk.prob[lv.at]
+    among = np.zeros(len(lv.name), np.int64)
+    if by_counts:
+        among[lv.pair] = walk.among[lv.at]
+    parent = walk.word_number[lv.context] if level == 1 else lv.parent
     full = [k for k in range(buckets) if lv.cuts[k + 1] > lv.cuts[k]]
-    rows: list[list] = [[name] * len(full), full, [], [], [], [], [], [], []]
+    rows: list[list] = [[name] * len(full), full, *([] for _ in range(9))]
     for x in (lv.order[lv.cuts[k]:lv.cuts[k + 1]] for k in full):
         # pairs of a context stand together: its values once, with its number of pairs
         first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
         run = np.diff(np.append(first, len(x)))
-        rows[2].append(_zip48(b.vocab[lv.next[x]] & _X_BITS))
-        for k, a in enumerate((counts[x].astype("<i4"), q[x].astype("<f4"), run.astype("<i4"),
-                               lv.parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 3):
+        for k, a in enumerate((walk.word_count[lv.next[x]], walk.word_number[lv.next[x]], counts[x].astype("<i4"),
+                               q[x].astype("<i8" if by_counts else "<f4"), among[x[first]].astype("<i8"), run.astype("<i4"),
+                               parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 2):
             rows[k].append(_zip(a))
-    types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
+    types = [pa.int64(), pa.int32(), *[pa.binary()] * 9]
     return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
-        "block", "bucket", "following", "counts", "q", "run", "parents", "hot", "n_context"])
+        "block", "bucket", "word_count", "word_number", "counts", "q", "among", "run", "parents", "hot", "n_context"])
 
 
 def pair_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
     """Requests of one of the first levels."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _asked(left.column("block")[0].as_py(), Walk(Block.read(left), _replies(right, 0, level), total, hot, buckets, p), buckets)
+        walk = Walk(Block.read(left), _replies(right, 0, level), total, hot, buckets, p)
+        return _asked(left.column("block")[0].as_py(), walk, level, buckets)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
 
@@ -436,7 +454,7 @@ def rest_requests(rests: DataFrame, replies: DataFrame, level: int, total, hot,
     """Requests of a level above HEAD."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         walk = RestWalk(Rest.read(left), _replies(right, HEAD + 1, level - HEAD - 1), total, hot, buckets, p)
-        return _asked(left.column("block")[0].as_py(), walk, buckets)
+        return _asked(left.column("block")[0].as_py(), walk, level, buckets)
 
     return rests.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
 
@@ -444,27 +462,39 @@ def rest_requests(rests: DataFrame, replies: DataFrame, level: int, total, hot,
 def _replies(t: pa.Table, first: int, levels: int) -> list[dict[int, tuple]]:
     """Replies to the levels ``first`` .. ``first + levels - 1``, by bucket."""
     out: list[dict[int, tuple]] = [{} for _ in range(levels)]
-    for level, bucket, counts, kept in zip(*(t.column(c) for c in ("level", "bucket", "counts", "kept"))):
-        out[level.as_py() - first][bucket.as_py()] = (counts.as_buffer(), kept.as_buffer())
+    for level, bucket, counts, marks in zip(*(t.column(c) for c in ("level", "bucket", "counts", "marks"))):
+        out[level.as_py() - first][bucket.as_py()] = (counts.as_buffer(), marks.as_buffer())
     return out
 
 
-def count_pairs(requests: DataFrame, level: int, p: PstParams) -> DataFrame:
+def count_pairs(requests: DataFrame, level: int, total_words: tuple[int, int], p: PstParams) -> DataFrame:
     """Totals of every pair and the outcome of its context's test, to every block that asked; partial
     test sums of hot contexts."""
     def run(t: pa.Table) -> pa.Table:
-        following = [_unzip48(x.as_buffer()) for x in t.column("following")]
-        sizes = [len(x) for x in following]
+        following, sizes, q = [], [], []
+        for row in zip(*(t.column(k) for k in ("word_count", "word_number", "q", "among", "run"))):
+            c, number, given, among, run = (x.as_buffer() for x in row)
+            c = _unzip(c, "<i8")
+            following.append(_word_name(c, _unzip(number, "<u8")))
+            sizes.append(len(c))
+            if level <= 2:
+                given = ((_unzip(given, "<i8") + p.mass * _base(c, total_words))
+                         / (np.repeat(_unzip(among, "<i8"), _unzip(run, "<i4")) + p.mass)).astype("<f4")
+            else:
+                given = _unzip(given, "<f4")
+            q.append(given)
         run = np.concatenate(_buffers(t, "run", "<i4"))
         of_run = np.repeat(np.arange(len(run)), run)
         parents = np.concatenate(_buffers(t, "parents", "<u8"))
+        if level == 1:
+            parents = _word_name(np.concatenate(_buffers(t, "n_context", "<i8")), parents)
         distinct, first, which = np.unique(_pair_name(parents[of_run], np.concatenate(following)), return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, which, np.concatenate(_buffers(t, "counts", "<i4")))
         of_run = of_run[first]
         parent = parents[of_run]
         hot, n = (np.concatenate(_buffers(t, c, d))[of_run] for c, d in (("hot", "?"), ("n_context", "<i8")))
-        q = np.concatenate(_buffers(t, "q", "<f4"))[first].astype(np.float64)
+        q = np.concatenate(q)[first].astype(np.float64)
         seen = (total > 0) & (n > 0)
 
         def gains(among, q):
@@ -502,7 +532,7 @@ def head_scores(blocks: DataFrame, replies: DataFrame, total, hot, buckets: int,
         doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
         per_doc = lambda x: np.bincount(doc, x, len(b.lengths))
         rest = Rest.of(walk, doc, p)
-        values = [b.ids, b.lengths, per_doc(walk.count[b.codes] > 0).astype(np.int64),
+        values = [b.ids, b.lengths, per_doc(walk.word_count[b.codes] > 0).astype(np.int64),
                   per_doc(np.log10(walk.base)), per_doc(np.log10(walk.prob))]
         lists = [pa.array([v], pa.list_(pa.float64() if i > 2 else pa.int64())) for i, v in enumerate(values)]
         return pa.Table.from_arrays(
@@ -532,14 +562,16 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
     blocks = scratch(token_blocks(docs, train, p, id_col, text_col), "blocks")
     tokens = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(8, -(-tokens // p.bucket_tokens))
-    replies = scratch(count_words(vocab_requests(blocks, buckets)), "counts")
+    replies = scratch(count_words(vocab_requests(blocks, buckets), buckets), "counts")
     row = replies.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     total = (row.n or 0, row.v or 0)
     free_shuffles(blocks.sparkSession)
     hot: list = [np.zeros(0, np.uint64)]
 
+    tokens_only = blocks.drop("vocab")
+
     def counted(asked: DataFrame, level: int) -> DataFrame:
-        more = scratch(count_pairs(asked, level, p), "counts")
+        more = scratch(count_pairs(asked, level, total, p), "counts")
         passed = (more.where("context IS NOT NULL").groupBy("context").agg(F.sum("gain").alias("gain"))
                   .where(F.col("gain") >= p.divergence).select("context").collect())
         hot.append(np.array([r.context for r in passed], np.int64).view(np.uint64))
@@ -548,8 +580,8 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
 
     replies = replies.where("block IS NOT NULL")
     for level in range(1, min(p.depth, HEAD) + 1):
-        replies = replies.unionByName(counted(pair_requests(blocks, replies, level, total, hot, buckets, p), level))
-    rests = scratch(head_scores(blocks, replies, total, hot, buckets, p), "rests")
+        replies = replies.unionByName(counted(pair_requests(tokens_only, replies, level, total, hot, buckets, p), level))
+    rests = scratch(head_scores(tokens_only, replies, total, hot, buckets, p), "rests")
     free_shuffles(blocks.sparkSession)
     buckets = max(8, -(-(rests.agg(F.sum("kept")).first()[0] or 0) // p.bucket_tokens))
     replies, level = replies.limit(0), HEAD
