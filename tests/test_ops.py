@@ -80,6 +80,70 @@ def test_batch_and_stream_limiter_agree(spark, tmp_path):
     assert batch == stream and batch[2] and batch[3] and not batch[4]
 
 
+@pytest.mark.parametrize("kind", ["sliding", "fixed"])
+def test_stream_limiter_calls_grow_with_buckets_not_keys(spark, tmp_path, kind):
+    """Many keys (null ones too) in few calls; each key goes on from its own state in the next micro-batch."""
+    import datetime as dt
+    from tickwise.operators.requestlog import fixed_window_limit, sliding_log_limit
+    from tickwise.streaming.limits import stream_limit
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(seconds=10 * i + k % 7), None if k == 5 else f"c{k}", "/p" if k % 2 else None, 200, 1000 * i + k)
+            for i in range(6) for k in range(300)]
+    schema = "ts timestamp, client string, path string, status int, seq long"
+    log = spark.createDataFrame(rows, schema)
+    log.where("seq < 3000").coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = str(tmp_path / "in")
+    for turn in range(2):
+        if turn:
+            log.where("seq >= 3000").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        q = (stream_limit(stream, kind, 2, 30, buckets=8).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    got = {r["seq"]: r["rejected"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = (sliding_log_limit if kind == "sliding" else fixed_window_limit)(log.where("client is not null and path is not null"), 2, 30)
+    want = {r["seq"]: r["rejected"] for r in batch.collect()}
+    assert len(got) == 1800 and want and all(got[k] == v for k, v in want.items())
+    by_key = lambda k: [got[1000 * i + k] for i in range(6)]
+    assert by_key(5) == by_key(4) == by_key(7)
+
+
+def test_limiter_bucket_forgets_only_idle_keys():
+    from tickwise.streaming.limits import _decide
+
+    class State:
+        exists = hasTimedOut = False
+        now = 0
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def remove(self):
+            self.exists = False
+
+        def setTimeoutDuration(self, ms):
+            self.due = self.now + ms
+
+    def hit(client, second):
+        return pd.DataFrame({"path": ["/p"], "client": [client], "ts": [pd.Timestamp(second, unit="s")], "seq": [second], "status": [200]})
+
+    fn, state = _decide("sliding", 1, 10**12, 1000), State()
+    run = lambda *hits: [x for out in fn((0,), iter(hits), state) for x in out["rejected"]]
+    assert run(hit("a", 0), hit("b", 0)) == [False, False] and state.due == 1000
+    state.now = 600
+    assert run(hit("a", 1)) == [True] and state.due == 1000
+    state.now, state.hasTimedOut = 1100, True
+    assert run() == [] and state.due == 1600
+    state.hasTimedOut = False
+    assert run(hit("a", 2), hit("b", 2)) == [True, False]
+    state.now, state.hasTimedOut = 2200, True
+    assert run() == [] and not state.exists
+
+
 def test_message_contract_cases(spark):
     from tickwise.functions.cleaning import apply_contract
     base = '"ticker":"aapl","timestamp":"2024-01-02T00:00:00+00:00","high":155,"low":149,"close":154'
