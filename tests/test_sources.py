@@ -45,3 +45,15 @@ def test_macro_loader(spark):
     out = {(r["series_id"], r["timestamp"].month): r["value"] for r in
            load_macro_series(raw, names, "2020-01-01").collect()}
     assert out == {("UNRATE", 1): 3.5, ("UNRATE", 2): 3.6, ("X", 1): 1.234568}
+
+
+def test_macro_loader_sends_no_series_to_one_task(spark):
+    """Rows of three series stay in the tasks that read them: neither shuffled nor sorted; ids may repeat or be null."""
+    from tickwise.sources.loaders import load_macro_series
+    raw = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") % 10 != 3, F.concat(F.lit("S"), (F.col("id") % 3).cast("string"))).alias("series_id"),
+        F.lit(dt.datetime(2024, 1, 1)).alias("timestamp"), F.col("id").cast("double").alias("value"))
+    names = spark.createDataFrame([("S0", "a"), ("S1", "b"), ("S1", "c"), (None, "d")], "series_id string, name string")
+    out = load_macro_series(raw, names).withColumn("task", F.spark_partition_id())
+    got = out.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("task").alias("tasks")).collect()
+    assert {r["name"]: (r["n"], r["tasks"]) for r in got} == {"a": (1800, 6), "b": (1800, 6), "c": (1800, 6)}

@@ -67,14 +67,14 @@ def period_filter(df: DataFrame, period: str, asof=None, ts: str = "timestamp")
 def load_macro_series(raw: DataFrame, series_map: DataFrame, start_date: str = "2020-01-01") -> DataFrame:
     """A3: (series_id, timestamp, value) -> (series_id, name, timestamp, value).
 
-    ``series_map`` (series_id, name) is the caller's id->name list; it is a
-    configuration list, and the join is left to the planner (AQE broadcasts
-    it when its measured size is under the threshold). NaN values are dropped
-    and values rounded to 6 places. A series without rows simply yields none.
+    ``series_map`` (series_id, name) is the caller's id->name list: a configuration list, whose size does not
+    follow the data, so it is broadcast. A shuffle by series would send all rows of a series to one task, and
+    its few keys keep AQE from a broadcast of its own (``nonEmptyPartitionRatioForBroadcastJoin``). NaN values are
+    dropped and values rounded to 6 places. A series without rows simply yields none.
     """
     r = nan_to_null(raw, ["value"]).filter(F.col("timestamp") >= F.lit(start_date).cast("timestamp"))
     r = r.filter(F.col("value").isNotNull())
-    return (r.join(series_map, "series_id")
+    return (r.join(F.broadcast(series_map), "series_id")
             .select("series_id", "name", "timestamp", F.round("value", 6).alias("value")))
 
 
