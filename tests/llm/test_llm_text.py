@@ -416,3 +416,60 @@ def test_suffix_tree_edge_cases(spark):
     assert pst.score(docs.limit(0), F.lit(True)).count() == 0
     nothing = pst.score(docs, F.lit(False)).collect()
     assert all(r.score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in nothing)
+
+
+def zipf_docs(n, seed=1):
+    """Independent words of uneven frequency: more text makes more contexts frequent."""
+    rng = np.random.default_rng(seed)
+    at = np.minimum(rng.zipf(1.4, n * 100), 600).reshape(n, 100)
+    return [(i, " ".join(f"w{x}" for x in row)) for i, row in enumerate(at)]
+
+
+@pytest.mark.parametrize("bucket_tokens, depth", [(400, 4), (4000, 2), (400, 1), (400, 0)])
+def test_suffix_tree_with_hot_words_and_pairs(spark, bucket_tokens, depth):
+    rows = zipf_docs(150) + [(1000 + i, "w1 w1 w1 w2 odd" + str(i) + " w1 w1") for i in range(200)]
+    p = pst.PstParams(depth=depth, hot_share=0.0, block_bytes=6000, bucket_tokens=bucket_tokens)
+    want, *_ = brute_tree(rows, p)
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.split())
+    assert max(counts.values()) > bucket_tokens / 4 > min(counts.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same_scores(pst.score(docs, remainder(F.col("doc_id"), 5) != 1, p).collect(), want)
+
+
+def test_suffix_tree_messages_grow_as_the_text(spark, monkeypatch):
+    """Contexts of two words that become frequent as the text grows must not make it send more for each token."""
+    sent = []
+
+    def told(count):
+        def run(requests, *args):
+            kinds = [c for c, t in requests.dtypes if t == "binary"]
+            sent.append(requests.agg(F.sum(sum((F.length(c) for c in kinds), F.lit(0)))).first()[0] or 0)
+            return count(requests, *args)
+        return run
+
+    for name in ("count_pairs", "count_triples"):
+        monkeypatch.setattr(pst, name, told(getattr(pst, name, None)), raising=False)
+    totals = []
+    for n in (1000, 5000):
+        docs = spark.createDataFrame(zipf_docs(n), "doc_id long, text string").coalesce(1)
+        assert pst.score(docs, F.lit(True), pst.PstParams(depth=2, block_bytes=60_000)).count() == n
+        totals.append(sum(sent))
+        sent.clear()
+    assert 0 < totals[1] < 6 * totals[0]
+
+
+def test_suffix_tree_bound_holds_for_every_extension():
+    """No extension of a context that is said not to grow passes its test."""
+    rng = np.random.default_rng(4)
+    p, grows = pst.PstParams(), 0
+    for _ in range(400):
+        k = int(rng.integers(1, 12))
+        count, q = rng.choice([1, 1, 1, 2, 3, 8, 20, 70], k), rng.random(k) ** 3 * 0.3 + 1e-5
+        alive = pst._can_grow(np.zeros(k, np.int64), np.array([count.sum()]), count, q, np.ones(k, bool), p)[0]
+        grows += alive
+        for _ in range(60):
+            kept = np.minimum(rng.binomial(count, rng.random(k) ** 2), count)
+            n, x = kept.sum(), kept > 0
+            if n >= p.least and not alive:
+                assert (kept[x] * np.log((kept[x] - 1 + p.mass * q[x]) / ((n - 1 + p.mass) * q[x]))).sum() < p.divergence
+    assert 50 < grows < 390

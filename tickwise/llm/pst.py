@@ -14,20 +14,21 @@ symbol is scored in the longest retained suffix of its history.
 
 Contexts grow a word at a time, to ``depth`` words or until none is left that could grow. From two words on
 only contexts that are *alive* are extended: with q the distribution in force after the
-context's own test, an extension that keeps n <= N(sx) of the occurrences before x
-gains at most g(n) = n ln( (n - 1 + m q(x)) / ((max(n, least) - 1 + m) q(x)) ) by them; g grows
-with n where it is positive, so the sum over x of max(0, g(N(sx))) bounds the divergence of every extension,
-however long. Below ``divergence`` none can pass its test, and leaving them out changes nothing.
+context's own test, an extension, however long, keeps n(x) <= N(sx) of the occurrences before x, n >= ``least`` in all.
+For n from lo up to hi, each occurrence before x gains at most v(x) = ln( (c(x) - 1 + m q(x)) / ((lo - 1 + m) q(x)) ), c(x) = min(N(sx), hi),
+so the extension gains at most what lo to hi occurrences of the largest v gain together, at most c(x) of them before x.
+If that is below ``divergence`` for lo, hi = least, 2 least, 4 least, ... none can pass its test, and leaving them out changes nothing.
 
 Jobs: texts become blocks of token numbers (some MB each, written once). A word's total and its number among words of
-that total stand for it in later messages. Per level,
-a block asks for the counts of its distinct (context, next symbol) pairs; requests are
-grouped by bucket (a hash of the context), summed over all blocks, tested, and the
-counts go back to the blocks, in the order asked. So what is moved follows the
-corpus, and nothing grows on the driver. Contexts with more than ``hot_share`` of all
-tokens are spread over the buckets by next symbol; their tests are sums over buckets
-(at most 1 / hot_share such contexts a level, which bounds what is broadcast). After the second
-level a block keeps only the tokens that alive contexts still need, so further levels are small jobs.
+that total stand for it in later messages. All contexts that end in a word are extensions of it, so the first two levels
+are one exchange: a block sends the distinct (word, word before it, next symbol) triples to the bucket of the word,
+where both levels are counted and tested, and the counts go back, in the order asked. A triple is sent once for
+each block that holds it, however frequent its contexts are: this grows as the text. Words with more tokens than
+``hot_count`` (a share of all, or of a bucket, whichever is more) are spread: their pairs are counted first, in
+buckets of pairs; then their triples go by both words, or, if these are hot too, by the next symbol as well, with tests summed over buckets
+(at most 1 / hot_share hot contexts a level, which bounds what is broadcast). Then a block keeps only the tokens that
+alive contexts still need, and asks level by level for the counts of its distinct (context, next symbol) pairs,
+grouped by bucket (a hash of the context). Nothing grows on the driver.
 
 Defined cases: null and empty texts are the end symbol alone; a null id counts as the
 empty string for the fold; repeated rows are scored and counted row by row; texts are
@@ -44,11 +45,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import HASH_MUL, free_shuffles, mix64, quoted, scratch, split_words, text_slices
+from tickwise.llm.common import HASH_MUL, free_shuffles, mix64, quoted, scratch, shuffle_partitions, split_words, text_slices
 
 
 @dataclass(frozen=True)
@@ -58,22 +59,25 @@ class PstParams:
     divergence: float = 4.0      # nats, in all
     mass: float = 1.0            # m: weight of the suffix's distribution
     hot_share: float = 1e-4
-    block_bytes: int = 10 << 20  # text of a block
-    bucket_tokens: int = 2_000_000
+    block_bytes: int = 6 << 20   # text of a block
+    bucket_tokens: int = 1_000_000
 
 
-HEAD = 2                               # levels that all frequent contexts take part in
+HEAD = 2                               # levels that all frequent contexts take part in, in one exchange
 
 END = xxhash.xxh64_intdigest("\n")     # no word has white space
 
+_PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()    # a Python worker runs one task at a time
+
+
 def _zip(a: np.ndarray) -> bytes:
     """Numbers as compressed byte planes."""
     raw = np.ascontiguousarray(a)
-    return zstandard.ZstdCompressor(level=1).compress(raw.view(np.uint8).reshape(len(raw), -1).T.tobytes() if len(raw) else b"")
+    return _PACK.compress(raw.view(np.uint8).reshape(len(raw), -1).T.tobytes() if len(raw) else b"")
 
 
 def _unzip(blob, dtype: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    raw = np.frombuffer(_UNPACK.decompress(blob), np.uint8)
     dt = np.dtype(dtype)
     return np.ascontiguousarray(raw.reshape(dt.itemsize, -1).T).view(dt).ravel() if len(raw) else np.zeros(0, dt)
 
@@ -91,6 +95,11 @@ def _base(count: np.ndarray, total: tuple[int, int]) -> np.ndarray:
     return (count + 0.5) / (total[0] + 0.5 * (total[1] + 1))
 
 
+def hot_count(total: tuple[int, int], p: PstParams) -> float:
+    """Contexts that occur more often are spread over the buckets."""
+    return max(p.hot_share * total[0], p.bucket_tokens / 4)
+
+
 _BLOCK = "block bigint, ids array<bigint>, lengths array<int>, train array<boolean>, codes binary, vocab binary, rank binary"
 
 
@@ -153,7 +162,7 @@ class Block:
                      np.arange(int(lengths.sum())) - np.repeat(first, lengths))
 
 
-KEPT, ALIVE = 1, 2                     # outcome of a context's test, as bits of a reply
+KEPT, ALIVE, KEPT_WORD = 1, 2, 4       # outcome of a context's test, and of its last word's, as bits of a reply
 
 
 @dataclass
@@ -190,27 +199,73 @@ def _sorted_by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.
     return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
 
 
-def _level(b: Block, words: np.ndarray, depth: int, gram: np.ndarray, names: np.ndarray, count: np.ndarray, buckets: int,
-           hot_count: float, p: PstParams) -> Level:
-    """``words``: hashes of the block's words; ``gram``: number of the shorter n-gram that ends at each token (-1: none),
-    ``names`` and ``count`` its hash and training count; as the context of the next token it must be frequent enough."""
-    before = np.append(-1, gram[:-1])
-    at = np.flatnonzero((b.place >= depth) & (before >= 0))
-    at = at[count[before[at]] >= p.least]
-    key, pair = np.unique(before[at] * len(words) + b.codes[at], return_inverse=True)
+def _hot_pairs(b: Block, words: np.ndarray, count: np.ndarray, buckets: int, hot_above: float, p: PstParams) -> Level:
+    """Pairs of a hot word and the token after it. ``words``, ``count``: hashes and training counts of the block's words."""
+    last = np.append(-1, b.codes[:-1])
+    at = np.flatnonzero((b.place >= 1) & (p.depth >= 1))
+    at = at[(count[last[at]] >= p.least) & (count[last[at]] > hot_above)]
+    key, pair = np.unique(last[at] * len(words) + b.codes[at], return_inverse=True)
     context, following = key // len(words), key % len(words)
-    parent = names[context]
+    parent = words[context]
     name = _pair_name(parent, words[following])
-    hot = count[context] > hot_count
-    order, cuts = _sorted_by_bucket(_bucket(np.where(hot, name, mix64(parent)), buckets), buckets)
-    return Level(at, pair, context, following, count[context], name, parent, order, cuts, hot)
+    order, cuts = _sorted_by_bucket(_bucket(name, buckets), buckets)
+    return Level(at, pair, context, following, count[context], name, parent, order, cuts, np.ones(len(name), bool))
+
+
+NO_WORD = (-1, 0)                      # count and number in place of a word before that no frequent context holds
+
+
+@dataclass
+class Triples:
+    """Distinct (last word, word before it, next symbol) of a block, for the contexts of one and two words."""
+
+    at: np.ndarray               # token positions that have such a triple
+    triple: np.ndarray           # their triple
+    context: np.ndarray          # number of each triple's context (triple order)
+    next: np.ndarray             # next token's code of each triple
+    known: np.ndarray            # training count of (last, next) where the last word is hot, or 0
+    last: np.ndarray             # codes of each context's words
+    before: np.ndarray           # len(words): none
+    name: np.ndarray             # hash of each context
+    n_hot: np.ndarray            # training count of each hot context, or 0
+    order: np.ndarray            # triples sorted by bucket
+    cuts: np.ndarray             # of the buckets in ``order``
+
+    @staticmethod
+    def of(b: Block, words: np.ndarray, count: np.ndarray, pairs: np.ndarray, buckets: int, hot_above: float, p: PstParams) -> "Triples":
+        """``pairs``: training count of the pair of words that ends at each token, where its first one is hot (-1 elsewhere)."""
+        none = len(words)
+        at = np.flatnonzero((b.place >= 1) & (p.depth >= 1))
+        at = at[count[b.codes[at - 1]] >= p.least]
+        last, before = b.codes[at - 1], b.codes[at - 2]
+        n = pairs[at - 1]
+        before = np.where((b.place[at] >= 2) & (p.depth >= 2) & (count[before] >= p.least) & ((n < 0) | (n >= p.least)), before, none)
+        wanted = (count[last] <= hot_above) | (before != none)       # pairs of hot words are known
+        at, last, before, n = at[wanted], last[wanted], before[wanted], n[wanted]
+        key, of = np.unique(last * (none + 1) + before, return_inverse=True)
+        n_hot = np.zeros(len(key), np.int64)
+        n_hot[of] = np.where((before != none) & (n > hot_above), n, 0)
+        triples, triple = np.unique(of * none + b.codes[at], return_inverse=True)
+        context, following = triples // max(none, 1), triples % max(none, 1)
+        last, before = key // (none + 1), key % (none + 1)
+        name = _pair_name(np.append(words, _no_word())[before], words[last])
+        known = np.zeros(len(triples), np.int64)
+        known[triple] = np.maximum(pairs[at], 0)
+        by = np.where(count[last] > hot_above, name, words[last])
+        by = np.where((n_hot > 0)[context], _pair_name(name[context], words[following]), by[context])
+        order, cuts = _sorted_by_bucket(_bucket(mix64(by), buckets), buckets)
+        return Triples(at, triple, context, following, known, last, before, name, n_hot, order, cuts)
+
+
+def _no_word() -> np.ndarray:
+    return _word_name(np.array([NO_WORD[0]]), np.array([NO_WORD[1]], np.uint64))
 
 
 class Walk:
-    """State of a block after the replies to its requests so far."""
+    """State of a block after the replies to its requests so far: words, pairs of hot words, triples."""
 
     def __init__(self, b: Block, replies: list[dict[int, tuple]], total: tuple[int, int], hot: list, buckets: int, p: PstParams):
-        hot_count = p.hot_share * total[0]
+        hot_above = hot_count(total, p)
         self.b = b
         count = np.empty(len(b.rank), np.int64)
         count[b.rank] = _joined(replies[0], 0, "<i8")
@@ -220,26 +275,33 @@ class Walk:
         words = _word_name(count, number)
         self.base = _base(count[b.codes], total)
         self.prob = self.base.copy()
-        self.found = np.zeros(len(b.codes), np.int64)       # counts in the longest retained suffix, if one is
-        self.among = np.zeros(len(b.codes), np.int64)
-        gram, names = b.codes, words
-        self.level = None
-        for depth in range(1, min(p.depth, HEAD) + 1):
-            lv = _level(b, words, depth, gram, names, count, buckets, hot_count, p)
-            self.level = lv
-            if len(replies) <= depth:
-                return
-            count, kept, alive = lv.answer(replies[depth], hot[depth])
-            use = kept[lv.pair]
-            at, pair = lv.at[use], lv.pair[use]
-            self.prob[at] = (count[pair] + p.mass * self.prob[at]) / (lv.n_context[pair] + p.mass)
-            self.found[at], self.among[at] = count[pair], lv.n_context[pair]
-            gram = np.full(len(b.codes), -1)
-            gram[lv.at] = lv.pair
-            names = lv.name
-            self.alive = np.zeros(len(b.codes), bool)
-            self.alive[lv.at] = alive[lv.pair]
-        self.gram_count = np.where(gram >= 0, count[gram], 0) if len(count) else np.zeros(len(gram), np.int64)
+        self.level = lv = _hot_pairs(b, words, count, buckets, hot_above, p)
+        if len(replies) <= 1:
+            return
+        found, kept, _ = lv.answer(replies[1], hot[1])
+        self._smooth(lv.at, found[lv.pair], lv.n_context[lv.pair], kept[lv.pair], p)
+        pairs = np.full(len(b.codes), -1)
+        pairs[lv.at] = found[lv.pair]
+        self.triples = t = Triples.of(b, words, count, pairs, buckets, hot_above, p)
+        if len(replies) <= 2:
+            return
+        found, flags, in_pairs, among = (np.empty(len(t.order), d) for d in ("<i8", "<u1", "<i8", "<i8"))
+        for column, a in enumerate((found, flags, in_pairs, among)):
+            a[t.order] = _joined(replies[2], column, a.dtype.str)
+        n_last = count[t.last]
+        self._smooth(t.at, in_pairs[t.triple], n_last[t.context][t.triple],
+                     (((flags & KEPT_WORD) > 0) & (n_last <= hot_above)[t.context])[t.triple], p)
+        is_hot = (t.n_hot > 0)[t.context]
+        kept = np.where(is_hot, np.isin(t.name, hot[2])[t.context], (flags & KEPT) > 0)
+        self._smooth(t.at, found[t.triple], np.where(is_hot, t.n_hot[t.context], among)[t.triple], kept[t.triple], p)
+        self.gram_count = np.zeros(len(b.codes), np.int64)
+        self.gram_count[t.at] = found[t.triple]
+        self.alive = np.zeros(len(b.codes), bool)
+        self.alive[t.at] = (is_hot | ((flags & ALIVE) > 0))[t.triple]
+
+    def _smooth(self, at, found, among, use, p: PstParams) -> None:
+        at, found, among = at[use], found[use], among[use]
+        self.prob[at] = (found + p.mass * self.prob[at]) / (among + p.mass)
 
 
 @dataclass
@@ -299,7 +361,7 @@ class RestWalk:
 
     def __init__(self, rest: Rest, replies: list[dict[int, tuple]], total: tuple[int, int], hot: list, buckets: int, p: PstParams):
         self.b, self.word_count, self.word_number = rest, rest.word_count, rest.word_number
-        hot_count = p.hot_share * total[0]
+        hot_above = hot_count(total, p)
         words = _word_name(rest.word_count, rest.word_number)[rest.codes.astype(np.int64)]
         linked = np.append(False, (rest.doc[1:] == rest.doc[:-1]) & (rest.place[1:] == rest.place[:-1] + 1))[:len(words)]
         prob = np.ones(len(words))
@@ -315,7 +377,7 @@ class RestWalk:
             following = np.append((alive & linked)[1:], False)[:len(words)]
             names = self._longer(names, words)
             self.level = lv = self._level(np.flatnonzero(test | (following & ~rare & (count >= p.least))), names, parent,
-                                          np.where(test, parent_count, 0), buckets, hot_count)
+                                          np.where(test, parent_count, 0), buckets, hot_above)
             if len(replies) <= depth - HEAD - 1:
                 return
             found, kept, growing = lv.answer(replies[depth - HEAD - 1], hot[depth])
@@ -332,7 +394,7 @@ class RestWalk:
     def _longer(names: np.ndarray, words: np.ndarray) -> np.ndarray:
         return _pair_name(np.roll(names, 1), words)
 
-    def _level(self, at, names, parent, n_context, buckets: int, hot_count: float) -> Level:
+    def _level(self, at, names, parent, n_context, buckets: int, hot_above: float) -> Level:
         _, first, pair = np.unique(names[at], return_index=True, return_inverse=True)
         first = at[first]
         _, context = np.unique(parent[first], return_inverse=True)
@@ -341,7 +403,7 @@ class RestWalk:
         place[together] = np.arange(len(together))
         first, context, pair = first[together], context[together], place[pair]
         n = n_context[first]
-        hot = n > hot_count
+        hot = n > hot_above
         order, cuts = _sorted_by_bucket(_bucket(np.where(hot, names[first], mix64(parent[first])), buckets), buckets)
         return Level(at, pair, context, self.b.codes[first].astype(np.int64), n, names[first], parent[first], order, cuts, hot)
 
@@ -351,8 +413,10 @@ def _joined(replies: dict[int, tuple], column: int, dtype: str) -> np.ndarray:
 
 
 _REQUEST = ("block bigint, bucket int, word_count binary, word_number binary, counts binary, q binary, "
-            "among binary, run binary, parents binary, hot binary, n_context binary")
-_REPLY = "block bigint, level int, bucket int, counts binary, marks binary, n bigint, v bigint, context bigint, gain double"
+            "run binary, parents binary, hot binary, n_context binary")
+_TRIPLES = ("block bigint, bucket int, word_count binary, word_number binary, counts binary, known binary, run binary, before_count binary, "
+            "before_number binary, n_hot binary, contexts binary, last_count binary, last_number binary")
+_REPLY = "block bigint, level int, bucket int, counts binary, marks binary, pairs binary, among binary, n bigint, v bigint, context bigint, gain double"
 
 
 def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -377,13 +441,13 @@ def vocab_requests(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.mapInArrow(run, "block bigint, bucket int, names binary, counts binary")
 
 
-def _answers(blocks, level, bucket, counts, marks, extra=()):
+def _answers(blocks, level, bucket, counts, marks, extra=(), pairs=None, among=None):
     """Reply rows: one for each block, then ``extra`` rows (n, v, context, gain) for the driver."""
     m, e = len(blocks), len(extra)
-    cols = [[*blocks, *[None] * e], [level] * (m + e), [bucket] * (m + e), [*counts, *[None] * e], [*marks, *[None] * e],
+    cols = [[*blocks, *[None] * e], [level] * (m + e), [bucket] * (m + e), *([*(x or [None] * m), *[None] * e] for x in (counts, marks, pairs, among)),
             *[[*[None] * m, *[x[i] for x in extra]] for i in range(4)]]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-    names = ["block", "level", "bucket", "counts", "marks", "n", "v", "context", "gain"]
+    types = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+    names = ["block", "level", "bucket", "counts", "marks", "pairs", "among", "n", "v", "context", "gain"]
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
 
@@ -392,7 +456,7 @@ def _buffers(t: pa.Table, column: str, dtype: str) -> list[np.ndarray]:
 
 
 def count_words(requests: DataFrame, buckets: int) -> DataFrame:
-    """Totals of every word to every block that asked, and the number of words and tokens. With its total goes
+    """Totals of every word to every block that asked, the number of words and tokens, and the largest total (as ``context``). With its total goes
     a word's number among the words of that total: both are small where words are common, the pair is unique over
     all buckets, and the total gives the base probability, so later requests carry it in place of a hash."""
     def run(t: pa.Table) -> pa.Table:
@@ -408,50 +472,83 @@ def count_words(requests: DataFrame, buckets: int) -> DataFrame:
         number[by_total] = (np.arange(len(distinct)) - np.repeat(first, same)) * buckets + bucket
         cuts = np.cumsum(sizes)[:-1]
         return _answers(t.column("block").to_pylist(), 0, bucket, [_zip(x) for x in np.split(total[which], cuts)],
-                        [_zip(x) for x in np.split(number[which], cuts)], [(int(total.sum()), int((total > 0).sum()), None, None)])
+                        [_zip(x) for x in np.split(number[which], cuts)], [(int(total.sum()), int((total > 0).sum()), int(total.max()), None)])
 
     return requests.groupBy("bucket").applyInArrow(run, _REPLY)
 
 
 def _asked(name: int, walk: Walk | RestWalk, level: int, buckets: int) -> pa.Table:
-    """Requests of a block's level: pairs by bucket, with training counts and the suffix's probability. Up to
-    level 2 that follows from the word's count and two counts in the suffix (0 where it is not retained), which
-    compress better; at level 1 a context is a word and goes by its number."""
+    """Requests of a block's level: pairs by bucket, with training counts and the suffix's probability. At
+    level 1 that is the word's own, which follows from its count, and a context is a word and goes by its number."""
     b, lv = walk.b, walk.level
     counts = np.bincount(lv.pair[b.train[lv.at]], minlength=len(lv.name))
-    by_counts = level <= 2
     q = np.zeros(len(lv.name))
-    q[lv.pair] = walk.found[lv.at] if by_counts else walk.prob[lv.at]
-    among = np.zeros(len(lv.name), np.int64)
-    if by_counts:
-        among[lv.pair] = walk.among[lv.at]
+    if level > 1:
+        q[lv.pair] = walk.prob[lv.at]
     parent = walk.word_number[lv.context] if level == 1 else lv.parent
     full = [k for k in range(buckets) if lv.cuts[k + 1] > lv.cuts[k]]
-    rows: list[list] = [[name] * len(full), full, *([] for _ in range(9))]
+    rows: list[list] = [[name] * len(full), full, *([] for _ in range(8))]
     for x in (lv.order[lv.cuts[k]:lv.cuts[k + 1]] for k in full):
         # pairs of a context stand together: its values once, with its number of pairs
         first = np.flatnonzero(np.append(True, lv.context[x[1:]] != lv.context[x[:-1]]))
         run = np.diff(np.append(first, len(x)))
         for k, a in enumerate((walk.word_count[lv.next[x]], walk.word_number[lv.next[x]], counts[x].astype("<i4"),
-                               q[x].astype("<i8" if by_counts else "<f4"), among[x[first]].astype("<i8"), run.astype("<i4"),
+                               q[x].astype("<f4"), run.astype("<i4"),
                                parent[x[first]], lv.hot[x[first]], lv.n_context[x[first]].astype("<i8")), 2):
             rows[k].append(_zip(a))
-    types = [pa.int64(), pa.int32(), *[pa.binary()] * 9]
+    types = [pa.int64(), pa.int32(), *[pa.binary()] * 8]
     return pa.Table.from_arrays([pa.array(r, t) for r, t in zip(rows, types)], names=[
-        "block", "bucket", "word_count", "word_number", "counts", "q", "among", "run", "parents", "hot", "n_context"])
+        "block", "bucket", "word_count", "word_number", "counts", "q", "run", "parents", "hot", "n_context"])
+
+
+def _asked_triples(name: int, walk: Walk, buckets: int) -> pa.Table:
+    """Requests of a block's triples by bucket: next symbols, with the words of their contexts once for each run."""
+    b, t = walk.b, walk.triples
+    counts = np.bincount(t.triple[b.train[t.at]], minlength=len(t.next))
+    before_count, before_number = np.append(walk.word_count, NO_WORD[0]), np.append(walk.word_number, np.uint64(NO_WORD[1]))
+    full = [k for k in range(buckets) if t.cuts[k + 1] > t.cuts[k]]
+    rows: list[list] = [[name] * len(full), full, *([] for _ in range(11))]
+    starts = lambda x: np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+    for x in (t.order[t.cuts[k]:t.cuts[k + 1]] for k in full):
+        first = starts(t.context[x])
+        context = t.context[x[first]]
+        of_last = starts(t.last[context])
+        last = t.last[context[of_last]]
+        for k, a in enumerate((walk.word_count[t.next[x]], walk.word_number[t.next[x]], counts[x].astype("<i4"), t.known[x],
+                               np.diff(np.append(first, len(x))).astype("<i4"), before_count[t.before[context]],
+                               before_number[t.before[context]], t.n_hot[context], np.diff(np.append(of_last, len(context))).astype("<i4"),
+                               walk.word_count[last], walk.word_number[last]), 2):
+            rows[k].append(_zip(a))
+    types = [pa.int64(), pa.int32(), *[pa.binary()] * 11]
+    return pa.Table.from_arrays([pa.array(r, k) for r, k in zip(rows, types)], names=[
+        "block", "bucket", "word_count", "word_number", "counts", "known", "run", "before_count", "before_number", "n_hot", "contexts",
+        "last_count", "last_number"])
 
 
-def pair_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
-    """Requests of one of the first levels."""
+def head_requests(blocks: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
+    """Requests of the first exchanges: pairs of hot words (level 1), triples (level 2)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         walk = Walk(Block.read(left), _replies(right, 0, level), total, hot, buckets, p)
-        return _asked(left.column("block")[0].as_py(), walk, level, buckets)
+        name = left.column("block")[0].as_py()
+        return _asked(name, walk, 1, buckets) if level == 1 else _asked_triples(name, walk, buckets)
+
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST if level == 1 else _TRIPLES)
+
+
+def first_rest_requests(rests: DataFrame, total, hot, buckets: int, p: PstParams) -> DataFrame:
+    """Requests of level HEAD + 1, for which a block needs no reply."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                t = pa.Table.from_batches([batch.slice(i, 1)])
+                walk = RestWalk(Rest.read(t), [], total, hot, buckets, p)
+                yield from _asked(t.column("block")[0].as_py(), walk, HEAD + 1, buckets).to_batches()
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _REQUEST)
+    return rests.mapInArrow(run, _REQUEST)
 
 
 def rest_requests(rests: DataFrame, replies: DataFrame, level: int, total, hot, buckets: int, p: PstParams) -> DataFrame:
-    """Requests of a level above HEAD."""
+    """Requests of a level above HEAD + 1."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         walk = RestWalk(Rest.read(left), _replies(right, HEAD + 1, level - HEAD - 1), total, hot, buckets, p)
         return _asked(left.column("block")[0].as_py(), walk, level, buckets)
@@ -462,27 +559,113 @@ def rest_requests(rests: DataFrame, replies: DataFrame, level: int, total, hot,
 def _replies(t: pa.Table, first: int, levels: int) -> list[dict[int, tuple]]:
     """Replies to the levels ``first`` .. ``first + levels - 1``, by bucket."""
     out: list[dict[int, tuple]] = [{} for _ in range(levels)]
-    for level, bucket, counts, marks in zip(*(t.column(c) for c in ("level", "bucket", "counts", "marks"))):
-        out[level.as_py() - first][bucket.as_py()] = (counts.as_buffer(), marks.as_buffer())
+    for level, bucket, *parts in zip(*(t.column(c) for c in ("level", "bucket", "counts", "marks", "pairs", "among"))):
+        out[level.as_py() - first][bucket.as_py()] = tuple(x.as_buffer() for x in parts)
     return out
 
 
+def _gains(count: np.ndarray, among: np.ndarray, q: np.ndarray, seen: np.ndarray, p: PstParams) -> np.ndarray:
+    """Terms of the divergence, 0 where not ``seen``."""
+    term, c, q = np.zeros(len(count)), count[seen], q[seen]
+    term[seen] = c * np.log((c - 1 + p.mass * q) / ((among[seen] - 1 + p.mass) * q))
+    return term
+
+
+def _can_grow(at: np.ndarray, n: np.ndarray, count: np.ndarray, q: np.ndarray, seen: np.ndarray, p: PstParams) -> np.ndarray:
+    """Of each context: whether an extension may still reach the divergence. ``at``: context of each pair, ``n``: counts
+    of the contexts, ``count`` and ``q``: of the pairs."""
+    alive = np.zeros(len(n), bool)
+    lo = max(p.least, 1)
+    while True:
+        hi = 2 * lo - 1
+        use = np.flatnonzero(seen & (n >= lo)[at] & ~alive[at])
+        if not len(use):
+            return alive
+        each = np.minimum(count[use], hi)
+        gain = np.log((each - 1 + p.mass * q[use]) / ((lo - 1 + p.mass) * q[use]))
+        # what can be gained at all decides for most contexts
+        most = np.bincount(at[use], each * np.maximum(gain, 0), len(n))
+        few = (most >= p.divergence)[at[use]]
+        use, each, gain = use[few], each[few], gain[few]
+        order = np.lexsort((-gain, at[use]))
+        of, each, gain = at[use][order], each[order], gain[order]
+        before = np.cumsum(each) - each
+        before -= before[np.searchsorted(of, of)]
+        taken = np.clip(np.bincount(of, each * (gain > 0), len(n)), lo, np.minimum(n, hi))
+        alive |= np.bincount(of, gain * np.clip(taken[of] - before, 0, each), len(n)) >= p.divergence - 1e-6
+        lo = hi + 1
+
+
+def count_triples(requests: DataFrame, total_words: tuple[int, int], passed_words: np.ndarray, p: PstParams) -> DataFrame:
+    """Totals of every triple and its (last, next) pair and the outcome of the tests of contexts of one and two words,
+    to every block that asked; partial test sums of hot contexts. ``passed_words``: retained hot words."""
+    hot_above = hot_count(total_words, p)
+
+    def run(t: pa.Table) -> pa.Table:
+        joined = lambda c, d: np.concatenate(_buffers(t, c, d))
+        word_counts = _buffers(t, "word_count", "<i8")
+        cuts = np.cumsum([len(x) for x in word_counts])[:-1]
+        word_count = np.concatenate(word_counts)
+        following = _word_name(word_count, joined("word_number", "<u8"))
+        contexts, last_count = joined("contexts", "<i4"), joined("last_count", "<i8")
+        last = np.repeat(_word_name(last_count, joined("last_number", "<u8")), contexts)
+        last_count = np.repeat(last_count, contexts)
+        before = joined("before_count", "<i8")
+        paired = before != NO_WORD[0]
+        name = _pair_name(_word_name(before, joined("before_number", "<u8")), last)
+        run = joined("run", "<i4")
+        of_run = np.repeat(np.arange(len(run), dtype=np.int32), run)
+        _, first, which = np.unique(_pair_name(name[of_run], following), return_index=True, return_inverse=True)
+        total = np.bincount(which, joined("counts", "<i4")).astype(np.int64)
+        known, n_hot = joined("known", "<i8")[first], joined("n_hot", "<i8")
+        of_run, following, word_count = of_run[first], following[first], word_count[first]
+
+        # one word
+        is_hot = (last_count > hot_above)[of_run]
+        _, first, pair = np.unique(_pair_name(last[of_run], following), return_index=True, return_inverse=True)
+        in_pair = np.bincount(pair, total).astype(np.int64)
+        words, word = np.unique(last[of_run][first], return_inverse=True)
+        gain = np.bincount(word, _gains(in_pair, last_count[of_run][first], _base(word_count[first], total_words), in_pair > 0, p), len(words))
+        kept_word = np.where(is_hot, np.isin(words, passed_words)[word][pair], (gain >= p.divergence)[word][pair])
+        in_pair = np.where(is_hot, known, in_pair[pair])
+        q = _base(word_count, total_words)
+        q = np.where(kept_word, (in_pair + p.mass * q) / (last_count[of_run] + p.mass), q)
+
+        # two words
+        names, at = np.unique(name, return_inverse=True)
+        n = np.zeros(len(names), np.int64)
+        n[at] = n_hot
+        hot = n > 0
+        has_word = np.zeros(len(names), bool)
+        has_word[at] = paired
+        at = at[of_run]
+        n = np.where(hot, n, np.bincount(at, total, len(names)).astype(np.int64))
+        tested = has_word & (n >= p.least)
+        seen = (total > 0) & tested[at]
+        gain = np.bincount(at, _gains(total, n[at], q, seen, p), len(names))
+        kept = (tested & (gain >= p.divergence))[at]
+        in_force = np.where(kept, (total + p.mass * q) / (n[at] + p.mass), q)
+        flags = (KEPT * kept + ALIVE * _can_grow(at, n, total, in_force, seen, p)[at] + KEPT_WORD * kept_word).astype(np.uint8)
+        # what a block does not use is sent as 0
+        told = (np.where(tested[at], total, 0), flags, np.where(kept_word & ~is_hot, in_pair, 0), np.where(kept & ~hot[at], n[at], 0))
+        counts, marks, pairs, among = ([_zip(x) for x in np.split(a[which], cuts)] for a in told)
+        return _answers(t.column("block").to_pylist(), HEAD, t.column("bucket")[0].as_py(), counts, marks,
+                        [(None, None, int(c), float(g)) for c, g in zip(names[hot].view(np.int64), gain[hot])], pairs, among)
+
+    return requests.groupBy("bucket").applyInArrow(run, _REPLY)
+
+
 def count_pairs(requests: DataFrame, level: int, total_words: tuple[int, int], p: PstParams) -> DataFrame:
     """Totals of every pair and the outcome of its context's test, to every block that asked; partial
     test sums of hot contexts."""
     def run(t: pa.Table) -> pa.Table:
         following, sizes, q = [], [], []
-        for row in zip(*(t.column(k) for k in ("word_count", "word_number", "q", "among", "run"))):
-            c, number, given, among, run = (x.as_buffer() for x in row)
+        for row in zip(*(t.column(k) for k in ("word_count", "word_number", "q"))):
+            c, number, given = (x.as_buffer() for x in row)
             c = _unzip(c, "<i8")
             following.append(_word_name(c, _unzip(number, "<u8")))
             sizes.append(len(c))
-            if level <= 2:
-                given = ((_unzip(given, "<i8") + p.mass * _base(c, total_words))
-                         / (np.repeat(_unzip(among, "<i8"), _unzip(run, "<i4")) + p.mass)).astype("<f4")
-            else:
-                given = _unzip(given, "<f4")
-            q.append(given)
+            q.append(_base(c, total_words) if level == 1 else _unzip(given, "<f4"))
         run = np.concatenate(_buffers(t, "run", "<i4"))
         of_run = np.repeat(np.arange(len(run)), run)
         parents = np.concatenate(_buffers(t, "parents", "<u8"))
@@ -497,20 +680,16 @@ def count_pairs(requests: DataFrame, level: int, total_words: tuple[int, int], p
         q = np.concatenate(q)[first].astype(np.float64)
         seen = (total > 0) & (n > 0)
 
-        def gains(among, q):
-            term, c = np.zeros(len(distinct)), total[seen]
-            term[seen] = c * np.log((c - 1 + p.mass * q[seen]) / ((among[seen] - 1 + p.mass) * q[seen]))
-            return term
-
-        term = gains(n, q)
+        term = _gains(total, n, q, seen, p)
         contexts, at = np.unique(parent, return_inverse=True)
         gain = np.bincount(at, term, len(contexts))
         is_hot = np.zeros(len(contexts), bool)
         is_hot[at] = hot
         kept = (gain >= p.divergence)[at] & (n > 0)
         in_force = np.where(kept, (total + p.mass * q) / (n + p.mass), q)
-        bound = np.bincount(at, np.maximum(gains(np.maximum(total, p.least), in_force), 0), len(contexts))
-        flags = (KEPT * kept + ALIVE * (bound >= p.divergence)[at]).astype(np.uint8)
+        of_context = np.zeros(len(contexts), np.int64)
+        of_context[at] = n
+        flags = (KEPT * kept + ALIVE * _can_grow(at, of_context, total, in_force, seen, p)[at]).astype(np.uint8)
         cuts = np.cumsum(sizes)[:-1]
         extra = [(None, None, int(c), float(g)) for c, g in zip(contexts[is_hot].view(np.int64), gain[is_hot])]
         return _answers(t.column("block").to_pylist(), level, t.column("bucket")[0].as_py(),
@@ -527,7 +706,7 @@ _REST = ("block bigint, ids array<bigint>, lengths array<bigint>, n_known array<
 def head_scores(blocks: DataFrame, replies: DataFrame, total, hot, buckets: int, p: PstParams) -> DataFrame:
     """A row per block: scores in log10 after the first levels, and the tokens that longer contexts need."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        walk = Walk(Block.read(left), _replies(right, 0, min(p.depth, HEAD) + 1), total, hot, buckets, p)
+        walk = Walk(Block.read(left), _replies(right, 0, HEAD + 1), total, hot, buckets, p)
         b = walk.b
         doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
         per_doc = lambda x: np.bincount(doc, x, len(b.lengths))
@@ -563,15 +742,15 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
     tokens = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(8, -(-tokens // p.bucket_tokens))
     replies = scratch(count_words(vocab_requests(blocks, buckets), buckets), "counts")
-    row = replies.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    row = replies.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.max("context").alias("most")).first()
     total = (row.n or 0, row.v or 0)
     free_shuffles(blocks.sparkSession)
     hot: list = [np.zeros(0, np.uint64)]
 
     tokens_only = blocks.drop("vocab")
 
-    def counted(asked: DataFrame, level: int) -> DataFrame:
-        more = scratch(count_pairs(asked, level, total, p), "counts")
+    def counted(replied: DataFrame) -> DataFrame:
+        more = scratch(replied, "counts")
         passed = (more.where("context IS NOT NULL").groupBy("context").agg(F.sum("gain").alias("gain"))
                   .where(F.col("gain") >= p.divergence).select("context").collect())
         hot.append(np.array([r.context for r in passed], np.int64).view(np.uint64))
@@ -579,16 +758,25 @@ def score(docs: DataFrame, train: Column, p: PstParams = PstParams(), id_col: st
         return more.where("block IS NOT NULL")
 
     replies = replies.where("block IS NOT NULL")
-    for level in range(1, min(p.depth, HEAD) + 1):
-        replies = replies.unionByName(counted(pair_requests(tokens_only, replies, level, total, hot, buckets, p), level))
+    if (row.most or 0) > hot_count(total, p):
+        replies = replies.unionByName(counted(count_pairs(head_requests(tokens_only, replies, 1, total, hot, buckets, p), 1, total, p)))
+    else:
+        hot.append(np.zeros(0, np.uint64))
+    asked = head_requests(tokens_only, replies, HEAD, total, hot, buckets, p)
+    replies = replies.unionByName(counted(count_triples(asked, total, hot[1], p)))
     rests = scratch(head_scores(tokens_only, replies, total, hot, buckets, p), "rests")
     free_shuffles(blocks.sparkSession)
     buckets = max(8, -(-(rests.agg(F.sum("kept")).first()[0] or 0) // p.bucket_tokens))
+    # dealt by block once for all levels; what an executor loses is dealt again from the written table
+    rests = rests.repartition(shuffle_partitions(blocks.sparkSession), "block").persist(StorageLevel.DISK_ONLY)
     replies, level = replies.limit(0), HEAD
     while level < p.depth:
-        more = counted(rest_requests(rests, replies, level + 1, total, hot, buckets, p), level + 1)
+        asked = (first_rest_requests(rests, total, hot, buckets, p) if level == HEAD
+                 else rest_requests(rests, replies, level + 1, total, hot, buckets, p))
+        more = counted(count_pairs(asked, level + 1, total, p))
         if more.isEmpty():       # no context can grow
             break
         replies, level = replies.unionByName(more), level + 1
-    out = rest_scores(rests, replies, level - HEAD, total, hot, buckets, p)
+    out = scratch(rest_scores(rests, replies, level - HEAD, total, hot, buckets, p), "scores")
+    rests.unpersist()
     return out.withColumn("train_tokens", F.lit(total[0]).cast("long")).withColumnRenamed("id", id_col)
