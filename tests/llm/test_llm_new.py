@@ -202,6 +202,26 @@ def test_chains_are_followed(spark):
     assert got == {**{f"w{k}": "w37" for k in range(37)}, "x": "w37"}
 
 
+def test_tables_that_grow_with_the_words_are_not_broadcast(spark, monkeypatch):
+    """Their files are far below Spark's threshold, what an explode makes of them is not."""
+    plans, scratch = [], spelling.scratch
+
+    def run(df):
+        rows = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df, rows
+
+    monkeypatch.setattr(spelling, "scratch", lambda df, label: scratch(run(df)[0], label))
+    n = {f"{c}spellin{d}": 2 + 50 * (c == "f") for c in "abcdefghi" for d in "gkmn"}
+    n |= {"spellin": 9, "aspelling": 20_000, "internationally": 7, "internationaly": 700}
+    words = spark.createDataFrame(list(n.items()), "word string, n bigint")
+    got = {r.word: tuple(r)[1:] for r in run(spelling.group(words, crowd=5))[1]}
+    assert got == brute_groups(n)
+    joins = {x for p in plans for x in re.findall(r"(\w+Join)\b.*? (Inner|LeftOuter|LeftAnti|LeftSemi)\b", p)}
+    assert {("SortMergeJoin", "Inner"), ("SortMergeJoin", "LeftOuter")} <= joins
+    assert {kind for name, kind in joins if name.startswith("Broadcast")} <= {"LeftAnti", "LeftSemi"}  # with the crowded keys
+
+
 # --- SentencePiece
 
 @pytest.fixture(scope="module")

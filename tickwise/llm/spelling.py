@@ -14,7 +14,10 @@ the gram, without one code point. It is still exact (the edit lies outside the
 gram), and such a key holds at most one word for each letter of the alphabet.
 
 Counts are aggregated on the mappers first. Tables between steps are written to the
-shared checkpoint folder.
+shared checkpoint folder. Joins of tables that grow with the words carry a merge hint: Spark
+sizes them by compressed files and takes no account of an explode, so it would broadcast a
+table of hundreds of MB as one below its threshold. Only the keys above ``CROWD`` may be
+broadcast (a number each, one for thousands of grams).
 
 Defined cases: words are compared by code points, as they are; null words and words shorter
 than 4 code points have no near words; repeated words count as one with their counts added; an empty
@@ -100,7 +103,7 @@ def near_pairs(words: DataFrame, crowd: int = CROWD) -> DataFrame:
     def meet(a: DataFrame, b: DataFrame) -> DataFrame:
         a = a.select("key", F.col("word").alias("word_a"), F.col("n").alias("n_a"), "longer")
         b = b.select("key", F.col("word").alias("word_b"), F.col("n").alias("n_b"))
-        return (a.join(b, "key").where((F.col("longer") == 1) | (F.col("word_a") < F.col("word_b")))
+        return (a.join(b.hint("merge"), "key").where((F.col("longer") == 1) | (F.col("word_a") < F.col("word_b")))
                 .where(F.levenshtein("word_a", "word_b", 1) == 1).select("word_a", "n_a", "word_b", "n_b"))
 
     common = [x.join(crowded, "key", "left_anti") for x in (chunks, grams)]
@@ -114,7 +117,7 @@ def follow(links: DataFrame) -> DataFrame:
     up = links.select("word", F.col("form").alias("root"))
     while True:
         step = up.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = scratch(up.join(step, "root", "left").select("word", "root", "next"), "roots")
+        moved = scratch(up.join(step.hint("merge"), "root", "left").select("word", "root", "next"), "roots")
         up = moved.select("word", F.coalesce("next", "root").alias("root"))
         if moved.where("next IS NOT NULL").isEmpty():
             return up
@@ -133,9 +136,9 @@ def group(words: DataFrame, ratio: int = 10, crowd: int = CROWD) -> DataFrame:
     ends = pairs.select(F.explode(F.array(side("word_a", "n_b", "word_b"), side("word_b", "n_a", "word_a"))).alias("e")).select("e.*")
     best = ends.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct("less", "near")).alias("best"))
     chosen = -F.col("best.less") >= ratio * F.col("n")
-    found = scratch(words.join(best, "word", "left").select(
+    found = scratch(words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(chosen, F.col("best.near")).alias("form"), F.when(chosen, -F.col("best.less")).alias("form_n")), "forms")
     roots = follow(found.where("form IS NOT NULL").select("word", "form"))
-    return found.join(roots, "word", "left").select(
+    return found.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
